@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, cascade, exact_dedup, ftrl, packing, repair_codec, secrets, url_rules
+from . import byte_bpe, cascade, exact_dedup, ftrl, html_wrappers, minhash, packing, repair_codec, secrets, url_rules
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op2_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extracted(table(spark, sf_dir, "pages"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), split_pattern())
 
@@ -42,6 +46,10 @@ def op6_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(table(spark, sf_dir, "documents"), k=2)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.grouped(table(spark, sf_dir, "documents"))
 
@@ -55,7 +63,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_secret_scan, op3_byte_bpe, op4_url_rules, op5_repair_ids, op6_power_packing, op8_exact_dedup, op9_quality_classifier, op10_quality_rules,
+    op1_secret_scan, op2_html_wrappers, op3_byte_bpe, op4_url_rules, op5_repair_ids, op6_power_packing, op7_minhash_dedup, op8_exact_dedup, op9_quality_classifier, op10_quality_rules,
 )}
 
 SQL: dict[str, str] = {}
