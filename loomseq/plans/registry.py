@@ -120,10 +120,10 @@ query("n50", lambda t: qc.n50(t.reads), N50 + " SELECT * FROM n50", "reads")
 query("read_stats", lambda t: qc.read_stats(t.reads), N50 + f", q AS (SELECT sample, length(seq) AS len, {MEANQ} AS q FROM reads) SELECT sample, count(*) AS reads, cast(sum(len) AS bigint) AS bases, round(avg(len), 6) AS mean_length, round(quantile_cont(len, 0.5), 6) AS median_length, round(stddev_samp(len), 4) AS stdev_length, count(*) FILTER (q > 10) AS reads_over_q10, count(*) FILTER (q > 12) AS reads_over_q12, count(*) FILTER (q > 15) AS reads_over_q15, max(n50) AS n50 FROM q JOIN n50 USING (sample) GROUP BY sample", "reads")
 query("compare_samples", lambda t: qc.compare_samples(t.reads), "SELECT sample, bin, n, round(n / sum(n) OVER (PARTITION BY sample), 6) AS share FROM (SELECT sample, cast(length(seq) // 10 AS bigint) AS bin, count(*) AS n FROM reads GROUP BY 1, 2)", "reads")
 query("per_read_quality", lambda t: qc.per_read_quality(t.reads), f"SELECT sample, cast(floor({MEANQ} + 1e-9) AS bigint) AS q, count(*) AS n FROM reads GROUP BY 1, 2", "reads")
-AT = lambda c: f", at AS (SELECT sample, i - 1 AS pos, substr({c}, cast(i AS int), 1) AS c FROM reads, range(1, 200) t(i) WHERE i <= length({c}))"
-query("per_base_quality", lambda t: qc.per_base_quality(t.reads), AT("qual") + " SELECT sample, cast(pos AS int) AS pos, round(avg(ascii(c) - 33), 6) AS mean_q, cast(min(ascii(c) - 33) AS int) AS min_q, cast(max(ascii(c) - 33) AS int) AS max_q FROM at GROUP BY 1, 2", "reads")
-query("per_base_content", lambda t: qc.per_base_content(t.reads), AT("seq") + " SELECT sample, cast(pos AS int) AS pos, " + ", ".join(f"round(count(*) FILTER (c = '{b}') / count(*), 6) AS {b.lower()}_share" for b in "ACGTN") + " FROM at GROUP BY 1, 2", "reads")
-query("n_content", lambda t: qc.n_content(t.reads), AT("seq") + " SELECT sample, cast(pos AS int) AS pos, round(count(*) FILTER (c = 'N') / count(*), 6) AS n_share FROM at GROUP BY 1, 2", "reads")
+AT = lambda c: f", places AS (SELECT sample, i - 1 AS pos, substr({c}, cast(i AS int), 1) AS c FROM reads, range(1, 200) t(i) WHERE i <= length({c}))"
+query("per_base_quality", lambda t: qc.per_base_quality(t.reads), AT("qual") + " SELECT sample, cast(pos AS int) AS pos, round(avg(ascii(c) - 33), 6) AS mean_q, cast(min(ascii(c) - 33) AS int) AS min_q, cast(max(ascii(c) - 33) AS int) AS max_q FROM places GROUP BY 1, 2", "reads")
+query("per_base_content", lambda t: qc.per_base_content(t.reads), AT("seq") + " SELECT sample, cast(pos AS int) AS pos, " + ", ".join(f"round(count(*) FILTER (c = '{b}') / count(*), 6) AS {b.lower()}_share" for b in "ACGTN") + " FROM places GROUP BY 1, 2", "reads")
+query("n_content", lambda t: qc.n_content(t.reads), AT("seq") + " SELECT sample, cast(pos AS int) AS pos, round(count(*) FILTER (c = 'N') / count(*), 6) AS n_share FROM places GROUP BY 1, 2", "reads")
 query("gc_content", lambda t: qc.gc_content(t.reads), "SELECT sample, cast(100 * length(regexp_replace(seq, '[^GCgc]', '', 'g')) // length(seq) AS bigint) AS gc, count(*) AS n FROM reads GROUP BY 1, 2", "reads")
 query("duplication_levels", lambda t: qc.duplication_levels(t.fx.select("sample", F.col("umi").alias("seq"))), "SELECT sample, level, count(*) AS distinct_seqs FROM (SELECT sample, umi, count(*) AS level FROM fx GROUP BY 1, 2) GROUP BY 1, 2")
 query("overrepresented", lambda t: qc.overrepresented(t.fx.select("sample", F.col("umi").alias("seq"))), "SELECT sample, seq, n, round(100 * n / a, 6) AS pct FROM (SELECT sample, umi AS seq, count(*) AS n, sum(count(*)) OVER (PARTITION BY sample) AS a FROM fx GROUP BY 1, 2) WHERE n >= 0.001 * a")
