@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, matched, per_slice, utf8_of, written
 
-M, ROUNDS = 10, 6
+M, ROUNDS = 10, 3
 #: Bytes of full sets that are sent to every executor; more of them are joined by a shuffle.
 MOST_SET_BYTES = 24_000_000
 SKETCH, SKETCH_LEAST = 128, 84
@@ -174,7 +174,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def still_open(members: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of the buckets that hold several components, with their own (``comp``) and the bucket's commonest (``major``)."""
-    labelled = written(members.join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "labelled")
+    labelled = members.join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     parts = labelled.groupBy("key", "comp").agg(F.count("*").alias("rows"))
     several = written(parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("rows", "comp")).alias("m")).where("parts > 1").select("key", F.col("m.comp").alias("major")), "several")
     return written(labelled.join(several, "key"), "open_rows")
