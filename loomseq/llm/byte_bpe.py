@@ -25,7 +25,7 @@ from .common import documents, per_slice, texts_of
 #: White space of Unicode, as the split pattern's ``\s`` means it.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Pieces of text that a worker remembers with their ids, and the longest one remembered (characters).
-CACHE_ENTRIES, CACHE_CHARS = 500_000, 48
+CACHE_ENTRIES, CACHE_PIECES, CACHE_CHARS = 700_000, 400_000, 48
 LEAF = 8  # a leaf of the bitmap covers 2**LEAF ranks
 
 
@@ -117,7 +117,7 @@ class ByteBpe:
     def _piece(self, piece: str) -> bytes:
         if (ids := self.known.get(piece) or self.known_pieces.get(piece)) is None:
             ids = self._merged(piece)
-            if len(piece) <= CACHE_CHARS and len(self.known_pieces) < CACHE_ENTRIES // 4:
+            if len(piece) <= CACHE_CHARS and len(self.known_pieces) < CACHE_PIECES:
                 self.known_pieces[piece] = ids
         return ids
 
