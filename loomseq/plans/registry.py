@@ -134,5 +134,5 @@ query("cell_qc", cellqc, CELLQC + " SELECT * FROM cellqc", "whitelist aln exons"
 SUMMARY = CELLQC + ", summary AS (SELECT sample, count(*) AS cells, quantile_cont(n_feature, 0.5) AS median_features FROM cellqc GROUP BY 1)"
 query("cell_summary", lambda t: qc.cell_summary(cellqc(t), counts(t), al.flagstat(t.aln)).withColumn("mean_reads_per_cell", F.round("mean_reads_per_cell", 1)), SUMMARY + " SELECT sample, cells, round(round_even(total / cells, 2), 1) AS mean_reads_per_cell, median_features, total_features FROM summary JOIN (SELECT sample, count(DISTINCT feature) AS total_features FROM counts GROUP BY 1) USING (sample) JOIN (SELECT sample, count(*) AS total FROM aln GROUP BY 1) USING (sample)", "whitelist aln exons")
 query("qc_density", lambda t: qc.qc_density(cellqc(t)), CELLQC + " SELECT sample, cast(floor(log10(n_count + 1) * 4 + 1e-9) AS bigint) AS count_bin, cast(floor(log10(n_feature + 1) * 4 + 1e-9) AS bigint) AS feature_bin, count(*) AS cells FROM cellqc GROUP BY 1, 2, 3", "whitelist aln exons")
-query("concat_stats", lambda t: qc.concat_stats(al.flagstat(t.aln).select("sample", "total"), al.flagstat(t.aln).select("sample", "mapped")), f"SELECT sample, count(*) AS total, NULL AS mapped FROM aln GROUP BY 1 UNION ALL SELECT sample, NULL, count(*) FILTER ({MAPPED}) FROM aln GROUP BY 1", "aln")
+query("concat_stats", lambda t: qc.concat_stats(al.flagstat(t.aln).select("sample", "total"), al.flagstat(t.aln).select("sample", "mapped")).na.fill(0), f"SELECT sample, count(*) AS total, 0 AS mapped FROM aln GROUP BY 1 UNION ALL SELECT sample, 0, count(*) FILTER ({MAPPED}) FROM aln GROUP BY 1", "aln")
 query("qc_report", lambda t: qc.qc_report(al.flagstat(t.aln).select("sample", "total", "mapped"), qc.n50(t.reads), al.duplicate_metrics(al.mark_duplicates(t.aln))), DUP + N50 + f" SELECT sample, total, mapped, n50, examined, duplicates, share FROM (SELECT sample, count(*) AS total, count(*) FILTER ({MAPPED}) AS mapped FROM aln GROUP BY 1) LEFT JOIN n50 USING (sample) LEFT JOIN (SELECT sample, count(*) AS examined, count(*) FILTER (is_dup) AS duplicates, round(count(*) FILTER (is_dup) / count(*), 6) AS share FROM marked GROUP BY 1) USING (sample)", "aln reads")
