@@ -42,12 +42,12 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, longest: int = LONG
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, tail = word_bpe(tokenizer).encode, int(end_id).to_bytes(4, "little")
+        encode, tail = word_bpe(tokenizer).encode_all, int(end_id).to_bytes(4, "little")
         part, ranks = TaskContext.get().partitionId(), dict.fromkeys((1 << b for b in range(longest.bit_length())), 0)
         for batch in sliced(batches):
             rows, starts, sizes, blobs, totals, numbers = [], [], [], [], [], []
-            for row, text in enumerate(batch.column("text").to_pylist()):
-                ids, at = encode(text or "") + tail, 0
+            for row, ids in enumerate(encode(batch.column("text").to_pylist())):
+                ids, at = ids + tail, 0
                 for size in piece_lengths(len(ids) // 4, longest):
                     rows.append(row)
                     starts.append(at)

@@ -125,7 +125,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, tail = word_bpe(tokenizer).encode, int(end_id).to_bytes(4, "little")
+        encode, tail = word_bpe(tokenizer).encode_all, int(end_id).to_bytes(4, "little")
         part, number = TaskContext.get().partitionId(), 0
         keys: list = []
         packed: list[bytes] = []
@@ -146,8 +146,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:
             key_arrow = batch.schema.field("doc_id").type
             for at in range(0, batch.num_rows, 256):
                 few = batch.slice(at, 256)
-                for k, x in zip(few.column("doc_id").to_pylist(), few.column("text").to_pylist(), strict=True):
-                    ids = encode(x or "") + tail
+                for k, ids in zip(few.column("doc_id").to_pylist(), encode(few.column("text").to_pylist()), strict=True):
+                    ids += tail
                     if held and held + len(ids) // 4 > SHARD_IDS:
                         yield flush()
                     keys.append(k)

@@ -1,54 +1,90 @@
 """Ids of whole texts by a word-level BPE of the tokenizers library, in Python workers.
 
 The tokenizer drops white space and its normaliser and merges never reach across it, so each word between blanks is
-encoded by the library once and then remembered; the ids of a text are those of its words one after another.
+encoded by the library once and then remembered; the ids of a text are those of its words one after another. Every word
+of letters ends with an id whose token ends in the vocabulary's end-of-word mark, which tells words of one text apart.
 """
 
 from __future__ import annotations
 
 import functools
+import os
+from collections.abc import Iterable, Iterator
 
-from struct import pack
+import numpy as np
 
 #: Words that a worker remembers, and the longest one remembered (characters).
 CACHE_ENTRIES, CACHE_CHARS = 500_000, 40
+#: Characters of the texts whose new words are learnt together.
+GROUP_CHARS = 1_000_000
 MARKS = "!#$%&*,.:;?|+-"
 
 
 class WordBpe:
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
-        self.fresh: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        self.fresh = {w: pack(f"<{len(x.ids)}I", *x.ids) for w, x in zip(words, got, strict=True)}
-        if len(self.known) < CACHE_ENTRIES:  # frequent words come early
-            self.known.update((w, ids) for w, ids in self.fresh.items() if len(w) <= CACHE_CHARS)
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word; plain ones go to the library as one text and are cut after the ids that end a word."""
+        plain = [w for w in words if w.isalpha() and w.lower().isalpha()]
+        found: dict[str, bytes] = {}
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            if len(ends) == len(plain):
+                blob = ids.tobytes()
+                found = {w: blob[a:b] for w, a, b in zip(plain, [0, *ends], ends, strict=False)}
+        rest = [w for w in words if w not in found]
+        got = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        found.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(rest, got, strict=True))
+        return [found[w] for w in words]
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        known = self.known.get
-        words = text.replace("\n", " ").split(" ")
-        found = [known(w) for w in words]
-        if None in found:
+    def encode_group(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; words new to the worker are learnt together."""
+        known, cached = self.known, self.known.get
+        split = [x.replace("\n", " ").split(" ") for x in texts]
+        found = [[cached(w) for w in words] for words in split]
+        missed = [(words, ids) for words, ids in zip(split, found, strict=True) if None in ids]
+        new = list({w for words, ids in missed for w, x in zip(words, ids, strict=True) if x is None})
+        if new:
             # letters and the marks behind them are split anyway, so each of the two is looked up or learnt by itself
-            parts = {i: self._parts(w) for i, (w, ids) in enumerate(zip(words, found, strict=True)) if ids is None}
-            self._learn(list({p for pair in parts.values() for p in pair if p not in self.known}))
-            for i, pair in parts.items():
-                found[i] = ids = b"".join([self.fresh[p] if p in self.fresh else self.known[p] for p in pair])
-                if len(self.known) < CACHE_ENTRIES and len(words[i]) <= CACHE_CHARS:
-                    self.known[words[i]] = ids
-        return b"".join(found)
-
-    @staticmethod
-    def _parts(word: str) -> tuple[str, ...]:
-        letters = word.rstrip(MARKS)
-        return (letters, word[len(letters) :]) if len(letters) < len(word) and letters.isalpha() else (word,)
+            cut = [len(w.rstrip(MARKS)) for w in new]
+            cut = [n if w[:n].isalpha() else len(w) for w, n in zip(new, cut, strict=True)]
+            heads, tails = [w[:n] for w, n in zip(new, cut, strict=True)], [w[n:] for w, n in zip(new, cut, strict=True)]
+            parts = list({p for p in (*heads, *tails) if p not in known})
+            fresh = dict(zip(parts, self._ids(parts), strict=True))
+            for p in (*heads, *tails):
+                if p not in fresh:
+                    fresh[p] = known[p]
+            fresh |= {w: fresh[h] + fresh[t] for w, h, t in zip(new, heads, tails, strict=True) if t}
+            for words, ids in missed:
+                ids[:] = [fresh[w] if x is None else x for w, x in zip(words, ids, strict=True)]
+            if len(known) < CACHE_ENTRIES:  # frequent words come early
+                known.update((w, ids) for w, ids in fresh.items() if len(w) <= CACHE_CHARS)
+        return [b"".join(ids) for ids in found]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_group([text])[0]
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of each text in turn, null as the empty text; texts are gathered to groups of bounded size."""
+        group: list[str] = []
+        held = 0
+        for text in texts:
+            group.append(text or "")
+            held += len(group[-1])
+            if held >= GROUP_CHARS:
+                yield from self.encode_group(group)
+                group, held = [], 0
+        yield from self.encode_group(group)
 
 
 @functools.lru_cache(2)
