@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, new_path
+from .common import documents, new_path, sliced
 from .word_bpe import word_bpe
 
 MAGIC, VERSION, FIRST_RULE = 0x52504952, 1, 1 << 20
@@ -36,6 +36,10 @@ SHARD_IDS, ROUNDS, RULES_PER_ROUND, LEAST = 1 << 20, 5, 1024, 8
 _HASH_BITS = 20
 
 
+def _slot(pair: np.ndarray) -> np.ndarray:
+    return (pair * 0x9E3779B97F4A7C1 >> 24) & ((1 << _HASH_BITS) - 1)
+
+
 def compress(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (left, right; one row each), expansion lengths, and each document's first symbol.
 
@@ -53,27 +57,35 @@ def compress(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
             break
         pair = seq[:-1] << 32 | seq[1:]
         pair[first[1:]] = -1
-        slot = (pair * 0x9E3779B97F4A7C1 >> 24) & ((1 << _HASH_BITS) - 1)
+        slot = _slot(pair)
         often = np.bincount(slot, minlength=1 << _HASH_BITS) >= LEAST
-        values, counts = np.unique(pair[often[slot] & (pair >= 0)], return_counts=True)
+        candidates = np.flatnonzero(often[slot] & (pair >= 0))
+        pair = pair[candidates]
+        values, counts = np.unique(pair, return_counts=True)
         values, counts = values[counts >= LEAST], counts[counts >= LEAST]
         if not len(values):
             break
         if len(values) > RULES_PER_ROUND:  # the most frequent, the smaller pair of equals
             top = np.lexsort((values, -counts))[:RULES_PER_ROUND]
             values = np.sort(values[top])
+        near = np.zeros(1 << _HASH_BITS, bool)  # slots in which a rule lies
+        near[_slot(values)] = True
+        near = near[slot[candidates]]
+        candidates, pair = candidates[near], pair[near]
         at = np.searchsorted(values, pair).clip(max=len(values) - 1)
-        hit = np.flatnonzero(values[at] == pair)
+        ruled = values[at] == pair
+        hit, at = candidates[ruled], at[ruled]
         # in a run of overlapping hits every second one is taken, from the left
         new_run = np.ones(len(hit), bool)
         new_run[1:] = np.diff(hit) > 1
         number = np.arange(len(hit))
-        hit = hit[(number - np.maximum.accumulate(np.where(new_run, number, 0))) % 2 == 0]
+        taken = (number - np.maximum.accumulate(np.where(new_run, number, 0))) % 2 == 0
+        hit, at = hit[taken], at[taken]
         rule = np.stack([values >> 32, values & 0xFFFFFFFF])
         known = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
         lengths.append(sum(np.where(side < FIRST_RULE, 1, known[(side - FIRST_RULE).clip(0)] if len(known) else 1) for side in rule))
         rules.append(rule)
-        seq[hit] = FIRST_RULE + n_rules + at[hit]
+        seq[hit] = FIRST_RULE + n_rules + at
         n_rules += len(values)
         stay = np.ones(len(seq), bool)
         stay[hit + 1] = False
@@ -144,8 +156,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:
 
         for batch in batches:
             key_arrow = batch.schema.field("doc_id").type
-            for at in range(0, batch.num_rows, 256):
-                few = batch.slice(at, 256)
+            for few in sliced([batch]):
                 for k, ids in zip(few.column("doc_id").to_pylist(), encode(few.column("text").to_pylist()), strict=True):
                     ids += tail
                     if held and held + len(ids) // 4 > SHARD_IDS:
