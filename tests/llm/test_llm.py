@@ -159,3 +159,21 @@ def test_classifier(spark):
 def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and len({r.sequence_id for r in rows}) == len(rows)
+
+
+def test_word_ids_equal_the_library():
+    """Words learnt together are cut apart as the library cuts them, also where lower-casing or marks split a word."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from loomseq.llm.queries import tokenizer_path
+    from loomseq.llm.word_bpe import WordBpe
+
+    path = tokenizer_path("word_bpe_49k.json")
+    texts = ["İstanbul ΣΑΣ Σ", "été café, it's don't", "<|endoftext|> a b c\tq\r\nz", "日本語 한글 각", "½ ² ǅ ﬁ ª", "", " ", "x" * 5000, "</w> x</w> --", "tail!! tail?"]
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    expected = [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert list(WordBpe(path).encode_all([*texts, None])) == [*expected, b""]
+    one = WordBpe(path)
+    assert [one.encode(x) for x in texts] == expected
