@@ -90,6 +90,16 @@ def write_table(df: DataFrame, path: str, sep: str = "\t", header: bool = False)
     df.write.csv(path, sep=sep, header=header, quote="", escape="", emptyValue="")
 
 
+def split_by_reference(aln: DataFrame, path: str) -> DataFrame:
+    """One folder for each sample and reference, and the table read back from them.
+
+    Nothing is shuffled: each task writes its own files, so a reference that holds much of the data is written by many.
+    Rows without a reference have their own folder. The schema is given, so names that look like numbers stay strings.
+    """
+    aln.write.partitionBy("sample", "ref").parquet(path)
+    return aln.sparkSession.read.schema(aln.schema).parquet(path).select(*aln.columns)
+
+
 def write_mex(counts: DataFrame, path: str) -> None:
     """Matrix, features and barcodes; indices begin at 1 and follow the order of the names."""
     for side in ("feature", "cell"):

@@ -65,6 +65,16 @@ def test_files(spark, tmp_path):
     assert [tuple(r) for r in samples.collect()] == [("S", 5, ["a.fastq.gz", "b.fq.gz"])] and bad.count() == 1
 
 
+def test_split_by_reference(spark, tmp_path):
+    rows = [("01", "a", "chr1", 5), ("01", "b", None, None), ("S", "c", "7", 1), ("S", "c", "7", 1)]
+    aln = spark.createDataFrame(rows, "sample string, qname string, ref string, pos int")
+    got = files.split_by_reference(aln, str(tmp_path / "parts"))
+    assert got.dtypes == aln.dtypes and sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, rows))
+    assert (tmp_path / "parts" / "sample=S" / "ref=7").is_dir()
+    empty = files.split_by_reference(aln.limit(0), str(tmp_path / "none"))
+    assert empty.dtypes == aln.dtypes and empty.count() == 0
+
+
 @pytest.mark.parametrize("name", ["correct_barcodes", "extract_read", "mark_duplicates", "assign_genes", "flagstat", "n50", "cell_qc"])
 def test_sql(spark, name):
     con = duckdb.connect()
