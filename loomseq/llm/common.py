@@ -44,7 +44,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: lineage ends there, and it survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.written_path = path
+    return back
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` once all that was made of them is itself written."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df.written_path)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:

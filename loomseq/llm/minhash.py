@@ -9,15 +9,20 @@ Texts with equal sets are one representative (the smallest key) from the start.
 one task and no pairs emitted just for sharing a bucket:
 
 1. In turns, every bucket has a pivot: at first its smallest key, later a row of its commonest component drawn by hash. A
-   representative outside that component is compared with the pivot, among all its buckets, whose sketch agrees best
-   with its own; confirmed links give components, and the next turn looks only at buckets that hold several.
+   representative outside that component is compared with the pivot that it meets in most of its buckets; confirmed links
+   give components, and the next turn looks only at buckets that hold several.
 2. In each bucket that holds several components after ``ROUNDS`` turns, the rows outside the commonest are joined with all
-   rows of other components. The join's condition compares set sizes and sketches (128 minhashes of 4 bits) before
-   a pair comes out, so every pair of a bucket that can still change a component is looked at.
+   rows of other components. The join's condition compares set sizes and both sketches before a pair comes out, so
+   every pair of a bucket that can still change a component is looked at.
 3. Pairs of both steps are confirmed on the full sets of both texts; components are found again over all links.
 
-The sketch test asks 84 of 128 equal places, where a pair of similarity 0.8 has 104 on average with a deviation of 4.4; it
-loses a few such pairs in a million. Words are what stands between white space, A-Z lower-cased. A text of fewer than ``k`` words has its
+Two sketches stand before a confirmation. The odd sketch has a bit for each of ``ODD`` bins of hashes, set where the
+set has an odd number of them. Bits in which two sketches differ are never more than the symmetric difference, which a
+link bounds by (n1 + n2) * (100 - percent) / (100 + percent), so this test loses no link, and up to some hundred
+shingles it lets little else through. The other, for long texts, is 128 minhashes of 4 bits: it asks 84 equal places, where
+a pair of similarity 0.8 has 104 on average with a deviation of 4.4, and loses a few such pairs in a million.
+
+Words are what stands between white space, A-Z lower-cased. A text of fewer than ``k`` words has its
 whole sequence as its only shingle; one without words, or null, has an empty set and no links. Rows that repeat a key
 count once: a key's smallest row by hash of its set stands for it. A null key has its own component.
 """
@@ -31,13 +36,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, matched, per_slice, utf8_of, written
+from .common import documents, dropped, matched, per_slice, utf8_of, written
 
-M, ROUNDS = 10, 3
+M, ROUNDS = 10, 2
 #: Bytes of full sets that are sent to every executor; more of them are joined by a shuffle.
 MOST_SET_BYTES = 24_000_000
 SKETCH, SKETCH_LEAST = 128, 84
-S = [f"s{i}" for i in range(SKETCH // 16)]  # columns of a sketch
+ODD = 512
+S, O = [f"s{i}" for i in range(SKETCH // 16)], [f"o{i}" for i in range(ODD // 64)]  # columns of the sketches
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,10 +84,16 @@ def signature(found: np.ndarray) -> np.ndarray:
     return mixed(low)
 
 
+def odd_sketch(found: np.ndarray) -> list[int]:
+    """Parity of the number of hashes in each of ODD bins, as 64-bit integers."""
+    parity = np.bincount((found >> np.uint64(20)) % np.uint64(ODD), minlength=ODD) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64).tolist()
+
+
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """``(doc_id, n, f1, f2, s0 ..., a, b)``: size, 128-bit fingerprint of the set, sketch, the two key collections."""
+    """``(doc_id, n, f1, f2, s0 ..., o0 ..., a, b)``: size, 128-bit fingerprint of the set, sketches, the two key collections."""
     key = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n", "f1", "f2", *S, "a", "b"]
+    names = ["doc_id", "n", "f1", "f2", *S, *O, "a", "b"]
 
     def make():
         from xxhash import xxh3_128_intdigest
@@ -91,21 +103,21 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
         def one(text: bytes) -> tuple:
             found = shingles(text, k)
             if not len(found):
-                return 0, 0, 0, *[0] * len(S), [], []
+                return 0, 0, 0, *[0] * len(S + O), [], []
             f = xxh3_128_intdigest(found.tobytes())
             sig = signature(found)
             bits = (sig[4 * M :] >> np.uint64(60)).reshape(len(S), 16) << nibble
             sketch = np.bitwise_or.reduce(bits, axis=1).astype(np.int64).tolist()
             pairs = mixed(sig[0 : 4 * M : 2] * _MUL + sig[1 : 4 * M : 2] + np.arange(2 * M, dtype=np.uint64)).astype(np.int64)
-            return len(found), *np.array([f >> 64, f & (1 << 64) - 1], np.uint64).astype(np.int64).tolist(), *sketch, pairs[:M].tolist(), pairs[M:].tolist()
+            return len(found), *np.array([f >> 64, f & (1 << 64) - 1], np.uint64).astype(np.int64).tolist(), *sketch, *odd_sketch(found), pairs[:M].tolist(), pairs[M:].tolist()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = list(zip(*[one(x) for x in utf8_of(batch)], strict=True)) if batch.num_rows else [[]] * (5 + len(S))
+            rows = list(zip(*[one(x) for x in utf8_of(batch)], strict=True)) if batch.num_rows else [[]] * (5 + len(S + O))
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in rows[:-2]], *[pa.array(x, pa.list_(pa.int64())) for x in rows[-2:]]], names)
 
         return work
 
-    return per_slice(documents(docs, "doc_id", "text"), make, f"doc_id {key}, n bigint, f1 bigint, f2 bigint, {' bigint, '.join(S)} bigint, a array<bigint>, b array<bigint>")
+    return per_slice(documents(docs, "doc_id", "text"), make, f"doc_id {key}, n bigint, f1 bigint, f2 bigint, {' bigint, '.join(S + O)} bigint, a array<bigint>, b array<bigint>")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -133,21 +145,29 @@ def agreement(a: str, b: str) -> Column:
     return same
 
 
-def may_link(n1: Column, n2: Column, equal: Column, percent: int) -> Column:
-    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (equal >= SKETCH_LEAST)
+def may_link(a: str, b: str, percent: int) -> Column:
+    """False only where sizes or sketches rule a link out; ``a`` and ``b`` are what their columns' names begin with."""
+    n1, n2 = F.col(f"{a}n"), F.col(f"{b}n")
+    differ = F.lit(0)
+    for c in O:
+        differ = differ + F.bit_count(F.col(a + c).bitwiseXOR(F.col(b + c)))
+    near = (100 + percent) * differ <= (100 - percent) * (n1 + n2)
+    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & near & (agreement(a, b) >= SKETCH_LEAST)
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of the distinct ``pairs (x, y)`` whose full sets are similar enough."""
     ids = written(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "pair_ids")
-    sets = written(sets_of(docs, ids, k).dropDuplicates(["id"]), "pair_sets")
+    sets = whole = written(sets_of(docs, ids, k).dropDuplicates(["id"]), "pair_sets")
     size = sets.agg(F.sum(F.size("h"))).first()[0] or 0
     if 8 * size <= MOST_SET_BYTES:
         sets = F.broadcast(sets)
     left = pairs.join(sets.select(F.col("id").alias("x"), F.col("h").alias("hx")), "x")
     both = left.join(sets.select(F.col("id").alias("y"), F.col("h").alias("hy")), "y")
     shared = F.size(F.array_intersect("hx", "hy"))
-    return written(both.where(100 * shared >= percent * (F.size("hx") + F.size("hy") - shared)).select("x", "y"), "links")
+    links = written(both.where(100 * shared >= percent * (F.size("hx") + F.size("hy") - shared)).select("x", "y"), "links")
+    dropped(ids, whole)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -172,63 +192,69 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def still_open(members: DataFrame, found: DataFrame) -> DataFrame:
+def still_open(members: DataFrame, found: DataFrame | None) -> DataFrame:
     """Rows of the buckets that hold several components, with their own (``comp``) and the bucket's commonest (``major``)."""
-    labelled = members.join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    labelled = members.withColumn("comp", F.col("id")) if found is None else members.join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     parts = labelled.groupBy("key", "comp").agg(F.count("*").alias("rows"))
-    several = written(parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("rows", "comp")).alias("m")).where("parts > 1").select("key", F.col("m.comp").alias("major")), "several")
+    several = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("rows", "comp")).alias("m")).where("parts > 1").select("key", F.col("m.comp").alias("major"))
     return written(labelled.join(several, "key"), "open_rows")
 
 
-def nearest_pivots(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """``(x, y)``: each row outside its bucket's commonest component with that pivot, of all its buckets, which is most like it.
+def sketched(rows: DataFrame, sketches: DataFrame, on: str, name: str) -> DataFrame:
+    """``rows`` with a struct ``name`` of the size and sketches of the representative in column ``on``."""
+    return rows.join(sketches.select(F.col("id").alias(on), F.struct("n", *S, *O).alias(name)), on)
+
+
+def pivot_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """``(x, y)``: each row outside its bucket's commonest component with the pivot that it meets in most of its buckets.
 
     The pivot of a bucket comes from its commonest component: in the first turn the smallest id, so that a large group
     gathers round few rows, then one drawn by hash, so that a row meets as many pivots as it has buckets.
     """
     drawn = F.xxhash64("key", "id", F.lit(turn)) if turn else F.lit(0).cast("long")
     core = rows if turn == 0 else rows.where("comp = major")
-    pivots = written(core.groupBy("key").agg(F.min(F.struct(drawn.alias("h"), "id", "n", *S, "comp")).alias("p")), "pivots")
-    met = rows.join(pivots, "key").where("comp <> p.comp")
-    equal = agreement("", "p.")
-    met = met.select("id", F.col("p.id").alias("pivot"), equal.alias("equal"), may_link(F.col("n"), F.col("p.n"), equal, percent).alias("ok")).where("ok")
-    best = met.groupBy("id").agg(F.max(F.struct("equal", "pivot")).alias("best"))
+    pivots = core.groupBy("key").agg(F.min(F.struct(drawn.alias("h"), "id", "comp")).alias("p"))
+    met = rows.join(pivots, "key").where("comp <> p.comp").groupBy("id", F.col("p.id").alias("pivot")).agg(F.count("*").alias("times"))
+    best = met.groupBy("id").agg(F.max(F.struct("times", "pivot")).alias("best"))
     return best.select(F.greatest("id", "best.pivot").alias("x"), F.least("id", "best.pivot").alias("y")).distinct()
 
 
 def groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for each row."""
     sig = written(signatures(docs, k), "signatures")
-    same = written(sig.where("n > 0 and doc_id is not null").groupBy("f1", "f2", "n").agg(F.min(F.struct("doc_id", *S, "a", "b")).alias("r")).select("f1", "f2", "n", F.col("r.doc_id").alias("id"), *[f"r.{c}" for c in S], "r.a", "r.b"), "representatives")
+    same = written(sig.where("n > 0 and doc_id is not null").groupBy("f1", "f2", "n").agg(F.min(F.struct("doc_id", *S, *O, "a", "b")).alias("r")).select("f1", "f2", "n", F.col("r.doc_id").alias("id"), *[f"r.{c}" for c in (*S, *O)], "r.a", "r.b"), "representatives")
     keys = same.select("id", F.explode(F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))).alias("key"))
     shared = written(keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key"), "shared_keys")
-    members = keys.join(shared, "key").join(same.select("id", "n", *S), "id")
-    members = written(members, "members")
+    members = written(keys.join(shared, "key"), "members")
+    sketches = same.select("id", "n", *S, *O)
 
-    found = members.select("id").distinct().withColumn("comp", F.col("id"))
-    links = tried = None
+    found = links = tried = None
     for turn in range(ROUNDS):
-        rows = still_open(members, found)
-        pairs = nearest_pivots(rows, turn, percent)
+        pairs = pivot_pairs(rows := still_open(members, found), turn)
         if tried is not None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = written(pairs, "pivot_pairs")
+        pairs = sketched(sketched(pairs, sketches, "x", "p"), sketches, "y", "q").where(may_link("p.", "q.", percent))
+        pairs = written(pairs.select("x", "y"), "pivot_pairs")
+        dropped(rows)
         if pairs.isEmpty():
             break
         new = confirmed(docs, pairs, k, percent)
         links, tried = (new, pairs) if links is None else (links.unionByName(new), tried.unionByName(pairs))
         found = components(links)
 
-    a, b = (rows := still_open(members, found)).where("comp <> major").alias("a"), rows.alias("b")
-    equal = agreement("a.", "b.")
-    condition = (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.major")) | (F.col("a.id") < F.col("b.id"))) & may_link(F.col("a.n"), F.col("b.n"), equal, percent)
+    rows = still_open(members, found)
+    full = sketched(rows, sketches, "id", "s")
+    a, b = full.where("comp <> major").alias("a"), full.alias("b")
+    condition = (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.major")) | (F.col("a.id") < F.col("b.id"))) & may_link("a.s.", "b.s.", percent)
     rest = written(a.join(b, condition).select(F.greatest("a.id", "b.id").alias("x"), F.least("a.id", "b.id").alias("y")).distinct(), "other_pairs")
+    dropped(rows, members, shared)
     if tried is not None:
         rest = written(rest.join(tried, ["x", "y"], "left_anti"), "untried_pairs")
     if not rest.isEmpty():
         new = confirmed(docs, rest, k, percent)
         found = components(new if links is None else links.unionByName(new))
 
+    found = same.select("id", F.col("id").alias("comp")).limit(0) if found is None else found
     comps = written(same.select("f1", "f2", "n", "id").join(found, "id", "left").select("f1", "f2", "n", F.coalesce("comp", "id").alias("component_id")), "components")
     joined = sig.select("doc_id", "n", "f1", "f2").join(comps, ["f1", "f2", "n"], "left")
     component = F.when((F.col("n") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -237,5 +263,5 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
 def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component, and all that are in none."""
-    dropped = written(groups(docs, k, percent).where("not kept").select("doc_id").distinct(), "near_dropped")
-    return matched(docs, dropped, "doc_id", "left_anti")
+    gone = written(groups(docs, k, percent).where("not kept").select("doc_id").distinct(), "near_dropped")
+    return matched(docs, gone, "doc_id", "left_anti")
