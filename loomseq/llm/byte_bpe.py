@@ -5,6 +5,9 @@ the vocabulary waits in the bucket of its merge rank; a bitmap of two levels mar
 anything, so the lowest pending rank is found by find-first-set. Entries made stale by a neighbour's merge are skipped
 when they are popped. Work on a piece of n bytes is O(n log n), whatever its length.
 
+Short pieces that a worker meets for the first time share one queue: they lie one behind the other in one linked list, no
+pair crosses from one to the next, and what waits in a bucket is merged at once, one entry of each piece.
+
 Rows: one for each input row, repeated ones included. Null or empty text: no ids. Other columns are not carried.
 """
 
@@ -12,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import functools
+from collections.abc import Iterator
 from heapq import heappop, heappush
 from struct import pack
 
@@ -20,13 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, per_slice, texts_of
+from .common import documents, per_slice, sliced, texts_of
 
 #: White space of Unicode, as the split pattern's ``\s`` means it.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Pieces of text that a worker remembers with their ids, and the longest one remembered (characters).
 CACHE_ENTRIES, CACHE_PIECES, CACHE_CHARS = 700_000, 400_000, 48
 LEAF = 8  # a leaf of the bitmap covers 2**LEAF ranks
+#: Characters of the texts whose new pieces share a queue, and the longest piece that does (bytes).
+GROUP_CHARS, SHORT = 8_000_000, 64
+NONE = np.int32(2**31 - 1)  # no rank
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -92,6 +99,97 @@ def merge(piece: bytes, ranks: dict[bytes, int], size: list[int]) -> list[int]:
     return out
 
 
+class Pairs:
+    """Rank of two neighbouring tokens' joint bytes, for arrays of tokens."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        rank_of = ranks.get
+        keys, values = [], []
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                if (left := rank_of(token[:i])) is not None and (right := rank_of(token[i:])) is not None:
+                    keys.append(left << 32 | right)
+                    values.append(rank)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys = np.append(np.array(keys, np.int64)[order], np.int64(2**63 - 1))
+        self.values = np.append(np.array(values, np.int32)[order], NONE)
+
+    def __call__(self, left: np.ndarray | int, right: np.ndarray | int) -> np.ndarray:
+        key = np.left_shift(left, 32, dtype=np.int64) | right
+        at = self.keys.searchsorted(key)
+        return np.where(self.keys[at] == key, self.values[at], NONE)
+
+
+def merge_many(pieces: list[bytes], single: np.ndarray, pairs: Pairs) -> list[bytes]:
+    """Ids of each piece, as ``merge`` has them, in little-endian 32-bit integers. ``single``: each byte's rank."""
+    lengths = np.array([len(x) for x in pieces])
+    n = int(lengths.sum())
+    owner = np.repeat(np.arange(len(pieces)), lengths)
+    ends = np.cumsum(lengths)
+    token = np.append(single[np.frombuffer(b"".join(pieces), np.uint8)], np.int64(-1))  # of the span that begins there
+    after, before, live = np.arange(1, n + 2), np.arange(-1, n), np.ones(n, bool)
+    after[ends - 1] = n  # n stands for no neighbour
+    before[ends - lengths] = n
+    waits = np.full(n + 1, NONE)  # the rank in whose bucket the span and the next one wait
+    waits[:n] = pairs(token[:n], token[after[:n]])
+    buckets: dict[int, list[np.ndarray]] = {}
+    leaves: dict[int, int] = {}
+    top, low = 0, (1 << LEAF) - 1
+
+    def push(at: np.ndarray) -> None:
+        nonlocal top
+        new = waits[at]
+        at, new = at[new != NONE], new[new != NONE]
+        if not len(at):
+            return
+        order = np.argsort(new, kind="stable")
+        at, new = at[order], new[order]
+        begins = np.flatnonzero(np.append(True, new[1:] != new[:-1]))
+        cuts = begins.tolist()
+        for r, i, j in zip(new[begins].tolist(), cuts, [*cuts[1:], len(at)], strict=True):
+            if r in buckets:
+                buckets[r].append(at[i:j])
+            else:
+                buckets[r] = [at[i:j]]
+                leaves[r >> LEAF] = leaves.get(r >> LEAF, 0) | 1 << (r & low)
+                top |= 1 << (r >> LEAF)
+
+    push(np.arange(n))
+    while top:
+        high = (top & -top).bit_length() - 1
+        word = leaves[high]
+        rank = high << LEAF | (word & -word).bit_length() - 1
+        bucket = buckets.pop(rank)
+        at = np.concatenate(bucket) if len(bucket) > 1 else bucket[0]
+        leaves[high] = word = word & (word - 1)
+        if not word:
+            top &= top - 1
+        at = at[waits[at] == rank]  # others are stale
+        if not len(at):
+            continue
+        again = at[:0]
+        if len(at) > 1:
+            at.sort()
+            own = owner[at]
+            leftmost = np.append(True, own[1:] != own[:-1])
+            if not leftmost.all():
+                again, at = at[~leftmost], at[leftmost]
+        middle = after[at]
+        stop = after[middle]
+        token[at] = rank
+        live[middle] = False
+        waits[middle] = NONE
+        after[at] = stop
+        before[stop] = at
+        left = before[at]
+        waits[at] = pairs(rank, token[stop])
+        waits[left] = pairs(token[left], rank)
+        push(np.concatenate((again, at, left)))
+    ids = token[:n][live].astype("<i4").tobytes()
+    cuts = (4 * np.cumsum(np.bincount(owner[live], minlength=len(pieces)))).tolist()
+    return [ids[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
+
 class ByteBpe:
     """Encoder and decoder of one rank file."""
 
@@ -109,38 +207,61 @@ class ByteBpe:
         self.segments = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+\\Z").findall
         self.known: dict[str, bytes] = {}
         self.known_pieces: dict[str, bytes] = {}
+        self.pairs = Pairs(self.ranks)
+        # a byte without a rank, which no usual vocabulary has, sends every piece to the lone queue
+        self.single = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
+        self.short = SHORT if (self.single >= 0).all() else 0
 
     def _merged(self, piece: str) -> bytes:
         ids = merge(piece.encode(), self.ranks, self.size)
         return pack(f"<{len(ids)}i", *ids)
 
-    def _piece(self, piece: str) -> bytes:
-        if (ids := self.known.get(piece) or self.known_pieces.get(piece)) is None:
-            ids = self._merged(piece)
-            if len(piece) <= CACHE_CHARS and len(self.known_pieces) < CACHE_PIECES:
-                self.known_pieces[piece] = ids
-        return ids
-
-    def _segment(self, segment: str) -> bytes:
-        found = self.pieces(segment)
-        ids = self._merged(segment) if len(found) == 1 else b"".join(map(self._piece, found))
-        if len(segment) <= CACHE_CHARS and len(self.known) < CACHE_ENTRIES:  # frequent ones come early
-            self.known[segment] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit integers.
+    def _learnt(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that the worker does not know."""
+        out: dict[str, bytes] = {}
+        short: dict[str, bytes] = {}
+        for piece in pieces:
+            raw = piece.encode()
+            if (whole := self.ranks.get(raw)) is not None:
+                out[piece] = pack("<i", whole)
+            elif len(raw) <= self.short:
+                short[piece] = raw
+            else:
+                out[piece] = self._merged(piece)
+        if short:
+            out.update(zip(short, merge_many(list(short.values()), self.single, self.pairs), strict=True))
+        return out
 
-        No match of the pattern crosses from a character that isn't white space to white space, so the text is cut
+    def _segments(self, text: str) -> list[str]:
+        """No match of the pattern crosses from a character that isn't white space to white space, so the text is cut
         there into segments, of which most occur again and again.
         """
         if self.double_space(text):
-            segments = self.segments(text)
-        else:
-            first, *rest = text.split(" ")
-            segments = [first, *[" " + x for x in rest]]
-        known, other = self.known.get, self._segment
-        return b"".join([known(x) or other(x) for x in segments])
+            return self.segments(text)
+        first, *rest = text.split(" ")
+        return [first, *[" " + x for x in rest]]
+
+    def encode_group(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers; what is new to the worker is learnt together."""
+        known, known_pieces = self.known, self.known_pieces
+        split = [self._segments(x) for x in texts]
+        new = {x: self.pieces(x) for x in set().union(*split).difference(known)}
+        ids = self._learnt({p for found in new.values() for p in found if p not in known_pieces})
+        room, room_pieces = len(known) < CACHE_ENTRIES, len(known_pieces) < CACHE_PIECES  # frequent ones come early
+        known_pieces.update(ids)
+        known.update((x, known_pieces[found[0]] if len(found) == 1 else b"".join(map(known_pieces.__getitem__, found))) for x, found in new.items())
+        out = [b"".join(map(known.__getitem__, segments)) for segments in split]
+        several = {p for found in new.values() if len(found) > 1 for p in found}
+        for p in ids:
+            if not room_pieces or len(p) > CACHE_CHARS or p not in several:
+                del known_pieces[p]
+        for x in new:
+            if not room or len(x) > CACHE_CHARS:
+                del known[x]
+        return out
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_group([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, ids))
@@ -154,19 +275,31 @@ def _codec(path: str, pattern: str) -> ByteBpe:
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(key, ids array<int>)`` of every whole text."""
 
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path, pattern)
+        keys: list[pa.Array] = []
+        texts: list[str] = []
+        held = 0
 
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            packed = [codec.encode(x) for x in texts_of(batch, text)]
+        def flush() -> pa.RecordBatch:
+            packed = codec.encode_group(texts)
             offsets = np.cumsum([0, *[len(x) // 4 for x in packed]], dtype="i4")
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
-            return pa.RecordBatch.from_arrays([batch.column(key), ids], [key, "ids"])
-
-        return work
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(keys), ids], [key, "ids"])
+
+        for batch in batches:
+            for few in sliced([batch]):
+                keys.append(few.column(key))
+                texts += texts_of(few, text)
+                held += sum(map(len, texts[-few.num_rows :]))
+                if held >= GROUP_CHARS:
+                    yield flush()
+                    keys, texts, held = [], [], 0
+        if texts:
+            yield flush()
 
     rows = documents(docs, key, text)
-    return per_slice(rows, make, f"`{key}` {rows.schema[key].dataType.simpleString()}, ids array<int>")
+    return rows.mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
