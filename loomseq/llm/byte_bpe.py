@@ -29,10 +29,10 @@ from .common import documents, per_slice, sliced, texts_of
 #: White space of Unicode, as the split pattern's ``\s`` means it.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Pieces of text that a worker remembers with their ids, and the longest one remembered (characters).
-CACHE_ENTRIES, CACHE_PIECES, CACHE_CHARS = 700_000, 400_000, 48
+CACHE_ENTRIES, CACHE_PIECES, CACHE_CHARS = 400_000, 150_000, 48
 LEAF = 8  # a leaf of the bitmap covers 2**LEAF ranks
 #: Characters of the texts whose new pieces share a queue, and the longest piece that does (bytes).
-GROUP_CHARS, SHORT = 8_000_000, 64
+GROUP_CHARS, SHORT = 2_000_000, 64
 NONE = np.int32(2**31 - 1)  # no rank
 
 
@@ -124,10 +124,10 @@ def merge_many(pieces: list[bytes], single: np.ndarray, pairs: Pairs) -> list[by
     """Ids of each piece, as ``merge`` has them, in little-endian 32-bit integers. ``single``: each byte's rank."""
     lengths = np.array([len(x) for x in pieces])
     n = int(lengths.sum())
-    owner = np.repeat(np.arange(len(pieces)), lengths)
+    owner = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)
     ends = np.cumsum(lengths)
     token = np.append(single[np.frombuffer(b"".join(pieces), np.uint8)], np.int64(-1))  # of the span that begins there
-    after, before, live = np.arange(1, n + 2), np.arange(-1, n), np.ones(n, bool)
+    after, before, live = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32), np.ones(n, bool)
     after[ends - 1] = n  # n stands for no neighbour
     before[ends - lengths] = n
     waits = np.full(n + 1, NONE)  # the rank in whose bucket the span and the next one wait
@@ -154,7 +154,7 @@ def merge_many(pieces: list[bytes], single: np.ndarray, pairs: Pairs) -> list[by
                 leaves[r >> LEAF] = leaves.get(r >> LEAF, 0) | 1 << (r & low)
                 top |= 1 << (r >> LEAF)
 
-    push(np.arange(n))
+    push(np.arange(n, dtype=np.int32))
     while top:
         high = (top & -top).bit_length() - 1
         word = leaves[high]
@@ -207,11 +207,14 @@ class ByteBpe:
         self.segments = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+\\Z").findall
         self.known: dict[str, bytes] = {}
         self.known_pieces: dict[str, bytes] = {}
-        self.pairs = Pairs(self.ranks)
         # a byte without a rank, which no usual vocabulary has, sends every piece to the lone queue
         self.single = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
         self.short = SHORT if (self.single >= 0).all() else 0
 
+    @functools.cached_property
+    def pairs(self) -> Pairs:
+        return Pairs(self.ranks)
+
     def _merged(self, piece: str) -> bytes:
         ids = merge(piece.encode(), self.ranks, self.size)
         return pack(f"<{len(ids)}i", *ids)
