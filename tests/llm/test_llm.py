@@ -147,6 +147,20 @@ def test_html(spark):
     assert ")?" in found["expression"] and ")+" in found["expression"]
 
 
+def test_html_templates(spark):
+    """Template is what distinct pages of a host share as a whole, however long; copies of a page are no evidence."""
+    page = lambda *x: "<html><body><div>" + "".join(f"<p>{y}</p>" for y in x) + "</div></body></html>"
+    long = "shared start " * 30
+    rows = [("h", page(long + "end", f"body {i}", long + f"tail {i}")) for i in range(9)]
+    rows += [("copies", page("one", "two"))] * 8 + [("null", None)]
+    rows += [("long", page("menu", f"{i} " * 30_000)) for i in range(3)]
+    pages = spark.createDataFrame([(i, f"http://{h}/{i}", t) for i, (h, t) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_wrappers.extracted(pages).collect()}
+    assert [got[i] for i in range(9)] == [f"body {i}\n\n{long}tail {i}" for i in range(9)]
+    assert {got[i] for i in range(9, 17)} == {"one\n\ntwo"} and got[17] == ""
+    assert [got[18 + i] for i in range(3)] == [(f"{i} " * 30_000).strip() for i in range(3)]
+
+
 def test_classifier(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
     rows = ftrl.judged(docs, labels).join(labels, "doc_id").where("held_out").collect()
