@@ -161,6 +161,15 @@ def test_html_templates(spark):
     assert [got[18 + i] for i in range(3)] == [(f"{i} " * 30_000).strip() for i in range(3)]
 
 
+def test_html_nodes(spark):
+    """The aligned wrapper tells a template text from the same words in the body, in the same kind of element."""
+    page = lambda *x: "<html><body><div>" + "".join(f"<p>{y}</p>" for y in x) + "</div></body></html>"
+    rows = [page("menu", f"a{i}", "foot") for i in range(8)] + [page("menu", "b", "c", "menu", "d", "foot")]
+    pages = spark.createDataFrame([(i, f"http://h/{i}", t) for i, t in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_wrappers.extracted(pages).collect()}
+    assert got == {i: f"a{i}" for i in range(8)} | {8: "b\n\nc\n\nmenu\n\nd"}
+
+
 def test_classifier(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
     rows = ftrl.judged(docs, labels).join(labels, "doc_id").where("held_out").collect()
