@@ -58,8 +58,8 @@ def tokens_of(host: Column, path: Column) -> Column:
     return F.array_distinct(
         F.concat(
             F.transform(labels, lambda x: F.concat(F.lit("host:"), x)),
-            F.transform(F.slice(segments, 1, 4), lambda x, i: F.concat(F.lit("path"), i.cast("string"), F.lit(":"), digits(x))),
-            F.array(F.concat(F.lit("domain:"), F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."))),
+            F.transform(segments, lambda x, i: F.concat(F.lit("path"), i.cast("string"), F.lit(":"), digits(x))),
+            F.when(F.size(labels) > 0, F.array(F.concat(F.lit("domain:"), F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")))).otherwise(F.array().cast("array<string>")),
         )
     )
 
@@ -94,7 +94,7 @@ def judged(pages: DataFrame) -> DataFrame:
     rows = documents(pages, "page_id", "url").select("page_id", "url", host.alias("host"), path.alias("path"))
     rule, verdict = fixed_rule(F.col("host"), F.col("path"))
     rows = rows.withColumns({"rule": rule, "fixed": verdict})
-    distinct = rows.where("host <> ''").groupBy("url").agg(F.first("host").alias("host"), F.first("path").alias("path"), F.first("fixed").alias("fixed"))
+    distinct = rows.where("host <> '' or path rlike '[^/]'").groupBy("url").agg(F.first("host").alias("host"), F.first("path").alias("path"), F.first("fixed").alias("fixed"))
     distinct = written(distinct.select("url", tokens_of(F.col("host"), F.col("path")).alias("tokens"), "fixed"), "urls")
     labelled = distinct.where("fixed is not null").select("url", "tokens", F.col("fixed").alias("verdict"))
     if labelled.isEmpty():

@@ -138,6 +138,17 @@ def test_urls(spark):
     assert url_rules.judged(pages.limit(0)).count() == 0
 
 
+def test_urls_deep_and_without_host(spark):
+    """Rules are learnt from and meet path segments at any depth, and URLs with a path but no host."""
+    deep = lambda x, n: f"/{x}/" + "/".join(f"{x}{n}{d}" for d in range(5)) + "/casino/" + f"{n}"
+    urls = [f"http://a{i}.com{deep('de', i)}" for i in range(6)] + [f"http://b{i}.com/fr/{i}x" for i in range(6)] + [f"http://c.net{deep('q', 77)}", "file:///de/1", "file:///", "http:///x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict, r.confidence) for r in url_rules.judged(pages).collect()}
+    assert got[0][:2] == ("com/de/", "block") and got[6][:2] == ("com/fr/", "allow")
+    assert got[12] == (None, "block", 1.0) and got[13] == (None, "block", 1.0)
+    assert got[14] == got[15] == (None, "allow", None)
+
+
 def test_html(spark):
     page = lambda x: f'<html><head><title>t</title><script>"<p>"</script></head><body><nav>menu</nav><div class="ad">buy</div><article><h1>T &amp; {x}</h1><p><b>a  {x}<br>b<p>c</p><div class="comments"><p>me</p></div></article><footer>f</footer>'
     rows = [(0, "http://h/1", page("x")), (1, "http://h/2", page("y")), (2, None, None), (3, "http://h/3", "")]
