@@ -50,6 +50,7 @@ located = lambda t: rd.locate_barcode(rd.pair_reads_barcodes(t.reads, t.putative
 # reads
 query("filter_reads", lambda t: rd.filter_reads(t.reads, 90, 5.0).select("sample", "read_id"), f"SELECT sample, read_id FROM reads WHERE length(seq) >= 90 AND {MEANQ} >= 5.0", "reads")
 query("phred_probability", lambda t: rd.phred_probability(t.reads).withColumn("p", F.round("p", 9)), "SELECT sample, read_id, round(pow(10, -(ascii(substr(qual, 1, 1)) - 33) / 10.0), 9) AS p FROM reads", "reads")
+query("base_probabilities", lambda t: rd.base_probabilities(t.reads).withColumn("p", F.round("p", 9)), "SELECT sample, read_id, cast(i - 1 AS int) AS pos, round(pow(10, -(ascii(substr(qual, cast(i AS int), 1)) - 33) / 10.0), 9) AS p FROM reads, range(1, 200) t(i) WHERE i <= length(qual)", "reads")
 query("reverse_complement", lambda t: t.reads.select("read_id", reverse_complement(F.col("seq")).alias("rc")), f"SELECT read_id, {REV} AS rc FROM reads", "reads")
 query("pair_reads_barcodes", lambda t: rd.pair_reads_barcodes(t.reads, t.putative), "SELECT sample, read_id, seq, qual, putative_bc FROM reads JOIN putative USING (sample, read_id)", "reads putative")
 query("locate_barcode", lambda t: located(t).select("sample", "read_id", "idx", "seq", "qual"), LOCATED + " SELECT sample, read_id, cast(idx AS int) AS idx, seq, qual FROM located", "reads putative")
@@ -127,6 +128,8 @@ query("n_content", lambda t: qc.n_content(t.reads), AT("seq") + " SELECT sample,
 query("gc_content", lambda t: qc.gc_content(t.reads), "SELECT sample, cast(100 * length(regexp_replace(seq, '[^GCgc]', '', 'g')) // length(seq) AS bigint) AS gc, count(*) AS n FROM reads GROUP BY 1, 2", "reads")
 query("duplication_levels", lambda t: qc.duplication_levels(t.fx.select("sample", F.col("umi").alias("seq"))), "SELECT sample, level, count(*) AS distinct_seqs FROM (SELECT sample, umi, count(*) AS level FROM fx GROUP BY 1, 2) GROUP BY 1, 2")
 query("overrepresented", lambda t: qc.overrepresented(t.fx.select("sample", F.col("umi").alias("seq"))), "SELECT sample, seq, n, round(100 * n / a, 6) AS pct FROM (SELECT sample, umi AS seq, count(*) AS n, sum(count(*)) OVER (PARTITION BY sample) AS a FROM fx GROUP BY 1, 2) WHERE n >= 0.001 * a")
+query("read_duplication_levels", lambda t: qc.duplication_levels(t.reads), "SELECT sample, level, count(*) AS distinct_seqs FROM (SELECT sample, seq, count(*) AS level FROM reads GROUP BY 1, 2) GROUP BY 1, 2", "reads")
+query("read_overrepresented", lambda t: qc.overrepresented(t.reads), "SELECT sample, seq, n, round(100 * n / a, 6) AS pct FROM (SELECT sample, seq, count(*) AS n, sum(count(*)) OVER (PARTITION BY sample) AS a FROM reads GROUP BY 1, 2) WHERE n >= 0.001 * a", "reads")
 query("adapter_content", lambda t: qc.adapter_content(t.reads, {"poly_t": "TTTTTTTTTT", "tail": ADAPTER}), f", hits AS (SELECT sample, 'poly_t' AS adapter, strpos(seq, 'TTTTTTTTTT') AS pos FROM reads UNION ALL SELECT sample, 'tail', strpos(seq, '{ADAPTER}') FROM reads), h AS (SELECT sample, adapter, pos, count(*) AS n FROM hits GROUP BY 1, 2, 3) SELECT sample, adapter, cast(pos AS int) AS pos, pct FROM (SELECT *, round(100 * sum(CASE WHEN pos > 0 THEN n ELSE 0 END) OVER (PARTITION BY sample, adapter ORDER BY pos) / sum(n) OVER (PARTITION BY sample, adapter), 6) AS pct FROM h) WHERE pos > 0", "reads")
 CELLQC = COUNT + ", cellqc AS (SELECT w.sample, w.bc AS cell, coalesce(sum(n), 0) AS n_count, count(n) AS n_feature FROM whitelist w LEFT JOIN counts c ON w.sample = c.sample AND w.bc = c.cell GROUP BY 1, 2)"
 cellqc = lambda t: qc.cell_qc(counts(t), t.whitelist)

@@ -33,6 +33,16 @@ def test_barcode_in_neither_orientation_and_short_read(spark):
     assert (row.read_id, row.umi, row.insert_seq) == ("b", "ACG", "")
 
 
+def test_every_base_has_a_probability(spark):
+    rows = spark.createDataFrame([("S", "a", "!+5"), ("S", "b", ""), ("S", "c", None)], "sample string, read_id string, qual string")
+    got = {(r.read_id, r.pos): round(r.p, 9) for r in reads.base_probabilities(rows).collect()}
+    assert got == {("a", 0): 1.0, ("a", 1): 0.1, ("a", 2): 0.01}
+
+
+def test_duplicates_of_whole_reads_are_registered():
+    assert {"base_probabilities", "read_duplication_levels", "read_overrepresented"} <= registry.SQL.keys()
+
+
 def test_directional_clusters():
     assert dedup.directional({"AAAA": 5, "AAAT": 2, "TTTT": 1}) == {"AAAA": "AAAA", "AAAT": "AAAA", "TTTT": "TTTT"}
     assert dedup.directional({"AAAA": 2, "AAAT": 2})["AAAT"] == "AAAT"
