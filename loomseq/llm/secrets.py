@@ -31,23 +31,25 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 #: Runs that may be credentials: long, with digits and letters in them.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 LEAST_DIGITS, LEAST_LETTERS = 3, 3
-TRAIN_PER_KIND, LONGEST, ALPHA, QUANTILE = 400, 128, 0.05, 0.02
+TRAIN_PER_KIND, ALPHA, QUANTILE = 400, 0.05, 0.02
 _CLASS = str.maketrans({**dict.fromkeys("0123456789", "d"), **dict.fromkeys("abcdef", "a"), **dict.fromkeys("ghijklmnopqrstuvwxyz", "l"), **dict.fromkeys("ABCDEF", "A"), **dict.fromkeys("GHIJKLMNOPQRSTUVWXYZ", "U")})
 END = ""
 FLOOR = -12.0  # log2 of the probability given to a symbol that a state has never seen
 
 
 def find(text: str) -> list[tuple[str, int, int, str]]:
-    """Base spans as (kind, start, end, credential), then candidates of kind ``candidate`` clear of them."""
+    """Base spans as (kind, start, end, credential), then candidates of kind ``candidate``: runs, or what base spans leave of them."""
     out = [("assign", m.start(), m.end(), m[1]) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
     out += [("access", m.start(), m.end(), m[0]) for m in ACCESS.finditer(text)]
     out += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
-    taken = [(s, e) for _, s, e, _ in out]
+    taken = sorted((s, e) for _, s, e, _ in out)
     for m in CANDIDATE.finditer(text):
-        run = m[0]
-        digits = sum(map(str.isdigit, run))
-        if digits >= LEAST_DIGITS and sum(map(str.isalpha, run)) >= LEAST_LETTERS and all(m.end() <= s or e <= m.start() for s, e in taken):
-            out.append(("candidate", m.start(), m.end(), run))
+        at = m.start()
+        for s, e in [*((s, e) for s, e in taken if s < m.end() and e > m.start()), (m.end(), m.end())]:
+            run = text[at:s]
+            if CANDIDATE.fullmatch(run) and sum(map(str.isdigit, run)) >= LEAST_DIGITS and sum(map(str.isalpha, run)) >= LEAST_LETTERS:
+                out.append(("candidate", at, s, run))
+            at = max(at, e)
     return out
 
 
@@ -58,7 +60,7 @@ class Automaton:
         self.next: list[dict[str, int]] = [{}]
         self.count: list[Counter] = [Counter()]
         for s in strings:
-            self._add(s.translate(_CLASS)[:LONGEST])
+            self._add(s.translate(_CLASS))
         self._bound = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge_states()
         scores = sorted(map(self.score, strings))
@@ -132,7 +134,7 @@ class Automaton:
     def score(self, string: str) -> float:
         """Mean log2-likelihood of a symbol, the end included."""
         at, total, n = 0, 0.0, 0
-        for c in [*string.translate(_CLASS)[:LONGEST], END]:
+        for c in [*string.translate(_CLASS), END]:
             seen, n = self.count[at].total() if at >= 0 else 0, n + 1
             hits = self.count[at][c] if at >= 0 else 0
             total += math.log2(hits / seen) if hits else FLOOR

@@ -49,6 +49,14 @@ def test_automaton_prefers_its_format():
     assert all(model.score(x) < model.least for x in ("thisisaverylongword1word2word3x", "2024-01-02-report-final-v3"))
 
 
+def test_secrets_long_runs():
+    """The whole of a long run is scored, and what a base span leaves of a run is a candidate too."""
+    model = secrets.Automaton([f"{i:040x}" for i in range(10**9, 10**9 + 150)])
+    assert model.score("0" * 128 + "Z" * 400) < model.score("0" * 128)
+    run = "XY12" * 6 + "_" + "0a" * 20 + "_" + "ZW98" * 6
+    assert [(k, v) for k, _, _, v in secrets.find(f"see {run} here")] == [("hex", "0a" * 20), ("candidate", "XY12" * 6 + "_"), ("candidate", "_" + "ZW98" * 6)]
+
+
 def test_byte_bpe(docs, empty):
     import tiktoken
 
