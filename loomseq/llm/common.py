@@ -97,3 +97,15 @@ MOST_IDS = 300_000
 def matched(df: DataFrame, ids: DataFrame, on: str, how: str, most: int = MOST_IDS) -> DataFrame:
     """``left_semi`` or ``left_anti`` join with a written table of ids, broadcast only when it is counted to be small."""
     return df.join(F.broadcast(ids) if ids.count() <= most else ids, on, how)
+
+
+def with_hash(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, h)``; key and hash of the text together tell rows of different texts apart."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+
+
+def matched_rows(docs: DataFrame, rows: DataFrame, how: str, most: int = MOST_IDS) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join with a written table ``(doc_id, h)`` of rows; null keys match null keys."""
+    rows = rows.toDF("row_id", "row_h")
+    rows = F.broadcast(rows) if rows.count() <= most else rows
+    return docs.join(rows, docs["doc_id"].eqNullSafe(F.col("row_id")) & (F.xxhash64(docs["text"]) == F.col("row_h")), how)

@@ -10,7 +10,7 @@ A digest that occurs twice is a hit, and the full bytes of all rows that hit are
 a digest are equal exactly when all are. Digests whose texts differ are regrouped by the full bytes.
 
 Texts are equal when identical after lower-casing A-Z only; null counts as empty. The row with the largest key stays. Rows that repeat a
-key count one by one, and all of them are kept if their key is. A null key is smaller than any other.
+key count one by one: each is judged by its own text, and equal rows stay or go together. A null key is smaller than any other.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, matched, new_path, per_slice, utf8_of, written
+from .common import documents, matched_rows, new_path, per_slice, utf8_of, written
 
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -34,22 +34,22 @@ STATE = {
 
 
 def digests(docs: DataFrame, keep_bytes: bool = False, size: int = 32) -> DataFrame:
-    """``(doc_id, digest binary, length, file)`` of each row, with ``bytes``, the normalised text, if asked for.
+    """``(doc_id, h, digest binary, length, file)`` of each row, ``h`` a hash of the text as it stands, with ``bytes``, the normalised text, if asked for.
 
     ``size``: bytes of the digest that count as key; fewer than 32 only in tests of colliding digests.
     """
     key = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "digest", "length", "file", *["bytes"] * keep_bytes]
+    names = ["doc_id", "h", "digest", "length", "file", *["bytes"] * keep_bytes]
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [x.lower() for x in utf8_of(batch)]  # of bytes: A-Z only
-            columns = [batch.column("doc_id"), pa.array([hashlib.sha256(x).digest()[:size] for x in texts], pa.binary()), pa.array(list(map(len, texts)), pa.int64()), batch.column("file"), *[pa.array(texts, pa.binary())] * keep_bytes]
+            columns = [batch.column("doc_id"), batch.column("h"), pa.array([hashlib.sha256(x).digest()[:size] for x in texts], pa.binary()), pa.array(list(map(len, texts)), pa.int64()), batch.column("file"), *[pa.array(texts, pa.binary())] * keep_bytes]
             return pa.RecordBatch.from_arrays(columns, names)
 
         return work
 
-    return per_slice(docs.select("doc_id", "text", "file"), make, f"doc_id {key}, digest binary, length bigint, file string" + ", bytes binary" * keep_bytes)
+    return per_slice(docs.select("doc_id", "text", "file", F.xxhash64("text").alias("h")), make, f"doc_id {key}, h bigint, digest binary, length bigint, file string" + ", bytes binary" * keep_bytes)
 
 
 def located(docs: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def stream_groups(spark: SparkSession, source: str, schema, checkpoint: str, sin
 
 
 def groups(docs: DataFrame, size: int = 32) -> DataFrame:
-    """``(doc_id, keep_id, group_size, kept, digest)`` for each row."""
+    """``(doc_id, keep_id, group_size, kept, digest, h)`` for each row."""
     spark = docs.sparkSession
     docs = located(docs)
     rows = digests(docs, size=size)
@@ -81,7 +81,7 @@ def groups(docs: DataFrame, size: int = 32) -> DataFrame:
     rows.write.parquet(f"{base}/rows")
     rows = spark.read.schema(rows.schema).parquet(f"{base}/rows")
     if rows.isEmpty():
-        return rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(0).cast("long").alias("group_size"), F.lit(False).alias("kept"), "digest")
+        return rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(0).cast("long").alias("group_size"), F.lit(False).alias("kept"), "digest", "h")
     stream_groups(spark, f"{base}/rows", rows.schema, f"{base}/state", f"{base}/groups")
     found = spark.read.schema(f"digest binary, group_size bigint, kept_row struct<doc_id:{docs.schema['doc_id'].dataType.simpleString()},length:bigint,file:string>, batch bigint").parquet(f"{base}/groups/*")
     # a digest has a row for each batch that changed it; the last one holds
@@ -89,15 +89,15 @@ def groups(docs: DataFrame, size: int = 32) -> DataFrame:
     found = written(found, "groups")
     out = rows.join(found.drop("length"), "digest")
 
-    hits = written(out.where("group_size > 1").select("doc_id").distinct(), "hits")
-    bytes_of = digests(matched(docs, hits, "doc_id", "left_semi"), keep_bytes=True, size=size)
+    hits = written(out.where("group_size > 1").select("doc_id", "h").distinct(), "hits")
+    bytes_of = digests(matched_rows(docs, hits, "left_semi"), keep_bytes=True, size=size)
     differ = written(bytes_of.groupBy("digest").agg(F.min("bytes").alias("a"), F.max("bytes").alias("b")).where("a <> b").select("digest"), "differ")
     if not differ.isEmpty():
         split = bytes_of.join(differ, "digest", "left_semi")
         parts = split.groupBy("digest", "bytes").agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
-        again = split.join(parts, ["digest", "bytes"]).select("digest", "doc_id", "length", "file", "group_size", "keep_id")
+        again = split.join(parts, ["digest", "bytes"]).select("digest", "doc_id", "h", "length", "file", "group_size", "keep_id")
         out = out.join(differ, "digest", "left_anti").unionByName(again)
-    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
+    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest", "h")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -107,5 +107,5 @@ def grouped(docs: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    dropped = written(groups(docs).where("not kept").select("doc_id").distinct(), "dropped")
-    return matched(docs, dropped, "doc_id", "left_anti")
+    gone = written(groups(docs).where("not kept").select("doc_id", "h").distinct(), "exact_dropped")
+    return matched_rows(docs, gone, "left_anti")

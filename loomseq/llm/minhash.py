@@ -5,26 +5,25 @@ key from two minhashes; a table key combines one key of either collection, so 4
 minhashes each. At a similarity of 0.8 a pair shares no table with a probability of about 2 * (1 - 0.64) ** M, less than
 1 in 10,000 for M = 10, and far less above.
 
-Texts with equal sets are one representative (the smallest key) from the start. Then, with no bucket ever gathered in
-one task and no pairs emitted just for sharing a bucket:
-
-1. In turns, every bucket has a pivot: at first its smallest key, later a row of its commonest component drawn by hash. A
-   representative outside that component is compared with the pivot that it meets in most of its buckets; confirmed links
-   give components, and the next turn looks only at buckets that hold several.
-2. In each bucket that holds several components after ``ROUNDS`` turns, the rows outside the commonest are joined with all
-   rows of other components. The join's condition compares set sizes and both sketches before a pair comes out, so
-   every pair of a bucket that can still change a component is looked at.
-3. Pairs of both steps are confirmed on the full sets of both texts; components are found again over all links.
-
-Two sketches stand before a confirmation. The odd sketch has a bit for each of ``ODD`` bins of hashes, set where the
-set has an odd number of them. Bits in which two sketches differ are never more than the symmetric difference, which a
-link bounds by (n1 + n2) * (100 - percent) / (100 + percent), so this test loses no link, and up to some hundred
-shingles it lets little else through. The other, for long texts, is 128 minhashes of 4 bits: it asks 84 equal places, where
-a pair of similarity 0.8 has 104 on average with a deviation of 4.4, and loses a few such pairs in a million.
+Texts with equal sets are one node from the start. Then, with no bucket ever gathered in one task and no pairs emitted just
+for sharing a bucket:
+
+1. In turns, every bucket that holds several components draws a pivot from its commonest one. A node outside it is compared
+   with at most ``PIVOTS`` of the pivots that it meets, those that it meets in most buckets first. Confirmed links contract
+   components, and the next turn looks only at buckets that still hold several. A turn's links are linear in its nodes.
+   Turns end when one confirms nothing, after ``TURNS`` at the latest.
+2. In the buckets that are still open, the nodes outside the commonest component are joined with all nodes of other
+   components, each pair in the first table that it shares. The join's condition compares sizes and odd sketches before a
+   pair comes out. So every pair that can still change a component is looked at, and turns change the time, not the result.
+3. Pairs of both steps are confirmed on the full sets of both texts.
+
+The odd sketch has a bit for each of ``ODD`` bins of hashes, set where the set has an odd number of them. Bits in which two
+sketches differ are never more than the symmetric difference, which a link bounds by (n1 + n2) * (100 - percent) /
+(100 + percent), so the test loses no link; up to some thousand shingles it lets little else through.
 
 Words are what stands between white space, A-Z lower-cased. A text of fewer than ``k`` words has its
-whole sequence as its only shingle; one without words, or null, has an empty set and no links. Rows that repeat a key
-count once: a key's smallest row by hash of its set stands for it. A null key has its own component.
+whole sequence as its only shingle; one without words, or null, has an empty set and no links. Rows count one by one: those
+that repeat a key with other texts are nodes of their own. A row with a null key has no links.
 """
 
 from __future__ import annotations
@@ -36,14 +35,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, dropped, matched, per_slice, utf8_of, written
+from .common import dropped, matched, matched_rows, per_slice, utf8_of, with_hash, written
 
-M, ROUNDS = 10, 2
+M, TURNS, PIVOTS = 10, 3, 4
 #: Bytes of full sets that are sent to every executor; more of them are joined by a shuffle.
 MOST_SET_BYTES = 24_000_000
-SKETCH, SKETCH_LEAST = 128, 84
-ODD = 512
-S, O = [f"s{i}" for i in range(SKETCH // 16)], [f"o{i}" for i in range(ODD // 64)]  # columns of the sketches
+ODD = 2048
+O = [f"o{i}" for i in range(ODD // 64)]  # columns of the odd sketch
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,8 +53,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 @functools.cache
 def _parameters() -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.default_rng(20240607)
-    n = 4 * M + SKETCH
-    return draw.integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1), draw.integers(0, 2**63, n, dtype=np.uint64)
+    return draw.integers(1, 2**63, 4 * M, dtype=np.uint64) * np.uint64(2) + np.uint64(1), draw.integers(0, 2**63, 4 * M, dtype=np.uint64)
 
 
 def shingles(text: bytes, k: int) -> np.ndarray:
@@ -75,98 +72,93 @@ def shingles(text: bytes, k: int) -> np.ndarray:
     return np.unique(out)
 
 
-def signature(found: np.ndarray) -> np.ndarray:
-    """4 * M minhashes for keys, and SKETCH more."""
+def fingerprint(found: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set."""
+    from xxhash import xxh3_128_intdigest
+
+    f = xxh3_128_intdigest(found.tobytes())
+    high, low = np.array([f >> 64, f & (1 << 64) - 1], np.uint64).astype(np.int64).tolist()
+    return high, low
+
+
+def table_keys(found: np.ndarray) -> np.ndarray:
+    """The two collections of ``M`` keys, one behind the other, from 4 * M minhashes."""
     a, b = _parameters()
-    low = np.full(4 * M + SKETCH, np.iinfo(np.uint64).max, np.uint64)
+    low = np.full(4 * M, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(found), 512):  # a bounded block, whatever the text's length
         low = np.minimum(low, (found[at : at + 512, None] * a + b).min(0))
-    return mixed(low)
+    low = mixed(low)
+    return mixed(low[0::2] * _MUL + low[1::2] + np.arange(2 * M, dtype=np.uint64)).astype(np.int64)
 
 
-def odd_sketch(found: np.ndarray) -> list[int]:
+def odd_sketch(found: np.ndarray) -> np.ndarray:
     """Parity of the number of hashes in each of ODD bins, as 64-bit integers."""
-    parity = np.bincount((found >> np.uint64(20)) % np.uint64(ODD), minlength=ODD) & 1
-    return np.packbits(parity.astype(np.uint8)).view(np.int64).tolist()
+    parity = np.bincount(((found >> np.uint64(20)) % np.uint64(ODD)).astype(np.int64), minlength=ODD) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """``(doc_id, n, f1, f2, s0 ..., o0 ..., a, b)``: size, 128-bit fingerprint of the set, sketches, the two key collections."""
+    """``(doc_id, h, n, f1, f2, o0 ..., a, b)``: hash of the text, size, fingerprint and odd sketch of the set, the two key collections."""
     key = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n", "f1", "f2", *S, *O, "a", "b"]
+    names = ["doc_id", "h", "n", "f1", "f2", *O, "a", "b"]
 
     def make():
-        from xxhash import xxh3_128_intdigest
-
-        nibble = np.uint64(4) * np.arange(16, dtype=np.uint64)
-
-        def one(text: bytes) -> tuple:
-            found = shingles(text, k)
-            if not len(found):
-                return 0, 0, 0, *[0] * len(S + O), [], []
-            f = xxh3_128_intdigest(found.tobytes())
-            sig = signature(found)
-            bits = (sig[4 * M :] >> np.uint64(60)).reshape(len(S), 16) << nibble
-            sketch = np.bitwise_or.reduce(bits, axis=1).astype(np.int64).tolist()
-            pairs = mixed(sig[0 : 4 * M : 2] * _MUL + sig[1 : 4 * M : 2] + np.arange(2 * M, dtype=np.uint64)).astype(np.int64)
-            return len(found), *np.array([f >> 64, f & (1 << 64) - 1], np.uint64).astype(np.int64).tolist(), *sketch, *odd_sketch(found), pairs[:M].tolist(), pairs[M:].tolist()
-
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = list(zip(*[one(x) for x in utf8_of(batch)], strict=True)) if batch.num_rows else [[]] * (5 + len(S + O))
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in rows[:-2]], *[pa.array(x, pa.list_(pa.int64())) for x in rows[-2:]]], names)
+            n = np.zeros(batch.num_rows, np.int64)
+            prints, sketch = np.zeros((batch.num_rows, 2), np.int64), np.zeros((batch.num_rows, len(O)), np.int64)
+            keys = np.zeros((batch.num_rows, 2 * M), np.int64)
+            for i, text in enumerate(utf8_of(batch)):
+                found = shingles(text, k)
+                n[i] = len(found)
+                if len(found):
+                    prints[i], sketch[i], keys[i] = fingerprint(found), odd_sketch(found), table_keys(found)
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * M)
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x.ravel())) for x in (keys[:, :M], keys[:, M:])]
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(n), *map(pa.array, prints.T), *map(pa.array, sketch.T), *lists], names)
 
         return work
 
-    return per_slice(documents(docs, "doc_id", "text"), make, f"doc_id {key}, n bigint, f1 bigint, f2 bigint, {' bigint, '.join(S + O)} bigint, a array<bigint>, b array<bigint>")
+    return per_slice(with_hash(docs), make, f"doc_id {key}, h bigint, n bigint, f1 bigint, f2 bigint, {' bigint, '.join(O)} bigint, a array<bigint>, b array<bigint>")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """``(id, h array<bigint>)``: full sets of the documents in ``ids``."""
-    key = docs.schema["doc_id"].dataType.simpleString()
+def sets_of(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """``(id, set array<bigint>)``: full sets of the ``nodes (id, doc_id, n, f1, f2)``, found by the fingerprint of the set."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([shingles(x, k).astype(np.int64) for x in utf8_of(batch)], pa.list_(pa.int64()))], ["id", "h"])
+            found = [shingles(x, k) for x in utf8_of(batch)]
+            f1, f2 = zip(*map(fingerprint, found), strict=True) if found else ((), ())
+            return pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in (f1, f2, list(map(len, found)))], pa.array([x.astype(np.int64) for x in found], pa.list_(pa.int64()))], ["f1", "f2", "n", "set"])
 
         return work
 
-    rows = matched(documents(docs, "doc_id", "text"), ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-    return per_slice(rows, make, f"id {key}, h array<bigint>")
-
-
-def agreement(a: str, b: str) -> Column:
-    """How many places of two sketches are equal; ``a`` and ``b`` are what their columns' names begin with."""
-    same = F.lit(SKETCH)
-    for c in S:
-        d = F.col(a + c).bitwiseXOR(F.col(b + c))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
-        same = same - F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
-    return same
+    rows = matched(docs.select("doc_id", "text"), nodes.select("doc_id").distinct(), "doc_id", "left_semi")
+    # equal rows, and the copies that share a key with a node, are few: one row of a node is enough
+    sets = per_slice(rows, make, "f1 bigint, f2 bigint, n bigint, set array<bigint>").dropDuplicates(["f1", "f2", "n"])
+    return sets.join(nodes.select("id", "f1", "f2", "n"), ["f1", "f2", "n"]).select("id", "set")
 
 
 def may_link(a: str, b: str, percent: int) -> Column:
-    """False only where sizes or sketches rule a link out; ``a`` and ``b`` are what their columns' names begin with."""
+    """False only where sizes or odd sketches rule a link out; ``a`` and ``b`` are what their columns' names begin with."""
     n1, n2 = F.col(f"{a}n"), F.col(f"{b}n")
     differ = F.lit(0)
     for c in O:
         differ = differ + F.bit_count(F.col(a + c).bitwiseXOR(F.col(b + c)))
-    near = (100 + percent) * differ <= (100 - percent) * (n1 + n2)
-    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & near & (agreement(a, b) >= SKETCH_LEAST)
+    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * differ <= (100 - percent) * (n1 + n2))
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+def confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Those of the distinct ``pairs (x, y)`` whose full sets are similar enough."""
     ids = written(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "pair_ids")
-    sets = whole = written(sets_of(docs, ids, k).dropDuplicates(["id"]), "pair_sets")
-    size = sets.agg(F.sum(F.size("h"))).first()[0] or 0
+    sets = matched(sets, ids, "id", "left_semi")
+    size = sets.agg(F.sum(F.size("set"))).first()[0] or 0
     if 8 * size <= MOST_SET_BYTES:
         sets = F.broadcast(sets)
-    left = pairs.join(sets.select(F.col("id").alias("x"), F.col("h").alias("hx")), "x")
-    both = left.join(sets.select(F.col("id").alias("y"), F.col("h").alias("hy")), "y")
+    left = pairs.join(sets.select(F.col("id").alias("x"), F.col("set").alias("hx")), "x")
+    both = left.join(sets.select(F.col("id").alias("y"), F.col("set").alias("hy")), "y")
     shared = F.size(F.array_intersect("hx", "hy"))
     links = written(both.where(100 * shared >= percent * (F.size("hx") + F.size("hy") - shared)).select("x", "y"), "links")
-    dropped(ids, whole)
+    dropped(ids)
     return links
 
 
@@ -177,7 +169,7 @@ def components(links: DataFrame) -> DataFrame:
     rounds follows the logarithm of a component's diameter.
     """
     both = written(links.select(F.col("x").alias("id"), F.col("y").alias("to")).unionByName(links.select(F.col("y").alias("id"), F.col("x").alias("to"))), "edges")
-    labels = written(both.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("comp")), "labels")
+    labels = used = written(both.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("comp")), "labels")
     while True:
         near = both.join(labels.select(F.col("id").alias("to"), F.col("comp").alias("theirs")), "to").groupBy("id").agg(F.min("theirs").alias("theirs"))
         # the label's own neighbourhood takes the news along: hooking trees, not only leaves
@@ -186,82 +178,119 @@ def components(links: DataFrame) -> DataFrame:
         step = written(hooked.join(roots.withColumnRenamed("id", "comp"), "comp").select("id", "comp", F.least("new", "root").alias("new")), "step")
         jump = step.select(F.col("id").alias("new"), F.col("new").alias("further"))
         after = written(step.join(jump, "new", "left").select("id", "comp", F.least("new", F.coalesce("further", "new")).alias("new")), "jumped")
-        changed = not after.where("new <> comp").isEmpty()
-        labels = after.select("id", F.col("new").alias("comp"))
-        if not changed:
+        dropped(used, step)
+        labels, used = after.select("id", F.col("new").alias("comp")), after
+        if after.where("new <> comp").isEmpty():
+            dropped(both)
             return labels
 
 
-def still_open(members: DataFrame, found: DataFrame | None) -> DataFrame:
+def contracted(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``(id, comp)`` after more links: components are found among the components that the links connect."""
+    if labels is None:
+        return components(links)
+    named = lambda df, c: df.join(labels.withColumnRenamed("id", c).withColumnRenamed("comp", f"{c}_comp"), c, "left").select(*[x for x in df.columns if x != c], F.coalesce(f"{c}_comp", c).alias(c))
+    edges = written(named(named(links, "x"), "y").where("x <> y").distinct(), "component_links")
+    if edges.isEmpty():
+        return labels
+    merged = components(edges)
+    all_of = labels.unionByName(merged.select("id", F.col("id").alias("comp")).join(labels, "id", "left_anti"))  # a label that was a lone node
+    return written(all_of.join(merged.select(F.col("id").alias("comp"), F.col("comp").alias("new")), "comp", "left").select("id", F.coalesce("new", "comp").alias("comp")), "contracted")
+
+
+def still_open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Rows of the buckets that hold several components, with their own (``comp``) and the bucket's commonest (``major``)."""
-    labelled = members.withColumn("comp", F.col("id")) if found is None else members.join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    members = members.select("id", "pos", "key")
+    labelled = members.withColumn("comp", F.col("id")) if labels is None else members.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     parts = labelled.groupBy("key", "comp").agg(F.count("*").alias("rows"))
     several = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("rows", "comp")).alias("m")).where("parts > 1").select("key", F.col("m.comp").alias("major"))
-    return written(labelled.join(several, "key"), "open_rows")
+    return written(labelled.join(several, "key").select("id", "pos", "key", "comp", "major"), "open_rows")
 
 
 def sketched(rows: DataFrame, sketches: DataFrame, on: str, name: str) -> DataFrame:
-    """``rows`` with a struct ``name`` of the size and sketches of the representative in column ``on``."""
-    return rows.join(sketches.select(F.col("id").alias(on), F.struct("n", *S, *O).alias(name)), on)
+    """``rows`` with a struct ``name`` of the columns of ``sketches`` for the node in column ``on``."""
+    return rows.join(sketches.select(F.col("id").alias(on), F.struct(*[c for c in sketches.columns if c != "id"]).alias(name)), on)
 
 
 def pivot_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """``(x, y)``: each row outside its bucket's commonest component with the pivot that it meets in most of its buckets.
+    """``(x, y)``: each node outside a bucket's commonest component with pivots of those, ``PIVOTS`` at most.
 
-    The pivot of a bucket comes from its commonest component: in the first turn the smallest id, so that a large group
-    gathers round few rows, then one drawn by hash, so that a row meets as many pivots as it has buckets.
+    In the first turn the pivot is the bucket's smallest node, so that a large group gathers round few nodes, then one drawn
+    by hash, so that a node meets as many pivots as it has buckets.
     """
     drawn = F.xxhash64("key", "id", F.lit(turn)) if turn else F.lit(0).cast("long")
     core = rows if turn == 0 else rows.where("comp = major")
     pivots = core.groupBy("key").agg(F.min(F.struct(drawn.alias("h"), "id", "comp")).alias("p"))
     met = rows.join(pivots, "key").where("comp <> p.comp").groupBy("id", F.col("p.id").alias("pivot")).agg(F.count("*").alias("times"))
-    best = met.groupBy("id").agg(F.max(F.struct("times", "pivot")).alias("best"))
-    return best.select(F.greatest("id", "best.pivot").alias("x"), F.least("id", "best.pivot").alias("y")).distinct()
+    # a node has at most M * M buckets, so its list is short
+    best = met.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("times", "pivot")), False), 1, PIVOTS).alias("best"))
+    return best.select("id", F.explode("best.pivot").alias("pivot")).select(F.greatest("id", "pivot").alias("x"), F.least("id", "pivot").alias("y")).distinct()
 
 
-def groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` for each row."""
-    sig = written(signatures(docs, k), "signatures")
-    same = written(sig.where("n > 0 and doc_id is not null").groupBy("f1", "f2", "n").agg(F.min(F.struct("doc_id", *S, *O, "a", "b")).alias("r")).select("f1", "f2", "n", F.col("r.doc_id").alias("id"), *[f"r.{c}" for c in (*S, *O)], "r.a", "r.b"), "representatives")
-    keys = same.select("id", F.explode(F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))).alias("key"))
+def other_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``(x, y)``: what may link nodes of different components, each pair in the first table that it shares."""
+    full = sketched(rows, nodes.select("id", "n", *O, "a", "b"), "id", "s")
+    p, q = full.where("comp <> major").alias("p"), full.alias("q")
+    first = lambda c: F.array_position(F.zip_with(f"p.s.{c}", f"q.s.{c}", lambda x, y: x == y), True) - 1
+    once = (first("a") == F.floor(F.col("p.pos") / M)) & (first("b") == F.col("p.pos") % M)
+    condition = (F.col("p.key") == F.col("q.key")) & (F.col("p.comp") != F.col("q.comp")) & ((F.col("q.comp") == F.col("q.major")) | (F.col("p.id") < F.col("q.id"))) & may_link("p.s.", "q.s.", percent) & once
+    return p.join(q, condition).select(F.greatest("p.id", "q.id").alias("x"), F.least("p.id", "q.id").alias("y"))
+
+
+def linked(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """``(id, comp)`` of the nodes that have links; None where no two nodes share a bucket."""
+    keys = nodes.select("id", F.posexplode(F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))).alias("pos", "key"))
     shared = written(keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key"), "shared_keys")
-    members = written(keys.join(shared, "key"), "members")
-    sketches = same.select("id", "n", *S, *O)
-
-    found = links = tried = None
-    for turn in range(ROUNDS):
-        pairs = pivot_pairs(rows := still_open(members, found), turn)
-        if tried is not None:
-            pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = sketched(sketched(pairs, sketches, "x", "p"), sketches, "y", "q").where(may_link("p.", "q.", percent))
+    members = written(keys.join(shared, "key").select("id", F.col("pos").cast("tinyint").alias("pos"), "key"), "members")
+    several = written(members.select("id").distinct(), "several")
+    sets = written(sets_of(docs, nodes.join(several, "id", "left_semi"), k), "sets")
+    dropped(shared, several)
+
+    labels, sketches, rows = None, nodes.select("id", "n", *O), members
+    for turn in range(TURNS):
+        before, rows = rows, still_open(rows, labels)  # buckets only close
+        pairs = sketched(sketched(pivot_pairs(rows, turn), sketches, "x", "p"), sketches, "y", "q").where(may_link("p.", "q.", percent))
         pairs = written(pairs.select("x", "y"), "pivot_pairs")
-        dropped(rows)
-        if pairs.isEmpty():
+        links = confirmed(sets, pairs, percent)
+        dropped(before, pairs)
+        if links.isEmpty():
             break
-        new = confirmed(docs, pairs, k, percent)
-        links, tried = (new, pairs) if links is None else (links.unionByName(new), tried.unionByName(pairs))
-        found = components(links)
-
-    rows = still_open(members, found)
-    full = sketched(rows, sketches, "id", "s")
-    a, b = full.where("comp <> major").alias("a"), full.alias("b")
-    condition = (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.major")) | (F.col("a.id") < F.col("b.id"))) & may_link("a.s.", "b.s.", percent)
-    rest = written(a.join(b, condition).select(F.greatest("a.id", "b.id").alias("x"), F.least("a.id", "b.id").alias("y")).distinct(), "other_pairs")
-    dropped(rows, members, shared)
-    if tried is not None:
-        rest = written(rest.join(tried, ["x", "y"], "left_anti"), "untried_pairs")
-    if not rest.isEmpty():
-        new = confirmed(docs, rest, k, percent)
-        found = components(new if links is None else links.unionByName(new))
-
-    found = same.select("id", F.col("id").alias("comp")).limit(0) if found is None else found
-    comps = written(same.select("f1", "f2", "n", "id").join(found, "id", "left").select("f1", "f2", "n", F.coalesce("comp", "id").alias("component_id")), "components")
-    joined = sig.select("doc_id", "n", "f1", "f2").join(comps, ["f1", "f2", "n"], "left")
-    component = F.when((F.col("n") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+        labels = contracted(labels, links)
+    before, rows = rows, still_open(rows, labels)
+    rest = written(other_pairs(rows, nodes, percent), "other_pairs")
+    links = confirmed(sets, rest, percent)
+    dropped(before, rows, rest, sets)
+    return labels if links.isEmpty() else contracted(labels, links)
+
+
+def classed(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``(doc_id, h, n, component_id, chosen)`` for each row; the rows of one node of each component are chosen."""
+    sig = written(signatures(docs, k), "signatures")
+    nodes = sig.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2", *O, "a", "b").agg(F.min("doc_id").alias("doc_id"))
+    nodes = written(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    short = nodes.select("id", "doc_id", "n", "f1", "f2")
+    labels = linked(docs, nodes, k, percent)
+    if labels is not None:
+        of = written(short.join(labels, "id"), "linked")
+        best = of.groupBy("comp").agg(F.min(F.struct("doc_id", "id")).alias("best"))
+        of = of.join(best, "comp").select("id", F.col("best.doc_id").alias("component_id"), (F.col("id") == F.col("best.id")).alias("chosen"))
+        short = written(short.join(of, "id", "left").withColumns({"component_id": F.coalesce("component_id", "doc_id"), "chosen": F.coalesce("chosen", F.lit(True))}), "classes")
+    else:
+        short = short.withColumns({"component_id": F.col("doc_id"), "chosen": F.lit(True)})
+    rows = sig.select("doc_id", "h", "n", "f1", "f2").join(short.drop("id", "doc_id"), ["n", "f1", "f2"], "left")
+    alone = (F.col("n") == 0) | F.col("doc_id").isNull()
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
+    return rows.select("doc_id", "h", "n", component.alias("component_id"), (alone | F.col("chosen")).alias("chosen"))
+
+
+def groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` for each row."""
+    rows = classed(docs, k, percent)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each component, and all that are in none."""
-    gone = written(groups(docs, k, percent).where("not kept").select("doc_id").distinct(), "near_dropped")
-    return matched(docs, gone, "doc_id", "left_anti")
+    """The rows of ``docs`` that stay: one document of each component (its repeated rows too), and all that are in none."""
+    stays = F.col("chosen") & F.col("doc_id").eqNullSafe(F.col("component_id"))
+    gone = written(classed(docs, k, percent).where(~stays).select("doc_id", "h").distinct(), "near_dropped")
+    return matched_rows(docs, gone, "left_anti")

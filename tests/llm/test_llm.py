@@ -219,3 +219,33 @@ def test_word_ids_equal_the_library():
     assert list(WordBpe(path).encode_all([*texts, None])) == [*expected, b""]
     one = WordBpe(path)
     assert [one.encode(x) for x in texts] == expected
+
+
+def test_duplicates_go_by_row(spark):
+    """A row that shares its key with a dropped one, or has none, is judged by its own text."""
+    rows = [(5, "aaa"), (6, "AAA"), (5, "other text here"), (None, "aaa"), (None, "a null key of its own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.text for r in exact_dedup.deduplicate(docs).collect()) == ["AAA", "a null key of its own", "other text here"]
+    near = spark.createDataFrame([(7, BASE), (7, "an unrelated text under the same key"), (8, BASE + " more"), (9, BASE), (9, "something else entirely it is"), (None, BASE)], "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.text) for r in minhash.deduplicate(near).collect())
+    assert got == [("7", "an unrelated text under the same key"), ("7", BASE), ("9", "something else entirely it is"), ("None", BASE)]
+    found = {(r.doc_id, r.n_shingles): r.component_id for r in minhash.groups(near).collect()}
+    assert found[7, 56] == 7 and found[7, 3] == 7 and found[9, 56] == 7 and found[9, 1] == 9 and found[8, 57] == 7
+
+
+def test_minhash_against_all_pairs(spark):
+    """All documents of a table, and a large group of copies of one text with pairs about the threshold, against all pairs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    draw = np.random.default_rng(11)
+    words = [f"v{i}" for i in range(120)]
+    made = []
+    for i in range(400):
+        own = list(words)
+        for j in draw.choice(120, draw.integers(3, 16), replace=False):
+            own[j] = f"{i}x{j}"
+        made.append((1_000_000 + i, " ".join(own)))
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + made
+    both = docs.unionByName(spark.createDataFrame(made, "doc_id long, text string"))
+    want = brute.components(rows, 2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.groups(both, 2).collect()}
+    assert len({c for _, c in want.values()}) > 1 and got == want
