@@ -15,6 +15,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -103,8 +104,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, label: str =
     return model.weights()
 
 
-def scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """The rows of ``docs`` with a new last column ``score``; ``docs`` must not have one."""
+def scorer(docs: DataFrame, weights: np.ndarray):
+    """A function that each task calls once, for one that gives the scores of a batch's texts."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)  # 2 ** BITS + 1 floats, whatever the input
 
     def make():
@@ -115,14 +116,33 @@ def scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             at, x = with_bias(*features(text), bias)
             return float(1 / (1 + np.exp(-float(w[at] @ x))))
 
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return batch.append_column("score", pa.array([one(t) for t in texts_of(batch)], pa.float64()))
+        return lambda batch: pa.array([one(t) for t in texts_of(batch)], pa.float64())
 
-        return work
+    return make
+
+
+def scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+    """The rows of ``docs`` with a new last column ``score``; ``docs`` must not have one."""
+    made = scorer(docs, weights)
+
+    def make():
+        score = made()
+        return lambda batch: batch.append_column("score", score(batch))
 
     return per_slice(docs, make, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
 
 
+def accepted(docs: DataFrame, weights: np.ndarray, least: float = ACCEPT) -> DataFrame:
+    """The rows of ``docs`` whose score is ``least`` or more, as they are, whatever columns they have."""
+    made = scorer(docs, weights)
+
+    def make():
+        score = made()
+        return lambda batch: batch.filter(pc.greater_equal(score(batch), least))
+
+    return per_slice(docs, make, docs.schema)
+
+
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The query's columns."""
     rows = scores(documents(docs, "doc_id", "text"), fit(docs, labels))

@@ -2,11 +2,13 @@
 
 The strings that the fixed patterns find are the labelled credentials, by kind. For each kind a prefix tree of their
 character classes is folded into a probabilistic automaton: two states merge when, for every continuation, their
-frequencies are no further apart than Hoeffding's bound allows. Every other candidate run of a text is scored by its mean
-log-likelihood per symbol under each automaton, and is a secret (kind ``format``) when one scores it no lower than nearly
-all of that automaton's own credentials.
+frequencies are no further apart than Hoeffding's bound allows. Every other run of a text, whatever it consists of, is
+scored by its mean log-likelihood per symbol under each automaton whose shortest credential is no longer than the run. It is
+a secret (kind ``format``) when the score is typical of that automaton's own credentials: no lower than nearly all of
+theirs, and no further above their median (a run of one and the same symbol is likelier than any credential). One more
+automaton is learnt in the same way from runs that no fixed pattern finds; a run that is likelier there is no secret.
 
-The automata are fitted on at most ``TRAIN_PER_KIND`` distinct credentials of each kind, those of smallest hash over all
+The automata are fitted on at most ``TRAIN_PER_KIND`` distinct strings of each kind, those of smallest hash over all
 documents; kinds without credentials have no automaton. Scanning covers every whole text. Null or empty text: no spans.
 Repeated rows give repeated results. Positions are code points, ends exclusive. A span of the method never touches a base
 span.
@@ -14,23 +16,24 @@ span.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, per_slice, texts_of, written
+from .common import documents, dropped, per_slice, texts_of, written
 
-KINDS = ("assign", "access", "hex")
+KINDS, OTHER = ("assign", "access", "hex"), "other"
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-#: Runs that may be credentials: long, with digits and letters in them.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
-LEAST_DIGITS, LEAST_LETTERS = 3, 3
+#: Runs that are scored, and the length from which the fixed patterns take a value as a credential.
+RUN, SHORTEST = re.compile(r"[A-Za-z0-9+/_-]+"), 8
 TRAIN_PER_KIND, ALPHA, QUANTILE = 400, 0.05, 0.02
 _CLASS = str.maketrans({**dict.fromkeys("0123456789", "d"), **dict.fromkeys("abcdef", "a"), **dict.fromkeys("ghijklmnopqrstuvwxyz", "l"), **dict.fromkeys("ABCDEF", "A"), **dict.fromkeys("GHIJKLMNOPQRSTUVWXYZ", "U")})
 END = ""
@@ -38,19 +41,26 @@ FLOOR = -12.0  # log2 of the probability given to a symbol that a state has neve
 
 
 def find(text: str) -> list[tuple[str, int, int, str]]:
-    """Base spans as (kind, start, end, credential), then candidates of kind ``candidate``: runs, or what base spans leave of them."""
-    out = [("assign", m.start(), m.end(), m[1]) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
+    """Base spans as (kind, start, end, credential)."""
+    out = [("assign", m.start(), m.end(), m[1]) for m in ASSIGN.finditer(text) if len(m[1]) >= SHORTEST]
     out += [("access", m.start(), m.end(), m[0]) for m in ACCESS.finditer(text)]
-    out += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
-    taken = sorted((s, e) for _, s, e, _ in out)
-    for m in CANDIDATE.finditer(text):
-        at = m.start()
-        for s, e in [*((s, e) for s, e in taken if s < m.end() and e > m.start()), (m.end(), m.end())]:
-            run = text[at:s]
-            if CANDIDATE.fullmatch(run) and sum(map(str.isdigit, run)) >= LEAST_DIGITS and sum(map(str.isalpha, run)) >= LEAST_LETTERS:
-                out.append(("candidate", at, s, run))
-            at = max(at, e)
-    return out
+    return out + [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
+
+
+def candidates(text: str, taken: list[tuple[int, int]], shortest: int) -> Iterator[tuple[int, int]]:
+    """Runs of at least ``shortest`` characters, or what the spans ``taken`` leave of them."""
+    taken = sorted(taken)
+    at, i = 0, 0
+    for m in re.finditer(RUN.pattern[:-1] + f"{{{shortest},}}", text):
+        start, stop = m.span()
+        start = max(start, at)
+        while i < len(taken) and taken[i][0] < stop:
+            if taken[i][0] - start >= shortest:
+                yield start, taken[i][0]
+            at = max(at, taken[i][1])
+            start, i = max(start, at), i + 1
+        if stop - start >= shortest:
+            yield start, stop
 
 
 class Automaton:
@@ -65,6 +75,8 @@ class Automaton:
         self._merge_states()
         scores = sorted(map(self.score, strings))
         self.least = scores[int(len(scores) * QUANTILE)] if scores else math.inf
+        self.most = 2 * scores[len(scores) // 2] - self.least if scores else -math.inf
+        self.shortest = min(map(len, strings), default=math.inf)
 
     def _add(self, symbols: str) -> None:
         at = 0
@@ -131,6 +143,13 @@ class Automaton:
         self.next = [{c: number[x] for c, x in self.next[s].items()} for s in settled]
         self.count = [self.count[s] for s in settled]
 
+    def margin(self, string: str) -> tuple[float, float]:
+        """How far the score is inside what is typical of the automaton's credentials (below 0: outside), and the score."""
+        if len(string) < self.shortest:
+            return -math.inf, -math.inf
+        score = self.score(string)
+        return min(score - self.least, self.most - score), score
+
     def score(self, string: str) -> float:
         """Mean log2-likelihood of a symbol, the end included."""
         at, total, n = 0, 0.0, 0
@@ -142,58 +161,69 @@ class Automaton:
         return total / n
 
 
-def extract(docs: DataFrame) -> DataFrame:
-    """``(doc_id, found)``: base spans and candidates of every whole text."""
-    key = docs.schema["doc_id"].dataType.simpleString()
-    item = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())])
+def examples(docs: DataFrame) -> DataFrame:
+    """``(kind, value, h)``: what the fixed patterns find, and as ``other`` what runs they leave; distinct in each slice of
+    rows, of each kind the ``TRAIN_PER_KIND`` of smallest hash ``h``.
+    """
 
     def make():
+        from xxhash import xxh3_64_intdigest
+
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [[dict(zip(("kind", "start", "end", "value"), x, strict=True)) for x in find(t)] for t in texts_of(batch)]
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(item))], ["doc_id", "found"])
+            of: dict[str, set[str]] = {}
+            for text in texts_of(batch):
+                found = find(text)
+                for kind, _, _, value in found:
+                    of.setdefault(kind, set()).add(value)
+                of.setdefault(OTHER, set()).update(text[s:e] for s, e in candidates(text, [(s, e) for _, s, e, _ in found], SHORTEST))
+            least = [(kind, value, h - (1 << 63)) for kind, values in of.items() for h, value in heapq.nsmallest(TRAIN_PER_KIND, ((xxh3_64_intdigest(x), x) for x in values))]
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in least], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["kind", "value", "h"])
 
         return work
 
-    return per_slice(documents(docs, "doc_id", "text"), make, f"doc_id {key}, found array<struct<kind:string,start:bigint,end:bigint,value:string>>")
+    return per_slice(documents(docs, "text"), make, "kind string, value string, h bigint")
 
 
-def fit(extracted: DataFrame) -> dict[str, Automaton]:
-    """One automaton for each kind, from a bounded number of distinct credentials."""
-    values = extracted.select(F.explode("found").alias("x")).select("x.kind", "x.value").distinct()
+def fit(docs: DataFrame) -> dict[str, Automaton]:
+    """One automaton for each kind, and for what is no credential, from a bounded number of distinct strings."""
+    found = written(examples(docs), "credentials")
+    values = found.distinct()
     models = {}
-    for kind in KINDS:
-        rows = values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(TRAIN_PER_KIND).collect()
+    for kind in (*KINDS, OTHER):
+        rows = values.where(F.col("kind") == kind).orderBy("h", "value").limit(TRAIN_PER_KIND).collect()
         if rows:
             models[kind] = Automaton([r.value for r in rows])
+    dropped(found)
     return models
 
 
-def judge(found: list[tuple[str, int, int, str]], models: dict[str, Automaton]) -> list[tuple[str, int, int, float]]:
+def judge(text: str, models: dict[str, Automaton]) -> list[tuple[str, int, int, float]]:
     """All spans in order, as (kind, start, end, score); base spans have the score 0."""
     order = {k: i for i, k in enumerate((*KINDS, "format"))}
-    spans = [(k, s, e, 0.0) for k, s, e, _ in found if k != "candidate"]
-    for _, s, e, value in (x for x in found if x[0] == "candidate"):
-        margins = [(m.score(value) - m.least, m.score(value)) for m in models.values()]
-        if margins and max(margins)[0] >= 0:
-            spans.append(("format", s, e, max(margins)[1]))
+    spans = [(k, s, e, 0.0) for k, s, e, _ in find(text)]
+    learnt = [m for k, m in models.items() if k != OTHER]
+    if learnt:
+        for s, e in candidates(text, [(s, e) for _, s, e, _ in spans], min(m.shortest for m in learnt)):
+            margin, score = max(m.margin(text[s:e]) for m in learnt)
+            if margin >= 0 and (OTHER not in models or models[OTHER].score(text[s:e]) < score):
+                spans.append(("format", s, e, score))
     return sorted(spans, key=lambda x: (x[1], order[x[0]]))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """``(doc_id, spans array<struct<kind,start,end,score>>)`` for each row."""
-    found = written(extract(docs), "credentials")
-    models = fit(found)
+    models = fit(docs)
     key = docs.schema["doc_id"].dataType.simpleString()
     item = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            spans = [[dict(zip(("kind", "start", "end", "score"), y, strict=True)) for y in judge([tuple(v.values()) for v in x or []], models)] for x in batch.column("found").to_pylist()]
+            spans = [[dict(zip(("kind", "start", "end", "score"), x, strict=True)) for x in judge(t, models)] for t in texts_of(batch)]
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans, pa.list_(item))], ["doc_id", "spans"])
 
         return work
 
-    return per_slice(found, make, f"doc_id {key}, spans array<struct<kind:string,start:bigint,end:bigint,score:double>>")
+    return per_slice(documents(docs, "doc_id", "text"), make, f"doc_id {key}, spans array<struct<kind:string,start:bigint,end:bigint,score:double>>")
 
 
 def digests(spans: DataFrame) -> DataFrame:
@@ -215,7 +245,7 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
 
     ``n_chars``, where there is such a column, becomes the new length. Null text stays null.
     """
-    models = fit(written(extract(docs), "credentials"))
+    models = fit(docs)
     fields = docs.schema
 
     def make():
@@ -223,7 +253,7 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
             if not text:
                 return text
             out, at = [], 0
-            for _, s, e, _ in judge(find(text), models):
+            for _, s, e, _ in judge(text, models):
                 if s >= at:
                     out += [text[at:s], mask]
                 at = max(at, e)

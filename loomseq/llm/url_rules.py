@@ -2,8 +2,12 @@
 
 The fixed rules label the URLs that they fit. FP-growth mines the frequent combinations of URL tokens and label over all
 distinct labelled URLs; a combination that implies a label with enough support and confidence becomes a rule. A URL that no fixed rule
-fits is judged by the mined rules whose tokens it all has, found through an inverted index from token to rule: the most
-confident one decides, of equals the one with more tokens, then the one that blocks. Where none fits, it is allowed.
+fits is judged by the mined rules whose tokens it all has: the most confident one decides, of equals one that blocks. Where
+none fits, it is allowed.
+
+A rule is pruned where it says what a rule with one token less says with no less confidence: that one fits wherever it does,
+so verdicts and confidences stay. The inverted index has each rule once, under the rarest of its tokens; its other tokens are
+looked for in the URLs that meet it there, and a URL's rows are aggregated in the task that made them.
 
 Everything is DataFrame and SQL functions. Null URLs, or such without ``://``, have an empty host and path and are allowed.
 Repeated rows get repeated verdicts.
@@ -15,7 +19,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, written
+from .common import documents, dropped, written
 
 #: Fixed rules: verdict, host, start of the path.
 RULES = (
@@ -26,8 +30,8 @@ RULES = (
     ("block", "com", "/de/"),
 )
 MIN_SUPPORT, MIN_CONFIDENCE = 0.02, 0.8
-#: Entries of the inverted index (some tens of bytes each) that are sent to every executor.
-MOST_ENTRIES = 200_000
+#: Rules in the inverted index (some hundreds of bytes each) that are sent to every executor.
+MOST_ENTRIES = 100_000
 LABEL = "label="
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -77,15 +81,29 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     return rules.select(F.xxhash64("tokens", "verdict").alias("rule_id"), "*")
 
 
+def pruned(rules: DataFrame) -> DataFrame:
+    """The rules that no rule with one token less makes needless."""
+    shorter = rules.select(F.col("tokens").alias("part"), F.col("verdict").alias("says"), F.col("confidence").alias("as_sure"))
+    parts = rules.select("rule_id", "verdict", "confidence", F.explode(F.transform("tokens", lambda x: F.array_except("tokens", F.array(x)))).alias("part"))
+    needless = parts.join(shorter, "part").where("says = verdict and as_sure >= confidence").select("rule_id").distinct()
+    return rules.join(needless, "rule_id", "left_anti")
+
+
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``(url, verdict, confidence)`` of distinct ``(url, tokens)`` that some mined rule fits."""
-    index = written(rules.select(F.explode("tokens").alias("token"), "rule_id", "n_tokens", "verdict", "confidence"), "url_rules")
+    met = urls.select("url", "tokens", F.explode("tokens").alias("token"))
+    often = met.groupBy("token").agg(F.count("*").alias("n"))
+    # no URL fits a rule with a token that no URL has
+    rarest = rules.select("rule_id", F.explode("tokens").alias("token")).join(often, "token").groupBy("rule_id").agg(F.min(F.struct("n", "token")).alias("least"), F.count("*").alias("known"))
+    # one integer, so that the aggregation by URL keeps a hash map: confidence, then whether it blocks
+    code = F.round(F.col("confidence") * 10**15).cast("long") * 2 + (F.col("verdict") == "block").cast("long")
+    index = rules.join(rarest, "rule_id").where("known = n_tokens").select(F.col("least.token").alias("token"), F.col("tokens").alias("rule_tokens"), code.alias("code"))
+    index = written(index, "url_rule_index")
     if index.count() <= MOST_ENTRIES:
         index = F.broadcast(index)
-    hits = urls.select("url", F.explode("tokens").alias("token")).join(index, "token")
-    whole = hits.groupBy("url", "rule_id", "n_tokens", "verdict", "confidence").agg(F.count("*").alias("n")).where("n = n_tokens")
-    best = F.max(F.struct("confidence", "n_tokens", "verdict")).alias("best")  # of equals "block" is the greater word
-    return whole.groupBy("url").agg(best).select("url", "best.verdict", "best.confidence")
+    fits = (met["token"] == index["token"]) & (F.size(F.array_except("rule_tokens", "tokens")) == 0)
+    best = met.join(index, fits).groupBy("url").agg(F.max("code").alias("code"))
+    return best.select("url", F.when(F.col("code") % 2 == 1, "block").otherwise("allow").alias("verdict"), (F.floor(F.col("code") / 2) / 10**15).alias("confidence"))
 
 
 def judged(pages: DataFrame) -> DataFrame:
@@ -99,5 +117,7 @@ def judged(pages: DataFrame) -> DataFrame:
     labelled = distinct.where("fixed is not null").select("url", "tokens", F.col("fixed").alias("verdict"))
     if labelled.isEmpty():
         return rows.select("page_id", "host", "path", "rule", F.coalesce("fixed", F.lit("allow")).alias("verdict"), F.lit(None).cast("double").alias("confidence"))
-    mined = written(match(distinct.where("fixed is null").select("url", "tokens"), mine(labelled)).withColumnRenamed("verdict", "mined"), "mined_verdicts")
+    rules = written(mine(labelled), "url_rules")
+    mined = written(match(distinct.where("fixed is null").select("url", "tokens"), pruned(rules)).withColumnRenamed("verdict", "mined"), "mined_verdicts")
+    dropped(rules, distinct)
     return rows.join(mined, "url", "left").select("page_id", "host", "path", "rule", F.coalesce("fixed", "mined", F.lit("allow")).alias("verdict"), "confidence")

@@ -69,3 +69,67 @@ def components(rows: list[tuple[int, str | None]], k: int, percent: int = 80) ->
 
 def crc_of(ids: list[int]) -> int:
     return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def rules_failed(text: str, n_words: int, word_chars: int, n_symbols: int, n_dup_lines: int) -> set[str]:
+    """Names of the cascade's rules that reject."""
+    import regex
+
+    said = {
+        "symbols_per_word": 5 * n_symbols > n_words,
+        "long_words": word_chars > 30 * n_words,
+        "short_words": word_chars < 2 * n_words,
+        "duplicate_lines": n_dup_lines >= 3 and 2 * n_dup_lines > len(text.split("\n")),
+        "capitals": 2 * len(re.findall("[A-Z]", text)) > word_chars,
+        "letters": 2 * len(regex.findall(r"\p{L}", text)) < word_chars,
+    }
+    return {k for k, v in said.items() if v}
+
+
+def article_text(page: str | None) -> str:
+    """Blocks of the page's article, by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self) -> None:
+            super().__init__()
+            self.depth, self.blocks = 0, [[]]
+
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag == "article"
+            if tag in ("p", "h1", "h2", "div", "li", "ul", "article"):
+                self.blocks.append([])
+            elif tag == "br":
+                self.blocks[-1].append(" ")
+
+        def handle_endtag(self, tag):
+            self.depth -= tag == "article"
+            if tag in ("p", "h1", "h2", "div", "li", "ul", "article"):
+                self.blocks.append([])
+
+        def handle_data(self, data):
+            if self.depth:
+                self.blocks[-1].append(data)
+
+    reader = Reader()
+    reader.feed(page or "")
+    reader.close()
+    return "\n\n".join(x for x in (" ".join("".join(b).split()) for b in reader.blocks) if x)
+
+
+def logistic(text: str, weights: np.ndarray, bits: int = 18) -> float:
+    """Score of a text: its words, pairs of neighbours and words that return after one other, one by one."""
+    import math
+
+    import xxhash
+
+    words = re.findall(r"[^\W\d_]+|\d+|[^\w\s]+|_+", text)
+    h, top = [xxhash.xxh3_64_intdigest(w) for w in words], (1 << 64) - 1
+    grams = list(h)
+    for a, b in zip(h, h[1:], strict=False):
+        two = 0x5851F42D4C957F2D if a == b else (a * 0x9E3779B97F4A7C15 & top) ^ b >> 7
+        grams.append(two * 0xD6E8FEB86659FD93 & top)
+    grams += [0x14057B7EF767814F for a, b in zip(h, h[2:], strict=False) if a == b]
+    counts = Counter(g >> 64 - bits for g in grams)
+    total = float(weights[-1]) + sum(float(weights[g]) * math.sqrt(n / len(grams)) for g, n in counts.items())
+    return 1 / (1 + math.exp(-total))

@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loomseq.llm import byte_bpe, cascade, exact_dedup, ftrl, html_wrappers, minhash, packing, repair_codec, secrets, url_rules
@@ -46,7 +47,7 @@ def test_automaton_prefers_its_format():
     model = secrets.Automaton(made[:150])
     assert len(model.count) < 100
     assert sum(model.score(x) >= model.least for x in made[150:]) >= 45
-    assert all(model.score(x) < model.least for x in ("thisisaverylongword1word2word3x", "2024-01-02-report-final-v3"))
+    assert all(model.margin(x)[0] < 0 for x in ("thisisaverylongword1word2word3x", "2024-01-02-report-final-v3"))
 
 
 def test_secrets_long_runs():
@@ -54,7 +55,28 @@ def test_secrets_long_runs():
     model = secrets.Automaton([f"{i:040x}" for i in range(10**9, 10**9 + 150)])
     assert model.score("0" * 128 + "Z" * 400) < model.score("0" * 128)
     run = "XY12" * 6 + "_" + "0a" * 20 + "_" + "ZW98" * 6
-    assert [(k, v) for k, _, _, v in secrets.find(f"see {run} here")] == [("hex", "0a" * 20), ("candidate", "XY12" * 6 + "_"), ("candidate", "_" + "ZW98" * 6)]
+    text = f"see {run} here"
+    taken = [(s, e) for _, s, e, _ in secrets.find(text)]
+    assert [text[s:e] for s, e in taken] == ["0a" * 20]
+    assert [text[s:e] for s, e in secrets.candidates(text, taken, 8)] == ["XY12" * 6 + "_", "_" + "ZW98" * 6]
+
+
+def test_secrets_all_candidates(spark):
+    """Runs are scored down to the shortest learnt credential, with few digits or none; words and plain numbers stay."""
+    draw = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    key = lambda n: "".join(draw.choice(letters, n))
+    learnt = [(i, f"password = {key(12)}7{key(11)} end") for i in range(200)]
+    free = [f"{key(14)}3{key(9)}" for _ in range(50)]
+    clean = ["z" * 30_000, "incomprehensibilities" + "internationalisation", "1" * 24, "A" * 24, "2024-01-02-report-final-v3-of-it"]
+    word = lambda n: "".join(draw.choice(letters[:26], n))
+    learnt += [(300 + i, f"about {word(8 + i % 9)}, {word(12)} and {word(9).title()} of 2024-01-{i % 28}") for i in range(200)]
+    rows = learnt + [(1000 + i, f"see {x} here") for i, x in enumerate([*free, *clean])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.scan(docs).collect()}
+    assert all(len(got[i]) == 1 and got[i][0][0] == "assign" for i in range(200))
+    assert sum(got[1000 + i] == [("format", 4, 28)] for i in range(50)) >= 40
+    assert [x[:40] for i, x in enumerate(clean) if got[1050 + i]] == []
 
 
 def test_byte_bpe(docs, empty):
@@ -132,10 +154,27 @@ def test_rules(docs, empty):
     assert got == sorted((i, *brute.rules_base(t)) for i, t in ROWS)
     assert cascade.judged(empty).count() == 0
     stats = cascade.statistics(docs)
-    a, b = ({r.doc_id: r.kept for r in cascade.cascade(stats, order=list(o)).collect()} for o in (cascade.RULES, reversed(cascade.RULES)))
+    a, b = ({r.doc_id: r.kept for r in cascade.cascade(stats, list(o)).collect()} for o in (cascade.RULES, reversed(cascade.RULES)))
     assert a == b
 
 
+def test_rules_verdicts(spark):
+    """Base columns and verdicts of a whole table, and of one text for each rule, against plain Python; the order is one of all rules."""
+    odd = ["## " * 30 + "a b", "x" * 400 + " a b c d e f g h i", "a b c d e f g h i j k l", "one two\n" * 9 + "three four five six seven", "ABC DEF GHI JKL MNO PQR STU VWX YZA BCD EFG", "123 456 789 012 345 678 901 234 567 890 1234"]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame([(-i - 1, x) for i, x in enumerate(odd)], "doc_id long, text string"))
+    order = cascade.order_rules(docs)
+    assert sorted(order) == sorted(cascade.RULES)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r for r in cascade.cascade(cascade.statistics(docs), order).collect()}
+    for i, text in texts.items():
+        base = brute.rules_base(text)
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base
+        failed = brute.rules_failed(text or "", *base[:4])
+        assert r.kept == (not base[5] and not failed) and (r.kept or r.base_failed or r.rejected_by in failed)
+    assert {got[-i - 1].rejected_by for i in range(len(odd))} > {"base"}
+
+
 def test_urls(spark):
     urls = [None, "no scheme", "https://A.Example.org/en/12?x", "http://example.org/es/1", "http://b.org", "http://x.com/fr/1#a", "http://y.com/de/2", "http://borg/x", "http://n.net/de/5"]
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
@@ -249,3 +288,76 @@ def test_minhash_against_all_pairs(spark):
     want = brute.components(rows, 2)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.groups(both, 2).collect()}
     assert len({c for _, c in want.values()}) > 1 and got == want
+
+
+def test_html_against_plain_reading(spark):
+    """Every page of a table against an independent reading of its article by the standard parser."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("host", F.lit("clash")).withColumn("text", F.lit("clash"))
+    want = {r.page_id: (r.url, brute.article_text(r.html)) for r in pages.collect()}
+    got = {r.page_id: (r.url, r.text) for r in html_wrappers.extracted(pages).collect()}
+    assert got == want
+
+
+def test_html_names_and_broken_markup(spark):
+    page = lambda body: f"<html><body><nav>menu</nav>{body}</body></html>"
+    rows = {
+        1: ('<div class="layout has-sidebar"><article><p>one</p></article></div>', "one"),
+        2: ('<article><p class="alert">two</p><div class="related-work">a</div><ul class="search-results"><li>b</li></ul><label>c</label><div class="comment-list">x</div><div id="cookie_notice">y</div></article>', "two\n\na\n\nb\n\nc"),
+        3: ("<article><p>three</p></article>" + '<a "' * 8000, "three"),
+        4: ("<article><p>four</p></article>" + "<!" * 20000 + '<b class="' * 5000, "four"),
+        5: ("<article>" + "<div>" * 3000 + "five" + "</i>" * 3000 + "</article>", "five"),
+        6: ('<article><p title="a > b" data-x=\'c > d\'>six</p><p><b>seven', "six\n\nseven"),
+    }
+    pages = spark.createDataFrame([(i, f"http://host{i}/", page(x)) for i, (x, _) in rows.items()] * 2, "page_id long, url string, html string")
+    got = html_wrappers.extracted(pages).collect()
+    assert len(got) == 2 * len(rows) and {r.page_id: r.text for r in got} == {i: x for i, (_, x) in rows.items()}
+    assert html_wrappers.extracted(pages.limit(0)).count() == 0
+
+
+def test_urls_against_all_rules(spark):
+    """The pruned rules, found through the index, decide as all mined rules asked one by one."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    extra = [(10**6 + i, f"http://n{i % 7}.net/{'de' if i % 3 else 'fr'}/{i % 5}/x{i % 2}") for i in range(60)] + [(10**6 + 100, None), (10**6 + 100, "http://n1.net/de/1/x1"), (10**6 + 100, "http://n1.net/de/1/x1")]
+    pages = pages.unionByName(spark.createDataFrame(extra, "page_id long, url string")).withColumns({"host": F.lit("clash"), "verdict": F.lit(1), "tokens": F.lit("clash"), "code": F.lit(2)})
+    host, path = url_rules.split_url(F.col("url"))
+    rows = pages.select("url", host.alias("host"), path.alias("path")).distinct()
+    fixed = url_rules.fixed_rule(F.col("host"), F.col("path"))[1]
+    rows = rows.select("url", url_rules.tokens_of(F.col("host"), F.col("path")).alias("tokens"), fixed.alias("verdict")).collect()
+    labelled = spark.createDataFrame([(r.url, r.tokens, r.verdict) for r in rows if r.verdict and r.tokens], "url string, tokens array<string>, verdict string")
+    rules = [(set(r.tokens), r.confidence, r.verdict) for r in url_rules.mine(labelled).collect()]
+    want = {}
+    for r in rows:
+        fit = [(c, v) for t, c, v in rules if t <= set(r.tokens or [])] if r.url else []
+        want[r.url] = r.verdict or (max(fit)[1] if fit else "allow")
+    got = url_rules.judged(pages).collect()
+    assert len(got) == pages.count() and {want[u] for u in want} == {"allow", "block"}
+    urls = {}
+    for r in pages.collect():
+        urls.setdefault(r.page_id, set()).add(want[r.url])
+    assert all(r.verdict in urls[r.page_id] for r in got)
+
+
+def test_classifier_edges(spark):
+    """Ties, repeated rows, long texts and clashing columns; held-out labels change no score."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{x}.parquet") for x in ("documents", "labels"))
+    rows = [(10**6, "same words here", 1.5), (10**6, "same words here", 2.5), (10**6 + 1, "same words here", None), (10**6 + 2, "long " * 200_000, 0.0), (None, None, None)]
+    odd = docs.select("doc_id", "text", F.lit(0.5).alias("score")).unionByName(spark.createDataFrame(rows, "doc_id long, text string, score double")).withColumn("label", F.lit("clash"))
+    weights = ftrl.fit(odd, labels)
+    flipped = labels.withColumn("quality", F.when(ftrl.bucket(F.col("doc_id")) == 2, 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert (ftrl.fit(odd, flipped.unionByName(flipped)) == weights).all()
+    got = {}
+    for r in ftrl.judged(odd, labels).collect():
+        got.setdefault(r.doc_id, set()).add((r.score, r.predicted))
+    assert got[10**6] == got[10**6 + 1] and len(got[10**6]) == 1
+    assert all(0 <= s <= 1 and p == int(s >= 0.7) for x in got.values() for s, p in x)
+    kept = ftrl.accepted(odd, weights)
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {i for i, x in got.items() for _, p in x if p}
+
+
+def test_classifier_against_dot_products(spark):
+    """The scores are those of a plain sum over a text's n-grams."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{x}.parquet") for x in ("documents", "labels"))
+    weights = ftrl.fit(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in ftrl.judged(docs, labels).collect():
+        assert abs(r.score - brute.logistic(texts[r.doc_id] or "", weights)) < 1e-6
