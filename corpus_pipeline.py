@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loomseq.llm import exact_dedup, ftrl, minhash, packing, secrets
 from loomseq.llm.common import table, written
@@ -12,17 +11,19 @@ from loomseq.llm.queries import tokenizer_path
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labels of all documents, accepts."""
-    weights = ftrl.fit(docs, table(spark, sf_dir, "labels"))
-    return ftrl.scores(docs, weights).where(F.col("score") >= ftrl.ACCEPT).drop("score")
+    return ftrl.accepted(docs, ftrl.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, null as empty; rows that repeat a key are judged by their own texts."""
     return exact_dedup.deduplicate(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates: five-word shingles, a similarity of 0.8 or more."""
+    """One document of each component of near-duplicates: five-word shingles, a similarity of 0.8 or more.
+
+    Null and empty texts, and rows without a key, are in no component and stay.
+    """
     return minhash.deduplicate(docs)
 
 
