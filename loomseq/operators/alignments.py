@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNMAPPED, REVERSE, SECONDARY, QC_FAIL, DUPLICATE, SUPPLEMENTARY = 4, 16, 256, 512, 1024, 2048
@@ -28,8 +28,22 @@ def select_contigs(aln: DataFrame, contigs: DataFrame) -> DataFrame:
     return filter_mapped(aln).join(contigs.select("ref"), "ref", "left_semi")
 
 
+def tag_alignments(aln: DataFrame, info: DataFrame) -> DataFrame:
+    """The alignments whose read has a corrected barcode, with its tags: a tag that an alignment has already stays.
+
+    The read's name is the alignment's up to its first ``_``; it becomes read, raw barcode and UMI. Of rows that repeat a read
+    the last by ``ordinal`` counts, where there is such a column, else the greatest.
+    """
+    order = [F.col("ordinal")] if "ordinal" in info.columns else []
+    last = info.where("corrected_bc is not null and corrected_bc <> ''").groupBy("sample", "read_id").agg(F.max(F.struct(*order, "bc", "bc_qual", "umi", "umi_qual", "corrected_bc")).alias("i"))
+    rows = aln.withColumn("read_id", F.substring_index("qname", "_", 1)).join(last, ["sample", "read_id"])
+    tags = {"cr": "bc", "cy": "bc_qual", "ur": "umi", "uy": "umi_qual", "cb": "corrected_bc"}
+    said = [F.coalesce(F.col(t), F.col(f"i.{c}")).alias(t) if t in aln.columns else F.col(f"i.{c}").alias(t) for t, c in tags.items()]
+    return rows.select(*[F.concat_ws("_", "read_id", "i.bc", "i.umi").alias("qname") if c == "qname" else c for c in aln.columns if c not in tags], *said)
+
+
 def tag_barcodes(aln: DataFrame, info: DataFrame) -> DataFrame:
-    """Barcode tags from corrected barcodes, kept where there; the name gets raw barcode and UMI. The last row of a key wins."""
+    """Barcode tags from corrected barcodes; the name gets raw barcode and UMI. The greatest row of a key wins; see ``tag_alignments``."""
     info = info.where("corrected_bc is not null and corrected_bc <> ''").groupBy("sample", "read_id").agg(F.max(F.struct("bc", "bc_qual", "umi", "umi_qual", "corrected_bc")).alias("i"))
     rows = aln.withColumnRenamed("qname", "read_id").join(info, ["sample", "read_id"])
     return rows.select("sample", F.concat_ws("_", "read_id", "i.bc", "i.umi").alias("qname"), "flag", "ref", "pos", F.col("i.bc").alias("cr"), F.col("i.bc_qual").alias("cy"), F.col("i.umi").alias("ur"), F.col("i.umi_qual").alias("uy"), F.col("i.corrected_bc").alias("cb"))
@@ -59,11 +73,18 @@ def group_transcripts(transcripts: DataFrame, annotation: DataFrame) -> DataFram
 def strand(): return F.when(has(REVERSE), "-").otherwise("+")  # noqa: E704
 
 
-def umi_dedup_exact(aln: DataFrame, cell: str = "cr") -> DataFrame:
-    """The best read of each (sample, reference, strand, position, cell, UMI): highest mapping quality, then name."""
+def five_prime() -> Column:
+    """Where the molecule begins on the reference: the start before clipping, of reverse alignments the end after it."""
+    length = F.aggregate(F.expr("regexp_extract_all(cigar, '([0-9]+)[MDN=X]', 1)"), F.lit(0), lambda n, x: n + x.cast("int"))
+    clipped = lambda pattern: F.coalesce(F.try_to_number(F.nullif(F.regexp_extract("cigar", pattern, 1), F.lit("")), F.lit("999999999")).cast("int"), F.lit(0))
+    return F.when(has(REVERSE), F.col("pos") + length + clipped("([0-9]+)S(?:[0-9]+H)?$")).otherwise(F.col("pos") - clipped("^(?:[0-9]+H)?([0-9]+)S"))
+
+
+def umi_dedup_exact(aln: DataFrame, cell: str = "cr", place: str = "pos") -> DataFrame:
+    """The best read of each (sample, reference, strand, place, cell, UMI): highest mapping quality, then name."""
     rows = filter_mapped(aln)
-    best = rows.groupBy("sample", "ref", strand().alias("strand"), "pos", cell, "ur").agg(F.min(F.struct(-F.col("mapq"), "qname")).alias("b"))
-    return best.select("sample", "ref", "strand", "pos", cell, "ur", F.col("b.qname").alias("qname"))
+    best = rows.groupBy("sample", "ref", strand().alias("strand"), place, cell, "ur").agg(F.min(F.struct(-F.col("mapq"), "qname")).alias("b"))
+    return best.select("sample", "ref", "strand", place, cell, "ur", F.col("b.qname").alias("qname"))
 
 
 def umi_stats(aln: DataFrame, cell: str = "cr") -> DataFrame:
@@ -73,13 +94,13 @@ def umi_stats(aln: DataFrame, cell: str = "cr") -> DataFrame:
     return before.join(after, ["sample", "ur"], "left").na.fill(0)
 
 
-def mark_duplicates(aln: DataFrame, cell: str = "cb") -> DataFrame:
-    """Per (sample, reference, position, strand, cell) the read of most quality stays; others get the duplicate flag.
+def mark_duplicates(aln: DataFrame, cell: str = "cb", place: str = "pos") -> DataFrame:
+    """Per (sample, reference, place, strand, cell) the read of most quality stays; others get the duplicate flag.
 
     The survivor and the size come from an aggregate that is joined back, so a hot set needs no window in one task.
     """
     total = F.aggregate(F.filter(F.split("qual", ""), lambda c: c != ""), F.lit(0), lambda s, c: s + F.ascii(c) - 33)
-    keys = ["sample", "ref", "pos", "strand", cell]
+    keys = ["sample", "ref", place, "strand", cell]
     rows = filter_mapped(aln).withColumns({"strand": strand(), "total": total})
     sets = rows.groupBy(*keys).agg(F.min(F.struct(-F.col("total"), "qname")).alias("b"), F.count("*").alias("dup_set_size"), F.min("qname").alias("dup_set_id"))
     out = rows.join(sets, keys).withColumn("is_dup", F.col("qname") != F.col("b.qname"))
@@ -90,15 +111,24 @@ def duplicate_metrics(marked: DataFrame) -> DataFrame:
     return marked.groupBy("sample").agg(F.count("*").alias("examined"), F.count_if("is_dup").alias("duplicates"), F.round(F.count_if("is_dup") / F.count("*"), 6).alias("share"))
 
 
+def with_aln_id(aln: DataFrame) -> DataFrame:
+    """``aln_id`` tells the alignments of one read name apart."""
+    return aln.withColumn("aln_id", F.xxhash64("sample", "qname", "flag", "ref", "pos", "cigar"))
+
+
 def aligned_blocks(aln: DataFrame) -> DataFrame:
-    """Reference blocks of each alignment, split at skipped regions. Only M, =, X, D and N move along the reference."""
+    """Reference blocks of each alignment, split at skipped regions. Only M, =, X, D and N move along the reference.
+
+    ``aln_id``, where there is such a column, is carried.
+    """
+    own = ["sample", "qname", *["aln_id"] * ("aln_id" in aln.columns)]
     ops = F.expr("transform(regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 0), x -> struct(cast(regexp_extract(x, '^[0-9]+', 0) as int) as n, right(x, 1) as op))")
     step = """aggregate(ops, struct(pos as at, pos as first, cast(array() as array<struct<s:int,e:int>>) as done),
       (a, x) -> case when x.op in ('M', '=', 'X', 'D') then struct(a.at + x.n as at, a.first as first, a.done as done)
                      when x.op = 'N' then struct(a.at + x.n as at, a.at + x.n as first, concat(a.done, array(struct(a.first as s, a.at as e))) as done) else a end,
       a -> concat(a.done, array(struct(a.first as s, a.at as e))))"""
     rows = filter_mapped(aln).withColumn("ops", ops).withColumn("blocks", F.expr(step))
-    return rows.select("sample", "qname", "ref", strand().alias("strand"), F.posexplode("blocks").alias("blk", "b")).select("sample", "qname", "ref", "strand", "blk", F.col("b.s").alias("start_"), F.col("b.e").alias("end_")).where("end_ > start_")
+    return rows.select(*own, "ref", strand().alias("strand"), F.posexplode("blocks").alias("blk", "b")).select(*own, "ref", "strand", "blk", F.col("b.s").alias("start_"), F.col("b.e").alias("end_")).where("end_ > start_")
 
 
 def flagstat(aln: DataFrame) -> DataFrame:
@@ -122,6 +152,3 @@ def percent_identity(blocks: DataFrame, aln: DataFrame) -> DataFrame:
     size = blocks.groupBy("sample", "qname").agg(F.sum(F.col("end_") - F.col("start_")).alias("aligned"))
     return size.join(aln.select("sample", "qname", "nm"), ["sample", "qname"]).select("sample", "qname", F.round(100 * (1 - F.col("nm") / F.col("aligned")), 6).alias("identity"))
 
-
-def rank_in(keys: list[str], *order):
-    return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -114,3 +114,24 @@ def qc_report(*tables: DataFrame) -> DataFrame:
     for x in tables[1:]:
         out = out.join(x, "sample", "left")
     return out
+
+
+def yield_over_time(reads: DataFrame, minutes: int = 60) -> DataFrame:
+    """``(sample, bin, reads, bases, cum_bases, channels)`` by time since the sample's first read.
+
+    ``start_time=`` and ``ch=`` are read from the descriptions; reads without a time are left out.
+    """
+    at = F.try_to_timestamp(F.nullif(F.regexp_extract("description", r"start_time=([0-9T:-]+)", 1), F.lit("")), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    rows = reads.select("sample", F.unix_timestamp(at).alias("t"), F.nullif(F.regexp_extract("description", r"\bch=([0-9]+)", 1), F.lit("")).alias("ch"), F.length("seq").alias("len")).where("t is not null")
+    first = rows.groupBy("sample").agg(F.min("t").alias("first"))  # one row a sample
+    bins = rows.join(F.broadcast(first), "sample").groupBy("sample", F.expr(f"(t - first) div {60 * minutes}").alias("bin")).agg(F.count("*").alias("reads"), F.sum("len").alias("bases"), F.count_distinct("ch").alias("channels"))
+    return bins.withColumn("cum_bases", F.sum("bases").over(Window.partitionBy("sample").orderBy("bin")))
+
+
+def quality_quantiles(reads: DataFrame, shares: tuple[float, ...] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
+    """``(sample, pos, q10, q25, ...)``: at each place the least quality that this share of its bases doesn't exceed, from a histogram."""
+    at = reads.select("sample", F.posexplode(chars(F.col("qual"))).alias("pos", "c"))
+    bins = at.groupBy("sample", "pos", (F.ascii("c") - 33).alias("q")).agg(F.count("*").alias("n"))
+    w = Window.partitionBy("sample", "pos")
+    bins = bins.withColumns({"upto": F.sum("n").over(w.orderBy("q")), "whole": F.sum("n").over(w)})
+    return bins.groupBy("sample", "pos").agg(*[F.min(F.when(F.col("upto") >= s * F.col("whole"), F.col("q"))).alias(f"q{round(100 * s)}") for s in shares])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BIN = 16384
@@ -33,16 +33,23 @@ def overlaps(blocks: DataFrame, regions: DataFrame, bin_size: int = BIN) -> Data
 
 
 def assign_genes(blocks: DataFrame, exons: DataFrame) -> DataFrame:
-    """``(sample, qname, gene, class)``: the gene with most overlapped bases; ``ambiguous`` where several have as many."""
+    """``(sample, qname, gene, class)``: the gene with most overlapped bases; ``ambiguous`` where several have as many.
+
+    Blocks with an ``aln_id`` are assigned by alignment, and the result has it too. Exons and whole genes are one table of
+    regions, so blocks are expanded and joined once.
+    """
+    own = ["sample", "qname", *["aln_id"] * ("aln_id" in blocks.columns)]
     shared = F.least("end_", "r_end_") - F.greatest("start_", "r_start_")
-    merged = exons.groupBy("ref", "gene").agg(F.min("start_").alias("start_"), F.max("end_").alias("end_"))
-    hits = overlaps(blocks, exons.select("ref", "gene", "start_", "end_").distinct()).groupBy("sample", "qname", F.col("r_gene").alias("gene")).agg(F.sum(shared).alias("n"))
-    best = hits.groupBy("sample", "qname").agg(F.max("n").alias("top"))
-    tops = hits.join(best, ["sample", "qname"]).where("n = top").groupBy("sample", "qname").agg(F.min("gene").alias("gene"), F.count("*").alias("k"))
-    inside = overlaps(blocks, merged).groupBy("sample", "qname").agg(F.min("r_gene").alias("body"))
-    reads = blocks.select("sample", "qname").distinct().join(tops, ["sample", "qname"], "left").join(inside, ["sample", "qname"], "left")
+    bodies = exons.groupBy("ref", "gene").agg(F.min("start_").alias("start_"), F.max("end_").alias("end_"))
+    regions = exons.select("ref", "gene", "start_", "end_", F.lit(True).alias("exon")).distinct().unionByName(bodies.withColumn("exon", F.lit(False)))
+    per = overlaps(blocks, regions).groupBy(*own, F.col("r_gene").alias("gene")).agg(F.sum(F.when(F.col("r_exon"), shared)).alias("n"))
+    # the most bases first, then the smallest name; the tie is counted in the same aggregate
+    best = per.groupBy(*own).agg(F.max("n").alias("top"), F.min("gene").alias("body"), F.collect_list(F.when(F.col("n").isNotNull(), F.struct("n", "gene"))).alias("hits"))
+    ties = F.filter("hits", lambda x: x["n"] == F.col("top"))
+    best = best.select(*own, "body", F.size(ties).alias("k"), F.array_min(F.transform(ties, lambda x: x["gene"])).alias("gene"))
+    reads = blocks.select(*own).distinct().join(best, own, "left")
     kind = F.when(F.col("k") == 1, "unique").when(F.col("k") > 1, "ambiguous").when(F.col("body").isNotNull(), "intronic").otherwise("none")
-    return reads.select("sample", "qname", F.coalesce("gene", "body").alias("gene"), kind.alias("class"))
+    return reads.select(*own, F.coalesce("gene", "body").alias("gene"), kind.alias("class"))
 
 
 def introns(blocks: DataFrame) -> DataFrame:
@@ -109,3 +116,67 @@ def genepred_to_bed(pred: DataFrame) -> DataFrame:
 def refflat(pred: DataFrame) -> DataFrame:
     join = lambda k: F.array_join(F.transform("exons", lambda x: x[k].cast("string")), ",")
     return pred.select("gene", "transcript", F.col("ref").alias("chrom"), "strand", "tx_start", "tx_end", F.size("exons").cast("long").alias("exon_count"), join("start").alias("exon_starts"), join("end").alias("exon_ends"))
+
+
+def with_cds(pred: DataFrame, cds: DataFrame) -> DataFrame:
+    """``pred`` with ``cds_start`` and ``cds_end`` from ``cds (transcript, start_, end_)``; both the end where there is none."""
+    span = cds.groupBy("transcript").agg(F.min("start_").alias("cds_start"), F.max("end_").alias("cds_end"))
+    return pred.join(span, "transcript", "left").withColumns({"cds_start": F.coalesce("cds_start", "tx_end"), "cds_end": F.coalesce("cds_end", "tx_end")})
+
+
+def bed12(pred: DataFrame) -> DataFrame:
+    """All twelve columns of BED, with the coding part as the thick one."""
+    join = lambda e: F.array_join(F.transform("exons", e), ",")
+    return pred.select(F.col("ref").alias("chrom"), "tx_start", "tx_end", F.col("transcript").alias("name"), F.lit(0).alias("score"), "strand", F.col("cds_start").alias("thick_start"), F.col("cds_end").alias("thick_end"), F.lit("0").alias("rgb"), F.size("exons").cast("long").alias("block_count"), join(lambda x: (x["end"] - x["start"]).cast("string")).alias("block_sizes"), join(lambda x: (x["start"] - F.col("tx_start")).cast("string")).alias("block_starts"))
+
+
+#: Classes of regions, the first that covers a place counts, and how far the outer ones reach.
+REGIONS = ("cds_exons", "utr5_exons", "utr3_exons", "introns", "tss_up_1kb", "tss_up_5kb", "tss_up_10kb", "tes_down_1kb", "tes_down_5kb", "tes_down_10kb")
+REACH = {"1kb": 1000, "5kb": 5000, "10kb": 10000}
+
+
+def feature_regions(pred: DataFrame) -> DataFrame:
+    """``(ref, class, start_, end_)``: disjoint regions of transcripts with exons and coding part.
+
+    Each region adds one at its start and takes one away at its end; running sums over a reference's places then say which
+    classes cover a stretch, and neighbouring stretches of one class are joined. Windows run over the places of a
+    reference's annotation, never over reads.
+    """
+    forward = F.col("strand") != "-"
+    exon = lambda s, e, name: F.transform("exons", lambda x: F.struct(F.greatest(x["start"], s).alias("s"), F.least(x["end"], e).alias("e"), name.alias("class")))
+    low, high = F.when(forward, "utr5_exons").otherwise("utr3_exons"), F.when(forward, "utr3_exons").otherwise("utr5_exons")
+    gaps = F.expr("transform(slice(exons, 2, size(exons)), (x, i) -> struct(exons[i].end as s, x.start as e, 'introns' as class))")
+    outer = []
+    for name, d in REACH.items():
+        left, right = (F.when(forward, f"{a}_{name}").otherwise(f"{b}_{name}") for a, b in (("tss_up", "tes_down"), ("tes_down", "tss_up")))
+        outer += [F.struct(F.greatest(F.col("tx_start") - d, F.lit(0)).alias("s"), F.col("tx_start").alias("e"), left.alias("class")), F.struct(F.col("tx_end").alias("s"), (F.col("tx_end") + d).alias("e"), right.alias("class"))]
+    kinds = [exon(F.col("cds_start"), F.col("cds_end"), F.lit("cds_exons")), exon(F.col("tx_start"), F.col("cds_start"), low), exon(F.col("cds_end"), F.col("tx_end"), high), gaps, F.array(*outer)]
+    kinds = [F.transform(x, lambda y: F.struct(y["s"].cast("long").alias("s"), y["e"].cast("long").alias("e"), y["class"].alias("class"))) for x in kinds]
+    rows = pred.select("ref", F.explode(F.concat(*kinds)).alias("x")).select("ref", "x.*").where("s < e").distinct()
+    ends = rows.select("ref", "class", F.explode(F.array(F.struct(F.col("s").alias("at"), F.lit(1).alias("d")), F.struct(F.col("e").alias("at"), F.lit(-1).alias("d")))).alias("x")).select("ref", "class", "x.*")
+    places = ends.groupBy("ref", "at").agg(*[F.sum(F.when(F.col("class") == c, F.col("d")).otherwise(0)).alias(c) for c in REGIONS])
+    w = Window.partitionBy("ref").orderBy("at")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    covered = F.coalesce(*[F.when(F.sum(c).over(upto) > 0, c) for c in REGIONS])
+    parts = places.select("ref", F.col("at").alias("start_"), F.lead("at").over(w).alias("end_"), covered.alias("class"))
+    v = Window.partitionBy("ref").orderBy("start_")
+    parts = parts.withColumn("new", (~F.col("class").eqNullSafe(F.lag("class").over(v))).cast("int")).withColumn("island", F.sum("new").over(v.rowsBetween(Window.unboundedPreceding, 0)))
+    return parts.where("class is not null and end_ is not null").groupBy("ref", "class", "island").agg(F.min("start_").alias("start_"), F.max("end_").alias("end_")).drop("island")
+
+
+def read_distribution(blocks: DataFrame, regions: DataFrame, bin_size: int = BIN) -> DataFrame:
+    """``(sample, group, total_bases, tag_count, tags_per_kb)``: blocks by the region of their middle.
+
+    A group of 5 or 10 kb holds what the nearer ones of its side hold.
+    """
+    mids = blocks.select("sample", "ref", F.expr("cast((start_ + end_) div 2 as bigint)").alias("mid")).groupBy("sample", "ref", "mid").agg(F.count("*").alias("n")).withColumn("bin", F.expr(f"mid div {bin_size}"))
+    binned = regions.withColumn("bin", F.explode(F.sequence(F.expr(f"start_ div {bin_size}"), F.expr(f"(end_ - 1) div {bin_size}"))))
+    tags = mids.join(binned, ["ref", "bin"]).where("start_ <= mid and mid < end_").groupBy("sample", "class").agg(F.sum("n").alias("n"))
+    bases = regions.groupBy("class").agg(F.sum(F.col("end_") - F.col("start_")).alias("bases"))
+    side = lambda c: F.regexp_replace(c, "_[0-9]+kb$", "")
+    reach = lambda c: F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(c, "_([0-9]+)kb$", 1), F.lit("")), F.lit("99")).cast("int"), F.lit(0))
+    groups = bases.select("class").withColumns({"side": side(F.col("class")), "reach": reach(F.col("class"))})
+    inner = groups.select(F.col("class").alias("group"), "side", F.col("reach").alias("upto")).join(groups, "side").where("reach <= upto").select("group", "class")
+    total = inner.join(bases, "class").groupBy("group").agg(F.sum("bases").alias("total_bases"))
+    found = inner.join(tags, "class").groupBy("sample", "group").agg(F.sum("n").alias("tag_count"))
+    return found.join(total, "group").select("sample", "group", "total_bases", "tag_count", F.round(1000 * F.col("tag_count") / F.col("total_bases"), 6).alias("tags_per_kb"))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .shared import new_path
+
 BC_TABLES = {
     "putative": ("sample string, read_id string, putative_bc string", ","),
+    "corrected": ("sample string, read_id string, bc string, bc_qual string, umi string, umi_qual string, corrected_bc string", "\t"),
     "info": ("sample string, read_id string, bc string, bc_qual string, umi string, umi_qual string", "\t"),
     "counts": ("sample string, bc string, n bigint", ","),
 }
@@ -30,49 +35,112 @@ def write_fastq(reads: DataFrame, path: str) -> None:
     reads.select(F.concat_ws("\n", F.concat(F.lit("@"), "read_id"), "seq", F.lit("+"), "qual").alias("value")).write.text(path, compression="gzip")
 
 
-def scan_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """Records of four lines; a gzip file is one task, whose lines are numbered within it."""
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), "value")
+#: Blocks of files (some hundred bytes each) whose first lines' numbers are sent to every executor; more are joined by a shuffle.
+MOST_BLOCKS = 100_000
+
 
-    def parse(frames):
-        held: list[str] = []
-        name, ordinal = None, 0
-        import pandas as pd
+def scan_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(file, ordinal, read_id, description, seq, qual)`` of the records of four lines.
 
+    Lines are counted in each block of a file first, so every line's number in its file is known however Spark splits
+    the file; a record that two blocks share is put together from its parts. A gzip file is one block. A file whose lines
+    don't make whole records is refused.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    path_of = new_path(spark, "fastq_blocks")
+    lines.groupBy("file", "block").agg(F.count("*").alias("n")).write.parquet(path_of)
+    blocks = spark.read.schema("file string, block long, n long").parquet(path_of)
+    if (broken := blocks.groupBy("file").agg(F.sum("n").alias("n")).where("n % 4 <> 0").first()) is not None:
+        raise ValueError(f"{broken.file} has {broken.n} lines, which make no whole records")
+    base = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select("file", "block", base.alias("base"))
+    small = blocks.count() <= MOST_BLOCKS
+
+    def numbered(frames):
+        at, n = None, 0
         for f in frames:
-            rows = []
-            for file, line in zip(f["file"], f["value"], strict=True):
-                if file != name:
-                    name, ordinal, held = file, 0, []
+            i = np.empty(len(f), np.int64)
+            file, block = f["file"].to_numpy(), f["block"].to_numpy()
+            cuts = np.append(np.flatnonzero(np.append(True, (file[1:] != file[:-1]) | (block[1:] != block[:-1]))), len(f)) if len(f) else np.zeros(1, int)
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if (file[a], block[a]) != at:
+                    at, n = (file[a], block[a]), 0
+                i[a:b] = np.arange(n, n + b - a)
+                n += b - a
+            yield f.assign(i=i)
+
+    def gathered(frames):
+        """Whole records, and the parts of those that go on in another block."""
+        columns = ["file", "ordinal", "first", "lines"]
+        held, of, first = [], None, 0
+        for f in frames:
+            out = []
+            for file, n, line in zip(f["file"], f["base"] + f["i"], f["value"], strict=True):
+                if of != (file, n // 4):
+                    if held:
+                        out.append((*of, first, held))
+                    held, of, first = [], (file, n // 4), n % 4
                 held.append(line)
                 if len(held) == 4:
-                    head, seq, _, qual = held
-                    read_id, _, rest = head[1:].partition(" ")
-                    rows.append((file, ordinal, read_id, rest, seq, qual))
-                    held, ordinal = [], ordinal + 1
-            yield pd.DataFrame(rows, columns=["file", "ordinal", "read_id", "description", "seq", "qual"])
-
-    return lines.mapInPandas(parse, "file string, ordinal long, read_id string, description string, seq string, qual string")
+                    out.append((*of, first, held))
+                    held, of = [], None
+            yield pd.DataFrame(out, columns=columns)
+        if held:
+            yield pd.DataFrame([(*of, first, held)], columns=columns)
+
+    rows = lines.mapInPandas(numbered, "file string, block long, value string, i long").join(F.broadcast(blocks) if small else blocks, ["file", "block"])
+    if not small:
+        rows = rows.repartition("file", "block").sortWithinPartitions("file", "block", "i")
+    parts = rows.select("file", "base", "i", "value").mapInPandas(gathered, "file string, ordinal long, first int, lines array<string>")
+    whole = parts.where("size(lines) = 4").select("file", "ordinal", "lines")
+    if not blocks.where("block > 0").isEmpty():  # only files of several blocks have shared records
+        shared = parts.where("size(lines) < 4").groupBy("file", "ordinal").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("first", "lines"))), lambda x: x["lines"])).alias("lines"))
+        whole = whole.unionByName(shared)
+    head = F.substring(F.col("lines")[0], 2, 1 << 30)
+    return whole.select("file", "ordinal", F.regexp_extract(head, r"^(\S*)", 1).alias("read_id"), F.regexp_extract(head, r"^\S*\s?(.*)$", 1).alias("description"), F.col("lines")[1].alias("seq"), F.col("lines")[3].alias("qual"))
+
+
+def merge_replicates(samples: DataFrame, reads: DataFrame) -> DataFrame:
+    """All reads of each sample's files as one table; files are matched by their names, and reads of other files are left out."""
+    name = lambda c: F.element_at(F.split(c, "/"), -1)
+    files = samples.select("sample", F.explode("fastqs").alias("fastq")).select("sample", name(F.col("fastq")).alias("name"))
+    return reads.withColumn("name", name(F.col("file"))).join(files, "name").select("sample", "file", "ordinal", "read_id", "description", "seq", "qual")
 
 
 def scan_gtf(spark: SparkSession, path: str) -> DataFrame:
-    """GTF rows, 0-based half-open, with a map of attributes."""
+    """GTF rows, 0-based half-open, with a map of attributes; values with or without quotes, of a repeated key the first."""
     rows = spark.read.csv(path, sep="\t", comment="#", quote="", schema="chrom string, source string, feature string, s int, e int, score string, strand string, frame string, attributes string")
-    keys = F.expr("regexp_extract_all(attributes, '([^\\\\s;]+) \"([^\"]*)\"', 1)")
-    values = F.expr("regexp_extract_all(attributes, '([^\\\\s;]+) \"([^\"]*)\"', 2)")
-    return rows.select("chrom", "source", "feature", (F.col("s") - 1).alias("start"), F.col("e").alias("end"), "score", "strand", "frame", F.map_from_arrays(keys, values).alias("attrs"))
+    part = lambda i: F.regexp_extract_all("attributes", F.lit(r'([^\s;]+)\s+("[^"]*"|[^;"]+)'), F.lit(i))
+    rows = rows.withColumns({"keys": part(1), "said": F.transform(part(2), lambda x: F.regexp_replace(F.trim(x), '^"|"$', ""))})
+    once = F.filter(F.transform("keys", lambda k, i: F.struct(k.alias("k"), F.get("said", i).alias("v"), i.alias("i"))), lambda x: F.array_position("keys", x["k"]) == x["i"] + 1)
+    entries = F.transform(F.coalesce(once, F.array().cast("array<struct<k:string,v:string,i:int>>")), lambda x: F.struct(x["k"], x["v"]))
+    return rows.select("chrom", "source", "feature", (F.col("s") - 1).alias("start"), F.col("e").alias("end"), "score", "strand", "frame", F.map_from_entries(entries).alias("attrs"))
 
 
-def scan_whitelist(spark: SparkSession, path: str) -> DataFrame:
+def exons_of(gtf: DataFrame) -> DataFrame:
+    """``(ref, gene, transcript, strand, start_, end_)``: the exons that the operators take."""
+    return gtf.where("feature = 'exon'").select(F.col("chrom").alias("ref"), F.col("attrs")["gene_id"].alias("gene"), F.col("attrs")["transcript_id"].alias("transcript"), "strand", F.col("start").alias("start_"), F.col("end").alias("end_"))
+
+
+def scan_whitelist(spark: SparkSession, path: str | None = None, kit: str | None = None, kits: dict[str, str] | None = None) -> DataFrame:
+    """The barcodes of a list: that of ``path``, else the one that ``kits`` names for the kit."""
+    path = path or (kits or {}).get(kit or "")
+    if not path:
+        raise ValueError("give a path, or a kit and the paths of the kits' lists")
     return spark.read.text(path).select(F.trim("value").alias("bc")).where("bc <> ''").distinct()
 
 
-def scan_sam(spark: SparkSession, path: str) -> DataFrame:
-    """SAM text: 0-based positions, and tags as a map."""
+def scan_sam(spark: SparkSession, path: str, sample: str | None = None) -> DataFrame:
+    """SAM text: 0-based positions, tags as a map, and the barcode tags and edit distance as columns.
+
+    The sample is ``sample``, else the name of the file up to its first dot. ``*`` is null.
+    """
     f = F.split("value", "\t")
     tags = F.map_from_entries(F.transform(F.slice(f, F.lit(12), F.greatest(F.size(f) - 11, F.lit(0))), lambda x: F.struct(F.substring(x, 1, 2), x.substr(F.lit(6), F.length(x)))))
-    rows = spark.read.text(path).where("value not like '@%' and value <> ''")
-    return rows.select(f[0].alias("qname"), f[1].cast("int").alias("flag"), f[2].alias("ref"), (f[3].cast("int") - 1).alias("pos"), f[4].cast("int").alias("mapq"), f[5].alias("cigar"), f[9].alias("seq"), f[10].alias("qual"), tags.alias("tags"))
+    name = F.lit(sample) if sample is not None else F.regexp_extract(F.col("_metadata.file_name"), r"^[^.]*", 0)
+    rows = spark.read.text(path).where("value not like '@%' and value <> ''").select(name.alias("sample"), f.alias("f"), tags.alias("tags"))
+    at = lambda i: F.nullif(F.col("f")[i], F.lit("*"))
+    return rows.select("sample", F.col("f")[0].alias("qname"), F.col("f")[1].cast("int").alias("flag"), at(2).alias("ref"), (F.col("f")[3].cast("int") - 1).alias("pos"), F.col("f")[4].cast("int").alias("mapq"), at(5).alias("cigar"), at(9).alias("seq"), at(10).alias("qual"), F.col("tags")["NM"].cast("int").alias("nm"), *[F.col("tags")[x].alias(x.lower()) for x in ("CR", "CY", "UR", "UY", "CB")], "tags")
 
 
 def scan_contigs(spark: SparkSession, path: str) -> DataFrame:
@@ -100,34 +168,82 @@ def split_by_reference(aln: DataFrame, path: str) -> DataFrame:
     return aln.sparkSession.read.schema(aln.schema).parquet(path).select(*aln.columns)
 
 
+def numbered_names(counts: DataFrame, side: str) -> DataFrame:
+    """``(i, name)`` of the distinct names of a side in their order, from 1: a range sort, and one row for each of its partitions."""
+    spark = counts.sparkSession
+    path = new_path(spark, f"{side}_names")
+    counts.select(F.col(side).alias("name")).distinct().repartitionByRange("name").sortWithinPartitions("name").withColumn("k", F.monotonically_increasing_id()).write.parquet(path)
+    names = spark.read.schema("name string, k long").parquet(path).select("name", F.expr("shiftright(k, 33)").alias("part"), (F.col("k") % (1 << 33)).alias("row"))
+    parts = names.groupBy("part").agg(F.count("*").alias("n"))
+    base = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    return names.join(F.broadcast(base), "part").select((F.col("base") + F.col("row") + 1).alias("i"), "name")
+
+
 def write_mex(counts: DataFrame, path: str) -> None:
-    """Matrix, features and barcodes; indices begin at 1 and follow the order of the names."""
-    for side in ("feature", "cell"):
-        ids = counts.select(side).distinct().orderBy(side)
-        ids.write.text(f"{path}/{side}s")
-    # distinct names are few against the entries; their ranks come from one ordered window over names
-    from pyspark.sql import Window
+    """``matrix.mtx`` with its header and line of sizes, ``features.tsv`` and ``barcodes.tsv``, each a folder of text parts in order.
 
-    number = lambda c: counts.select(c).distinct().withColumn(f"{c}_i", F.row_number().over(Window.orderBy(c)))
-    counts.join(number("feature"), "feature").join(number("cell"), "cell").select("feature_i", "cell_i", "n").write.csv(f"{path}/matrix", sep=" ")
+    Indices begin at 1 and are the lines' numbers in the two lists.
+    """
+    rows, cells = numbered_names(counts, "feature"), numbered_names(counts, "cell")
+    for names, file in ((rows, "features.tsv"), (cells, "barcodes.tsv")):
+        names.orderBy("i").select("name").write.text(f"{path}/{file}")
+    entries = counts.join(rows.toDF("f", "feature"), "feature").join(cells.toDF("c", "cell"), "cell").groupBy("f", "c").agg(F.sum("n").alias("n"))
+    head = entries.sparkSession.createDataFrame([(0, 0, f"%%MatrixMarket matrix coordinate real general\n{rows.count()} {cells.count()} {entries.count()}")], "f long, c long, value string")
+    body = entries.select("f", "c", F.concat_ws(" ", "f", "c", "n").alias("value"))
+    body.unionByName(head).orderBy("f", "c").select("value").write.text(f"{path}/matrix.mtx")
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(i, value)``: lines with their numbers, from 1, over the parts of a folder in the order of their names."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value").withColumn("k", F.monotonically_increasing_id())
+    held = new_path(spark, "lines")
+    lines.write.parquet(held)
+    lines = spark.read.schema("file string, block long, value string, k long").parquet(held)
+    parts = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("k").alias("first"))
+    base = parts.select("file", "block", "first", F.coalesce(F.sum("n").over(Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    return lines.join(base, ["file", "block"]).select((F.col("base") + F.col("k") - F.col("first") + 1).alias("i"), "value")
 
 
 def scan_mex(spark: SparkSession, path: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    names = lambda c: spark.read.text(f"{path}/{c}s").select(F.col("value").alias(c)).withColumn(f"{c}_i", F.row_number().over(Window.orderBy(c)))
-    entries = spark.read.csv(f"{path}/matrix", sep=" ", schema="feature_i int, cell_i int, n double")
-    return entries.join(names("feature"), "feature_i").join(names("cell"), "cell_i").select("feature", "cell", "n")
+    """``(feature, cell, n)``: indices are the lines' numbers in ``features.tsv`` and ``barcodes.tsv``, whose first column names."""
+    name = F.split("value", "\t")[0]
+    features, cells = (numbered_lines(spark, f"{path}/{x}.tsv").select("i", name.alias(y)) for x, y in (("features", "feature"), ("barcodes", "cell")))
+    lines = numbered_lines(spark, f"{path}/matrix.mtx").where("value not like '%\\%%'")
+    sizes = lines.agg(F.min("i").alias("i")).first().i  # the first line that is no comment
+    f = F.split(F.trim("value"), r"\s+")
+    entries = lines.where(F.col("i") != F.lit(sizes)).select(f[0].cast("long").alias("f"), f[1].cast("long").alias("c"), f[2].cast("double").alias("n"))
+    return entries.join(features, entries["f"] == features["i"]).drop("i").join(cells, F.col("c") == cells["i"]).select("feature", "cell", "n")
 
 
 def write_dense(counts: DataFrame, path: str) -> None:
-    counts.groupBy("feature").pivot("cell").agg(F.sum("n")).na.fill(0.0).write.csv(path, sep="\t", header=True)
+    """A line for each feature with the counts of all cells, 0.0 where there is none, below a line of the cells' names."""
+    cells = numbered_names(counts, "cell")
+    k = cells.count()
+    entries = counts.join(cells.toDF("c", "cell"), "cell").groupBy("feature", "c").agg(F.sum("n").alias("n"))
+    rows = entries.groupBy("feature").agg(F.collect_list(F.struct("c", "n")).alias("xs"))
+
+    def lines(frames):
+        for f in frames:
+            out = []
+            for feature, xs in zip(f["feature"], f["xs"], strict=True):
+                dense = ["0.0"] * k
+                for x in xs:
+                    dense[x["c"] - 1] = repr(float(x["n"]))
+                out.append((1, feature, "\t".join([feature, *dense])))
+            yield pd.DataFrame(out, columns=["place", "feature", "value"])
+
+    body = rows.mapInPandas(lines, "place int, feature string, value string")
+    names = cells.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "name"))), lambda x: x["name"]).alias("names"))
+    head = names.select(F.lit(0).alias("place"), F.lit("").alias("feature"), F.concat_ws("\t", F.lit("feature"), "names").alias("value"))
+    body.unionByName(head).orderBy("place", "feature").select("value").write.text(path)
 
 
 def scan_dense(spark: SparkSession, path: str) -> DataFrame:
-    """A file whose only data column is ``count`` counts as empty."""
-    wide = spark.read.csv(path, sep="\t", header=True)
-    cells = wide.columns[1:]
-    if len(cells) <= 1 and cells in ([], ["count"]):
+    """``(feature, cell, n)``. A file whose only data column is ``count`` counts as empty."""
+    lines = numbered_lines(spark, path)
+    head = lines.where("i = 1").select(F.posexplode(F.split("value", "\t")).alias("j", "cell")).where("j > 0")
+    if head.where("j > 1 or cell <> 'count'").isEmpty():
         return spark.createDataFrame([], "feature string, cell string, n double")
-    return wide.withColumnRenamed(wide.columns[0], "feature").select("feature", *[F.col(f"`{c}`").cast("double").alias(c) for c in cells]).unpivot("feature", cells, "cell", "n")
+    f = F.split("value", "\t")
+    rows = lines.where("i > 1").select(f[0].alias("feature"), F.posexplode(f).alias("j", "n")).where("j > 0")
+    return rows.join(head, "j").select("feature", "cell", F.col("n").cast("double").alias("n"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 import gzip
 
 import duckdb
+import numpy as np
 import pytest
 
-from loomseq.operators import barcodes, dedup, quant, reads
-from loomseq.plans import registry
+from loomseq.operators import alignments, barcodes, contigs, dedup, quant, reads
+from loomseq.plans import registry, registry_files  # noqa: F401
 from loomseq.sources import files
 
 SF = "/root/testdata/sf0.001"
@@ -93,3 +94,75 @@ def test_sql(spark, name):
     columns = sorted(got.columns)
     said = con.execute(f"select {', '.join(chr(34) + c + chr(34) for c in columns)} from ({registry.SQL[name]})").fetchall()
     assert sorted(map(str, (tuple(r) for r in got.select(*columns).collect()))) == sorted(map(str, said))
+
+
+def test_fastq_that_spark_splits(spark, tmp_path):
+    """Records come out whole and numbered however the file is split; a file that ends within a record is refused."""
+    want = [(i, f"r{i}", f"d {i}" if i % 2 else "", "ACGT" * (i % 7) + "A", "@" * (4 * (i % 7) + 1)) for i in range(3000)]
+    (tmp_path / "a.fastq").write_text("".join(f"@{n}{' ' + d if d else ''}\n{s}\n+\n{q}\n" for _, n, d, s, q in want))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3333")
+    try:
+        got = sorted((r.ordinal, r.read_id, r.description, r.seq, r.qual) for r in files.scan_fastq(spark, str(tmp_path / "a.fastq")).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == want
+    (tmp_path / "b.fastq").write_text("@r\nA\n+\nI\n@r2\nA\n")
+    with pytest.raises(ValueError, match="no whole records"):
+        files.scan_fastq(spark, str(tmp_path / "b.fastq"))
+
+
+def test_mex_of_another_program(spark, tmp_path):
+    """Names count by their lines, not by their order, and the line of sizes is no entry."""
+    (tmp_path / "features.tsv").write_text("GB\tname\nGA\tname\n")
+    (tmp_path / "barcodes.tsv").write_text("c2\nc1\n")
+    (tmp_path / "matrix.mtx").write_text("%%MatrixMarket matrix coordinate real general\n%\n2 2 2\n1 1 5\n2 2 1\n")
+    assert sorted(map(tuple, files.scan_mex(spark, str(tmp_path)).collect())) == [("GA", "c1", 1.0), ("GB", "c2", 5.0)]
+    m = spark.createDataFrame([("G2", "c1", 2.0), ("G1", "c3", 1.0)], "feature string, cell string, n double")
+    files.write_mex(m, str(tmp_path / "out"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "out" / "matrix.mtx")).collect()]
+    assert lines[:3] == ["%%MatrixMarket matrix coordinate real general", "2 2 2", "1 2 1.0"]
+    files.write_dense(m, str(tmp_path / "dense"))
+    assert sorted(map(tuple, files.scan_dense(spark, str(tmp_path / "dense")).collect())) == [("G1", "c1", 0.0), ("G1", "c3", 1.0), ("G2", "c1", 2.0), ("G2", "c3", 0.0)]
+    (tmp_path / "e.tsv").write_text("feature\tcount\nG\t1\n")
+    assert files.scan_dense(spark, str(tmp_path / "e.tsv")).count() == 0
+
+
+def test_gtf_attributes_and_sam_tags(spark, tmp_path):
+    (tmp_path / "a.gtf").write_text('c\tx\texon\t1\t9\t.\t-\t.\tgene_id "G;1"; exon_number 2; tag "a"; tag "b"; transcript_id "T";\nc\tx\tgene\t1\t9\t.\t-\t.\t.\n')
+    gtf = files.scan_gtf(spark, str(tmp_path / "a.gtf"))
+    assert gtf.where("feature = 'exon'").first().attrs == {"gene_id": "G;1", "exon_number": "2", "tag": "a", "transcript_id": "T"}
+    assert list(map(tuple, files.exons_of(gtf).collect())) == [("c", "G;1", "T", "-", 0, 9)]
+    (tmp_path / "S1.sam").write_text("r\t16\t*\t0\t0\t*\t*\t0\t0\t*\t*\nq\t0\tc\t5\t60\t4M\t*\t0\t0\tACGT\tIIII\tNM:i:2\tCB:Z:AA\n")
+    got = {r.qname: (r.sample, r.ref, r.pos, r.nm, r.cb, r.cr) for r in files.scan_sam(spark, str(tmp_path / "S1.sam")).collect()}
+    assert got == {"r": ("S1", None, -1, None, None, None), "q": ("S1", "c", 4, 2, "AA", None)}
+
+
+def test_molecules_begin_at_five_prime(spark):
+    rows = [("a", 0, 100, "10M"), ("b", 0, 103, "3S7M"), ("c", 16, 90, "20M"), ("d", 16, 95, "5H10M2N1I1D2M"), ("e", 16, 95, "13M2S3H"), ("f", 0, 100, None)]
+    aln = spark.createDataFrame([("S", q, f, "c", p, 9, c, "ACGT", "IIII", "C", "U", "B") for q, f, p, c in rows], "sample string, qname string, flag int, ref string, pos int, mapq int, cigar string, seq string, qual string, cr string, ur string, cb string")
+    placed = aln.withColumn("five", alignments.five_prime())
+    assert {r.qname: r.five for r in placed.collect()} == {"a": 100, "b": 100, "c": 110, "d": 110, "e": 110, "f": 100}
+    assert {r.qname for r in alignments.umi_dedup_exact(placed, place="five").collect()} == {"a", "c"}
+    assert {r.qname for r in alignments.mark_duplicates(placed, place="five").where("is_dup").collect()} == {"b", "d", "e", "f"}
+
+
+def test_alignments_of_one_name_stay_apart(spark):
+    aln = spark.createDataFrame([("S", "r", 0, "c1", 10, "20M"), ("S", "r", 256, "c2", 500, "20M")], "sample string, qname string, flag int, ref string, pos int, cigar string")
+    exons = spark.createDataFrame([("c1", "G1", "T1", 0, 100), ("c2", "G2", "T2", 400, 600)], "ref string, gene string, transcript string, start_ int, end_ int")
+    got = quant.assign_genes(alignments.aligned_blocks(alignments.with_aln_id(aln)), exons)
+    assert sorted((r.gene, r["class"]) for r in got.collect()) == [("G1", "unique"), ("G2", "unique")]
+
+
+def test_contigs_by_minimizers(spark):
+    draw = np.random.default_rng(2)
+    made = {f"c{i}": "".join(draw.choice(list("ACGT"), 2000)) for i in range(3)}
+    turn = lambda x: x[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    reads = [("S", "a", made["c0"][500:900]), ("S", "b", turn(made["c1"][100:700])), ("S", "c", "ACGT"), ("S", "d", None), ("S", "e", "N" * 50 + made["c2"][:300])]
+    got = contigs.assign_contigs(spark.createDataFrame(reads, "sample string, read_id string, seq string"), spark.createDataFrame(list(made.items()), "ref string, seq string"))
+    assert {r.read_id: (r.ref, r.strand) for r in got.collect()} == {"a": ("c0", "+"), "b": ("c1", "-"), "e": ("c2", "+")}
+
+
+@pytest.mark.parametrize("name", ["scan_mex", "feature_regions", "read_distribution", "yield_over_time", "mark_duplicates_five_prime"])
+def test_further_sql(spark, name):
+    test_sql(spark, name)
