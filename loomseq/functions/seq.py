@@ -35,3 +35,9 @@ def kit_column(kit: Column, part: int) -> Column:
     for name, lengths in KITS.items():
         out = (F.when if out is None else out.when)(kit == name, lengths[part])
     return out
+
+
+def transcript_id(header: Column, delimiter: str = "") -> Column:
+    """The transcript of a FASTA header: its first word without ``>``, cut at the delimiter where one is given."""
+    first = F.regexp_extract(header, r"^>?(\S*)", 1)
+    return F.substring_index(first, delimiter, 1) if delimiter else first

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.seq import mean_quality
+
 UNMAPPED, REVERSE, SECONDARY, QC_FAIL, DUPLICATE, SUPPLEMENTARY = 4, 16, 256, 512, 1024, 2048
 
 
@@ -152,3 +154,30 @@ def percent_identity(blocks: DataFrame, aln: DataFrame) -> DataFrame:
     size = blocks.groupBy("sample", "qname").agg(F.sum(F.col("end_") - F.col("start_")).alias("aligned"))
     return size.join(aln.select("sample", "qname", "nm"), ["sample", "qname"]).select("sample", "qname", F.round(100 * (1 - F.col("nm") / F.col("aligned")), 6).alias("identity"))
 
+
+
+def flagstat_by_quality(aln: DataFrame) -> DataFrame:
+    """``flagstat`` apart for alignments that pass and fail quality checks, with what pairs add to it."""
+    n = lambda c: F.count_if(c)
+    paired, mapped, mate = has(1) & ~has(SECONDARY) & ~has(SUPPLEMENTARY), ~has(UNMAPPED), ~has(8)
+    return aln.groupBy("sample", F.when(has(QC_FAIL), "failed").otherwise("passed").alias("qc")).agg(
+        F.count("*").alias("total"), n(~has(SECONDARY) & ~has(SUPPLEMENTARY)).alias("primary_n"), n(mapped).alias("mapped"), n(mapped & ~has(SECONDARY) & ~has(SUPPLEMENTARY)).alias("primary_mapped"), n(has(DUPLICATE)).alias("duplicates"),
+        n(paired).alias("paired"), n(paired & has(64)).alias("read1"), n(paired & has(128)).alias("read2"), n(paired & has(2) & mapped).alias("proper"), n(paired & mapped & mate).alias("both_mapped"), n(paired & mapped & ~mate).alias("singletons"),
+    )
+
+
+def idxstats_shares(stats: DataFrame) -> DataFrame:
+    """``idxstats`` with each contig's share of the mapped reads, and that over its share of the bases; null where nothing is mapped."""
+    whole = stats.groupBy("sample").agg(F.sum("mapped").alias("all_mapped"), F.sum("length").alias("all_length"))  # one row a sample
+    share = F.try_divide(F.col("mapped"), F.col("all_mapped"))
+    return stats.join(F.broadcast(whole), "sample").select("sample", "ref", "length", "mapped", "unmapped", F.round(share, 6).alias("share"), F.round(F.try_divide(share, F.try_divide(F.col("length"), F.col("all_length"))), 6).alias("observed_expected"))
+
+
+def alignment_histograms(aln: DataFrame) -> DataFrame:
+    """``(sample, kind, value, n)``: mapping qualities of mapped alignments, and lengths and rounded mean qualities of reads."""
+    kinds = F.array(
+        F.struct(F.lit("mapq").alias("kind"), F.when(~has(UNMAPPED), F.col("mapq").cast("long")).alias("value")),
+        F.struct(F.lit("length").alias("kind"), F.length("seq").cast("long").alias("value")),
+        F.struct(F.lit("quality").alias("kind"), F.floor(mean_quality(F.col("qual")) + 1e-9).cast("long").alias("value")),
+    )
+    return aln.select("sample", F.explode(kinds).alias("x")).where("x.value is not null").groupBy("sample", "x.kind", "x.value").agg(F.count("*").alias("n"))

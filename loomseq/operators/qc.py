@@ -135,3 +135,15 @@ def quality_quantiles(reads: DataFrame, shares: tuple[float, ...] = (0.1, 0.25,
     w = Window.partitionBy("sample", "pos")
     bins = bins.withColumns({"upto": F.sum("n").over(w.orderBy("q")), "whole": F.sum("n").over(w)})
     return bins.groupBy("sample", "pos").agg(*[F.min(F.when(F.col("upto") >= s * F.col("whole"), F.col("q"))).alias(f"q{round(100 * s)}") for s in shares])
+
+
+def read_quality_stats(reads: DataFrame, cuts: tuple[int, ...] = (10, 12, 15), top: int = 5) -> DataFrame:
+    """Per sample mean and median quality, megabases over the cuts, and the ``top`` longest and best reads as ``length:quality``."""
+    rows = reads.select("sample", "read_id", F.length("seq").alias("len"), F.round(mean_quality(F.col("qual")), 6).alias("q"))
+    main = rows.groupBy("sample").agg(F.round(F.avg("q"), 4).alias("mean_q"), F.round(F.percentile("q", F.lit(0.5)), 4).alias("median_q"), *[F.round(F.sum(F.when(F.col("q") > c, F.col("len")).otherwise(0)) / 1e6, 6).alias(f"mb_over_q{c}") for c in cuts])
+    # partial heaps of a few rows for each task, not a sort of all reads
+    for name, order in (("longest", ("len", "q")), ("best", ("q", "len"))):
+        rank = F.row_number().over(Window.partitionBy("sample").orderBy(*map(F.desc, order), "read_id"))
+        best = rows.withColumn("r", rank).where(F.col("r") <= top).groupBy("sample").agg(F.array_sort(F.collect_list(F.struct("r", F.concat_ws(":", F.col("len").cast("string"), F.round("q", 1).cast("string")).alias("said")))).alias("x"))
+        main = main.join(best.select("sample", F.concat_ws(",", F.col("x.said")).alias(name)), "sample")
+    return main

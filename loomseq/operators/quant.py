@@ -73,23 +73,28 @@ def count_matrix(assigned: DataFrame, cells: DataFrame, feature: str = "gene", c
     return assigned.where(F.col("class").isin(*classes)).join(cells, ["sample", "qname"]).groupBy("sample", F.col(feature).alias("feature"), F.col("cb").alias("cell")).agg(F.count("*").cast("double").alias("n"))
 
 
-def em_quantify(compatible: DataFrame, rounds: int = 10) -> DataFrame:
+def em_quantify(compatible: DataFrame, rounds: int = 10, tol: float | None = None) -> DataFrame:
     """Expected molecules per (sample, cell, transcript) by expectation maximisation over compatible transcripts.
 
-    Reads of a cell with the same set of transcripts are one equivalence class with a weight, so the loop runs over classes. Each round is
-    two aggregations; every few rounds the estimate is checkpointed.
+    Reads of a cell with the same set of transcripts are one equivalence class with a weight and a number, so the loop runs
+    over classes and joins on integers. Every few rounds the estimate is checkpointed; with ``tol``, rounds end there when no
+    estimate has changed by more since the round before, after ``rounds`` at the latest.
     """
     sets = compatible.groupBy("sample", "cell", "qname").agg(F.array_sort(F.collect_set("transcript")).alias("txs"))
-    classes = sets.groupBy("sample", "cell", "txs").agg(F.count("*").alias("w")).select("sample", "cell", "txs", "w", F.explode("txs").alias("transcript"))
-    classes = checkpointed(classes)
+    weights = sets.groupBy("sample", "cell", "txs").agg(F.count("*").alias("w"))
+    weights = checkpointed(weights.withColumn("class", F.monotonically_increasing_id()))
+    classes = checkpointed(weights.select("sample", "cell", "class", "w", F.size("txs").alias("k"), F.explode("txs").alias("transcript")))
     keys = ["sample", "cell"]
-    theta = classes.groupBy(*keys, "transcript").agg(F.sum(F.col("w") / F.size("txs")).alias("n"))
+    theta = classes.groupBy(*keys, "transcript").agg(F.sum(F.col("w") / F.col("k")).alias("n"))
     for i in range(rounds):
+        before = theta
         joined = classes.join(theta, [*keys, "transcript"])
-        total = joined.groupBy(*keys, "txs").agg(F.sum("n").alias("all"))
-        theta = joined.join(total, [*keys, "txs"]).groupBy(*keys, "transcript").agg(F.sum(F.col("w") * F.col("n") / F.col("all")).alias("n"))
+        total = joined.groupBy("class").agg(F.sum("n").alias("all"))
+        theta = joined.join(total, "class").groupBy(*keys, "transcript").agg(F.sum(F.col("w") * F.col("n") / F.col("all")).alias("n"))
         if i % 3 == 2:
             theta = checkpointed(theta)
+            if tol is not None and before.withColumnRenamed("n", "was").join(theta, [*keys, "transcript"]).where(F.abs(F.col("n") - F.col("was")) > tol).isEmpty():
+                break
     return theta
 
 

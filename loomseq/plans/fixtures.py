@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.shared import new_path
+
 _HEX, _B4, _Q = "0123456789abcdef", "ACGTACGTACGTACGT", "$&(*,.02468:<>@B"
 _dna = lambda x: f"translate({x}, '{_HEX}', '{_B4}')"
 _qual = lambda x: f"translate({x}, '{_HEX}', '{_Q}')"
@@ -45,6 +47,14 @@ def sql(spark: SparkSession, sf_dir: str, tail: str) -> DataFrame:
     return spark.sql(tail.replace("FROM lineitem", "FROM {lineitem}"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 
-def fixture(spark: SparkSession, sf_dir: str, cte: str, name: str) -> DataFrame:
-    """One derived table, such as ``READS`` as ``reads``."""
-    return sql(spark, sf_dir, f"{FX}, {GENES + ', ' if cte == EXONS else ''}{cte} SELECT * FROM {name}")
+_written: dict[tuple[str, str], str] = {}
+
+
+def written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx`` of a folder, written to the shared folder when it is first asked for."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        path = new_path(spark, "fx")
+        sql(spark, sf_dir, f"{FX} SELECT * FROM fx").write.parquet(path)
+        _written[key] = path
+    return spark.read.parquet(_written[key])

@@ -22,13 +22,14 @@ ORDER = list(CTE)
 
 
 class Tables:
-    """The derived tables of one folder, by name."""
+    """The derived tables of one folder, by name; what they share is derived once for each folder and session, and written."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return fx.sql(self.spark, self.sf_dir, f"{fx.FX}, {CTE[name]} SELECT * FROM {name}" if name != "fx" else f"{fx.FX} SELECT * FROM fx")
+        fixture = fx.written(self.spark, self.sf_dir)
+        return fixture if name == "fx" else self.spark.sql(f"WITH {CTE[name]} SELECT * FROM {name}".replace("FROM fx", "FROM {fx}"), fx=fixture)
 
 
 def query(name: str, run: Callable[[Tables], DataFrame], sql: str | None = None, uses: str = "") -> None:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.seq import transcript_id
 from ..operators import alignments as al
 from ..operators import contigs, dedup, qc, quant
 from ..sources import files
 from ..sources.shared import new_path
-from . import fixtures as fx
-from .registry import STRAND, Tables, query
+from . import registry
+from .registry import MEANQ, STRAND, Tables, query
 
 MAPPED = "flag & 4 = 0"
 
@@ -184,3 +185,28 @@ TAGGED = "SELECT a.sample, concat_ws('_', a.qname, i.bc, i.umi) AS qname, a.flag
 partly = lambda t: t.aln.select("sample", F.concat("qname", F.lit("_old")).alias("qname"), "flag", "ref", "pos", F.expr("case when mapq % 2 = 0 then cr end").alias("cr"))
 twice = lambda t: t.bc_info.withColumns({"corrected_bc": F.col("bc"), "ordinal": F.lit(2)}).unionByName(t.bc_info.withColumns({"bc": F.lit("Z"), "corrected_bc": F.lit("Z"), "ordinal": F.lit(1)}))
 query("tag_alignments", lambda t: al.tag_alignments(partly(t), twice(t)), TAGGED, "bc_info aln")
+
+# fuller statistics of alignments and reads
+PAIRED = ", paired AS (SELECT * REPLACE (cast(flag | CASE WHEN mapq % 2 = 0 THEN 1 | (CASE WHEN mapq % 3 = 0 THEN 2 | 64 ELSE 128 END) | (CASE WHEN mapq % 5 = 0 THEN 8 ELSE 0 END) ELSE 0 END | CASE WHEN mapq % 7 = 0 THEN 512 ELSE 0 END AS int) AS flag) FROM aln)"
+paired = lambda t: t.aln.withColumn("flag", F.expr("cast(flag | case when mapq % 2 = 0 then 1 | (case when mapq % 3 = 0 then 2 | 64 else 128 end) | (case when mapq % 5 = 0 then 8 else 0 end) else 0 end | case when mapq % 7 = 0 then 512 else 0 end as int)"))
+FIRST = "flag & 2304 = 0"
+COUNTS = {"primary_n": FIRST, "mapped": "flag & 4 = 0", "primary_mapped": f"flag & 4 = 0 AND {FIRST}", "duplicates": "flag & 1024 <> 0", "paired": f"flag & 1 <> 0 AND {FIRST}", "read1": f"flag & 1 <> 0 AND {FIRST} AND flag & 64 <> 0", "read2": f"flag & 1 <> 0 AND {FIRST} AND flag & 128 <> 0", "proper": f"flag & 1 <> 0 AND {FIRST} AND flag & 2 <> 0 AND flag & 4 = 0", "both_mapped": f"flag & 1 <> 0 AND {FIRST} AND flag & 12 = 0", "singletons": f"flag & 1 <> 0 AND {FIRST} AND flag & 4 = 0 AND flag & 8 <> 0"}
+query("flagstat_by_quality", lambda t: al.flagstat_by_quality(paired(t)), PAIRED + " SELECT sample, CASE WHEN flag & 512 <> 0 THEN 'failed' ELSE 'passed' END AS qc, count(*) AS total, " + ", ".join(f"count(*) FILTER ({v}) AS {k}" for k, v in COUNTS.items()) + " FROM paired GROUP BY 1, 2", "aln")
+lengths = lambda t: t.fx.groupBy("sample", "ref").agg(F.max("pos").cast("long").alias("length"))
+query("idxstats_shares", lambda t: al.idxstats_shares(al.idxstats(t.aln, lengths(t))), ", stats AS (SELECT sample, ref, cast(max(pos) AS bigint) AS length, count(*) FILTER (flag & 4 = 0) AS mapped, count(*) FILTER (flag & 4 <> 0) AS unmapped FROM aln GROUP BY 1, 2) SELECT *, round(mapped / sum(mapped) OVER w, 6) AS share, round((mapped / sum(mapped) OVER w) / (length / sum(length) OVER w), 6) AS observed_expected FROM stats WINDOW w AS (PARTITION BY sample)", "aln")
+query("alignment_histograms", lambda t: al.alignment_histograms(t.aln), f", vs AS (SELECT sample, 'mapq' AS kind, cast(mapq AS bigint) AS value FROM aln WHERE {MAPPED} UNION ALL SELECT sample, 'length', length(seq) FROM aln UNION ALL SELECT sample, 'quality', cast(floor({MEANQ} + 1e-9) AS bigint) FROM aln) SELECT sample, kind, value, count(*) AS n FROM vs GROUP BY ALL", "aln")
+TOP = "string_agg(concat(cast(len AS string), ':', cast(round(q, 1) AS string)), ',' ORDER BY r)"
+query("read_quality_stats", lambda t: qc.read_quality_stats(t.reads), f", q AS (SELECT sample, read_id, length(seq) AS len, round({MEANQ}, 6) AS q FROM reads), l AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY len DESC, q DESC, read_id) AS r FROM q), b AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY q DESC, len DESC, read_id) AS r FROM q) SELECT * FROM (SELECT sample, round(avg(q), 4) AS mean_q, round(quantile_cont(q, 0.5), 4) AS median_q, " + ", ".join(f"round(sum(CASE WHEN q > {c} THEN len ELSE 0 END) / 1e6, 6) AS mb_over_q{c}" for c in (10, 12, 15)) + f" FROM q GROUP BY 1) JOIN (SELECT sample, {TOP} AS longest FROM l WHERE r <= 5 GROUP BY 1) USING (sample) JOIN (SELECT sample, {TOP} AS best FROM b WHERE r <= 5 GROUP BY 1) USING (sample)", "reads")
+
+# each alignment by itself, and estimates that have settled
+BY = f"SELECT sample, qname, aln, ref, start_, end_ FROM (SELECT sample, qname, 0 AS aln, ref, pos AS start_, CASE WHEN cigar LIKE '%N%' THEN pos + 10 ELSE pos + length(seq) END AS end_ FROM aln WHERE {MAPPED} UNION ALL SELECT sample, qname, 0, ref, pos + 410, pos + 400 + length(seq) FROM aln WHERE {MAPPED} AND cigar LIKE '%N%')"
+TWO = f", one AS ({BY}), blocks AS (SELECT * FROM one UNION ALL SELECT sample, qname, 1, ref, start_ + 1000, end_ + 1000 FROM one), ex AS (SELECT DISTINCT ref, gene, start_ AS es, end_ AS ee FROM exons), hits AS (SELECT sample, qname, aln, gene, sum(least(end_, ee) - greatest(start_, es)) AS n FROM blocks JOIN ex ON blocks.ref = ex.ref AND start_ < ee AND es < end_ GROUP BY ALL), tops AS (SELECT sample, qname, aln, min(gene) AS gene, count(*) AS k FROM (SELECT *, max(n) OVER (PARTITION BY sample, qname, aln) AS top FROM hits) WHERE n = top GROUP BY ALL), body AS (SELECT sample, qname, aln, min(gene) AS body FROM blocks JOIN (SELECT ref, gene, min(start_) AS es, max(end_) AS ee FROM exons GROUP BY 1, 2) e ON blocks.ref = e.ref AND start_ < ee AND es < end_ GROUP BY ALL)"
+both = lambda t: al.with_aln_id(t.aln.where(MAPPED).unionByName(t.aln.where(MAPPED).withColumn("pos", F.col("pos") + 1000)))
+query("assign_genes_by_alignment", lambda t: quant.assign_genes(al.aligned_blocks(both(t)), t.exons).select("sample", "qname", "gene", "class"), TWO + " SELECT sample, qname, coalesce(gene, body) AS gene, CASE WHEN k = 1 THEN 'unique' WHEN k > 1 THEN 'ambiguous' WHEN body IS NOT NULL THEN 'intronic' ELSE 'none' END AS class FROM (SELECT DISTINCT sample, qname, aln FROM blocks) LEFT JOIN tops USING (sample, qname, aln) LEFT JOIN body USING (sample, qname, aln)", "aln exons")
+query("em_converged", lambda t: quant.em_quantify(quant.assign_transcripts(al.aligned_blocks(t.aln), quant.assign_genes(al.aligned_blocks(t.aln), t.exons), t.exons, 60).join(t.aln.select("sample", "qname", F.col("cb").alias("cell")), ["sample", "qname"]), 60, 1e-4))
+
+# policies of counting, headers of transcripts, distances of UMIs
+GENED = registry.GENE + " SELECT sample, gene AS feature, cb AS cell, cast(count(*) AS double) AS n FROM assigned JOIN aln USING (sample, qname) WHERE class IN ('unique', 'intronic') GROUP BY 1, 2, 3"
+query("count_matrix_introns", lambda t: quant.count_matrix(quant.assign_genes(al.aligned_blocks(t.aln), t.exons), t.aln.select("sample", "qname", "cb"), classes=("unique", "intronic")), GENED, "aln exons")
+query("transcript_id", lambda t: t.fx.select("read_id", transcript_id(F.concat(F.lit(">T"), "read_id", F.lit("|G"), F.col("gene_no").cast("string"), F.lit(" a gene")), "|").alias("transcript")), "SELECT read_id, concat('T', read_id) AS transcript FROM fx")
+query("umi_distances", lambda t: dedup.umi_distances(t.aln), f", u AS (SELECT DISTINCT sample, ref, {STRAND} AS strand, pos, cr, ur FROM aln WHERE {MAPPED}), pairs AS (SELECT a.sample, a.ref, a.strand, a.pos, a.cr, avg(hamming(a.ur, b.ur)) AS mean FROM u a JOIN u b ON a.sample = b.sample AND a.ref = b.ref AND a.strand = b.strand AND a.pos = b.pos AND a.cr = b.cr AND a.ur < b.ur GROUP BY ALL) SELECT sample, cast(floor(mean + 1e-9) AS bigint) AS distance, count(*) AS places FROM pairs GROUP BY 1, 2", "aln")
