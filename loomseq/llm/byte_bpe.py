@@ -8,6 +8,9 @@ when they are popped. Work on a piece of n bytes is O(n log n), whatever its len
 Short pieces that a worker meets for the first time share one queue: they lie one behind the other in one linked list, no
 pair crosses from one to the next, and what waits in a bucket is merged at once, one entry of each piece.
 
+Texts are cut where white space begins, as no match of the pattern crosses there, and each segment is encoded once and
+remembered.
+
 Rows: one for each input row, repeated ones included. Null or empty text: no ids. Other columns are not carried.
 """
 
@@ -15,24 +18,30 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 from collections.abc import Iterator
+from hashlib import sha256
 from heapq import heappop, heappush
 from struct import pack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import documents, per_slice, sliced, texts_of
+from .common import documents, per_slice, sliced, utf8_of
+from .segments import WIDTH, Memo, gathered, in_parts, joined
 
 #: White space of Unicode, as the split pattern's ``\s`` means it.
 SPACE = "\t-\r \x85\xa0  -     　"
-#: Pieces of text that a worker remembers with their ids, and the longest one remembered (characters).
-CACHE_ENTRIES, CACHE_PIECES, CACHE_CHARS = 400_000, 150_000, 48
+#: Segments and pieces of text that a worker remembers with their ids, and the longest one remembered (bytes).
+CACHE_ENTRIES, CACHE_PIECES, CACHE_BYTES = 1_000_000, 100_000, 48
+#: The characters of ``SPACE`` beyond ASCII, as integers of their UTF-8 bytes.
+WIDE_SPACE = [int.from_bytes(c.encode(), "big") for c in map(chr, range(0x80, 0x3001)) if re.match(f"[{SPACE}]", c)]
+#: Tokens that are decoded at once.
+DECODED = 1 << 18
 LEAF = 8  # a leaf of the bitmap covers 2**LEAF ranks
-#: Characters of the texts whose new pieces share a queue, and the longest piece that does (bytes).
-GROUP_CHARS, SHORT = 2_000_000, 64
+#: Bytes of the texts whose new pieces share a queue (rows are added in such numbers), and the longest piece that does.
+GROUP_BYTES, GROUP_ROWS, SHORT = 2_500_000, 128, 64
 NONE = np.int32(2**31 - 1)  # no rank
 
 
@@ -190,22 +199,39 @@ def merge_many(pieces: list[bytes], single: np.ndarray, pairs: Pairs) -> list[by
     return [ids[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
 
 
+def segments_of(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where segments begin and end: at each text, and at each blank of ASCII behind a character that is no white space."""
+    body = raw[: len(raw) - WIDTH]
+    blank = (body == 32) | (body >= 9) & (body <= 13)
+    at = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
+    odd = at[(body[at - 1] >= 0x80) & (at >= 3)]  # behind other characters: is it one of Unicode's white space?
+    if len(odd):
+        one, two, three = (body[odd - i].astype(np.int64) for i in (1, 2, 3))
+        pair = two << 8 | one
+        space = np.isin(pair, WIDE_SPACE) | np.isin(three << 16 | pair, WIDE_SPACE)
+        at = np.setdiff1d(at, odd[space], assume_unique=True)
+    begin = np.zeros(len(body) + 1, bool)
+    begin[at[(body[at - 1] < 0x80) | (at >= 3)]] = True
+    begin[bounds] = True
+    begins = np.flatnonzero(begin[:-1])
+    return begins, np.append(begins[1:], bounds[-1])[: len(begins)]
+
+
 class ByteBpe:
     """Encoder and decoder of one rank file."""
 
     def __init__(self, path: str, pattern: str) -> None:
-        import re
-
         import regex
 
         self.ranks = load_ranks(path)
-        self.vocabulary = {rank: token for token, rank in self.ranks.items()}
-        self.size = [len(self.vocabulary.get(i, b"")) for i in range(max(self.vocabulary, default=-1) + 1)]
+        vocabulary = {rank: token for token, rank in self.ranks.items()}
+        self.size = [len(vocabulary.get(i, b"")) for i in range(max(vocabulary, default=-1) + 1)]
+        self.token_bytes = np.frombuffer(b"".join(vocabulary.get(i, b"") for i in range(len(self.size))), np.uint8)
+        self.token_sizes = np.array(self.size, np.int64)
+        self.token_begins = np.cumsum(self.token_sizes) - self.token_sizes
         # ``\s`` differs between libraries at the separators U+001C to U+001F; the class says what is meant
         self.pieces = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]")).findall
-        self.double_space = re.compile(f"[{SPACE}][{SPACE}]|[{SPACE}]\\Z").search
-        self.segments = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+\\Z").findall
-        self.known: dict[str, bytes] = {}
+        self.memo = Memo(self._segment_ids, CACHE_ENTRIES, CACHE_BYTES)
         self.known_pieces: dict[str, bytes] = {}
         # a byte without a rank, which no usual vocabulary has, sends every piece to the lone queue
         self.single = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
@@ -235,39 +261,55 @@ class ByteBpe:
             out.update(zip(short, merge_many(list(short.values()), self.single, self.pairs), strict=True))
         return out
 
-    def _segments(self, text: str) -> list[str]:
-        """No match of the pattern crosses from a character that isn't white space to white space, so the text is cut
-        there into segments, of which most occur again and again.
-        """
-        if self.double_space(text):
-            return self.segments(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
-
-    def encode_group(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers; what is new to the worker is learnt together."""
-        known, known_pieces = self.known, self.known_pieces
-        split = [self._segments(x) for x in texts]
-        new = {x: self.pieces(x) for x in set().union(*split).difference(known)}
-        ids = self._learnt({p for found in new.values() for p in found if p not in known_pieces})
-        room, room_pieces = len(known) < CACHE_ENTRIES, len(known_pieces) < CACHE_PIECES  # frequent ones come early
-        known_pieces.update(ids)
-        known.update((x, known_pieces[found[0]] if len(found) == 1 else b"".join(map(known_pieces.__getitem__, found))) for x, found in new.items())
-        out = [b"".join(map(known.__getitem__, segments)) for segments in split]
-        several = {p for found in new.values() if len(found) > 1 for p in found}
+    def _segment_ids(self, segments: list[bytes]) -> list[bytes]:
+        """Ids of segments that the worker does not know."""
+        known = self.known_pieces
+        split = [self.pieces(x.decode()) for x in segments]
+        new = {p for found in split for p in found if p not in known}
+        parts = list(new.intersection(p for found in split if len(found) > 1 for p in found))  # may be known as segments
+        ids = {p: x for p, x in zip(parts, self.memo.get([p.encode() for p in parts]), strict=True) if x is not None}
+        ids |= self._learnt(new.difference(ids))
+        room = len(known) < CACHE_PIECES  # frequent ones come early
+        known.update(ids)
+        out = [known[found[0]] if len(found) == 1 else b"".join(map(known.__getitem__, found)) for found in split]
+        several = {p for found in split if len(found) > 1 for p in found}  # others are remembered as segments
         for p in ids:
-            if not room_pieces or len(p) > CACHE_CHARS or p not in several:
-                del known_pieces[p]
-        for x in new:
-            if not room or len(x) > CACHE_CHARS:
-                del known[x]
+            if not room or len(p) > CACHE_BYTES or p not in several:
+                del known[p]
         return out
 
+    def _group(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        raw, bounds = joined(texts)
+        begins, ends = segments_of(raw, bounds)
+        ids, counts = self.memo.encode(raw, begins, ends)
+        return ids.view(np.int32), np.append(0, np.cumsum(counts))[np.searchsorted(begins, bounds)]
+
+    def encode_group(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, one behind the other, and where each text's begin and the last one's end."""
+        return in_parts(texts, self._group)
+
     def encode(self, text: str) -> bytes:
-        return self.encode_group([text])[0]
+        return self.encode_group([text.encode()])[0].tobytes()
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all tokens, one behind the other, and where each token's begin and the last one's end."""
+        return _spelt(ids, self.token_bytes, self.token_begins, self.token_sizes)
+
+    @functools.cached_property
+    def decimals(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each id in decimal digits with a blank behind them: bytes, begins, sizes."""
+        said = [b"%d " % i for i in range(len(self.size))]
+        sizes = np.array([len(x) for x in said], np.int64)
+        return np.frombuffer(b"".join(said), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+    def spelt(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids in decimal digits, a blank behind each, and where each begins and the last one ends."""
+        return _spelt(ids, *self.decimals)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.vocabulary.__getitem__, ids))
+
+def _spelt(ids: np.ndarray, flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    parts = [ids[i : i + DECODED] for i in range(0, len(ids), DECODED)]
+    return np.concatenate([np.zeros(0, np.uint8), *[gathered(flat, begins[x], sizes[x]) for x in parts]]), np.append(0, np.cumsum(sizes[ids]))
 
 
 @functools.lru_cache(2)
@@ -275,31 +317,29 @@ def _codec(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
+def _grouped(batches: Iterator[pa.RecordBatch], codec: ByteBpe, key: str, text: str) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Keys of some rows, the ids of their texts one behind the other, and where each text's begin and the last one's end."""
+    keys: list[pa.Array] = []
+    texts: list[bytes] = []
+    held = 0
+    for batch in batches:
+        for few in sliced([batch], GROUP_ROWS):
+            keys.append(few.column(key))
+            texts += utf8_of(few, text)
+            held += sum(map(len, texts[-few.num_rows :]))
+            if held >= GROUP_BYTES:
+                yield pa.concat_arrays(keys), *codec.encode_group(texts)
+                keys, texts, held = [], [], 0
+    if texts:
+        yield pa.concat_arrays(keys), *codec.encode_group(texts)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(key, ids array<int>)`` of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(path, pattern)
-        keys: list[pa.Array] = []
-        texts: list[str] = []
-        held = 0
-
-        def flush() -> pa.RecordBatch:
-            packed = codec.encode_group(texts)
-            offsets = np.cumsum([0, *[len(x) // 4 for x in packed]], dtype="i4")
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
-            return pa.RecordBatch.from_arrays([pa.concat_arrays(keys), ids], [key, "ids"])
-
-        for batch in batches:
-            for few in sliced([batch]):
-                keys.append(few.column(key))
-                texts += texts_of(few, text)
-                held += sum(map(len, texts[-few.num_rows :]))
-                if held >= GROUP_CHARS:
-                    yield flush()
-                    keys, texts, held = [], [], 0
-        if texts:
-            yield flush()
+        for keys, ids, at in _grouped(batches, _codec(path, pattern), key, text):
+            yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))], [key, "ids"])
 
     rows = documents(docs, key, text)
     return rows.mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, ids array<int>")
@@ -312,8 +352,12 @@ def decode(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id") ->
         codec = _codec(path, pattern)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            back = pa.array([codec.decode(x or []) for x in batch.column("ids").to_pylist()], pa.binary())
-            return pa.RecordBatch.from_arrays([batch.column(key), batch.column("ids"), back], [key, "ids", "bytes"])
+            lists = batch.column("ids").fill_null([])
+            ids = lists.flatten().to_numpy()
+            said, at = codec.decode(ids)
+            at = at[np.append(0, np.cumsum(lists.value_lengths().to_numpy()))]
+            back = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(at.astype("<i8")), pa.py_buffer(said)])
+            return pa.RecordBatch.from_arrays([batch.column(key), batch.column("ids"), back.cast(pa.binary())], [key, "ids", "bytes"])
 
         return work
 
@@ -322,11 +366,19 @@ def decode(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id") ->
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The query's columns: counts and digests of ids and of the decoded bytes."""
-    back = decode(encode(docs, path, pattern), path, pattern)
-    return back.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"),
-    )
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: counts and digests of each text's ids and of what they decode to.
+
+    Texts are encoded, and their ids decoded, by the codec of ``encode`` and ``decode`` in one pass of one worker.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(path, pattern)
+        for keys, ids, at in _grouped(batches, codec, "doc_id", "text"):
+            digests = []
+            for (said, places), end in ((codec.spelt(ids), 1), (codec.decode(ids), 0)):
+                view, ends = memoryview(said), places[at].tolist()
+                digests.append([sha256(view[a : max(a, b - end)]).hexdigest() for a, b in zip(ends, ends[1:], strict=False)])
+            yield pa.RecordBatch.from_arrays([keys, pa.array(np.diff(at)), *map(pa.array, digests)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = documents(docs, "doc_id", "text")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
