@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.seq import COMPLEMENT, IUPAC
 from ..sources.shared import new_path
 
 _HEX, _B4, _Q = "0123456789abcdef", "ACGTACGTACGTACGT", "$&(*,.02468:<>@B"
 _dna = lambda x: f"translate({x}, '{_HEX}', '{_B4}')"
 _qual = lambda x: f"translate({x}, '{_HEX}', '{_Q}')"
-IUPAC = ("ACGTRYKMBVDHNSWacgtrykmbvdhnsw", "TGCAYRMKVBHDNSWtgcayrmkvbhdnsw")
-_revcomp = lambda x: f"translate(reverse({x}), '{IUPAC[0]}', '{IUPAC[1]}')"
+_revcomp = lambda x: f"translate(reverse({x}), '{IUPAC}', '{COMPLEMENT}')"
 
 #: Common table expressions up to ``fx``: one row for each read with all that the tables below need.
 FX = f"""WITH base AS (SELECT DISTINCT l_orderkey AS o, l_linenumber AS n, l_partkey AS p, l_suppkey AS s FROM lineitem),

@@ -7,10 +7,13 @@ import gzip
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loomseq.operators import alignments, barcodes, contigs, dedup, quant, reads
 from loomseq.plans import registry, registry_files  # noqa: F401
+from loomseq.functions.seq import ADAPTER
 from loomseq.sources import files
+from loomseq.streaming.reads import putative_stream
 
 SF = "/root/testdata/sf0.001"
 B = "ACGTACGTACGTACGT"
@@ -166,3 +169,51 @@ def test_contigs_by_minimizers(spark):
 @pytest.mark.parametrize("name", ["scan_mex", "feature_regions", "read_distribution", "yield_over_time", "mark_duplicates_five_prime"])
 def test_further_sql(spark, name):
     test_sql(spark, name)
+
+
+def test_reads_on_a_stream(spark, tmp_path):
+    """The stateless operators give on a stream, file by file, what they give on the whole table."""
+    rows = spark.read.parquet(f"{SF}/lineitem.parquet").select(F.lit("S").alias("sample"), F.col("l_orderkey").cast("string").alias("read_id"), F.concat(F.translate(F.md5(F.col("l_partkey").cast("string")), "0123456789abcdef", "ACGT" * 4), F.lit(ADAPTER), F.translate(F.md5(F.col("l_suppkey").cast("string")), "0123456789abcdef", "ACGT" * 4)).alias("seq"))
+    rows = rows.withColumn("qual", F.rpad(F.lit(""), F.length("seq"), "I")).limit(500)
+    rows.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = putative_stream(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    query.awaitTermination()
+    whole = reads.putative_barcodes(reads.filter_reads(spark.read.parquet(str(tmp_path / "in")), 1, 10))
+    got = sorted(map(str, spark.read.parquet(str(tmp_path / "out")).collect()))
+    assert got and got == sorted(map(str, whole.collect()))
+
+
+def test_transcripts_and_estimates(spark):
+    """Chains of introns choose transcripts, and the estimates are those of plain expectation maximisation."""
+    exons = spark.createDataFrame([("c", "G", "T1", "+", 0, 100), ("c", "G", "T1", "+", 200, 300), ("c", "G", "T1", "+", 400, 500), ("c", "G", "T2", "+", 0, 100), ("c", "G", "T2", "+", 400, 500)], "ref string, gene string, transcript string, strand string, start_ int, end_ int")
+    cigars = {"a": (50, "50M100N100M"), "b": (50, "50M300N50M"), "c": (10, "20M"), "d": (52, "50M98N100M"), "e": (60, "30M110N20M")}
+    aln = spark.createDataFrame([("S", q, 0, "c", p, c) for q, (p, c) in cigars.items()], "sample string, qname string, flag int, ref string, pos int, cigar string")
+    blocks = alignments.aligned_blocks(aln)
+    got = sorted((r.qname, r.transcript, r["class"]) for r in quant.assign_transcripts(blocks, quant.assign_genes(blocks, exons), exons).collect())
+    assert got == [("a", "T1", "unique"), ("b", "T2", "unique"), ("c", "T1", "ambiguous"), ("c", "T2", "ambiguous"), ("d", "T1", "unique")]
+    sets = [{"T1"}, {"T1"}, {"T2"}, {"T1", "T2"}, {"T1", "T2"}, {"T2", "T3"}]
+    rows = spark.createDataFrame([("S", "C", str(i), t) for i, x in enumerate(sets) for t in x], "sample string, cell string, qname string, transcript string")
+    theta = {t: sum(1 / len(x) for x in sets if t in x) for t in ("T1", "T2", "T3")}
+    for _ in range(300):
+        theta = {t: sum(theta[t] / sum(theta[u] for u in x) for x in sets if t in x) for t in theta}
+    found = {r.transcript: r.n for r in quant.em_quantify(rows, 120, 1e-3).collect()}
+    assert abs(sum(found.values()) - len(sets)) < 1e-6 and all(abs(found[t] - theta[t]) < 0.1 for t in theta)
+
+
+def test_directional_on_a_table(spark):
+    rows = [("a", 0, "AAAA", 5), ("b", 0, "AAAA", 9), ("c", 0, "AAAA", 1), ("d", 0, "AAAT", 60), ("e", 0, "TTTT", 3), ("f", 16, "AAAA", 2), ("g", 4, "AAAA", 60)]
+    aln = spark.createDataFrame([("S", q, f, "c", 100, m, "B", u) for q, f, u, m in rows], "sample string, qname string, flag int, ref string, pos int, mapq int, cr string, ur string")
+    got = sorted((r.strand, r.ur, r.qname) for r in dedup.umi_dedup_directional(aln).collect())
+    assert got == [("+", "AAAA", "d"), ("+", "TTTT", "e"), ("-", "AAAA", "f")]
+    assert sorted(map(tuple, dedup.umi_distances(aln).collect())) == [("S", 2, 1)]
+
+
+def test_neighbours_beyond_four_letters(spark):
+    """Barcodes of any letters, and of another length, against all pairs."""
+    listed = ["ACGTACGTACGTACGT", "ACGTACGTACGTACGA", "NCGTACGTACGTACGT", "RCGTACGTACGTACGT", "ACGTACGTACGTAC", "TTTTACGTACGTACGT"]
+    asked = ["ACGTACGTACGTACGT", "RRGTACGTACGTACGT", "ACGTACGTACGTACG"]
+    near = lambda a, b: len(a) == len(b) == 16 and 1 <= sum(x != y for x, y in zip(a, b, strict=True)) <= 2
+    q, w = (spark.createDataFrame([("S", x) for x in xs], "sample string, bc string") for xs in (asked, listed))
+    got = sorted((r.bc, r.cand) for r in barcodes.hamming_neighbours(q, w).collect())
+    assert got == sorted((a, b) for a in asked for b in listed if near(a, b))
