@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, sliced, written
+from .common import documents, dropped, sliced, utf8_of, written
 from .word_bpe import word_bpe
 
 LONGEST = 4096
@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, longest: int = LONG
         part, ranks = TaskContext.get().partitionId(), dict.fromkeys((1 << b for b in range(longest.bit_length())), 0)
         for batch in sliced(batches):
             rows, starts, sizes, blobs, totals, numbers = [], [], [], [], [], []
-            for row, ids in enumerate(encode(batch.column("text").to_pylist())):
+            for row, ids in enumerate(encode(utf8_of(batch))):
                 ids, at = ids + tail, 0
                 for size in piece_lengths(len(ids) // 4, longest):
                     rows.append(row)

@@ -8,9 +8,10 @@ File format: a Parquet table with one row for each shard and four columns.
 * ``body``: little-endian 32-bit integers: magic, version, R rules, S symbols; R left sides, R right sides, R expansion
   lengths; S symbols. A symbol below ``FIRST_RULE`` is an id, others are rules; rules refer to earlier rules only.
 
-Each round of a shard counts adjacent pairs of symbols and gives the frequent ones a nonterminal, replacing their
-occurrences from left to right. A nonterminal never crosses documents, so a document is decoded from its own symbols, and
-expansion lengths lead to any id of it without decoding what stands before.
+Each round of a shard counts adjacent pairs of symbols. Where frequent pairs overlap, the more frequent one is replaced by
+its nonterminal, in runs of one pair every second from the left. Rounds go on until no pair occurs ``LEAST`` times in the
+shard. A nonterminal never crosses documents, so a document is decoded from its own symbols, and expansion lengths lead to
+any id of it without decoding what stands before.
 
 Documents are dealt out by ranges of the key and sorted, so no task or shard holds more than its range; ranges are cut
 into shards of at most ``SHARD_IDS`` ids (a longer document has its own). Null or empty text: only the end id. Rows that repeat a key are
@@ -27,17 +28,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, new_path, sliced
+from .common import documents, new_path, sliced, utf8_of
 from .word_bpe import word_bpe
 
 MAGIC, VERSION, FIRST_RULE = 0x52504952, 1, 1 << 20
-#: Ids of one shard; rounds, new rules of a round, and how often a pair must occur in a shard to become a rule.
-SHARD_IDS, ROUNDS, RULES_PER_ROUND, LEAST = 1 << 20, 5, 1024, 8
-_HASH_BITS = 20
+#: Ids of one shard, and how often a pair must occur in a shard to become a rule.
+SHARD_IDS, LEAST = 1 << 20, 8
 
 
-def _slot(pair: np.ndarray) -> np.ndarray:
-    return (pair * 0x9E3779B97F4A7C1 >> 24) & ((1 << _HASH_BITS) - 1)
+def _counted(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the places whose pair may be frequent: their indices, the number of their pair, and for each number its pair and count.
+
+    Places are counted in slots of a hash table first; of pairs in one slot, all but one wait for a later round. A
+    pair without number has the number -1.
+    """
+    bits = max(8, min(21, len(pair).bit_length() + 1))
+    slot = ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+    at = np.flatnonzero(np.bincount(slot, minlength=1 << bits)[slot] >= LEAST)
+    pair, slot = pair[at], slot[at]
+    values = np.zeros(1 << bits, np.int64)
+    values[slot] = pair
+    same = values[slot] == pair
+    counts = np.bincount(slot[same], minlength=1 << bits)
+    number = np.where(same & (counts[slot] >= LEAST), slot, -1)
+    if len(at) and (number < 0).all():  # the pairs that had the slots are rare, so what waits is counted exactly
+        values, number, counts = np.unique(pair, return_inverse=True, return_counts=True)
+        number = np.where(counts[number] >= LEAST, number, -1)
+    return at, number, values, counts
 
 
 def compress(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -49,49 +66,45 @@ def compress(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     first = np.zeros(len(seq) + 1, bool)
     first[starts] = True
     first = first[:-1]
-    rules: list[np.ndarray] = []
-    lengths: list[np.ndarray] = []
-    n_rules = 0
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
-        pair = seq[:-1] << 32 | seq[1:]
-        pair[first[1:]] = -1
-        slot = _slot(pair)
-        often = np.bincount(slot, minlength=1 << _HASH_BITS) >= LEAST
-        candidates = np.flatnonzero(often[slot] & (pair >= 0))
-        pair = pair[candidates]
-        values, counts = np.unique(pair, return_counts=True)
-        values, counts = values[counts >= LEAST], counts[counts >= LEAST]
-        if not len(values):
+    rules, lengths = [np.zeros((2, 0), np.int64)], np.zeros(0, np.int64)
+    live = np.ones(len(seq), bool)  # a pair may begin here that is frequent; one that is rare stays so
+    while True:
+        at = np.flatnonzero(live[:-1] & ~first[1:])
+        may, number, values, counts = _counted(seq[at] << 32 | seq[at + 1])
+        at = at[may]
+        live[:] = False
+        live[at] = True
+        at, number = at[number >= 0], number[number >= 0]
+        if not len(at):
             break
-        if len(values) > RULES_PER_ROUND:  # the most frequent, the smaller pair of equals
-            top = np.lexsort((values, -counts))[:RULES_PER_ROUND]
-            values = np.sort(values[top])
-        near = np.zeros(1 << _HASH_BITS, bool)  # slots in which a rule lies
-        near[_slot(values)] = True
-        near = near[slot[candidates]]
-        candidates, pair = candidates[near], pair[near]
-        at = np.searchsorted(values, pair).clip(max=len(values) - 1)
-        ruled = values[at] == pair
-        hit, at = candidates[ruled], at[ruled]
-        # in a run of overlapping hits every second one is taken, from the left
-        new_run = np.ones(len(hit), bool)
-        new_run[1:] = np.diff(hit) > 1
-        number = np.arange(len(hit))
-        taken = (number - np.maximum.accumulate(np.where(new_run, number, 0))) % 2 == 0
-        hit, at = hit[taken], at[taken]
-        rule = np.stack([values >> 32, values & 0xFFFFFFFF])
-        known = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
-        lengths.append(sum(np.where(side < FIRST_RULE, 1, known[(side - FIRST_RULE).clip(0)] if len(known) else 1) for side in rule))
-        rules.append(rule)
-        seq[hit] = FIRST_RULE + n_rules + at
-        n_rules += len(values)
+        # where two frequent pairs overlap the more frequent one wins
+        rank = counts[number] << 22 | number
+        next_to = np.diff(at) == 1
+        win = np.ones(len(at), bool)
+        win[:-1] &= ~(next_to & (rank[1:] > rank[:-1]))
+        win[1:] &= ~(next_to & (rank[:-1] > rank[1:]))
+        hit, number = at[win], number[win]
+        # what is left side by side is a run of one pair
+        new_run = np.append(True, np.diff(hit) > 1)
+        place = np.arange(len(hit))
+        taken = (place - np.maximum.accumulate(np.where(new_run, place, 0))) % 2 == 0
+        hit, number = hit[taken], number[taken]
+        hits = np.bincount(number, minlength=len(values))
+        used = hits >= LEAST // 2  # a pair that loses more often than that waits; the most frequent one never does
+        hit, number = hit[used[number]], number[used[number]]
+        rule = np.cumsum(used) - 1
+        values = values[used]
+        sides = np.stack([values >> 32, values & 0xFFFFFFFF])
+        sizes = sum(np.where(x < FIRST_RULE, 1, lengths[(x - FIRST_RULE).clip(0)] if len(lengths) else 1) for x in sides)
+        seq[hit] = FIRST_RULE + len(lengths) + rule[number]
+        rules.append(sides)
+        lengths = np.append(lengths, sizes)
+        live[hit] = True
+        live[hit[hit > 0] - 1] = True
         stay = np.ones(len(seq), bool)
         stay[hit + 1] = False
-        seq, first = seq[stay], first[stay]
-    none = np.zeros((2, 0), np.int64)
-    return seq, np.concatenate(rules, 1) if rules else none, np.concatenate(lengths) if lengths else none[0], np.flatnonzero(first)
+        seq, first, live = seq[stay], first[stay], live[stay]
+    return seq, np.concatenate(rules, 1), lengths, np.flatnonzero(first)
 
 
 def to_body(seq: np.ndarray, rules: np.ndarray, lengths: np.ndarray) -> bytes:
@@ -157,7 +170,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:
         for batch in batches:
             key_arrow = batch.schema.field("doc_id").type
             for few in sliced([batch]):
-                for k, ids in zip(few.column("doc_id").to_pylist(), encode(few.column("text").to_pylist()), strict=True):
+                for k, ids in zip(few.column("doc_id").to_pylist(), encode(utf8_of(few)), strict=True):
                     ids += tail
                     if held and held + len(ids) // 4 > SHARD_IDS:
                         yield flush()
@@ -194,9 +207,11 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
     spark = docs.sparkSession
     path = new_path(spark, "token_shards")
     write(docs, path, tokenizer)
-    # one row for each shard of about a million ids
+    # one row for each shard of about a million ids; ranges of keys, far fewer, are added up first
     shards = spark.read.parquet(path).select("shard.part", "shard.number", "n_ids")
-    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    shards = shards.select("part", "number", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
+    upto = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", upto(Window.orderBy("part"), "n").alias("before"))
+    within = shards.select("part", "number", upto(Window.partitionBy("part").orderBy("number"), "n_ids").alias("within"))
+    shards = within.join(parts, "part").select("part", "number", (F.col("before") + F.col("within")).alias("base"))
     rows = read(spark, path, docs.schema["doc_id"].dataType.simpleString())
     return rows.join(shards, ["part", "number"]).select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")

@@ -255,7 +255,7 @@ def test_word_ids_equal_the_library():
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = True
     expected = [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(texts, add_special_tokens=False)]
-    assert list(WordBpe(path).encode_all([*texts, None])) == [*expected, b""]
+    assert list(WordBpe(path).encode_all([*[x.encode() for x in texts], None])) == [*expected, b""]
     one = WordBpe(path)
     assert [one.encode(x) for x in texts] == expected
 
@@ -361,3 +361,12 @@ def test_classifier_against_dot_products(spark):
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in ftrl.judged(docs, labels).collect():
         assert abs(r.score - brute.logistic(texts[r.doc_id] or "", weights)) < 1e-6
+
+
+def test_byte_bpe_operators(docs, empty):
+    """``encode`` and ``decode`` as operators of their own."""
+    path, pattern = tokenizer_path("byte_bpe_50k.tiktoken"), split_pattern()
+    ids = byte_bpe.encode(docs, path, pattern)
+    back = sorted((r.doc_id, bytes(r.bytes)) for r in byte_bpe.decode(ids, path, pattern).collect())
+    assert back == sorted((i, (t or "").encode()) for i, t in ROWS)
+    assert byte_bpe.decode(byte_bpe.encode(empty, path, pattern), path, pattern).count() == 0
