@@ -108,4 +108,4 @@ def matched_rows(docs: DataFrame, rows: DataFrame, how: str, most: int = MOST_ID
     """``left_semi`` or ``left_anti`` join with a written table ``(doc_id, h)`` of rows; null keys match null keys."""
     rows = rows.toDF("row_id", "row_h")
     rows = F.broadcast(rows) if rows.count() <= most else rows
-    return docs.join(rows, docs["doc_id"].eqNullSafe(F.col("row_id")) & (F.xxhash64(docs["text"]) == F.col("row_h")), how)
+    return docs.join(rows, docs["doc_id"].eqNullSafe(rows["row_id"]) & (F.xxhash64(docs["text"]) == rows["row_h"]), how)

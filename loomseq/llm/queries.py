@@ -66,4 +66,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_secret_scan, op2_html_wrappers, op3_byte_bpe, op4_url_rules, op5_repair_ids, op6_power_packing, op7_minhash_dedup, op8_exact_dedup, op9_quality_classifier, op10_quality_rules,
 )}
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+#: DuckDB SQL of whole results. The other operators are beyond it: learnt automata, wrappers and weights, tokenizers, mined rules.
+SQL: dict[str, str] = {
+    "op7_minhash_dedup": f"""WITH RECURSIVE d AS (SELECT doc_id, {_LOWER} AS t FROM documents), w AS (SELECT doc_id, {_WORDS} AS ws FROM d),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws ELSE list_transform(range(1, len(ws)), lambda i: concat(ws[i], ' ', ws[i + 1])) END) AS g FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+        e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+        reach AS (SELECT doc_id AS id, doc_id AS r FROM documents UNION SELECT id, y FROM reach JOIN e ON r = x)
+        SELECT id AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id, id = min(r) AS kept FROM reach LEFT JOIN n ON n.doc_id = id GROUP BY id""",
+    "op8_exact_dedup": f"SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256 FROM (SELECT doc_id, {_LOWER} AS t FROM documents) WINDOW w AS (PARTITION BY t)",
+    "op10_quality_rules": rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), w AS (SELECT doc_id, t, {_WORDS} AS ws, string_split(t, chr(10)) AS ls FROM d),
+        win AS (SELECT doc_id, i, array_to_string(ws[i : i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
+        twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
+        r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM twice, range(0, 5) k(k) GROUP BY 1),
+        c AS (SELECT doc_id, t, len(ws) AS n_words, cast(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS bigint) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+          list_filter(ls, lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines, len(ls) AS all_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
+        b AS (SELECT *, cast(len(lines) - len(list_distinct(lines)) AS bigint) AS n_dup_lines, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+          NOT (base_failed OR 5 * n_symbols > n_words OR word_chars > 30 * n_words OR word_chars < 2 * n_words OR (n_dup_lines >= 3 AND 2 * n_dup_lines > all_lines)
+            OR 2 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > word_chars OR 2 * length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) < word_chars) AS kept FROM b""",
+}
