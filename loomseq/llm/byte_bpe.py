@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import documents, per_slice, sliced, utf8_of
+from .common import documents, kept, mapped, per_slice, sliced, utf8_of
 from .segments import WIDTH, Memo, gathered, in_parts, joined
 
 #: White space of Unicode, as the split pattern's ``\s`` means it.
@@ -312,9 +312,8 @@ def _spelt(ids: np.ndarray, flat: np.ndarray, begins: np.ndarray, sizes: np.ndar
     return np.concatenate([np.zeros(0, np.uint8), *[gathered(flat, begins[x], sizes[x]) for x in parts]]), np.append(0, np.cumsum(sizes[ids]))
 
 
-@functools.lru_cache(2)
 def _codec(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(path, pattern)
+    return kept(("byte_bpe", path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], codec: ByteBpe, key: str, text: str) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
@@ -342,7 +341,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", key: st
             yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))], [key, "ids"])
 
     rows = documents(docs, key, text)
-    return rows.mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, ids array<int>")
+    return mapped(rows, run, f"`{key}` {rows.schema[key].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
@@ -362,7 +361,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id") ->
         return work
 
     rows = documents(encoded, key, "ids")
-    return per_slice(rows, make, f"`{key}` {rows.schema[key].dataType.simpleString()}, ids array<int>, bytes binary")
+    return per_slice(rows, make, f"`{key}` {rows.schema[key].dataType.simpleString()}, ids array<int>, bytes binary", keeps=True)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -381,4 +380,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([keys, pa.array(np.diff(at)), *map(pa.array, digests)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = documents(docs, "doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return mapped(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -79,15 +79,42 @@ def documents(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def per_slice(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
-    """Maps slices of Arrow rows; ``make`` runs once for each task and loads what the task needs."""
+#: Rows of an Arrow batch between Spark and a Python worker; Spark's own 10,000 texts would be tens of megabytes at least.
+BATCH_ROWS = 1000
+
+_kept: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], object]):
+    """What a worker keeps from task to task, such as a codec: one thing at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with batches of ``BATCH_ROWS`` rows, unless the session has a setting of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(name) == "10000":
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
+def per_slice(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema, keeps: bool = False) -> DataFrame:
+    """Maps slices of Arrow rows; ``make`` runs once for each task and loads what the task needs.
+
+    A worker lets go of what other operators keep there, unless this one ``keeps`` something itself.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            _kept.clear()
         work = make()
         for part in sliced(batches):
             yield work(part)
 
-    return df.mapInArrow(run, schema)
+    return mapped(df, run, schema)
 
 
 #: Ids (up to some tens of bytes each) that are sent to every executor; more of them are joined by a shuffle.

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, dropped, sliced, utf8_of, written
+from .common import documents, mapped, sliced, utf8_of, written
 from .word_bpe import word_bpe
 
 LONGEST = 4096
@@ -62,7 +62,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, longest: int = LONG
                 ["doc_id", "start", "length", "ids", "doc_tokens", "part", "rank"],
             )
 
-    return documents(docs, "doc_id", "text").mapInArrow(cut, f"doc_id {key_type}, start bigint, length bigint, ids binary, doc_tokens bigint, part int, rank bigint")
+    return mapped(documents(docs, "doc_id", "text"), cut, f"doc_id {key_type}, start bigint, length bigint, ids binary, doc_tokens bigint, part int, rank bigint")
 
 
 def with_crc32(df: DataFrame) -> DataFrame:

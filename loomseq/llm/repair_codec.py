@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, new_path, sliced, utf8_of
+from .common import documents, mapped, new_path, sliced, utf8_of
 from .word_bpe import word_bpe
 
 MAGIC, VERSION, FIRST_RULE = 0x52504952, 1, 1 << 20
@@ -181,7 +181,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:
             yield flush()
 
     rows = documents(docs, "doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(shards, f"part int, number int, n_ids bigint, index array<{item}>, body binary").select(F.struct("part", "number").alias("shard"), "n_ids", "index", "body").write.parquet(path)
+    mapped(rows, shards, f"part int, number int, n_ids bigint, index array<{item}>, body binary").select(F.struct("part", "number").alias("shard"), "n_ids", "index", "body").write.parquet(path)
 
 
 def read(spark: SparkSession, path: str, key_type: str = "bigint") -> DataFrame:

@@ -8,12 +8,12 @@ of letters ends with an id whose token ends in the vocabulary's end-of-word mark
 
 from __future__ import annotations
 
-import functools
 import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from .common import kept
 from .segments import WIDTH, Memo, in_parts, joined
 
 #: Words that a worker remembers, and the longest one remembered (bytes).
@@ -115,6 +115,5 @@ class WordBpe:
             yield from flush()
 
 
-@functools.lru_cache(2)
 def word_bpe(path: str) -> WordBpe:
-    return WordBpe(path)
+    return kept(("word_bpe", path), lambda: WordBpe(path))
