@@ -94,13 +94,17 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, label: str =
     key = docs.schema["doc_id"].dataType.simpleString()
     got = per_slice(sample.select("doc_id", "label", "text"), make, f"doc_id {key}, label int, at array<int>, x array<float>").toArrow()
     keys = [xxh3_64_intdigest(str(k)) for k in got.column("doc_id").to_pylist()]  # an order that no executor's timing changes
-    order = np.lexsort((list(map(len, got.column("at").to_pylist())), np.array(keys, np.uint64))) if keys else []
     marks = got.column("label").to_pylist()
-    found = [(np.asarray(a, np.int64), np.asarray(x)) for a, x in zip(got.column("at").to_pylist(), got.column("x").to_pylist(), strict=True)]
+    # as arrays: lists of Python's numbers would take ten times the memory
+    parts = [(c.flatten().to_numpy(), c.value_lengths().to_numpy()) for name in ("at", "x") for c in [pa.concat_arrays([pa.array([], got.schema.field(name).type), *got.column(name).chunks])]]
+    (at, sizes), (x, _) = parts
+    ends = np.cumsum(sizes)
+    order = np.lexsort((sizes, np.array(keys, np.uint64))) if keys else []
     model = Ftrl()
     for _ in range(EPOCHS):
         for i in order:
-            model.learn(*found[i], marks[i])
+            own = slice(ends[i] - sizes[i], ends[i])
+            model.learn(at[own], x[own], marks[i])
     return model.weights()
 
 
