@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, cascade, exact_dedup, ftrl, html_wrappers, minhash, packing, repair_codec, secrets, url_rules
+from . import byte_bpe, cascade, exact_dedup, ftrl, html_wrappers, minhash, packing, repair_codec, secrets, shards, survival, url_rules, whitening
 from .common import table
 
 
@@ -62,8 +62,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.judged(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivors of every order of five filters, by part; null texts are empty, null sources the part ``''``."""
+    return survival.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every usable vector; null vectors and such with null or non-finite entries are dropped."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, by the law ``rows``; null texts count as none, repeated rows have slots of their own."""
+    return shards.placed(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scan, op2_html_wrappers, op3_byte_bpe, op4_url_rules, op5_repair_ids, op6_power_packing, op7_minhash_dedup, op8_exact_dedup, op9_quality_classifier, op10_quality_rules,
+    op11_filter_audit, op12_embedding_whitening, op13_feistel_shards,
 )}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -91,4 +107,13 @@ SQL: dict[str, str] = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
           NOT (base_failed OR 5 * n_symbols > n_words OR word_chars > 30 * n_words OR word_chars < 2 * n_words OR (n_dup_lines >= 3 AND 2 * n_dup_lines > all_lines)
             OR 2 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > word_chars OR 2 * length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) < word_chars) AS kept FROM b""",
+    "op11_filter_audit": rf"""WITH g AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+        d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents), w AS (SELECT *, {_WORDS} AS ws FROM d),
+        f AS (SELECT w.doc_id, part, coalesce(good, false) AS good, coalesce(bad, false) AS bad, [len(ws) < 50, 100 * len(list_distinct(ws)) < 65 * len(ws), 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t), regexp_matches(t, '[#$%&*|]'), coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false)] AS f FROM w LEFT JOIN g ON g.doc_id = w.doc_id),
+        l AS (SELECT unnest(range(1, 6)) AS i), p AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM l a JOIN l b ON b.i <> a.i JOIN l c ON c.i NOT IN (a.i, b.i) JOIN l d ON d.i NOT IN (a.i, b.i, c.i) JOIN l e ON e.i NOT IN (a.i, b.i, c.i, d.i)),
+        k AS (SELECT part, f, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (bad) AS x FROM f GROUP BY 1, 2),
+        s AS (SELECT part, f, n, g, x, array_to_string(list_transform(o, lambda i: chr(cast(64 + i AS int))), '') AS filter_order, step, o[step] AS own, list_bool_or(list_transform(o[1 : step - 1], lambda i: f[i])) IS TRUE AS gone FROM k, p, (SELECT unnest(range(1, 6)) AS step)),
+        r AS (SELECT part, filter_order, cast(step AS int) AS step, any_value(own) AS own, cast(coalesce(sum(n) FILTER (NOT gone AND NOT f[own]), 0) AS bigint) AS kept, cast(coalesce(sum(n) FILTER (NOT gone AND f[own]), 0) AS bigint) AS removed, cast(coalesce(sum(n) FILTER (gone AND f[own]), 0) AS bigint) AS redundant,
+          cast(coalesce(sum(n) FILTER (f[own] AND list_sum(list_transform(f, lambda b: b::int)) = 1), 0) AS bigint) AS unique_fails, cast(coalesce(sum(g) FILTER (NOT gone AND f[own]), 0) AS bigint) AS good_lost, cast(coalesce(sum(x) FILTER (NOT gone AND f[own]), 0) AS bigint) AS toxic_lost FROM s GROUP BY part, filter_order, step)
+        SELECT * EXCLUDE (own), cast(sum(removed) OVER (PARTITION BY part, own) AS bigint) AS shapley FROM r""",
 }
