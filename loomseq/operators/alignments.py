@@ -30,15 +30,20 @@ def select_contigs(aln: DataFrame, contigs: DataFrame) -> DataFrame:
     return filter_mapped(aln).join(contigs.select("ref"), "ref", "left_semi")
 
 
-def tag_alignments(aln: DataFrame, info: DataFrame) -> DataFrame:
+#: What tagging adds to a read's name: raw barcode and UMI.
+TAGGED_NAME = "_[ACGTN]{16}_[ACGTN]{0,12}$"
+
+
+def tag_alignments(aln: DataFrame, info: DataFrame, suffix: str = TAGGED_NAME) -> DataFrame:
     """The alignments whose read has a corrected barcode, with its tags: a tag that an alignment has already stays.
 
-    The read's name is the alignment's up to its first ``_``; it becomes read, raw barcode and UMI. Of rows that repeat a read
-    the last by ``ordinal`` counts, where there is such a column, else the greatest.
+    The read's name is the alignment's without the ``suffix`` that tagging adds, whatever other ``_`` it has; it becomes read,
+    raw barcode and UMI. Of rows that repeat a read the last by ``ordinal`` counts, where there is such a column, else the
+    greatest.
     """
     order = [F.col("ordinal")] if "ordinal" in info.columns else []
     last = info.where("corrected_bc is not null and corrected_bc <> ''").groupBy("sample", "read_id").agg(F.max(F.struct(*order, "bc", "bc_qual", "umi", "umi_qual", "corrected_bc")).alias("i"))
-    rows = aln.withColumn("read_id", F.substring_index("qname", "_", 1)).join(last, ["sample", "read_id"])
+    rows = aln.withColumn("read_id", F.regexp_replace("qname", suffix, "")).join(last, ["sample", "read_id"])
     tags = {"cr": "bc", "cy": "bc_qual", "ur": "umi", "uy": "umi_qual", "cb": "corrected_bc"}
     said = [F.coalesce(F.col(t), F.col(f"i.{c}")).alias(t) if t in aln.columns else F.col(f"i.{c}").alias(t) for t, c in tags.items()]
     return rows.select(*[F.concat_ws("_", "read_id", "i.bc", "i.umi").alias("qname") if c == "qname" else c for c in aln.columns if c not in tags], *said)
@@ -114,25 +119,31 @@ def duplicate_metrics(marked: DataFrame) -> DataFrame:
 
 
 def with_aln_id(aln: DataFrame) -> DataFrame:
-    """``aln_id`` tells the alignments of one read name apart."""
-    return aln.withColumn("aln_id", F.xxhash64("sample", "qname", "flag", "ref", "pos", "cigar"))
+    """``aln_id`` tells the alignments of one read name apart; one that is there stays."""
+    return aln if "aln_id" in aln.columns else aln.withColumn("aln_id", F.xxhash64("sample", "qname", "flag", "ref", "pos", "cigar"))
 
 
-def aligned_blocks(aln: DataFrame) -> DataFrame:
-    """Reference blocks of each alignment, split at skipped regions. Only M, =, X, D and N move along the reference.
+OPS = "transform(regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 0), x -> struct(cast(regexp_extract(x, '^[0-9]+', 0) as int) as n, right(x, 1) as op))"
 
-    ``aln_id``, where there is such a column, is carried.
-    """
-    own = ["sample", "qname", *["aln_id"] * ("aln_id" in aln.columns)]
-    ops = F.expr("transform(regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 0), x -> struct(cast(regexp_extract(x, '^[0-9]+', 0) as int) as n, right(x, 1) as op))")
+
+def aligned_blocks(aln: DataFrame) -> DataFrame:
+    """Reference blocks of each alignment, with its ``aln_id``, split at skipped regions. Only M, =, X, D and N move along the reference."""
+    own = ["sample", "qname", "aln_id"]
     step = """aggregate(ops, struct(pos as at, pos as first, cast(array() as array<struct<s:int,e:int>>) as done),
       (a, x) -> case when x.op in ('M', '=', 'X', 'D') then struct(a.at + x.n as at, a.first as first, a.done as done)
                      when x.op = 'N' then struct(a.at + x.n as at, a.at + x.n as first, concat(a.done, array(struct(a.first as s, a.at as e))) as done) else a end,
       a -> concat(a.done, array(struct(a.first as s, a.at as e))))"""
-    rows = filter_mapped(aln).withColumn("ops", ops).withColumn("blocks", F.expr(step))
+    rows = with_aln_id(filter_mapped(aln)).withColumn("ops", F.expr(OPS)).withColumn("blocks", F.expr(step))
     return rows.select(*own, "ref", strand().alias("strand"), F.posexplode("blocks").alias("blk", "b")).select(*own, "ref", "strand", "blk", F.col("b.s").alias("start_"), F.col("b.e").alias("end_")).where("end_ > start_")
 
 
+def alignment_lengths(aln: DataFrame) -> DataFrame:
+    """``(sample, qname, aln_id, aligned, inserted, deleted, skipped, soft_clipped, hard_clipped)`` of mapped alignments: bases by what the CIGAR does with them."""
+    kinds = {"aligned": "M=X", "inserted": "I", "deleted": "D", "skipped": "N", "soft_clipped": "S", "hard_clipped": "H"}
+    sums = [F.expr(f"aggregate(filter(ops, x -> instr('{ops}', x.op) > 0), 0, (s, x) -> s + x.n)").alias(name) for name, ops in kinds.items()]
+    return with_aln_id(filter_mapped(aln)).withColumn("ops", F.coalesce(F.expr(OPS), F.expr("array()").cast("array<struct<n:int,op:string>>"))).select("sample", "qname", "aln_id", *sums)
+
+
 def flagstat(aln: DataFrame) -> DataFrame:
     n = lambda c: F.count_if(c)
     return aln.groupBy("sample").agg(F.count("*").alias("total"), n(~has(SECONDARY) & ~has(SUPPLEMENTARY)).alias("primary_n"), n(has(SECONDARY)).alias("secondary"), n(has(SUPPLEMENTARY)).alias("supplementary"), n(has(DUPLICATE)).alias("duplicates"), n(~has(UNMAPPED)).alias("mapped"), n(has(1)).alias("paired"), n(has(QC_FAIL)).alias("qc_failed"))
@@ -151,9 +162,15 @@ def alignment_stats(aln: DataFrame) -> DataFrame:
 
 
 def percent_identity(blocks: DataFrame, aln: DataFrame) -> DataFrame:
-    size = blocks.groupBy("sample", "qname").agg(F.sum(F.col("end_") - F.col("start_")).alias("aligned"))
-    return size.join(aln.select("sample", "qname", "nm"), ["sample", "qname"]).select("sample", "qname", F.round(100 * (1 - F.col("nm") / F.col("aligned")), 6).alias("identity"))
+    """``(sample, qname, aln_id, identity)`` of each alignment: 100 less the share of its blocks' bases that differ."""
+    keys = ["sample", "qname", "aln_id"]
+    size = blocks.groupBy(*keys).agg(F.sum(F.col("end_") - F.col("start_")).alias("aligned"))
+    return size.join(with_aln_id(aln).select(*keys, "nm"), keys).select(*keys, F.round(100 * (1 - F.col("nm") / F.col("aligned")), 6).alias("identity"))
+
 
+def identity_distribution(identity: DataFrame) -> DataFrame:
+    """``(sample, percent, n)``: alignments by whole percent of identity."""
+    return identity.groupBy("sample", F.floor("identity").cast("int").alias("percent")).agg(F.count("*").alias("n"))
 
 
 def flagstat_by_quality(aln: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ import tempfile
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+from .splice import assign_transcripts, introns, own_keys, with_splicing  # noqa: F401  part of this module's interface
+
 BIN = 16384
 
 
@@ -32,45 +35,59 @@ def overlaps(blocks: DataFrame, regions: DataFrame, bin_size: int = BIN) -> Data
     return a.join(b, (F.col("ref") == F.col("r_ref")) & (F.col("bin") == F.col("r_bin"))).where((F.col("start_") < F.col("r_end_")) & (F.col("r_start_") < F.col("end_")) & (F.col("bin") == F.floor(first / bin_size)))
 
 
-def assign_genes(blocks: DataFrame, exons: DataFrame) -> DataFrame:
-    """``(sample, qname, gene, class)``: the gene with most overlapped bases; ``ambiguous`` where several have as many.
+#: Regions of an annotation (up to some hundred bytes each) that are sent to every executor; more are joined by a shuffle.
+MOST_REGIONS = 1_000_000
+
+
+def assign_genes(blocks: DataFrame, exons: DataFrame, stranded: str = "none", delta: int | None = None) -> DataFrame:
+    """``(sample, qname, [aln_id,] gene, class)``: the gene with most overlapped bases; ``ambiguous`` where several have as many.
+
+    Blocks with an ``aln_id`` are assigned by alignment, and the result has it too. ``stranded`` is the library's:
+    ``forward`` takes only genes on the alignment's strand, ``reverse`` only those on the other, ``none`` both. With ``delta``
+    an alignment whose introns no transcript of its unique gene has, within so many bases, is ``inconsistent``.
 
-    Blocks with an ``aln_id`` are assigned by alignment, and the result has it too. Exons and whole genes are one table of
-    regions, so blocks are expanded and joined once.
+    Exons and whole genes are one table of regions, so blocks are expanded and joined once, and everything that an alignment
+    overlaps is gathered by one aggregate. A small annotation is broadcast, so that a gene with most reads is no hot key.
     """
-    own = ["sample", "qname", *["aln_id"] * ("aln_id" in blocks.columns)]
-    shared = F.least("end_", "r_end_") - F.greatest("start_", "r_start_")
-    bodies = exons.groupBy("ref", "gene").agg(F.min("start_").alias("start_"), F.max("end_").alias("end_"))
-    regions = exons.select("ref", "gene", "start_", "end_", F.lit(True).alias("exon")).distinct().unionByName(bodies.withColumn("exon", F.lit(False)))
-    per = overlaps(blocks, regions).groupBy(*own, F.col("r_gene").alias("gene")).agg(F.sum(F.when(F.col("r_exon"), shared)).alias("n"))
-    # the most bases first, then the smallest name; the tie is counted in the same aggregate
-    best = per.groupBy(*own).agg(F.max("n").alias("top"), F.min("gene").alias("body"), F.collect_list(F.when(F.col("n").isNotNull(), F.struct("n", "gene"))).alias("hits"))
-    ties = F.filter("hits", lambda x: x["n"] == F.col("top"))
-    best = best.select(*own, "body", F.size(ties).alias("k"), F.array_min(F.transform(ties, lambda x: x["gene"])).alias("gene"))
-    reads = blocks.select(*own).distinct().join(best, own, "left")
-    kind = F.when(F.col("k") == 1, "unique").when(F.col("k") > 1, "ambiguous").when(F.col("body").isNotNull(), "intronic").otherwise("none")
-    return reads.select(*own, F.coalesce("gene", "body").alias("gene"), kind.alias("class"))
-
-
-def introns(blocks: DataFrame) -> DataFrame:
-    """``(sample, qname, chain)``: the gaps between a read's blocks, in order; empty for one block."""
-    ordered = blocks.groupBy("sample", "qname").agg(F.array_sort(F.collect_list(F.struct("start_", "end_"))).alias("b"))
-    return ordered.select("sample", "qname", F.expr("transform(slice(b, 2, size(b)), (x, i) -> struct(b[i].end_ as s, x.start_ as e))").alias("chain"))
-
-
-def assign_transcripts(blocks: DataFrame, genes: DataFrame, exons: DataFrame, delta: int = 6) -> DataFrame:
-    """Transcripts of a read's gene whose introns contain the read's chain in order, within ``delta`` bases at either end."""
-    ordered = exons.groupBy("gene", "transcript").agg(F.array_sort(F.collect_list(F.struct("start_", "end_"))).alias("b"))
-    chains = ordered.select("gene", "transcript", F.expr("transform(slice(b, 2, size(b)), (x, i) -> struct(b[i].end_ as s, x.start_ as e))").alias("tx"))
-    near = f"abs(tx[j + i].s - c.s) <= {delta} and abs(tx[j + i].e - c.e) <= {delta}"
-    fits = f"size(chain) = 0 or (size(chain) <= size(tx) and exists(sequence(0, size(tx) - size(chain)), j -> forall(transform(chain, (c, i) -> {near}), x -> x)))"
-    rows = introns(blocks).join(genes.where("class = 'unique'").select("sample", "qname", "gene"), ["sample", "qname"]).join(chains, "gene").where(F.expr(fits))
-    n = rows.groupBy("sample", "qname").agg(F.count("*").alias("k"))
-    return rows.join(n, ["sample", "qname"]).select("sample", "qname", "transcript", F.when(F.col("k") == 1, "unique").otherwise("ambiguous").alias("class"))
-
-
-def count_matrix(assigned: DataFrame, cells: DataFrame, feature: str = "gene", classes: tuple[str, ...] = ("unique",)) -> DataFrame:
-    return assigned.where(F.col("class").isin(*classes)).join(cells, ["sample", "qname"]).groupBy("sample", F.col(feature).alias("feature"), F.col("cb").alias("cell")).agg(F.count("*").cast("double").alias("n"))
+    if stranded not in ("none", "forward", "reverse"):
+        raise ValueError("stranded is none, forward or reverse")
+    own = own_keys(blocks)
+    strand = [] if stranded == "none" else ["strand"]
+    bodies = exons.groupBy("ref", "gene", *strand).agg(F.min("start_").alias("start_"), F.max("end_").alias("end_"))
+    regions = exons.select("ref", "gene", *strand, "start_", "end_", F.lit(True).alias("exon")).distinct().unionByName(bodies.withColumn("exon", F.lit(False)))
+    regions = written(regions.select(*[F.col(c).alias(f"r_{c}") for c in regions.columns]), "regions")
+    small = regions.count() <= MOST_REGIONS
+    bins = lambda p: F.explode(F.sequence(F.expr(f"{p}start_ div {BIN}"), F.expr(f"({p}end_ - 1) div {BIN}")))
+    regions = regions.withColumn("r_bin", bins("r_"))
+    a, b = blocks.withColumn("bin", bins("")), F.broadcast(regions) if small else regions
+    met = (F.col("ref") == F.col("r_ref")) & (F.col("bin") == F.col("r_bin")) & (F.col("start_") < F.col("r_end_")) & (F.col("r_start_") < F.col("end_")) & (F.col("bin") == F.floor(F.greatest("start_", "r_start_") / BIN))
+    if strand:
+        met = met & ((F.col("strand") == F.col("r_strand")) if stranded == "forward" else (F.col("strand") != F.col("r_strand")))
+    shared = F.when(F.col("r_exon"), F.least("end_", "r_end_") - F.greatest("start_", "r_start_")).otherwise(0)
+    per = a.join(b, met, "left").groupBy(*own).agg(F.collect_list(F.when(F.col("r_gene").isNotNull(), F.struct(F.col("r_gene").alias("gene"), shared.alias("n")))).alias("hits"))
+    bases = lambda g: F.aggregate(F.filter("hits", lambda h: h["gene"] == g), F.lit(0).cast("long"), lambda s, h: s + h["n"])
+    sums = F.transform(F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["gene"]))), lambda g: F.struct(bases(g).alias("n"), g.alias("gene")))
+    per = per.select(*own, sums.alias("sums")).withColumn("top", F.array_max(F.transform("sums", lambda x: x["n"])))
+    # genes are in the order of their names, so the first of those with most bases is the smallest
+    per = per.withColumn("tops", F.filter("sums", lambda x: (x["n"] == F.col("top")) & (F.col("top") > 0)))
+    kind = F.when(F.size("tops") == 1, "unique").when(F.size("tops") > 1, "ambiguous").when(F.size("sums") > 0, "intronic").otherwise("none")
+    genes = per.select(*own, F.coalesce(F.get("tops", F.lit(0))["gene"], F.get("sums", F.lit(0))["gene"]).alias("gene"), kind.alias("class"))
+    if delta is None:
+        return genes
+    return with_splicing(written(genes, "genes"), blocks, exons, delta)
+
+
+def count_matrix(assigned: DataFrame, cells: DataFrame, feature: str = "gene", classes: tuple[str, ...] = ("unique",), weight: str | None = None) -> DataFrame:
+    """``(sample, feature, cell, n)`` over the classes that count: alignments, or the sum of a column of weights."""
+    n = F.sum(F.col(weight)) if weight else F.count("*")
+    keys = [c for c in ("sample", "qname", "aln_id") if c in assigned.columns and c in cells.columns]
+    return assigned.where(F.col("class").isin(*classes)).join(cells, keys).groupBy("sample", F.col(feature).alias("feature"), F.col("cb").alias("cell")).agg(n.cast("double").alias("n"))
+
+
+def shared_weights(assigned: DataFrame) -> DataFrame:
+    """``assigned`` with ``weight``: an alignment's several features share its one evenly."""
+    own = own_keys(assigned)
+    return assigned.withColumn("weight", 1.0 / F.count("*").over(Window.partitionBy(*own)))
 
 
 def em_quantify(compatible: DataFrame, rounds: int = 10, tol: float | None = None) -> DataFrame:

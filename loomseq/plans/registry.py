@@ -96,20 +96,21 @@ query("flagstat", lambda t: al.flagstat(t.aln), "SELECT sample, count(*) AS tota
 query("idxstats", lambda t: al.idxstats(t.aln, t.fx.groupBy("sample", "ref").agg(F.max("pos").cast("long").alias("length"))), "SELECT sample, ref, cast(max(pos) AS bigint) AS length, count(*) FILTER (flag & 4 = 0) AS mapped, count(*) FILTER (flag & 4 <> 0) AS unmapped FROM aln GROUP BY 1, 2", "aln")
 query("alignment_stats", lambda t: al.alignment_stats(t.aln), f"SELECT sample, count(*) AS reads, cast(sum(length(seq)) AS bigint) AS bases, cast(sum(CASE WHEN {MAPPED} THEN length(seq) ELSE 0 END) AS bigint) AS bases_mapped, cast(sum(CASE WHEN {MAPPED} THEN nm ELSE 0 END) AS bigint) AS mismatches, round(sum(CASE WHEN {MAPPED} THEN nm ELSE 0 END) / sum(CASE WHEN {MAPPED} THEN length(seq) ELSE 0 END), 6) AS error_rate, cast(max(length(seq)) AS int) AS max_length FROM aln GROUP BY 1", "aln")
 BLOCKS = f", blocks AS (SELECT sample, qname, ref, {STRAND} AS strand, 0 AS blk, pos AS start_, cast(CASE WHEN cigar LIKE '%N%' THEN pos + 10 ELSE pos + length(seq) END AS int) AS end_ FROM aln WHERE {MAPPED} UNION ALL SELECT sample, qname, ref, {STRAND}, 1, pos + 410, cast(pos + 400 + length(seq) AS int) FROM aln WHERE {MAPPED} AND cigar LIKE '%N%')"
-query("aligned_blocks", lambda t: al.aligned_blocks(t.aln), BLOCKS + " SELECT * FROM blocks", "aln")
-query("percent_identity", lambda t: al.percent_identity(al.aligned_blocks(t.aln), t.aln), f"SELECT sample, qname, round(100 * (1 - nm / length(seq)), 6) AS identity FROM aln WHERE {MAPPED}", "aln")
+by_name = lambda t: al.aligned_blocks(t.aln).drop("aln_id")  # noqa: E731  one alignment a read name
+query("aligned_blocks", by_name, BLOCKS + " SELECT * FROM blocks", "aln")
+query("percent_identity", lambda t: al.percent_identity(al.aligned_blocks(t.aln), t.aln).drop("aln_id"), f"SELECT sample, qname, round(100 * (1 - nm / length(seq)), 6) AS identity FROM aln WHERE {MAPPED}", "aln")
 
 # quantification and annotation
 GENE = BLOCKS + ", ex AS (SELECT DISTINCT ref, gene, start_ AS es, end_ AS ee FROM exons), hits AS (SELECT sample, qname, gene, sum(least(end_, ee) - greatest(start_, es)) AS n FROM blocks JOIN ex ON blocks.ref = ex.ref AND start_ < ee AND es < end_ GROUP BY 1, 2, 3), tops AS (SELECT sample, qname, min(gene) AS gene, count(*) AS k FROM (SELECT *, max(n) OVER (PARTITION BY sample, qname) AS top FROM hits) WHERE n = top GROUP BY 1, 2), span AS (SELECT ref, gene, min(start_) AS gs, max(end_) AS ge FROM exons GROUP BY 1, 2), inside AS (SELECT sample, qname, min(gene) AS body FROM blocks JOIN span ON blocks.ref = span.ref AND start_ < ge AND gs < end_ GROUP BY 1, 2), assigned AS (SELECT r.sample, r.qname, coalesce(gene, body) AS gene, CASE WHEN k = 1 THEN 'unique' WHEN k > 1 THEN 'ambiguous' WHEN body IS NOT NULL THEN 'intronic' ELSE 'none' END AS class FROM (SELECT DISTINCT sample, qname FROM blocks) r LEFT JOIN tops USING (sample, qname) LEFT JOIN inside USING (sample, qname))"
-genes = lambda t: quant.assign_genes(al.aligned_blocks(t.aln), t.exons)
+genes = lambda t: quant.assign_genes(by_name(t), t.exons)
 query("assign_genes", genes, GENE + " SELECT * FROM assigned", "aln exons")
-query("assign_transcripts", lambda t: quant.assign_transcripts(al.aligned_blocks(t.aln), genes(t), t.exons, 60))
+query("assign_transcripts", lambda t: quant.assign_transcripts(by_name(t), genes(t), t.exons, 60))
 counts = lambda t: quant.count_matrix(genes(t), t.aln.select("sample", "qname", "cb"))
 COUNT = GENE + ", counts AS (SELECT sample, gene AS feature, cb AS cell, cast(count(*) AS double) AS n FROM assigned JOIN aln USING (sample, qname) WHERE class = 'unique' GROUP BY 1, 2, 3)"
 query("count_matrix", counts, COUNT + " SELECT * FROM counts", "aln exons")
 query("transpose_matrix", lambda t: quant.transpose_matrix(counts(t)), COUNT + " SELECT sample, cell AS feature, feature AS cell, n FROM counts", "aln exons")
 query("merge_matrices", lambda t: quant.merge_matrices(*[counts(t).where(F.col("sample") == s).select("feature", "cell", "n") for s in ("S0", "S1")]), COUNT + " SELECT feature, cell, sum(n) AS n FROM counts GROUP BY 1, 2", "aln exons")
-query("em_quantify", lambda t: quant.em_quantify(quant.assign_transcripts(al.aligned_blocks(t.aln), genes(t), t.exons, 60).join(t.aln.select("sample", "qname", F.col("cb").alias("cell")), ["sample", "qname"]), 4))
+query("em_quantify", lambda t: quant.em_quantify(quant.assign_transcripts(by_name(t), genes(t), t.exons, 60).join(t.aln.select("sample", "qname", F.col("cb").alias("cell")), ["sample", "qname"]), 4))
 query("gtf_to_genepred", lambda t: quant.gtf_to_genepred(t.exons).select("transcript", "gene", "ref", "strand", "tx_start", "tx_end", F.array_join(F.transform("exons", lambda x: x["start"].cast("string")), ",").alias("exon_starts")), "SELECT transcript, gene, ref, strand, min(start_) AS tx_start, max(end_) AS tx_end, string_agg(cast(start_ AS string), ',' ORDER BY start_) AS exon_starts FROM exons GROUP BY 1, 2, 3, 4", "exons")
 PRED = ", pred AS (SELECT transcript, gene, ref, strand, min(start_) AS tx_start, max(end_) AS tx_end FROM exons GROUP BY 1, 2, 3, 4)"
 query("genepred_to_bed", lambda t: quant.genepred_to_bed(quant.gtf_to_genepred(t.exons)), PRED + " SELECT e.ref AS chrom, tx_start, tx_end, transcript AS name, e.strand, count(*) AS block_count, string_agg(cast(end_ - start_ AS string), ',' ORDER BY start_) AS block_sizes, string_agg(cast(start_ - tx_start AS string), ',' ORDER BY start_) AS block_starts FROM exons e JOIN pred USING (transcript) GROUP BY 1, 2, 3, 4, 5", "exons")

@@ -45,13 +45,22 @@ def written_fastq(t: Tables) -> DataFrame:
 query("write_fastq", written_fastq, "SELECT line, count(*) AS n FROM (SELECT concat('@', read_id) AS line FROM reads UNION ALL SELECT seq FROM reads UNION ALL SELECT '+' FROM reads UNION ALL SELECT qual FROM reads) GROUP BY 1", "reads")
 
 
+def same_names(spark, folder: str) -> list[str]:
+    """The parts of a folder, renamed to ``reads.0.gz`` and so on, as files of different samples are often called alike."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(x.getPath().getName() for x in fs.listStatus(at) if x.getPath().getName().startswith("part-"))
+    for i, name in enumerate(parts):
+        fs.rename(jvm.org.apache.hadoop.fs.Path(at, name), jvm.org.apache.hadoop.fs.Path(at, f"reads.{i}.gz"))
+    return [f"reads.{i}.gz" for i in range(len(parts))]
+
+
 def merged(t: Tables) -> DataFrame:
     paths = fastq(t)
-    reads = files.scan_fastq(t.spark, list(paths.values()))
-    # parts of a folder have no names of their own, so their files stand for the sample's
-    names = reads.select(F.element_at(F.split("file", "/"), -1).alias("fastq"), F.regexp_extract("file", r"/(S[01])\.fastq/", 1).alias("sample")).distinct()
-    samples = names.groupBy("sample").agg(F.collect_list("fastq").alias("fastqs"))
-    return files.merge_replicates(samples, reads).select("sample", "read_id", "seq", "qual")
+    listed = [(sample, [f"{sample}.fastq/{name}" for name in same_names(t.spark, path)]) for sample, path in paths.items()]
+    samples = t.spark.createDataFrame(listed, "sample string, fastqs array<string>")
+    return files.merge_replicates(samples, files.scan_fastq(t.spark, list(paths.values()))).select("sample", "read_id", "seq", "qual")
 
 
 query("merge_replicates", merged, READS.format("sample, read_id, seq, qual"), "reads")
@@ -180,10 +189,12 @@ query("quality_quantiles", lambda t: qc.quality_quantiles(t.reads), f", bins AS
 # contigs: the inserts of every fiftieth read, which all reads are held against
 query("assign_contigs", lambda t: contigs.assign_contigs(t.reads, t.fx.where("cell_no % 50 = 0").select(F.col("read_id").alias("ref"), F.col("ins").alias("seq")), 14, 5))
 
-# tags of alignments that have some already, and the last row of a read
-TAGGED = "SELECT a.sample, concat_ws('_', a.qname, i.bc, i.umi) AS qname, a.flag, a.ref, a.pos, coalesce(a.cr, i.bc) AS cr, i.bc_qual AS cy, i.umi AS ur, i.umi_qual AS uy, i.bc AS cb FROM (SELECT sample, qname, flag, ref, pos, CASE WHEN mapq % 2 = 0 THEN cr END AS cr FROM aln) a JOIN bc_info i ON a.sample = i.sample AND a.qname = i.read_id"
-partly = lambda t: t.aln.select("sample", F.concat("qname", F.lit("_old")).alias("qname"), "flag", "ref", "pos", F.expr("case when mapq % 2 = 0 then cr end").alias("cr"))
-twice = lambda t: t.bc_info.withColumns({"corrected_bc": F.col("bc"), "ordinal": F.lit(2)}).unionByName(t.bc_info.withColumns({"bc": F.lit("Z"), "corrected_bc": F.lit("Z"), "ordinal": F.lit(1)}))
+# tags of alignments that have some already, and the last row of a read; names have "_", and every second one a tag's suffix
+UNDER = "translate({}, '-', '_')"
+TAGGED = f"SELECT a.sample, concat_ws('_', {UNDER.format('a.qname')}, i.bc, i.umi) AS qname, a.flag, a.ref, a.pos, coalesce(a.cr, i.bc) AS cr, i.bc_qual AS cy, i.umi AS ur, i.umi_qual AS uy, i.bc AS cb FROM (SELECT sample, qname, flag, ref, pos, CASE WHEN mapq % 2 = 0 THEN cr END AS cr FROM aln) a JOIN bc_info i ON a.sample = i.sample AND a.qname = i.read_id"
+partly = lambda t: t.aln.select("sample", F.expr(f"concat({UNDER.format('qname')}, case when pos % 2 = 0 then concat('_', cr, '_', ur) else '' end)").alias("qname"), "flag", "ref", "pos", F.expr("case when mapq % 2 = 0 then cr end").alias("cr"))
+under = lambda t: t.bc_info.withColumn("read_id", F.expr(UNDER.format("read_id")))
+twice = lambda t: under(t).withColumns({"corrected_bc": F.col("bc"), "ordinal": F.lit(2)}).unionByName(under(t).withColumns({"bc": F.lit("Z"), "corrected_bc": F.lit("Z"), "ordinal": F.lit(1)}))
 query("tag_alignments", lambda t: al.tag_alignments(partly(t), twice(t)), TAGGED, "bc_info aln")
 
 # fuller statistics of alignments and reads
@@ -203,10 +214,17 @@ BY = f"SELECT sample, qname, aln, ref, start_, end_ FROM (SELECT sample, qname,
 TWO = f", one AS ({BY}), blocks AS (SELECT * FROM one UNION ALL SELECT sample, qname, 1, ref, start_ + 1000, end_ + 1000 FROM one), ex AS (SELECT DISTINCT ref, gene, start_ AS es, end_ AS ee FROM exons), hits AS (SELECT sample, qname, aln, gene, sum(least(end_, ee) - greatest(start_, es)) AS n FROM blocks JOIN ex ON blocks.ref = ex.ref AND start_ < ee AND es < end_ GROUP BY ALL), tops AS (SELECT sample, qname, aln, min(gene) AS gene, count(*) AS k FROM (SELECT *, max(n) OVER (PARTITION BY sample, qname, aln) AS top FROM hits) WHERE n = top GROUP BY ALL), body AS (SELECT sample, qname, aln, min(gene) AS body FROM blocks JOIN (SELECT ref, gene, min(start_) AS es, max(end_) AS ee FROM exons GROUP BY 1, 2) e ON blocks.ref = e.ref AND start_ < ee AND es < end_ GROUP BY ALL)"
 both = lambda t: al.with_aln_id(t.aln.where(MAPPED).unionByName(t.aln.where(MAPPED).withColumn("pos", F.col("pos") + 1000)))
 query("assign_genes_by_alignment", lambda t: quant.assign_genes(al.aligned_blocks(both(t)), t.exons).select("sample", "qname", "gene", "class"), TWO + " SELECT sample, qname, coalesce(gene, body) AS gene, CASE WHEN k = 1 THEN 'unique' WHEN k > 1 THEN 'ambiguous' WHEN body IS NOT NULL THEN 'intronic' ELSE 'none' END AS class FROM (SELECT DISTINCT sample, qname, aln FROM blocks) LEFT JOIN tops USING (sample, qname, aln) LEFT JOIN body USING (sample, qname, aln)", "aln exons")
-query("em_converged", lambda t: quant.em_quantify(quant.assign_transcripts(al.aligned_blocks(t.aln), quant.assign_genes(al.aligned_blocks(t.aln), t.exons), t.exons, 60).join(t.aln.select("sample", "qname", F.col("cb").alias("cell")), ["sample", "qname"]), 60, 1e-4))
+LENGTHS = f", lens AS (SELECT sample, qname, ref, pos, length(seq) AS n, cigar LIKE '%N%' AS cut FROM aln WHERE {MAPPED})"
+query("alignment_lengths", lambda t: al.alignment_lengths(t.aln.withColumn("cigar", F.expr(CIGAR))).drop("aln_id"), LENGTHS + " SELECT sample, qname, cast(n AS int) AS aligned, 0 AS inserted, 0 AS deleted, CASE WHEN cut THEN 400 ELSE 0 END AS skipped, CASE n % 3 WHEN 0 THEN 5 WHEN 1 THEN 4 ELSE 0 END AS soft_clipped, 0 AS hard_clipped FROM lens", "aln")
+worse = lambda t: al.with_aln_id(t.aln.where(MAPPED).unionByName(t.aln.where(MAPPED).withColumns({"pos": F.col("pos") + 1000, "nm": F.col("nm") + 3})))
+identity = lambda t: al.percent_identity(al.aligned_blocks(worse(t)), worse(t))
+SAME = f", same AS (SELECT sample, qname, round(100 * (1 - (nm + more) / length(seq)), 6) AS identity FROM aln, (VALUES (0), (3)) v(more) WHERE {MAPPED})"
+query("identity_by_alignment", lambda t: identity(t).drop("aln_id"), SAME + " SELECT * FROM same", "aln")
+query("identity_distribution", lambda t: al.identity_distribution(identity(t)), SAME + " SELECT sample, cast(floor(identity) AS int) AS percent, count(*) AS n FROM same GROUP BY 1, 2", "aln")
+query("em_converged", lambda t: quant.em_quantify(quant.assign_transcripts(registry.by_name(t), registry.genes(t), t.exons, 60).join(t.aln.select("sample", "qname", F.col("cb").alias("cell")), ["sample", "qname"]), 60, 1e-4))
 
 # policies of counting, headers of transcripts, distances of UMIs
 GENED = registry.GENE + " SELECT sample, gene AS feature, cb AS cell, cast(count(*) AS double) AS n FROM assigned JOIN aln USING (sample, qname) WHERE class IN ('unique', 'intronic') GROUP BY 1, 2, 3"
-query("count_matrix_introns", lambda t: quant.count_matrix(quant.assign_genes(al.aligned_blocks(t.aln), t.exons), t.aln.select("sample", "qname", "cb"), classes=("unique", "intronic")), GENED, "aln exons")
+query("count_matrix_introns", lambda t: quant.count_matrix(registry.genes(t), t.aln.select("sample", "qname", "cb"), classes=("unique", "intronic")), GENED, "aln exons")
 query("transcript_id", lambda t: t.fx.select("read_id", transcript_id(F.concat(F.lit(">T"), "read_id", F.lit("|G"), F.col("gene_no").cast("string"), F.lit(" a gene")), "|").alias("transcript")), "SELECT read_id, concat('T', read_id) AS transcript FROM fx")
 query("umi_distances", lambda t: dedup.umi_distances(t.aln), f", u AS (SELECT DISTINCT sample, ref, {STRAND} AS strand, pos, cr, ur FROM aln WHERE {MAPPED}), pairs AS (SELECT a.sample, a.ref, a.strand, a.pos, a.cr, avg(hamming(a.ur, b.ur)) AS mean FROM u a JOIN u b ON a.sample = b.sample AND a.ref = b.ref AND a.strand = b.strand AND a.pos = b.pos AND a.cr = b.cr AND a.ur < b.ur GROUP BY ALL) SELECT sample, cast(floor(mean + 1e-9) AS bigint) AS distance, count(*) AS places FROM pairs GROUP BY 1, 2", "aln")

@@ -7,7 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import new_path
+from ..operators.joins import spread_join
+from .shared import new_path, written
 
 BC_TABLES = {
     "putative": ("sample string, read_id string, putative_bc string", ","),
@@ -101,10 +102,22 @@ def scan_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def merge_replicates(samples: DataFrame, reads: DataFrame) -> DataFrame:
-    """All reads of each sample's files as one table; files are matched by their names, and reads of other files are left out."""
-    name = lambda c: F.element_at(F.split(c, "/"), -1)
-    files = samples.select("sample", F.explode("fastqs").alias("fastq")).select("sample", name(F.col("fastq")).alias("name"))
-    return reads.withColumn("name", name(F.col("file"))).join(files, "name").select("sample", "file", "ordinal", "read_id", "description", "seq", "qual")
+    """All reads of each sample's files as one table; reads of files that no sample lists are left out.
+
+    A listed path and a file's belong together where they end in the same folders and name, further up than either does with
+    any other: a listed path may be whole, relative or of another place, and files of different folders may share their names.
+    A file that two samples have equal claims to is refused.
+    """
+    ends = lambda path: F.transform(F.sequence(F.lit(1), F.size(path)), lambda k: F.struct(k.alias("depth"), F.array_join(F.slice(path, F.size(path) - k + 1, k), "/").alias("end")))
+    parts = lambda c: F.filter(F.split(F.regexp_replace(c, "^[A-Za-z][A-Za-z0-9+.-]*:", ""), "/"), lambda x: (x != "") & (x != "."))
+    found = reads.select("file").distinct().select("file", F.explode(ends(parts(F.col("file")))).alias("x")).select("file", "x.*")
+    listed = samples.select("sample", F.explode("fastqs").alias("fastq")).distinct().select("sample", "fastq", F.explode(ends(parts(F.col("fastq")))).alias("x")).select("sample", "fastq", "x.end")
+    shared = written(found.join(listed, "end").groupBy("file", "sample", "fastq").agg(F.max("depth").alias("depth")), "shared_paths")
+    best = lambda *c: shared.groupBy(*c).agg(F.max("depth").alias("depth"))
+    pairs = written(shared.join(best("file"), ["file", "depth"]).join(best("sample", "fastq"), ["sample", "fastq", "depth"]).select("file", "sample").distinct(), "files_of_samples")
+    if (unclear := pairs.groupBy("file").agg(F.count("*").alias("n"), F.min("sample").alias("a"), F.max("sample").alias("b")).where("n > 1").first()) is not None:
+        raise ValueError(f"{unclear.file} may belong to {unclear.a} or {unclear.b}: list more of its path")
+    return spread_join(reads, pairs, ["file"]).select("sample", "file", "ordinal", "read_id", "description", "seq", "qual")
 
 
 def scan_gtf(spark: SparkSession, path: str) -> DataFrame:

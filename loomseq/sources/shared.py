@@ -1,23 +1,34 @@
-"""Paths in the folder that driver and executors share."""
+"""Tables and paths in the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A new path in ``spark.checkpoint.dir``; only a local session without that setting gets a temporary folder."""
+def shared_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` of the session; only a local session without that setting gets a temporary folder."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = _local_dirs.setdefault(sc.applicationId, "")
-        if not found:
-            found = _local_dirs[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="loomseq-")
-    return f"{found.rstrip('/')}/loomseq/{uuid.uuid4().hex}/{name}"
+    if found:
+        return found.rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if sc.applicationId not in _local_dirs:
+        _local_dirs[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="loomseq-")
+    return _local_dirs[sc.applicationId]
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/loomseq/{uuid.uuid4().hex}/{name}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: lineage ends there, and it survives lost executors."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,8 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomseq.operators import alignments, barcodes, contigs, dedup, quant, reads
-from loomseq.plans import registry, registry_files  # noqa: F401
+from loomseq.operators import alignments, barcodes, contigs, dedup, joins, quant, reads
+from loomseq.plans import registry, registry_files, registry_splice  # noqa: F401
 from loomseq.functions.seq import ADAPTER
 from loomseq.sources import files
 from loomseq.streaming.reads import putative_stream
@@ -47,11 +47,6 @@ def test_duplicates_of_whole_reads_are_registered():
     assert {"base_probabilities", "read_duplication_levels", "read_overrepresented"} <= registry.SQL.keys()
 
 
-def test_directional_clusters():
-    assert dedup.directional({"AAAA": 5, "AAAT": 2, "TTTT": 1}) == {"AAAA": "AAAA", "AAAT": "AAAA", "TTTT": "TTTT"}
-    assert dedup.directional({"AAAA": 2, "AAAT": 2})["AAAT"] == "AAAT"
-
-
 def test_merge_and_transpose(spark):
     m = spark.createDataFrame([("S", "G1", "c", 1.0), ("S", "G10", "c", 2.0), ("S", "G1", "c", 3.0)], "sample string, feature string, cell string, n double")
     assert sorted(map(tuple, quant.merge_matrices(m.drop("sample")).collect())) == [("G1", "c", 4.0), ("G10", "c", 2.0)]
@@ -166,7 +161,7 @@ def test_contigs_by_minimizers(spark):
     assert {r.read_id: (r.ref, r.strand) for r in got.collect()} == {"a": ("c0", "+"), "b": ("c1", "-"), "e": ("c2", "+")}
 
 
-@pytest.mark.parametrize("name", ["scan_mex", "feature_regions", "read_distribution", "yield_over_time", "mark_duplicates_five_prime"])
+@pytest.mark.parametrize("name", ["assign_genes_consistent", "assign_spliced_transcripts", "umi_dedup_by_sample", "scan_mex", "feature_regions", "read_distribution", "yield_over_time", "mark_duplicates_five_prime"])
 def test_further_sql(spark, name):
     test_sql(spark, name)
 
@@ -201,6 +196,96 @@ def test_transcripts_and_estimates(spark):
     assert abs(sum(found.values()) - len(sets)) < 1e-6 and all(abs(found[t] - theta[t]) < 0.1 for t in theta)
 
 
+def greedy(counts: dict[str, int]) -> dict[str, str]:
+    """UMI -> the UMI of its cluster: from the most frequent on, a cluster takes in neighbours one base away that are rare enough."""
+    found: dict[str, str] = {}
+    for head in sorted(counts, key=lambda u: (-counts[u], u)):
+        if head in found:
+            continue
+        found[head], todo = head, [head]
+        while todo:
+            a = todo.pop()
+            near = (a[:i] + base + a[i + 1 :] for i in range(len(a)) for base in "ACGTN")
+            for b in near:
+                if b in counts and b not in found and counts[a] >= 2 * counts[b] - 1:
+                    found[b] = head
+                    todo.append(b)
+    return found
+
+
+def test_directional_against_greedy_clusters(spark):
+    """Random places with few letters, so that clusters touch; other letters and lengths, null and empty UMIs too."""
+    draw = np.random.default_rng(11)
+    rows = []
+    for place in range(30):
+        for i in range(int(draw.integers(1, 120))):
+            umi = "".join(draw.choice(list("ACN" if place % 3 else "AC"), int(draw.integers(3, 6)), p=[0.6, 0.3, 0.1] if place % 3 else [0.7, 0.3]))
+            rows.append(("S", f"r{place}.{i}", 0, "c", place, int(draw.integers(5)), "B" if place % 4 else None, umi))
+    rows += [("S", "x1", 0, "c", 99, 1, "B", None), ("S", "x2", 0, "c", 99, 1, "B", ""), ("S", "x3", 0, "c", 99, 1, "B", "RA"), ("S", "x4", 0, "c", 99, 1, "B", "AA")]
+    aln = spark.createDataFrame(rows, "sample string, qname string, flag int, ref string, pos int, mapq int, cr string, ur string")
+    want = set()
+    for place in {r[4] for r in rows}:
+        own = [r for r in rows if r[4] == place]
+        counts = {}
+        for r in own:
+            counts[r[7]] = counts.get(r[7], 0) + 1
+        head = greedy({u: n for u, n in counts.items() if u}) | {u: u for u in counts if not u}
+        for u in set(head.values()):
+            want.add((place, u, min((-r[5], r[1]) for r in own if head[r[7]] == u)[1]))
+    assert {(r.pos, r.ur, r.qname) for r in dedup.umi_dedup_directional(aln).collect()} == want
+    assert dedup.umi_dedup_directional(aln.limit(0)).count() == 0
+
+
+def test_chains_of_two_references(spark):
+    """A read that is unique on two references has transcripts on both, with and without ids of alignments; none is lost."""
+    exons = spark.createDataFrame([("c1", "G1", "T1", "+", 0, 100), ("c1", "G1", "T1", "+", 200, 300), ("c2", "G2", "T2", "-", 400, 500), ("c2", "G2", "T2", "-", 600, 700)], "ref string, gene string, transcript string, strand string, start_ int, end_ int")
+    aln = spark.createDataFrame([("S", "r", 0, "c1", 80, "20M100N30M"), ("S", "r", 256, "c2", 480, "20M100N30M"), ("S", "s", 16, "c2", 480, "20M60N30M"), ("S", "t", 0, "c2", 5, "9M")], "sample string, qname string, flag int, ref string, pos int, cigar string")
+    blocks = alignments.aligned_blocks(alignments.with_aln_id(aln))
+    genes = quant.assign_genes(blocks, exons)
+    got = quant.assign_transcripts(blocks, genes, exons)
+    assert sorted((r.qname, r.transcript, r["class"]) for r in got.collect()) == [("r", "T1", "unique"), ("r", "T2", "unique")]
+    one = blocks.where("ref = 'c1' or qname <> 'r'").drop("aln_id")
+    got = quant.assign_transcripts(blocks.drop("aln_id"), quant.assign_genes(one, exons), exons)
+    assert sorted((r.qname, r.transcript) for r in got.collect()) == [("r", "T1")]
+    kinds = {(r.qname, r.gene): r["class"] for r in quant.assign_genes(blocks, exons, delta=6).collect()}
+    assert kinds == {("r", "G1"): "unique", ("r", "G2"): "unique", ("s", "G2"): "inconsistent", ("t", None): "none"}
+    sided = lambda x: {(r.qname, r.gene) for r in quant.assign_genes(blocks, exons, x).collect() if r.gene}
+    assert sided("forward") == {("r", "G1"), ("s", "G2")} and sided("reverse") == {("r", "G2")}
+
+
+def test_files_of_one_name(spark):
+    rows = [("file:///w/a/reads.fastq.gz", "r1"), ("file:///w/b/reads.fastq.gz", "r2"), ("file:///w/c/reads.fastq.gz", "r3"), ("file:///w/x.fq.gz", "r4")]
+    reads_ = spark.createDataFrame([(f, 0, n, "", "A", "I") for f, n in rows], "file string, ordinal long, read_id string, description string, seq string, qual string")
+    sheet = lambda *x: spark.createDataFrame(list(x), "sample string, fastqs array<string>")
+    got = lambda *x: sorted((r.sample, r.read_id) for r in files.merge_replicates(sheet(*x), reads_).collect())
+    assert got(("A", ["a/reads.fastq.gz"]), ("B", ["s3://store/b/reads.fastq.gz", "x.fq.gz"])) == [("A", "r1"), ("B", "r2"), ("B", "r4")]
+    with pytest.raises(ValueError, match="list more of its path"):
+        files.merge_replicates(sheet(("A", ["reads.fastq.gz"]), ("B", ["reads.fastq.gz"])), reads_)
+
+
+def test_names_with_underscores_keep_their_tags(spark):
+    info = spark.createDataFrame([("S", "m_1_read", B, "q", "ACGT", "q", B), ("S", "m", B, "q", "TTTT", "q", B)], "sample string, read_id string, bc string, bc_qual string, umi string, umi_qual string, corrected_bc string")
+    aln = spark.createDataFrame([("S", "m_1_read", 0), ("S", f"m_1_read_{B}_ACGT", 16), ("S", "m", 4), ("S", "m_2", 0)], "sample string, qname string, flag int")
+    got = {(r.flag, r.qname, r.ur) for r in alignments.tag_alignments(aln, info).collect()}
+    assert got == {(0, f"m_1_read_{B}_ACGT", "ACGT"), (16, f"m_1_read_{B}_ACGT", "ACGT"), (4, f"m_{B}_TTTT", "TTTT")}
+
+
+def test_identity_of_two_alignments(spark):
+    aln = spark.createDataFrame([("S", "r", 0, "c", 10, "20M", 2), ("S", "r", 256, "c", 90, "3S20M2H", 0)], "sample string, qname string, flag int, ref string, pos int, cigar string, nm int")
+    got = alignments.percent_identity(alignments.aligned_blocks(aln), aln)
+    assert sorted(r.identity for r in got.collect()) == [90.0, 100.0]
+    assert sorted((r.aligned, r.soft_clipped, r.hard_clipped) for r in alignments.alignment_lengths(aln).collect()) == [(20, 0, 0), (20, 3, 2)]
+    assert {(r.percent, r.n) for r in alignments.identity_distribution(got).collect()} == {(90, 1), (100, 1)}
+
+
+def test_hot_keys_of_a_shuffled_join(spark):
+    """A table too large to send is joined by salts: the same rows, also of keys that most rows have, and of none."""
+    rows = spark.range(1000).select("id", F.when(F.col("id") % 10 > 0, 1).otherwise(F.col("id")).alias("k"))
+    table = spark.createDataFrame([(1, "a"), (1, "b"), (20, "c"), (5000, "d")], "k long, v string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert sorted(map(str, joins.spread_join(rows, table, ["k"], how, most=1).collect())) == sorted(map(str, rows.join(table, "k", how).collect()))
+
+
 def test_directional_on_a_table(spark):
     rows = [("a", 0, "AAAA", 5), ("b", 0, "AAAA", 9), ("c", 0, "AAAA", 1), ("d", 0, "AAAT", 60), ("e", 0, "TTTT", 3), ("f", 16, "AAAA", 2), ("g", 4, "AAAA", 60)]
     aln = spark.createDataFrame([("S", q, f, "c", 100, m, "B", u) for q, f, u, m in rows], "sample string, qname string, flag int, ref string, pos int, mapq int, cr string, ur string")
