@@ -189,6 +189,16 @@ query("quality_quantiles", lambda t: qc.quality_quantiles(t.reads), f", bins AS
 # contigs: the inserts of every fiftieth read, which all reads are held against
 query("assign_contigs", lambda t: contigs.assign_contigs(t.reads, t.fx.where("cell_no % 50 = 0").select(F.col("read_id").alias("ref"), F.col("ins").alias("seq")), 14, 5))
 
+
+# contigs of genes: the inserts of all its reads, one behind the other in lines of 60 bases, read as tiles
+def genome(t: Tables) -> str:
+    whole = t.fx.groupBy("gene_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("read_id", "ins"))), lambda x: x["ins"]), "").alias("seq"))
+    return lines(whole, F.concat(F.lit(">gene"), F.col("gene_no").cast("string"), F.lit(" made of reads\n"), F.regexp_replace("seq", "(.{60})", "$1\n")), "genome.fa")
+
+
+query("scan_tiles", lambda t: files.scan_tiles(t.spark, genome(t), 500, 20, 30).select("ref", "length", "tile", "first", "last", "start_", "seq"), ", genome AS (SELECT concat('gene', cast(gene_no AS string)) AS ref, string_agg(ins, '' ORDER BY read_id) AS s FROM fx GROUP BY gene_no), cut AS (SELECT ref, s, length(s) AS length, unnest(range(0, (length(s) + 499) // 500)) AS tile FROM genome) SELECT ref, length, tile, tile * 500 AS first, least(tile * 500 + 500, length) AS last, greatest(tile * 500 - 20, 0) AS start_, s[greatest(tile * 500 - 20, 0) + 1 : tile * 500 + 530] AS seq FROM cut")
+query("assign_tiled_contigs", lambda t: contigs.assign_contigs(t.reads, contigs.contig_tiles(t.spark, genome(t), 14, 5, 4096), 14, 5))
+
 # tags of alignments that have some already, and the last row of a read; names have "_", and every second one a tag's suffix
 UNDER = "translate({}, '-', '_')"
 TAGGED = f"SELECT a.sample, concat_ws('_', {UNDER.format('a.qname')}, i.bc, i.umi) AS qname, a.flag, a.ref, a.pos, coalesce(a.cr, i.bc) AS cr, i.bc_qual AS cy, i.umi AS ur, i.umi_qual AS uy, i.bc AS cb FROM (SELECT sample, qname, flag, ref, pos, CASE WHEN mapq % 2 = 0 THEN cr END AS cr FROM aln) a JOIN bc_info i ON a.sample = i.sample AND a.qname = i.read_id"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import spread_join
+from .fasta import scan_contigs, scan_tiles  # noqa: F401  part of this module's interface
 from .shared import new_path, written
 
 BC_TABLES = {
@@ -156,12 +157,6 @@ def scan_sam(spark: SparkSession, path: str, sample: str | None = None) -> DataF
     return rows.select("sample", F.col("f")[0].alias("qname"), F.col("f")[1].cast("int").alias("flag"), at(2).alias("ref"), (F.col("f")[3].cast("int") - 1).alias("pos"), F.col("f")[4].cast("int").alias("mapq"), at(5).alias("cigar"), at(9).alias("seq"), at(10).alias("qual"), F.col("tags")["NM"].cast("int").alias("nm"), *[F.col("tags")[x].alias(x.lower()) for x in ("CR", "CY", "UR", "UY", "CB")], "tags")
 
 
-def scan_contigs(spark: SparkSession, path: str) -> DataFrame:
-    """Name and length of each FASTA record: a record is the text between two lines that begin with ``>``."""
-    records = spark.read.text(path, lineSep="\n>").select(F.regexp_replace("value", "^>", "").alias("v"))
-    return records.select(F.regexp_extract("v", r"^(\S+)", 1).alias("ref"), F.length(F.regexp_replace(F.regexp_replace("v", r"^[^\n]*", ""), r"\s+", "")).cast("long").alias("length")).where("ref <> ''")
-
-
 def scan_bc_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
     schema, sep = BC_TABLES[kind]
     return _nulls(spark.read.csv(path, schema=schema, sep=sep, quote="", escape=""))

@@ -9,8 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomseq.operators import alignments, barcodes, contigs, dedup, joins, quant, reads
-from loomseq.plans import registry, registry_files, registry_splice  # noqa: F401
+from loomseq.operators import adapters, alignments, barcodes, contigs, dedup, joins, quant, reads
+from loomseq.plans import registry, registry_files, registry_reads, registry_splice  # noqa: F401
 from loomseq.functions.seq import ADAPTER
 from loomseq.sources import files
 from loomseq.streaming.reads import putative_stream
@@ -161,7 +161,105 @@ def test_contigs_by_minimizers(spark):
     assert {r.read_id: (r.ref, r.strand) for r in got.collect()} == {"a": ("c0", "+"), "b": ("c1", "-"), "e": ("c2", "+")}
 
 
-@pytest.mark.parametrize("name", ["assign_genes_consistent", "assign_spliced_transcripts", "umi_dedup_by_sample", "scan_mex", "feature_regions", "read_distribution", "yield_over_time", "mark_duplicates_five_prime"])
+def plain_distances(raw: np.ndarray, pattern: str) -> np.ndarray:
+    """Edit distances of a pattern to what ends at each place of equally long rows, by dynamic programming."""
+    before = np.zeros((raw.shape[0], raw.shape[1] + 1), int)
+    for i, c in enumerate(pattern.encode(), 1):
+        row = np.empty_like(before)
+        row[:, 0] = i
+        for j in range(1, before.shape[1]):
+            row[:, j] = np.minimum(np.minimum(before[:, j], row[:, j - 1]) + 1, before[:, j - 1] + (raw[:, j - 1] != c))
+        before = row
+    return before[:, 1:]
+
+
+def test_approximate_matching_against_dynamic_programming():
+    draw = np.random.default_rng(8)
+    alphabet = np.frombuffer(b"ACGTN", np.uint8)
+    for length in (1, 20, 300, 700):
+        raw = alphabet[draw.choice(5, (10_000 if length == 300 else 300, length), p=[0.24] * 4 + [0.04])]
+        for row in raw:  # the adapter with errors somewhere, also across the cuts of windows
+            said = [c for c in ADAPTER if draw.random() > 0.04]
+            said = "".join(c if draw.random() > 0.08 else draw.choice(list("ACGT")) for c in said).encode()[:length]
+            at = int(draw.integers(0, length - len(said) + 1))
+            row[at : at + len(said)] = np.frombuffer(said, np.uint8)
+        read, end, distance = adapters.match_ends(raw.ravel(), np.arange(len(raw) + 1) * length, ADAPTER, 4)
+        want = plain_distances(raw, ADAPTER)
+        rows, places = np.nonzero(want <= 4)
+        assert sorted(zip(read.tolist(), end.tolist(), distance.tolist(), strict=True)) == sorted(zip(rows.tolist(), (places + 1).tolist(), want[rows, places].tolist(), strict=True))
+
+
+def test_barcodes_behind_adapters_with_errors(spark):
+    turn = lambda x: x[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    one, gap, more = ADAPTER[:5] + "T" + ADAPTER[6:], ADAPTER[:8] + ADAPTER[9:], ADAPTER[:12] + "A" + ADAPTER[12:]
+    assert one != ADAPTER
+    body = lambda bc, tail: bc + "ACGTACGTACGT" + tail + "GATTACA" * 6
+    bcs = ["AACCGGTTAACCGGTA", "CATGCATGCATGGGAC", "GGGTCATTACGCAGTA"]
+    rows = [("a", "GG" + ADAPTER + body(bcs[0], "T" * 10)), ("b", turn("GG" + one + body(bcs[1], "T" * 10))), ("c", "A" * 5000 + gap + body(bcs[2], "T" * 10)), ("d", more + body(bcs[0], "T" * 10)), ("e", ADAPTER + "ACGT"), ("f", ""), ("g", None)]
+    # two adapters as good as each other: what follows the UMI decides
+    rows.append(("h", one + body(bcs[0], "ACACACACAC") + one + body(bcs[1], "T" * 10)))
+    reads_ = spark.createDataFrame([("S", i, s, s and "".join(chr(40 + k % 30) for k in range(len(s)))) for i, s in rows], "sample string, read_id string, seq string, qual string")
+    got = {r.read_id: (r.putative_bc, r.errors) for r in adapters.approximate_barcodes(reads_).collect()}
+    assert got == {"a": (bcs[0], 0), "b": (bcs[1], 1), "c": (bcs[2], 1), "d": (bcs[0], 1), "e": (None, None), "f": (None, None), "g": (None, None), "h": (bcs[1], 1)}
+    exact = {r.read_id: (r.putative_bc, r.min_q) for r in reads.putative_barcodes(reads_).collect() if r.putative_bc}
+    assert exact == {r.read_id: (r.putative_bc, r.min_q) for r in adapters.approximate_barcodes(reads_, most=0).collect() if r.putative_bc}
+    five = [("i", one + bcs[0] + "ACGTACGTAC" + "T" * 13 + "GATTACA" + one + bcs[1] + "ACGTACGTAC" + adapters.SWITCH_OLIGO + "GATTACA")]
+    reads_ = spark.createDataFrame([("S", i, s, "I" * len(s)) for i, s in five], "sample string, read_id string, seq string, qual string")
+    assert adapters.approximate_barcodes(reads_, "10X_5v2").first().putative_bc == bcs[1]
+
+
+def test_tiles_of_split_fasta(spark, tmp_path):
+    """Tiles and lengths of records that Spark splits, whatever their lines; minimizers of tiles are those of whole records."""
+    draw = np.random.default_rng(4)
+    made = {f"c{i}": "".join(draw.choice(list("ACGTN"), n, p=[0.24] * 4 + [0.04])) for i, n in enumerate([0, 1, 13, 14, 22, 23, 24, 99, 100, 101, 1000, 5003])}
+    made["c9"] = "A" * 700 + made["c9"]
+    text = "stray\n" + "".join(f">{c} a contig\n" + "\n".join(s[i : i + width] for i in range(0, len(s), width)) + "\n\n" for width, (c, s) in zip([7, 60, 10000] * 4, made.items(), strict=True)) + "> no name\nACGT\n"
+    (tmp_path / "a.fa").write_text(text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        assert sorted(map(tuple, files.scan_contigs(spark, str(tmp_path / "a.fa")).collect())) == sorted((c, len(s)) for c, s in made.items())
+        tiles = files.scan_tiles(spark, str(tmp_path / "a.fa"), 100, 7, 9, piece=33).collect()
+        want = {(c, at, min(at + 100, len(s)), max(at - 7, 0), s[max(at - 7, 0) : at + 109]) for c, s in made.items() for at in range(0, len(s), 100)}
+        assert {(r.ref, r["first"], r["last"], r.start_, r.seq) for r in tiles} == want and len(tiles) == len(want)
+        for k, w in ((14, 10), (5, 3), (4, 1)):
+            got = contigs.tile_minimizers(contigs.contig_tiles(spark, str(tmp_path / "a.fa"), k, w, 100), k, w)
+            whole = contigs.minimizers(spark.createDataFrame(list(made.items()), "ref string, seq string"), ["ref"], k, w)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_places_against_all_seeds(spark, tmp_path):
+    """Fifty contigs and frequent seeds: places by tiles and salts are those of plain counting."""
+    draw = np.random.default_rng(6)
+    repeat = "".join(draw.choice(list("ACGT"), 60))
+    made = {f"c{i:02}": "".join(draw.choice(list("ACGT"), 300)) + repeat + "".join(draw.choice(list("ACGT"), 200)) for i in range(50)}
+    (tmp_path / "a.fa").write_text("".join(f">{c}\n{s}\n" for c, s in made.items()))
+    turn = lambda x: x[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    asked = {f"r{i}": s for i, (a, s) in enumerate((a, x) for c, s in made.items() for a, x in ((0, s[40:240]), (1, turn(s[250:420])), (2, repeat)))}
+    rows = spark.createDataFrame([("S", r, s) for r, s in asked.items()], "sample string, read_id string, seq string")
+    places: dict[int, list] = {}
+    for c, s in made.items():
+        for h, at, turned in zip(*contigs.minimizers_of(s, 11, 5), strict=True):
+            places.setdefault(int(h), []).append((c, int(at), bool(turned)))
+    want = set()
+    for r, s in asked.items():
+        votes: dict[tuple, int] = {}
+        for h, at, turned in zip(*contigs.minimizers_of(s, 11, 5), strict=True):
+            for c, there, other in places.get(int(h), []):
+                key = c, "-" if turned != other else "+", (there + int(at) if turned != other else there - int(at)) // 500
+                votes[key] = votes.get(key, 0) + 1
+        best: dict[tuple, int] = {}
+        for (c, strand, _), v in votes.items():
+            best[c, strand] = max(best.get((c, strand), 0), v)
+        want |= {("S", r, c, strand, v) for (c, strand), v in sorted(best.items(), key=lambda x: (-x[1], x[0]))[:3]}
+    tiles = contigs.contig_tiles(spark, str(tmp_path / "a.fa"), 11, 5, 128)
+    for most in (20_000, 7):
+        assert {tuple(r) for r in contigs.assign_contigs(rows, tiles, 11, 5, 3, most=most).collect()} == want
+
+
+@pytest.mark.parametrize("name", ["scan_tiles", "scan_contigs", "merge_replicates", "tag_alignments", "assign_genes_consistent", "assign_spliced_transcripts", "umi_dedup_by_sample", "scan_mex", "feature_regions", "read_distribution", "yield_over_time", "mark_duplicates_five_prime"])
 def test_further_sql(spark, name):
     test_sql(spark, name)
 
