@@ -24,9 +24,14 @@ def chars(x: Column) -> Column:
     return F.filter(F.split(x, ""), lambda c: c != "")
 
 
+#: Characters that stand for Phred values 0 to 93.
+PHRED = [chr(c) for c in range(33, 127)]
+
+
 def mean_quality(qual: Column) -> Column:
-    """Phred value of the mean error probability."""
-    total = F.aggregate(chars(qual), F.lit(0.0), lambda s, c: s + error_probability(c))
+    """Phred value of the mean error probability: the sum takes each base's probability from a table of all characters."""
+    table = F.array(*[F.lit(10.0 ** (-i / 10.0)) for i in range(len(PHRED))])
+    total = F.aggregate(F.split(qual, ""), F.lit(0.0), lambda s, c: s + F.when(c == "", 0.0).otherwise(F.element_at(table, F.ascii(c) - 32)))
     return -10 * F.log10(total / F.length(qual))
 
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.seq import chars, mean_quality
+from ..functions.seq import mean_quality
+from ..sources.shared import written
+from .joins import spread_join
+from .places import digest, frequent_candidates, place_counts
 
 
 def length_distribution(reads: DataFrame) -> DataFrame:
@@ -37,20 +40,17 @@ def per_read_quality(reads: DataFrame) -> DataFrame:
 
 
 def per_base_quality(reads: DataFrame) -> DataFrame:
-    at = reads.select("sample", F.posexplode(chars(F.col("qual"))).alias("pos", "c"))
-    # a histogram of few values for each place first: exact quantiles stay cheap
-    bins = at.groupBy("sample", "pos", (F.ascii("c") - 33).alias("q")).agg(F.count("*").alias("n"))
+    bins = place_counts(reads, "qual").withColumn("q", F.col("code") - 33)
     return bins.groupBy("sample", "pos").agg(F.round(F.sum(F.col("q") * F.col("n")) / F.sum("n"), 6).alias("mean_q"), F.min("q").alias("min_q"), F.max("q").alias("max_q"))
 
 
-def per_base_content(reads: DataFrame) -> DataFrame:
-    at = reads.select("sample", F.posexplode(chars(F.col("seq"))).alias("pos", "c"))
-    share = lambda b: F.round(F.count_if(F.col("c") == b) / F.count("*"), 6).alias(f"{b.lower()}_share")
-    return at.groupBy("sample", "pos").agg(*[share(b) for b in "ACGTN"])
+def per_base_content(reads: DataFrame, bases: str = "ACGTN") -> DataFrame:
+    share = lambda b: F.round(F.sum(F.when(F.col("code") == ord(b), F.col("n")).otherwise(0)) / F.sum("n"), 6).alias(f"{b.lower()}_share")
+    return place_counts(reads, "seq").groupBy("sample", "pos").agg(*[share(b) for b in bases])
 
 
 def n_content(reads: DataFrame) -> DataFrame:
-    return per_base_content(reads).select("sample", "pos", "n_share")
+    return per_base_content(reads, "N")
 
 
 def gc_content(reads: DataFrame) -> DataFrame:
@@ -58,13 +58,21 @@ def gc_content(reads: DataFrame) -> DataFrame:
 
 
 def duplication_levels(reads: DataFrame) -> DataFrame:
-    copies = reads.groupBy("sample", "seq").agg(F.count("*").alias("level"))
+    """``(sample, level, distinct_seqs)``; sequences are told apart by 256-bit digests, so no whole reads are shuffled."""
+    copies = reads.groupBy("sample", digest().alias("d")).agg(F.count("*").alias("level"))
     return copies.groupBy("sample", "level").agg(F.count("*").alias("distinct_seqs"))
 
 
 def overrepresented(reads: DataFrame, min_share: float = 0.001) -> DataFrame:
+    """``(sample, seq, n, pct)``: sequences of ``min_share`` of a sample's reads or more.
+
+    Each task's summary has all digests that may be so frequent; only reads of these candidates, at most some thousands of
+    digests, are then counted, whole.
+    """
+    candidates = written(frequent_candidates(reads, min_share), "candidates")
     total = reads.groupBy("sample").agg(F.count("*").alias("all"))  # one row a sample
-    seqs = reads.groupBy("sample", "seq").agg(F.count("*").alias("n")).join(F.broadcast(total), "sample")
+    rows = spread_join(reads.select("sample", "seq", digest().alias("d")), candidates, ["sample", "d"], "left_semi")
+    seqs = rows.groupBy("sample", "seq").agg(F.count("*").alias("n")).join(F.broadcast(total), "sample")
     return seqs.where(F.col("n") >= min_share * F.col("all")).select("sample", "seq", "n", F.round(100 * F.col("n") / F.col("all"), 6).alias("pct"))
 
 
@@ -130,17 +138,34 @@ def yield_over_time(reads: DataFrame, minutes: int = 60) -> DataFrame:
 
 def quality_quantiles(reads: DataFrame, shares: tuple[float, ...] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
     """``(sample, pos, q10, q25, ...)``: at each place the least quality that this share of its bases doesn't exceed, from a histogram."""
-    at = reads.select("sample", F.posexplode(chars(F.col("qual"))).alias("pos", "c"))
-    bins = at.groupBy("sample", "pos", (F.ascii("c") - 33).alias("q")).agg(F.count("*").alias("n"))
+    bins = place_counts(reads, "qual").withColumn("q", F.col("code") - 33)
     w = Window.partitionBy("sample", "pos")
     bins = bins.withColumns({"upto": F.sum("n").over(w.orderBy("q")), "whole": F.sum("n").over(w)})
     return bins.groupBy("sample", "pos").agg(*[F.min(F.when(F.col("upto") >= s * F.col("whole"), F.col("q"))).alias(f"q{round(100 * s)}") for s in shares])
 
 
+def exact_median(values: DataFrame, column: str, width: float = 0.01) -> DataFrame:
+    """``(sample, median)``: the middle value, or the mean of the two middle ones, of each sample's values that are not null.
+
+    A histogram of bins tells in which bin or bins the middle is; only the distinct values of these are then ordered.
+    """
+    rows = values.where(F.col(column).isNotNull()).select("sample", F.col(column).alias("v"), F.floor(F.col(column) / width).alias("bin"))
+    w = Window.partitionBy("sample")
+    bins = rows.groupBy("sample", "bin").agg(F.count("*").alias("n")).withColumns({"upto": F.sum("n").over(w.orderBy("bin")), "whole": F.sum("n").over(w)})
+    bins = bins.withColumns({"before": F.col("upto") - F.col("n"), "low": F.expr("(whole + 1) div 2"), "high": F.expr("(whole + 2) div 2")})
+    bins = bins.where("(before < low and low <= upto) or (before < high and high <= upto)").select("sample", "bin", "before", "low", "high")  # two rows a sample at most
+    inside = rows.join(F.broadcast(bins), ["sample", "bin"]).groupBy("sample", "bin", "before", "low", "high", "v").agg(F.count("*").alias("n"))
+    run = F.col("before") + F.sum("n").over(Window.partitionBy("sample", "bin").orderBy("v"))
+    ranked = inside.withColumn("upto", run).withColumn("from", F.col("upto") - F.col("n"))
+    at = lambda r: F.max(F.when((F.col("from") < F.col(r)) & (F.col(r) <= F.col("upto")), F.col("v")))
+    return ranked.groupBy("sample").agg(((at("low") + at("high")) / 2).alias("median"))
+
+
 def read_quality_stats(reads: DataFrame, cuts: tuple[int, ...] = (10, 12, 15), top: int = 5) -> DataFrame:
     """Per sample mean and median quality, megabases over the cuts, and the ``top`` longest and best reads as ``length:quality``."""
-    rows = reads.select("sample", "read_id", F.length("seq").alias("len"), F.round(mean_quality(F.col("qual")), 6).alias("q"))
-    main = rows.groupBy("sample").agg(F.round(F.avg("q"), 4).alias("mean_q"), F.round(F.percentile("q", F.lit(0.5)), 4).alias("median_q"), *[F.round(F.sum(F.when(F.col("q") > c, F.col("len")).otherwise(0)) / 1e6, 6).alias(f"mb_over_q{c}") for c in cuts])
+    rows = written(reads.select("sample", "read_id", F.length("seq").alias("len"), F.round(mean_quality(F.col("qual")), 6).alias("q")), "read_qualities")
+    main = rows.groupBy("sample").agg(F.round(F.avg("q"), 4).alias("mean_q"), *[F.round(F.sum(F.when(F.col("q") > c, F.col("len")).otherwise(0)) / 1e6, 6).alias(f"mb_over_q{c}") for c in cuts])
+    main = main.join(exact_median(rows, "q").select("sample", F.round("median", 4).alias("median_q")), "sample", "left")
     # partial heaps of a few rows for each task, not a sort of all reads
     for name, order in (("longest", ("len", "q")), ("best", ("q", "len"))):
         rank = F.row_number().over(Window.partitionBy("sample").orderBy(*map(F.desc, order), "read_id"))

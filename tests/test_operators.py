@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomseq.operators import adapters, alignments, barcodes, contigs, dedup, joins, quant, reads
+from loomseq.operators import adapters, alignments, barcodes, contigs, dedup, joins, places, qc, quant, reads
 from loomseq.plans import registry, registry_files, registry_reads, registry_splice  # noqa: F401
 from loomseq.functions.seq import ADAPTER
 from loomseq.sources import files
@@ -208,6 +208,42 @@ def test_barcodes_behind_adapters_with_errors(spark):
     assert adapters.approximate_barcodes(reads_, "10X_5v2").first().putative_bc == bcs[1]
 
 
+def test_symbols_by_place(spark):
+    """Counts in tasks are those of single bases: many samples, null and empty reads, places beyond the kept ones."""
+    draw = np.random.default_rng(9)
+    rows = [(f"S{i % 11}" if i % 13 else None, "".join(draw.choice(list("ACGTN"), int(draw.integers(0, 50))))) for i in range(400)] + [("S1", None), ("S1", "ACGT" * 5000), ("S2", "\u00e9A")]
+    frame = spark.createDataFrame(rows, "sample string, seq string").repartition(3)
+    want: dict[tuple, int] = {}
+    for s, x in rows:
+        for i, b in enumerate((x or "").encode()):
+            want[s, i, b] = want.get((s, i, b), 0) + 1
+    assert {(r.sample, r.pos, r.code): r.n for r in places.place_counts(frame, "seq").collect()} == want
+
+
+def test_frequent_reads(spark):
+    """All sequences of the share are found, whatever task has them; the summary is never too low by more than it says."""
+    draw = np.random.default_rng(10)
+    keys = draw.zipf(1.3, 5000).tolist()
+    summary = places.Frequent(20)
+    for at in range(0, 5000, 300):
+        summary.add(keys[at : at + 300])
+    true = {k: keys.count(k) for k in set(keys)}
+    assert len(summary.counts) <= 20 and summary.lost <= 5000 / 21 and all(n - summary.lost <= summary.counts.get(k, 0) <= n for k, n in true.items())
+    rows = [("S", f"ACGT{k}") for k in keys] + [("T", "AA")] * 3 + [("T", None)]
+    frame = spark.createDataFrame(rows, "sample string, seq string").repartition(7)
+    got = {(r.sample, r.seq): r.n for r in qc.overrepresented(frame, 0.02).collect()}
+    assert got == {("S", f"ACGT{k}"): n for k, n in true.items() if n >= 100} | {("T", "AA"): 3}
+
+
+def test_median_by_bins(spark):
+    draw = np.random.default_rng(12)
+    for n in (1, 2, 7, 1000):
+        values = draw.normal(10, 0.02 if n == 7 else 5, n).round(6).tolist()
+        frame = spark.createDataFrame([("S", v) for v in values] + [("T", 1.0), ("T", 1.0), ("T", None), ("U", None)], "sample string, q double")
+        got = {r.sample: r.median for r in qc.exact_median(frame, "q").collect()}
+        assert got.keys() == {"S", "T"} and abs(got["S"] - np.median(values)) < 1e-12 and got["T"] == 1.0
+
+
 def test_tiles_of_split_fasta(spark, tmp_path):
     """Tiles and lengths of records that Spark splits, whatever their lines; minimizers of tiles are those of whole records."""
     draw = np.random.default_rng(4)
@@ -259,7 +295,7 @@ def test_places_against_all_seeds(spark, tmp_path):
         assert {tuple(r) for r in contigs.assign_contigs(rows, tiles, 11, 5, 3, most=most).collect()} == want
 
 
-@pytest.mark.parametrize("name", ["scan_tiles", "scan_contigs", "merge_replicates", "tag_alignments", "assign_genes_consistent", "assign_spliced_transcripts", "umi_dedup_by_sample", "scan_mex", "feature_regions", "read_distribution", "yield_over_time", "mark_duplicates_five_prime"])
+@pytest.mark.parametrize("name", ["knee_ranks", "read_quality_stats", "per_base_content", "overrepresented", "approximate_barcodes", "scan_tiles", "scan_contigs", "merge_replicates", "tag_alignments", "assign_genes_consistent", "assign_spliced_transcripts", "umi_dedup_by_sample", "scan_mex", "feature_regions", "read_distribution", "yield_over_time", "mark_duplicates_five_prime"])
 def test_further_sql(spark, name):
     test_sql(spark, name)
 
