@@ -1,7 +1,7 @@
 """Ids of whole texts by a word-level BPE of the tokenizers library, in Python workers.
 
 The tokenizer drops white space and its normaliser and merges never reach across it, and it splits a word's letters from the
-marks behind them; so each word between blanks, without its marks, is encoded by the library once and then remembered. The
+marks behind them; the strings of its special tokens hold no blank. So each word between blanks, without its marks, is encoded by the library once and then remembered. The
 ids of a text are those of its words and marks one after another. Every word
 of letters ends with an id whose token ends in the vocabulary's end-of-word mark, which tells words of one text apart.
 """
@@ -58,7 +58,6 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
