@@ -77,10 +77,11 @@ def bucket(key: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, label: str = "quality") -> np.ndarray:
-    """Weights, learnt from at most ``rows`` documents whose bucket isn't 2."""
+    """Weights, learnt from at most ``rows`` documents whose bucket isn't 2; of rows that repeat a key the one with the smallest hash of its text."""
     known = documents(labels, "doc_id", label).where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (bucket(F.col("doc_id")) != 2))
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    sample = documents(docs, "doc_id", "text").join(F.broadcast(known), "doc_id")
+    # at most ``rows`` keys, with one text each, however many rows repeat them
+    sample = documents(docs, "doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")).select("doc_id", "label", "first.text")
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
