@@ -5,6 +5,9 @@ distinct labelled URLs; a combination that implies a label with enough support a
 fits is judged by the mined rules whose tokens it all has: the most confident one decides, of equals one that blocks. Where
 none fits, it is allowed.
 
+Tokens that occur in exactly the same labelled URLs are one class: rules with any of them say the same, so FP-growth mines
+classes, and a URL has a class where it has one of its tokens. Shared deep paths thus cost no more than one segment.
+
 A rule is pruned where it says what a rule with one token less says with no less confidence: that one fits wherever it does,
 so verdicts and confidences stay. The inverted index has each rule once, under the rarest of its tokens; its other tokens are
 looked for in the URLs that meet it there, and a URL's rows are aggregated in the task that made them.
@@ -15,6 +18,8 @@ Repeated rows get repeated verdicts.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,6 +73,30 @@ def tokens_of(host: Column, path: Column) -> Column:
     )
 
 
+def token_classes(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """``(token, class)`` of the tokens with enough support: those of one class occur in exactly the same of the distinct labelled URLs.
+
+    Tokens are grouped by their number of URLs and two hashes over these; then each group's URLs are counted, and one whose
+    tokens don't have all of them falls apart into its tokens. Their number is bounded by the support, not by the input.
+    """
+    least = F.lit(max(1, math.ceil(min_support * labelled.count())))
+    met = labelled.select("url", F.explode("tokens").alias("token"))
+    often = met.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("url")).alias("x1"), F.bit_xor(F.xxhash64("url", F.lit(1))).alias("x2")).where(F.col("n") >= least)
+    groups = often.groupBy("n", "x1", "x2").agg(F.min("token").alias("class"), F.count("*").alias("size"))
+    found = written(often.join(groups, ["n", "x1", "x2"]).select("token", "class", "n", "size"), "token_groups")
+    urls = met.join(found.where("size > 1"), "token").groupBy("class", "n").agg(F.count_distinct("url").alias("urls")).where("urls <> n").select("class", F.lit(True).alias("mixed"))
+    return found.join(urls, "class", "left").select("token", F.when(F.col("mixed"), F.col("token")).otherwise(F.col("class")).alias("class"))
+
+
+def in_classes(urls: DataFrame, classes: DataFrame) -> DataFrame:
+    """``urls`` with the classes of their tokens as ``tokens``; tokens without one are in no rule. ``classes`` is a written table."""
+    if classes.count() <= MOST_ENTRIES:
+        classes = F.broadcast(classes)
+    of = urls.select("url", F.explode("tokens").alias("token")).join(classes, "token").groupBy("url").agg(F.array_sort(F.collect_set("class")).alias("classes"))
+    empty = F.array().cast("array<string>")
+    return urls.join(of, "url", "left").select(*[F.coalesce("classes", empty).alias("tokens") if c == "tokens" else c for c in urls.columns])
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``(rule_id, tokens, n_tokens, verdict, confidence)`` from distinct ``(url, tokens, verdict)``."""
     baskets = labelled.select(F.array_append("tokens", F.concat(F.lit(LABEL), "verdict")).alias("items"))
@@ -117,7 +146,8 @@ def judged(pages: DataFrame) -> DataFrame:
     labelled = distinct.where("fixed is not null").select("url", "tokens", F.col("fixed").alias("verdict"))
     if labelled.isEmpty():
         return rows.select("page_id", "host", "path", "rule", F.coalesce("fixed", F.lit("allow")).alias("verdict"), F.lit(None).cast("double").alias("confidence"))
-    rules = written(mine(labelled), "url_rules")
-    mined = written(match(distinct.where("fixed is null").select("url", "tokens"), pruned(rules)).withColumnRenamed("verdict", "mined"), "mined_verdicts")
-    dropped(rules, distinct)
+    classes = written(token_classes(labelled), "token_classes")
+    rules = written(mine(in_classes(labelled, classes)), "url_rules")
+    mined = written(match(in_classes(distinct.where("fixed is null").select("url", "tokens"), classes), pruned(rules)).withColumnRenamed("verdict", "mined"), "mined_verdicts")
+    dropped(rules, distinct, classes)
     return rows.join(mined, "url", "left").select("page_id", "host", "path", "rule", F.coalesce("fixed", "mined", F.lit("allow")).alias("verdict"), "confidence")
