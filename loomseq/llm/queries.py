@@ -101,8 +101,7 @@ SQL: dict[str, str] = {
         twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
         r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM twice, range(0, 5) k(k) GROUP BY 1),
         c AS (SELECT doc_id, t, len(ws) AS n_words, cast(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS bigint) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
-          list_filter(ls, lambda x: regexp_matches(x, '[^ 	-
-]')) AS lines, len(ls) AS all_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
+          list_filter(ls, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, len(ls) AS all_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
         b AS (SELECT *, cast(len(lines) - len(list_distinct(lines)) AS bigint) AS n_dup_lines, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
           NOT (base_failed OR 5 * n_symbols > n_words OR word_chars > 30 * n_words OR word_chars < 2 * n_words OR (n_dup_lines >= 3 AND 2 * n_dup_lines > all_lines)
