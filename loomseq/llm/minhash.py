@@ -12,10 +12,14 @@ for sharing a bucket:
    with at most ``PIVOTS`` of the pivots that it meets, those that it meets in most buckets first. Confirmed links contract
    components, and the next turn looks only at buckets that still hold several. A turn's links are linear in its nodes.
    Turns end when one confirms nothing, after ``TURNS`` at the latest.
-2. In the buckets that are still open, the nodes outside the commonest component are joined with all nodes of other
-   components, each pair in the first table that it shares. The join's condition compares sizes and odd sketches before a
-   pair comes out. So every pair that can still change a component is looked at, and turns change the time, not the result.
-3. Pairs of both steps are confirmed on the full sets of both texts.
+2. In buckets that are still open and have ``CROWD`` rows at most, the nodes outside the commonest component are joined with
+   all nodes of other components, each pair in the first table that it shares. The join's condition compares sizes and odd
+   sketches before a pair comes out.
+3. The nodes of larger open buckets are joined by their rarest shingles: sets in one order from rare to frequent that are
+   similar enough share a shingle among the first few of both, so a text need not meet all that look somewhat like it. Texts
+   that differ from each other in shingles of their own just too many have none of the frequent ones there and never meet.
+   Steps 2 and 3 lose no pair that shares a bucket and can still change a component; turns change the time, not the result.
+4. Pairs of all steps are confirmed on the full sets of both texts.
 
 The odd sketch has a bit for each of ``ODD`` bins of hashes, set where the set has an odd number of them. Bits in which two
 sketches differ are never more than the symmetric difference, which a link bounds by (n1 + n2) * (100 - percent) /
@@ -35,9 +39,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, matched, matched_rows, per_slice, utf8_of, with_hash, written
+from .common import dropped, mapped, matched, matched_rows, per_slice, utf8_of, with_hash, written
 
 M, TURNS, PIVOTS = 10, 3, 4
+#: Rows of an open bucket up to which its nodes are held against each other.
+CROWD = 200
+#: Hash bins in which the occurrences of shingles are counted, to order them from rare to frequent.
+RARITY_BINS = 1 << 18
 #: Bytes of full sets that are sent to every executor; more of them are joined by a shuffle.
 MOST_SET_BYTES = 24_000_000
 ODD = 2048
@@ -237,6 +245,78 @@ def other_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return p.join(q, condition).select(F.greatest("p.id", "q.id").alias("x"), F.least("p.id", "q.id").alias("y"))
 
 
+def rarity(sets: DataFrame) -> np.ndarray:
+    """How many sets' shingles fall in each of ``RARITY_BINS`` bins; any counts make a valid order, good ones a fast one."""
+
+    def run(batches):
+        total = np.zeros(RARITY_BINS, np.int64)
+        for batch in batches:
+            tokens = batch.column("set").flatten().to_numpy(zero_copy_only=False)
+            total += np.bincount(tokens & (RARITY_BINS - 1), minlength=RARITY_BINS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bin", "n"])
+
+    got = mapped(sets.select("set"), run, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()  # a row a bin at most
+    out = np.zeros(RARITY_BINS, np.int64)
+    out[got.column("bin").to_numpy()] = got.column("n").to_numpy()
+    return out
+
+
+def rare_shingles(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """``(id, comp, n, pos, short, key)`` of ``(id, comp, set)``: the first shingles of each set from rare to frequent, and their places.
+
+    A set shares a shingle among these with every set that it may link. Those with ``short`` are enough where the other set
+    is as long or longer.
+    """
+    sent = sets.sparkSession.sparkContext.broadcast(counts)  # RARITY_BINS integers, whatever the input
+
+    def make():
+        often = sent.value
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            ends = np.cumsum(batch.column("set").value_lengths().to_numpy(zero_copy_only=False))
+            tokens = batch.column("set").flatten().to_numpy(zero_copy_only=False)
+            rows, keys, places, short = [], [], [], []
+            for i, end in enumerate(ends.tolist()):
+                own = tokens[ends[i - 1] if i else 0 : end]
+                n = len(own)
+                longest = n + (-percent * n // 100) + 1
+                own = own[np.lexsort((own, often[own & (RARITY_BINS - 1)]))[:longest]]
+                keys.append(own)
+                places.append(np.arange(len(own)))
+                short.append(places[-1] < n + (-2 * percent * n // (100 + percent)) + 1)
+                rows.append(np.full(len(own), i))
+            take = pa.array(np.concatenate([np.zeros(0, np.int64), *rows]))
+            join = lambda x, kind: pa.array(np.concatenate([np.zeros(0, kind), *x]))
+            n = pa.array(batch.column("set").value_lengths().cast(pa.int64()))
+            return pa.RecordBatch.from_arrays([batch.column("id").take(take), batch.column("comp").take(take), n.take(take), join(places, np.int64), join(short, bool), join(keys, np.int64)], ["id", "comp", "n", "pos", "short", "key"])
+
+        return work
+
+    return per_slice(sets.select("id", "comp", "set"), make, "id bigint, comp bigint, n bigint, pos bigint, short boolean, key bigint")
+
+
+def crowded_pairs(crowd: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """``(x, y)``: what may link nodes of different components among ``crowd (id, comp)``, by the shingles that it must share.
+
+    In each shingle's rows the commonest component meets only the others, so copies of one text don't meet one another.
+    """
+    own = written(sets.join(crowd, "id"), "crowd_sets")
+    rows = written(rare_shingles(own, rarity(own), percent), "rare_shingles")
+    parts = rows.groupBy("key", "comp").agg(F.count("*").alias("rows"))
+    several = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("rows", "comp")).alias("m")).where("parts > 1").select("key", (F.col("m.comp")).alias("major"))
+    rows = written(rows.join(several, "key"), "shared_shingles")
+    p, q = rows.where("short").alias("p"), rows.alias("q")
+    left = F.least(F.col("p.n") - F.col("p.pos"), F.col("q.n") - F.col("q.pos"))
+    fits = (F.col("p.key") == F.col("q.key")) & (F.col("p.comp") != F.col("q.comp")) & (F.col("p.n") <= F.col("q.n")) & (100 * F.col("p.n") >= percent * F.col("q.n")) & ((100 + percent) * left >= percent * (F.col("p.n") + F.col("q.n")))
+    ids = lambda df: df.select(F.greatest("p.id", "q.id").alias("x"), F.least("p.id", "q.id").alias("y"))
+    met = ids(p.where("p.comp <> p.major").join(q, fits)).unionByName(ids(p.where("p.comp = p.major").join(q.where("q.comp <> q.major"), fits)))
+    met = written(met.distinct(), "crowd_pairs")
+    found = written(sketched(sketched(met, sketches, "x", "p"), sketches, "y", "q").where(may_link("p.", "q.", percent)).select("x", "y"), "crowd_pairs")
+    dropped(own, rows, met)
+    return found
+
+
 def linked(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame | None:
     """``(id, comp)`` of the nodes that have links; None where no two nodes share a bucket."""
     keys = nodes.select("id", F.posexplode(F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))).alias("pos", "key"))
@@ -257,9 +337,14 @@ def linked(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame
             break
         labels = contracted(labels, links)
     before, rows = rows, still_open(rows, labels)
-    rest = written(other_pairs(rows, nodes, percent), "other_pairs")
+    large = written(rows.groupBy("key").agg(F.count("*").alias("rows")).where(F.col("rows") > CROWD).select("key"), "large_buckets")
+    rest = other_pairs(rows.join(large, "key", "left_anti"), nodes, percent)
+    if not large.isEmpty():
+        crowd = rows.join(large, "key", "left_semi").select("id", "comp").distinct()
+        rest = rest.unionByName(crowded_pairs(crowd, sets, sketches, percent)).distinct()
+    rest = written(rest, "other_pairs")
     links = confirmed(sets, rest, percent)
-    dropped(before, rows, rest, sets)
+    dropped(before, rows, large, rest, sets)
     return labels if links.isEmpty() else contracted(labels, links)
 
 
