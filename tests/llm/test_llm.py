@@ -7,6 +7,7 @@ import hashlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from loomseq.llm import byte_bpe, cascade, exact_dedup, ftrl, html_wrappers, minhash, packing, repair_codec, secrets, url_rules
@@ -107,7 +108,7 @@ def test_repair(docs, empty):
         skip = (b - a) // 3
         assert repair_codec.read_ids(body, int(symbols[d]), skip, b - a - skip).tolist() == ids[a + skip : b].tolist()
     path = tokenizer_path("word_bpe_49k.json")
-    known, at, want = WordBpe(path).tokenizer, 0, []
+    known, at, want = Tokenizer.from_file(path), 0, []
     for i, t in sorted(ROWS, key=lambda x: (x[0], x[1] or "")):
         got = [*known.encode(t or "", add_special_tokens=False).ids, 1]
         want.append((i, at, len(got), brute.crc_of(got)))
@@ -118,7 +119,7 @@ def test_repair(docs, empty):
 
 def test_packing(docs, empty):
     path = tokenizer_path("word_bpe_49k.json")
-    known = WordBpe(path).tokenizer
+    known = Tokenizer.from_file(path)
     rows = packing.pack(docs, path).collect()
     assert sorted(r.sequence_id for r in rows) == list(range(len(rows)))
     assert [r.length for r in sorted(rows, key=lambda r: r.sequence_id)] == sorted((r.length for r in rows), reverse=True)
@@ -245,15 +246,12 @@ def test_pipeline(spark):
 def test_word_ids_equal_the_library():
     """Words learnt together are cut apart as the library cuts them, also where lower-casing or marks split a word."""
     import numpy as np
-    from tokenizers import Tokenizer
-
     from loomseq.llm.queries import tokenizer_path
     from loomseq.llm.word_bpe import WordBpe
 
     path = tokenizer_path("word_bpe_49k.json")
     texts = ["İstanbul ΣΑΣ Σ", "été café, it's don't", "<|endoftext|> a b c\tq\r\nz", "日本語 한글 각", "½ ² ǅ ﬁ ª", "", " ", "x" * 5000, "</w> x</w> --", "tail!! tail?"]
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     expected = [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(texts, add_special_tokens=False)]
     assert list(WordBpe(path).encode_all([*[x.encode() for x in texts], None])) == [*expected, b""]
     one = WordBpe(path)
@@ -370,3 +368,54 @@ def test_byte_bpe_operators(docs, empty):
     back = sorted((r.doc_id, bytes(r.bytes)) for r in byte_bpe.decode(ids, path, pattern).collect())
     assert back == sorted((i, (t or "").encode()) for i, t in ROWS)
     assert byte_bpe.decode(byte_bpe.encode(empty, path, pattern), path, pattern).count() == 0
+
+
+def near_misses(n: int, words: int, changed: int, seed: int = 1, of: int | None = None) -> list[tuple[int, str]]:
+    """Texts of one base, each with some words of its own, or of few choices a place."""
+    draw = np.random.default_rng(seed)
+    out = []
+    for i in range(n):
+        own = [f"w{j}" for j in range(words)]
+        for j in draw.choice(words, changed, replace=False):
+            own[j] = f"x{j}.{draw.integers(of)}" if of else f"{i}x{j}"
+        out.append((i, " ".join(own)))
+    return out
+
+
+def test_crowded_buckets(spark, monkeypatch):
+    """Nodes of large open buckets, joined by rare shingles, against all pairs: near-misses, copies and pairs about the threshold."""
+    monkeypatch.setattr(minhash, "CROWD", 5)
+    rows = near_misses(150, 200, 12) + [(1000 + i, t) for i, t in near_misses(60, 120, 4, 2)] + [(2000 + i, t) for i, t in near_misses(60, 100, 9, 3, 2)] + [(3000, ""), (3001, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for k in (2, 5):
+        want = brute.components(rows, k)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.groups(docs, k).collect()} == want
+
+
+def test_near_misses_meet_seldom(spark):
+    """Rare shingles bring no texts together that differ in clearly too many of their own, and few of those that differ in just too many."""
+
+    def met(n: int, changed: int) -> int:
+        rows = near_misses(n, 200, changed)
+        sets = spark.createDataFrame([(i, i, minhash.shingles(t.encode(), 2).view(np.int64).tolist()) for i, t in rows], "id long, comp long, set array<bigint>")
+        found = minhash.rare_shingles(sets, minhash.rarity(sets), 80)
+        both = found.where("short").groupBy("key").agg(F.count("*").alias("a")).join(found.groupBy("key").agg(F.count("*").alias("b")), "key")
+        return both.agg(F.sum(F.expr("a * b - a"))).first()[0]
+
+    assert met(600, 16) < 600 and met(600, 12) < 600 * 600 / 4
+
+
+def test_deep_paths_are_one_class(spark):
+    """Thirty segments that labelled URLs share are mined at once, and verdicts are those of single tokens."""
+    deep = "/".join(f"d{i}" for i in range(30))
+    urls = [f"http://a{i % 3}.org/{deep}/p{i}" for i in range(60)] + [f"http://b{i % 3}.com/de/{deep}x/q{i}" for i in range(60)] + ["http://c.net/d0/z", f"http://c.net/de/{deep}x", "http://c.net/y"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_rules.judged(pages).collect()}
+    assert [got[i] for i in (0, 60, 120, 121, 122)] == ["allow", "block", "allow", "block", "allow"]
+
+
+def test_training_rows_are_one_a_key(spark):
+    docs = spark.createDataFrame([(1, f"text number {i}") for i in range(500)] + [(3, "other words"), (5, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0), (5, 0)], "doc_id long, quality int")
+    once = spark.createDataFrame([(r.doc_id, r.text) for r in docs.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")).select("doc_id", "x.text").collect()], "doc_id long, text string")
+    assert ftrl.fit(docs, labels).tolist() == ftrl.fit(once, labels).tolist()
