@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 IUPAC, COMPLEMENT = "ACGTRYKMBVDHNSWacgtrykmbvdhnsw", "TGCAYRMKVBHDNSWtgcayrmkvbhdnsw"
@@ -46,3 +46,12 @@ def transcript_id(header: Column, delimiter: str = "") -> Column:
     """The transcript of a FASTA header: its first word without ``>``, cut at the delimiter where one is given."""
     first = F.regexp_extract(header, r"^>?(\S*)", 1)
     return F.substring_index(first, delimiter, 1) if delimiter else first
+
+
+def header_delimiter(headers: DataFrame, header: str = "header", order: str = "ordinal") -> str:
+    """What cuts transcripts from the rest of FASTA headers: of ``|`` and ``;`` the one that the first header with either has
+    more often, ``|`` where both are as many; the empty string, for white space alone, where none has any."""
+    first = headers.where(F.col(header).rlike("[|;]")).agg(F.min(F.struct(order, header)).alias("x")).first().x
+    if first is None:
+        return ""
+    return "|" if first[header].count("|") >= first[header].count(";") else ";"

@@ -198,3 +198,16 @@ def alignment_histograms(aln: DataFrame) -> DataFrame:
         F.struct(F.lit("quality").alias("kind"), F.floor(mean_quality(F.col("qual")) + 1e-9).cast("long").alias("value")),
     )
     return aln.select("sample", F.explode(kinds).alias("x")).where("x.value is not null").groupBy("sample", "x.kind", "x.value").agg(F.count("*").alias("n"))
+
+
+def flagstat_mates(aln: DataFrame) -> DataFrame:
+    """``(sample, mate_elsewhere, mate_elsewhere_q5)``: primary pairs, both mapped, whose mate is on another reference, and those of
+    a mapping quality of 5 or more. ``mate_ref`` is ``=`` for the alignment's own reference."""
+    away = has(1) & ~has(SECONDARY) & ~has(SUPPLEMENTARY) & ~has(UNMAPPED) & ~has(8) & (F.col("mate_ref") != "=") & (F.col("mate_ref") != F.col("ref"))
+    return aln.groupBy("sample").agg(F.count_if(away).alias("mate_elsewhere"), F.count_if(away & (F.col("mapq") >= 5)).alias("mate_elsewhere_q5"))
+
+
+def alignment_averages(aln: DataFrame) -> DataFrame:
+    """``(sample, average_length, average_quality)``: bases for each read, and the mean Phred value of all bases with a quality."""
+    total = F.aggregate(F.transform(F.split("qual", ""), lambda c: F.when(c == "", 0).otherwise(F.ascii(c) - 33)), F.lit(0).cast("long"), lambda s, x: s + x)
+    return aln.groupBy("sample").agg(F.round(F.sum(F.length("seq")) / F.count("*"), 6).alias("average_length"), F.round(F.sum(total) / F.sum(F.length("qual")), 6).alias("average_quality"))

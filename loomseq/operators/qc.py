@@ -35,6 +35,13 @@ def compare_samples(reads: DataFrame, width: int = 10) -> DataFrame:
     return rows.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("sample")), 6))
 
 
+def compare_log_lengths(reads: DataFrame, per_decade: int = 10) -> DataFrame:
+    """``(sample, bin, n, bases, share, base_share)``: reads and bases by the logarithm of their length, with the shares that lay samples of any size over each other."""
+    rows = length_distribution(reads).where("len > 0").groupBy("sample", F.floor(F.log10("len") * per_decade + 1e-9).cast("long").alias("bin")).agg(F.sum("n").alias("n"), F.sum(F.col("len") * F.col("n")).alias("bases"))
+    w = Window.partitionBy("sample")
+    return rows.withColumns({"share": F.round(F.col("n") / F.sum("n").over(w), 6), "base_share": F.round(F.col("bases") / F.sum("bases").over(w), 6)})
+
+
 def per_read_quality(reads: DataFrame) -> DataFrame:
     return reads.groupBy("sample", F.floor(mean_quality(F.col("qual")) + 1e-9).cast("long").alias("q")).agg(F.count("*").alias("n"))
 
@@ -90,11 +97,17 @@ def cell_qc(counts: DataFrame, barcodes: DataFrame) -> DataFrame:
     return barcodes.select("sample", F.col("bc").alias("cell")).join(per, ["sample", "cell"], "left").na.fill(0)
 
 
-def cell_summary(qc: DataFrame, features: DataFrame, stats: DataFrame) -> DataFrame:
-    """Half-even rounding of the mean, the interpolated median."""
+def cell_summary(qc: DataFrame, features: DataFrame, stats: DataFrame, feature_type: str | None = None) -> DataFrame:
+    """Cells, reads a cell to two places (halves to even, in whole numbers), the interpolated median of features, and all features.
+
+    With ``feature_type``, such as ``gene`` or ``transcript``, a column says so, that tables of several may be stacked.
+    """
     cells = qc.groupBy("sample").agg(F.count("*").alias("cells"), F.percentile("n_feature", F.lit(0.5)).alias("median_features"))
     per = features.groupBy("sample").agg(F.count_distinct("feature").alias("total_features"))
-    return cells.join(per, "sample").join(stats.select("sample", "total"), "sample").select("sample", "cells", F.bround(F.col("total") / F.col("cells"), 2).alias("mean_reads_per_cell"), "median_features", "total_features")
+    rows = cells.join(per, "sample").join(stats.select("sample", "total"), "sample")
+    up = "case when 2 * ((100 * total) % cells) > cells or (2 * ((100 * total) % cells) = cells and ((100 * total) div cells) % 2 = 1) then 1 else 0 end"
+    kind = [F.lit(feature_type).alias("feature_type")] if feature_type else []
+    return rows.select("sample", *kind, "cells", F.expr(f"((100 * total) div cells + {up}) / 100.0D").alias("mean_reads_per_cell"), "median_features", "total_features")
 
 
 def qc_density(qc: DataFrame) -> DataFrame:
@@ -117,6 +130,17 @@ def read_funnel(raw: DataFrame, trimmed: DataFrame, extracted: DataFrame, correc
     return out
 
 
+def idxstats_summary(stats: DataFrame) -> DataFrame:
+    """One row a sample: references, those with reads, and the share of mapped reads that the fullest one has."""
+    rows = stats.groupBy("sample").agg(F.count("*").alias("refs"), F.count_if(F.col("mapped") > 0).alias("refs_with_reads"), F.max("mapped").alias("most"), F.sum("mapped").alias("all"))
+    return rows.select("sample", "refs", "refs_with_reads", F.round(F.try_divide("most", "all"), 6).alias("fullest_ref_share"))
+
+
+def distribution_summary(distribution: DataFrame, groups: tuple[str, ...] = ("cds_exons", "utr5_exons", "utr3_exons", "introns")) -> DataFrame:
+    """One row a sample with the tags of each group of regions; 0 where there are none."""
+    return distribution.groupBy("sample").agg(*[F.coalesce(F.sum(F.when(F.col("group") == g, F.col("tag_count"))), F.lit(0).cast("long")).alias(f"{g}_tags") for g in groups])
+
+
 def qc_report(*tables: DataFrame) -> DataFrame:
     out = tables[0]
     for x in tables[1:]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,16 +11,6 @@ from .splice import assign_transcripts, introns, own_keys, with_splicing  # noqa
 BIN = 16384
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage in the folder of ``spark.checkpoint.dir``; only a local session without one gets a temporary folder."""
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="loomseq-"))
-    return df.checkpoint()
-
-
 def overlaps(blocks: DataFrame, regions: DataFrame, bin_size: int = BIN) -> DataFrame:
     """Pairs of a block and a region on one reference that overlap: an equi-join on bins, then the exact test.
 
@@ -91,28 +79,58 @@ def shared_weights(assigned: DataFrame) -> DataFrame:
 
 
 def em_quantify(compatible: DataFrame, rounds: int = 10, tol: float | None = None) -> DataFrame:
-    """Expected molecules per (sample, cell, transcript) by expectation maximisation over compatible transcripts.
+    """``(sample, cell, transcript, n)``: the estimates of ``em_run``."""
+    return em_run(compatible, rounds, tol)[0]
+
+
+def em_run(compatible: DataFrame, rounds: int = 10, tol: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """Expected molecules per (sample, cell, transcript) by expectation maximisation over compatible transcripts, and how each cell's run went.
+
+    The second table is ``(sample, cell, reads, transcripts, rounds, change, settled)``: a cell's rounds, the largest change of an
+    estimate in the last, and whether it was ``tol`` or less before ``rounds`` were over. Without ``tol`` all cells make all
+    rounds.
 
     Reads of a cell with the same set of transcripts are one equivalence class with a weight and a number, so the loop runs
-    over classes and joins on integers. Every few rounds the estimate is checkpointed; with ``tol``, rounds end there when no
-    estimate has changed by more since the round before, after ``rounds`` at the latest.
+    over classes and joins on integers. Each round is written; cells that have settled leave the loop with their classes, so
+    rounds that few cells need are rounds over few rows.
     """
-    sets = compatible.groupBy("sample", "cell", "qname").agg(F.array_sort(F.collect_set("transcript")).alias("txs"))
-    weights = sets.groupBy("sample", "cell", "txs").agg(F.count("*").alias("w"))
-    weights = checkpointed(weights.withColumn("class", F.monotonically_increasing_id()))
-    classes = checkpointed(weights.select("sample", "cell", "class", "w", F.size("txs").alias("k"), F.explode("txs").alias("transcript")))
     keys = ["sample", "cell"]
-    theta = classes.groupBy(*keys, "transcript").agg(F.sum(F.col("w") / F.col("k")).alias("n"))
-    for i in range(rounds):
-        before = theta
+    own = [*keys, *[c for c in ("qname", "aln_id") if c in compatible.columns]]
+    sets = compatible.groupBy(*own).agg(F.array_sort(F.collect_set("transcript")).alias("txs"))
+    weights = written(sets.groupBy(*keys, "txs").agg(F.count("*").alias("w")).withColumn("class", F.monotonically_increasing_id()), "em_weights")
+    classes = written(weights.select(*keys, "class", "w", F.size("txs").alias("k"), F.explode("txs").alias("transcript")), "em_classes")
+    whole = weights.groupBy(*keys).agg(F.sum("w").alias("reads"))
+    theta = written(classes.groupBy(*keys, "transcript").agg(F.sum(F.col("w") / F.col("k")).alias("n")), "em_round")
+    done, runs = [], []
+    for i in range(1, rounds + 1):
         joined = classes.join(theta, [*keys, "transcript"])
         total = joined.groupBy("class").agg(F.sum("n").alias("all"))
-        theta = joined.join(total, "class").groupBy(*keys, "transcript").agg(F.sum(F.col("w") * F.col("n") / F.col("all")).alias("n"))
-        if i % 3 == 2:
-            theta = checkpointed(theta)
-            if tol is not None and before.withColumnRenamed("n", "was").join(theta, [*keys, "transcript"]).where(F.abs(F.col("n") - F.col("was")) > tol).isEmpty():
+        after = joined.join(total, "class").groupBy(*keys, "transcript").agg(F.sum(F.col("w") * F.col("n") / F.col("all")).alias("n"), F.first("n").alias("was"))
+        after = written(after, "em_round")
+        last = i == rounds
+        if tol is None and not last:
+            theta = after.drop("was")
+            continue
+        cells = after.groupBy(*keys).agg(F.max(F.abs(F.col("n") - F.col("was"))).alias("change"), F.count("*").alias("transcripts"))
+        settled = F.col("change") <= tol if tol is not None else F.lit(False)
+        cells = written(cells.select("*", F.lit(i).alias("rounds"), settled.alias("settled")), "em_cells")
+        leave = cells if last else cells.where("settled")
+        runs.append(leave)
+        if last or not leave.isEmpty():
+            done.append(after.join(leave.select(*keys), keys, "left_semi").drop("was"))
+            stay = cells.where("not settled").select(*keys)
+            if last or stay.isEmpty():
                 break
-    return theta
+            theta = written(after.join(stay, keys, "left_semi").drop("was"), "em_round")
+            classes = written(classes.join(stay, keys, "left_semi"), "em_classes")
+        else:
+            theta = after.drop("was")
+    estimates, cells = done[0], runs[0]
+    for x in done[1:]:
+        estimates = estimates.unionByName(x)
+    for x in runs[1:]:
+        cells = cells.unionByName(x)
+    return estimates, cells.join(whole, keys).select(*keys, "reads", "transcripts", "rounds", "change", "settled")
 
 
 def transpose_matrix(counts: DataFrame) -> DataFrame:
@@ -140,6 +158,12 @@ def refflat(pred: DataFrame) -> DataFrame:
     return pred.select("gene", "transcript", F.col("ref").alias("chrom"), "strand", "tx_start", "tx_end", F.size("exons").cast("long").alias("exon_count"), join("start").alias("exon_starts"), join("end").alias("exon_ends"))
 
 
+def refflat_cds(pred: DataFrame) -> DataFrame:
+    """All eleven columns: gene and transcript names, then those of a genePred with its coding part."""
+    join = lambda k: F.array_join(F.transform("exons", lambda x: x[k].cast("string")), ",")
+    return pred.select("gene", "transcript", F.col("ref").alias("chrom"), "strand", "tx_start", "tx_end", "cds_start", "cds_end", F.size("exons").cast("long").alias("exon_count"), join("start").alias("exon_starts"), join("end").alias("exon_ends"))
+
+
 def with_cds(pred: DataFrame, cds: DataFrame) -> DataFrame:
     """``pred`` with ``cds_start`` and ``cds_end`` from ``cds (transcript, start_, end_)``; both the end where there is none."""
     span = cds.groupBy("transcript").agg(F.min("start_").alias("cds_start"), F.max("end_").alias("cds_end"))

@@ -110,7 +110,7 @@ COUNT = GENE + ", counts AS (SELECT sample, gene AS feature, cb AS cell, cast(co
 query("count_matrix", counts, COUNT + " SELECT * FROM counts", "aln exons")
 query("transpose_matrix", lambda t: quant.transpose_matrix(counts(t)), COUNT + " SELECT sample, cell AS feature, feature AS cell, n FROM counts", "aln exons")
 query("merge_matrices", lambda t: quant.merge_matrices(*[counts(t).where(F.col("sample") == s).select("feature", "cell", "n") for s in ("S0", "S1")]), COUNT + " SELECT feature, cell, sum(n) AS n FROM counts GROUP BY 1, 2", "aln exons")
-query("em_quantify", lambda t: quant.em_quantify(quant.assign_transcripts(by_name(t), genes(t), t.exons, 60).join(t.aln.select("sample", "qname", F.col("cb").alias("cell")), ["sample", "qname"]), 4))
+query("em_quantify", lambda t: quant.em_quantify(quant.assign_transcripts(by_name(t), genes(t), t.exons, 60).join(t.aln.select("sample", "qname", F.col("cb").alias("cell")), ["sample", "qname"]), 4).withColumn("n", F.round("n", 6)))
 query("gtf_to_genepred", lambda t: quant.gtf_to_genepred(t.exons).select("transcript", "gene", "ref", "strand", "tx_start", "tx_end", F.array_join(F.transform("exons", lambda x: x["start"].cast("string")), ",").alias("exon_starts")), "SELECT transcript, gene, ref, strand, min(start_) AS tx_start, max(end_) AS tx_end, string_agg(cast(start_ AS string), ',' ORDER BY start_) AS exon_starts FROM exons GROUP BY 1, 2, 3, 4", "exons")
 PRED = ", pred AS (SELECT transcript, gene, ref, strand, min(start_) AS tx_start, max(end_) AS tx_end FROM exons GROUP BY 1, 2, 3, 4)"
 query("genepred_to_bed", lambda t: quant.genepred_to_bed(quant.gtf_to_genepred(t.exons)), PRED + " SELECT e.ref AS chrom, tx_start, tx_end, transcript AS name, e.strand, count(*) AS block_count, string_agg(cast(end_ - start_ AS string), ',' ORDER BY start_) AS block_sizes, string_agg(cast(start_ - tx_start AS string), ',' ORDER BY start_) AS block_starts FROM exons e JOIN pred USING (transcript) GROUP BY 1, 2, 3, 4, 5", "exons")
@@ -137,7 +137,9 @@ CELLQC = COUNT + ", cellqc AS (SELECT w.sample, w.bc AS cell, coalesce(sum(n), 0
 cellqc = lambda t: qc.cell_qc(counts(t), t.whitelist)
 query("cell_qc", cellqc, CELLQC + " SELECT * FROM cellqc", "whitelist aln exons")
 SUMMARY = CELLQC + ", summary AS (SELECT sample, count(*) AS cells, quantile_cont(n_feature, 0.5) AS median_features FROM cellqc GROUP BY 1)"
-query("cell_summary", lambda t: qc.cell_summary(cellqc(t), counts(t), al.flagstat(t.aln)).withColumn("mean_reads_per_cell", F.round("mean_reads_per_cell", 1)), SUMMARY + " SELECT sample, cells, round(round_even(total / cells, 2), 1) AS mean_reads_per_cell, median_features, total_features FROM summary JOIN (SELECT sample, count(DISTINCT feature) AS total_features FROM counts GROUP BY 1) USING (sample) JOIN (SELECT sample, count(*) AS total FROM aln GROUP BY 1) USING (sample)", "whitelist aln exons")
+#: 100 times the ratio as a whole number, halves to even, so that no rounding of doubles decides
+HALF_EVEN = "((100 * total) // cells + CASE WHEN 2 * ((100 * total) % cells) > cells OR (2 * ((100 * total) % cells) = cells AND ((100 * total) // cells) % 2 = 1) THEN 1 ELSE 0 END) / 100.0"
+query("cell_summary", lambda t: qc.cell_summary(cellqc(t), counts(t), al.flagstat(t.aln)), SUMMARY + f" SELECT sample, cells, {HALF_EVEN} AS mean_reads_per_cell, median_features, total_features FROM summary JOIN (SELECT sample, count(DISTINCT feature) AS total_features FROM counts GROUP BY 1) USING (sample) JOIN (SELECT sample, count(*) AS total FROM aln GROUP BY 1) USING (sample)", "whitelist aln exons")
 query("qc_density", lambda t: qc.qc_density(cellqc(t)), CELLQC + " SELECT sample, cast(floor(log10(n_count + 1) * 4 + 1e-9) AS bigint) AS count_bin, cast(floor(log10(n_feature + 1) * 4 + 1e-9) AS bigint) AS feature_bin, count(*) AS cells FROM cellqc GROUP BY 1, 2, 3", "whitelist aln exons")
 query("concat_stats", lambda t: qc.concat_stats(al.flagstat(t.aln).select("sample", "total"), al.flagstat(t.aln).select("sample", "mapped")).na.fill(0), f"SELECT sample, count(*) AS total, 0 AS mapped FROM aln GROUP BY 1 UNION ALL SELECT sample, 0, count(*) FILTER ({MAPPED}) FROM aln GROUP BY 1", "aln")
 query("qc_report", lambda t: qc.qc_report(al.flagstat(t.aln).select("sample", "total", "mapped"), qc.n50(t.reads), al.duplicate_metrics(al.mark_duplicates(t.aln))), DUP + N50 + f" SELECT sample, total, mapped, n50, examined, duplicates, share FROM (SELECT sample, count(*) AS total, count(*) FILTER ({MAPPED}) AS mapped FROM aln GROUP BY 1) LEFT JOIN n50 USING (sample) LEFT JOIN (SELECT sample, count(*) AS examined, count(*) FILTER (is_dup) AS duplicates, round(count(*) FILTER (is_dup) / count(*), 6) AS share FROM marked GROUP BY 1) USING (sample)", "aln reads")

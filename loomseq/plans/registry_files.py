@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.seq import transcript_id
+from ..functions.seq import header_delimiter, transcript_id
 from ..operators import alignments as al
 from ..operators import contigs, dedup, qc, quant
+from ..operators import reads as rd
 from ..sources import files
 from ..sources.shared import new_path
 from . import registry
@@ -238,3 +239,57 @@ GENED = registry.GENE + " SELECT sample, gene AS feature, cb AS cell, cast(count
 query("count_matrix_introns", lambda t: quant.count_matrix(registry.genes(t), t.aln.select("sample", "qname", "cb"), classes=("unique", "intronic")), GENED, "aln exons")
 query("transcript_id", lambda t: t.fx.select("read_id", transcript_id(F.concat(F.lit(">T"), "read_id", F.lit("|G"), F.col("gene_no").cast("string"), F.lit(" a gene")), "|").alias("transcript")), "SELECT read_id, concat('T', read_id) AS transcript FROM fx")
 query("umi_distances", lambda t: dedup.umi_distances(t.aln), f", u AS (SELECT DISTINCT sample, ref, {STRAND} AS strand, pos, cr, ur FROM aln WHERE {MAPPED}), pairs AS (SELECT a.sample, a.ref, a.strand, a.pos, a.cr, avg(hamming(a.ur, b.ur)) AS mean FROM u a JOIN u b ON a.sample = b.sample AND a.ref = b.ref AND a.strand = b.strand AND a.pos = b.pos AND a.cr = b.cr AND a.ur < b.ur GROUP BY ALL) SELECT sample, cast(floor(mean + 1e-9) AS bigint) AS distance, count(*) AS places FROM pairs GROUP BY 1, 2", "aln")
+
+# a matrix in blocks of cells, a caller's table as it is, and the delimiter of the first header that has one
+BLOCKED = 16
+
+
+def dense_blocks(t: Tables) -> DataFrame:
+    path = new_path(t.spark, "dense_blocks")
+    files.write_dense(mini(t), path, BLOCKED)
+    return files.scan_dense(t.spark, path)
+
+
+query("write_dense_blocks", dense_blocks, MINI + ALL)
+
+
+def calls(t: Tables) -> DataFrame:
+    body = t.fx.select(F.concat_ws(",", "read_id", F.expr("case when substr(m, 12, 1) = '0' then '' else bc end"), F.expr("cast(mapq as string)"), F.lit("x"), F.lit(""), F.lit(""), F.lit("1")).alias("value"))
+    head = t.spark.createDataFrame([("read_id,putative_bc,putative_bc_min_q,a,b,c,d",)], "value string")
+    return files.scan_bc_table(t.spark, lines(body.unionByName(head), F.col("value"), "calls.csv"), "calls", "run")
+
+
+query("scan_bc_calls", calls, "SELECT 'run' AS sample, read_id, CASE WHEN substr(m, 12, 1) <> '0' THEN bc END AS putative_bc, mapq AS min_q FROM fx")
+
+
+def delimited(t: Tables) -> DataFrame:
+    headers = t.fx.select("read_id", F.expr("cast(substring_index(read_id, '-', 1) as bigint) * 100 + cast(substring_index(substring_index(read_id, '-', 2), '-', -1) as bigint)").alias("ordinal"), F.expr("case when gene_no % 2 = 0 then concat('>T', read_id, ' plain') else concat('>T', read_id, '|G', gene_no, ';x|y a gene') end").alias("header"))
+    return headers.select("read_id", transcript_id(F.col("header"), header_delimiter(headers)).alias("transcript"))
+
+
+query("transcript_delimiter", delimited, "SELECT read_id, concat('T', read_id) AS transcript FROM fx")
+
+# coding parts of refFlat, mates, averages and lengths by their logarithm
+query("refflat_cds", lambda t: quant.refflat_cds(coded(t)), PRED + " SELECT e.gene, transcript, e.ref AS chrom, e.strand, tx_start, tx_end, cds_start, cds_end, count(*) AS exon_count, string_agg(cast(start_ AS string), ',' ORDER BY start_) AS exon_starts, string_agg(cast(end_ AS string), ',' ORDER BY start_) AS exon_ends FROM exons e JOIN pred USING (transcript) GROUP BY ALL", "exons")
+MATE = "case when mapq % 4 = 0 then '=' when mapq % 4 = 1 then ref else 'chr9' end"
+query("flagstat_mates", lambda t: al.flagstat_mates(paired(t).withColumn("mate_ref", F.expr(MATE))), PAIRED + f" SELECT sample, count(*) FILTER (away) AS mate_elsewhere, count(*) FILTER (away AND mapq >= 5) AS mate_elsewhere_q5 FROM (SELECT *, flag & 1 <> 0 AND {FIRST} AND flag & 12 = 0 AND mapq % 4 > 1 AS away FROM paired) GROUP BY 1", "aln")
+query("alignment_averages", lambda t: al.alignment_averages(t.aln), "SELECT sample, round(sum(length(seq)) / count(*), 6) AS average_length, round(sum((SELECT sum(ascii(substr(qual, cast(i AS int), 1)) - 33) FROM range(1, length(qual) + 1) t(i))) / sum(length(qual)), 6) AS average_quality FROM aln GROUP BY 1", "aln")
+query("compare_log_lengths", lambda t: qc.compare_log_lengths(t.reads, 50), "SELECT sample, bin, n, bases, round(n / sum(n) OVER (PARTITION BY sample), 6) AS share, round(bases / sum(bases) OVER (PARTITION BY sample), 6) AS base_share FROM (SELECT sample, cast(floor(log10(length(seq)) * 50 + 1e-9) AS bigint) AS bin, count(*) AS n, cast(sum(length(seq)) AS bigint) AS bases FROM reads WHERE seq <> '' GROUP BY 1, 2)", "reads")
+
+
+# the report: one wide row a sample from all six tables
+def report(t: Tables) -> DataFrame:
+    reads_ = qc.read_stats(t.reads).select("sample", "reads", "bases", "n50")
+    distribution = quant.read_distribution(al.aligned_blocks(t.aln), regions(t))
+    funnel = qc.read_funnel(t.reads, rd.filter_reads(t.reads, 90, 5.0), rd.drop_unassigned(registry.located(t)), registry.corrected(t))
+    summary = qc.cell_summary(registry.cellqc(t), registry.counts(t), al.flagstat(t.aln))
+    return qc.qc_report(al.flagstat(t.aln).select("sample", "total", "mapped"), qc.idxstats_summary(al.idxstats(t.aln, lengths(t))), reads_, qc.distribution_summary(distribution), summary, funnel)
+
+
+GROUPS = ("cds_exons", "utr5_exons", "utr3_exons", "introns")
+query("qc_report_full", report, registry.CORR + registry.LOCATED + registry.N50 + registry.SUMMARY + REGION + f""", tags AS (SELECT sample, {', '.join(f"count(*) FILTER (class = '{g}') AS {g}_tags" for g in GROUPS)} FROM blocks JOIN regions ON blocks.ref = regions.ref AND (blocks.start_ + blocks.end_) // 2 >= regions.start_ AND (blocks.start_ + blocks.end_) // 2 < regions.end_ GROUP BY 1),
+ totals AS (SELECT sample, count(*) AS total, count(*) FILTER ({MAPPED}) AS mapped FROM aln GROUP BY 1), idx AS (SELECT sample, ref, count(*) FILTER ({MAPPED}) AS mapped FROM aln GROUP BY 1, 2), refs AS (SELECT sample, count(*) AS refs, count(*) FILTER (mapped > 0) AS refs_with_reads, round(max(mapped) / sum(mapped), 6) AS fullest_ref_share FROM idx GROUP BY 1),
+ raw_reads AS (SELECT sample, count(*) AS reads, cast(sum(length(seq)) AS bigint) AS bases, count(*) AS base_fastq_counts, count(*) FILTER (length(seq) >= 90 AND {MEANQ} >= 5.0) AS trimmed_read_counts FROM reads GROUP BY 1),
+ cut AS (SELECT sample, count(*) AS extracted_read_counts FROM located WHERE putative_bc IS NOT NULL AND idx >= 0 GROUP BY 1), fixed AS (SELECT sample, count(*) AS corrected_read_counts FROM corrected GROUP BY 1), detected AS (SELECT sample, count(DISTINCT feature) AS total_features FROM counts GROUP BY 1)
+ SELECT sample, total, mapped, refs, refs_with_reads, fullest_ref_share, reads, bases, n50, {', '.join(f'{g}_tags' for g in GROUPS)}, cells, {registry.HALF_EVEN} AS mean_reads_per_cell, median_features, total_features, base_fastq_counts, trimmed_read_counts, extracted_read_counts, corrected_read_counts
+ FROM totals JOIN refs USING (sample) JOIN raw_reads USING (sample) JOIN n50 USING (sample) JOIN tags USING (sample) JOIN summary USING (sample) JOIN detected USING (sample) JOIN cut USING (sample) JOIN fixed USING (sample)""", "reads putative bc_info whitelist bc_counts aln exons")

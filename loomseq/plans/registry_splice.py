@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import alignments as al
-from ..operators import dedup, quant
+from ..operators import dedup, qc, quant
 from . import fixtures as fx
 from . import registry
 from .registry import STRAND, Tables, query
@@ -29,7 +29,7 @@ registry.CTE.update({"spliced": SPLICED, "exon3": EXON3})
 DELTA = 49
 
 # SQL: operations of a CIGAR with their places, blocks, chains, and the genes that blocks overlap
-OPS = """, numbered_aln AS (SELECT *, row_number() OVER () AS a, {strand} AS strand, list_transform(regexp_extract_all(cigar, '[0-9]+[MN]'), lambda x: cast(left(x, -1) AS int)) AS ns, regexp_extract_all(cigar, '[MN]') AS os FROM {aln} WHERE flag & 4 = 0),
+OPS = """, numbered_aln AS (SELECT *, row_number() OVER (ORDER BY sample, qname, flag, ref, pos, cigar) AS a, {strand} AS strand, list_transform(regexp_extract_all(cigar, '[0-9]+[MN]'), lambda x: cast(left(x, -1) AS int)) AS ns, regexp_extract_all(cigar, '[MN]') AS os FROM {aln} WHERE flag & 4 = 0),
  ops AS (SELECT a, i, os[i] AS op, cast(pos + coalesce(list_sum(ns[1 : i - 1]), 0) AS int) AS s, cast(pos + list_sum(ns[1 : i]) AS int) AS e FROM (SELECT *, unnest(range(1, len(ns) + 1)) AS i FROM numbered_aln)),
  chains AS (SELECT a, coalesce(list({{'s': s, 'e': e}} ORDER BY i) FILTER (op = 'N'), []) AS chain FROM ops GROUP BY a),
  blocks AS (SELECT a, ref, strand, s AS start_, e AS end_ FROM ops JOIN numbered_aln USING (a) WHERE op = 'M')"""
@@ -95,3 +95,34 @@ query("umi_dedup_by_sample", lambda t: dedup.umi_dedup_directional(crowded(t)))
 CROWDED = ", crowded AS (SELECT sample, qname, flag, ref, cast(pos - pos % 1000 AS int) AS pos, mapq, 'all' AS cr, concat(substr(cr, 1, 3), substr(ur, 1, 2)) AS ur FROM aln)"
 crowded = lambda t: t.aln.select("sample", "qname", "flag", "ref", F.expr("pos - pos % 1000").cast("int").alias("pos"), "mapq", F.lit("all").alias("cr"), F.expr("concat(substr(cr, 1, 3), substr(ur, 1, 2))").alias("ur"))
 recursive("umi_dedup_by_sample", CROWDED + REACH.format(place="pos", strand=STRAND, aln="crowded"), "aln")
+
+# estimates: four rounds over classes of reads, one step a common table expression
+STEP = ", t{j} AS (SELECT sample, cell, transcript, sum(w * n / whole) AS n FROM (SELECT l.*, n, sum(n) OVER (PARTITION BY class) AS whole FROM l JOIN t{i} USING (sample, cell, transcript)) GROUP BY ALL)"
+EM = """, r AS (SELECT sample, cb AS cell, a, list(transcript ORDER BY transcript) AS txs FROM fits JOIN numbered_aln USING (a) GROUP BY ALL), c AS (SELECT sample, cell, txs, count(*) AS w, row_number() OVER (ORDER BY sample, cell, txs) AS class FROM r GROUP BY sample, cell, txs),
+ l AS (SELECT sample, cell, class, w, len(txs) AS k, unnest(txs) AS transcript FROM c), t0 AS (SELECT sample, cell, transcript, sum(w / k) AS n FROM l GROUP BY ALL)""" + "".join(STEP.format(i=i, j=i + 1) for i in range(4))
+ESTIMATED = ", ".join([fx.FX, registry.CTE["aln"], registry.CTE["exons"]]) + said("exons", "aln", delta=60) + EM
+registry.SQL["em_quantify"] = ESTIMATED + " SELECT sample, cell, transcript, round(n, 6) AS n FROM t4"
+by_cell = lambda t: transcripts(t).join(al.with_aln_id(t.spliced).select("sample", "qname", "aln_id", F.col("cb").alias("cell")), ["sample", "qname", "aln_id"])
+SPLICED_EM = said() + EM
+query("em_spliced", lambda t: quant.em_quantify(by_cell(t), 4).withColumn("n", F.round("n", 6)), SPLICED_EM + " SELECT sample, cell, transcript, round(n, 6) AS n FROM t4", "spliced exon3")
+query("em_cells", lambda t: quant.em_run(by_cell(t), 4)[1].withColumn("change", F.round("change", 6)), SPLICED_EM + ", moved AS (SELECT sample, cell, count(*) AS transcripts, round(max(abs(t4.n - t3.n)), 6) AS change FROM t4 JOIN t3 USING (sample, cell, transcript) GROUP BY ALL) SELECT sample, cell, reads, transcripts, 4 AS rounds, change, false AS settled FROM moved JOIN (SELECT sample, cell, cast(sum(w) AS bigint) AS reads FROM c GROUP BY ALL) USING (sample, cell)", "spliced exon3")
+
+
+# summaries of genes and of transcripts, one below the other
+def summaries(t: Tables) -> DataFrame:
+    cells = t.aln.select("sample", "qname", "cb")
+    tx = quant.count_matrix(quant.assign_transcripts(registry.by_name(t), registry.genes(t), t.exons, 60), cells, "transcript", ("unique", "ambiguous"))
+    stats = al.flagstat(t.aln)
+    return qc.concat_stats(*[qc.cell_summary(qc.cell_qc(m, t.whitelist), m, stats, kind) for kind, m in (("gene", registry.counts(t)), ("transcript", tx))])
+
+
+PER = "SELECT sample, '{kind}' AS feature_type, cells, {mean} AS mean_reads_per_cell, median_features, total_features FROM (SELECT sample, count(*) AS cells, quantile_cont(n_feature, 0.5) AS median_features FROM (SELECT w.sample, w.bc, count(n) AS n_feature FROM whitelist w LEFT JOIN {m} c ON w.sample = c.sample AND w.bc = c.cell GROUP BY ALL) GROUP BY 1) JOIN (SELECT sample, count(DISTINCT feature) AS total_features FROM {m} GROUP BY 1) USING (sample) JOIN (SELECT sample, count(*) AS total FROM aln GROUP BY 1) USING (sample)"
+MATRICES = ", by_gene AS (SELECT sample, gene AS feature, cb AS cell, count(*) AS n FROM assigned WHERE class = 'unique' GROUP BY ALL), by_tx AS (SELECT sample, transcript AS feature, cb AS cell, count(*) AS n FROM fits JOIN numbered_aln USING (a) GROUP BY ALL) "
+query("cell_summary_by_type", summaries, said("exons", "aln", delta=60) + MATRICES + " UNION ALL ".join(PER.format(kind=kind, m=m, mean=registry.HALF_EVEN) for kind, m in (("gene", "by_gene"), ("transcript", "by_tx"))), "whitelist aln exons")
+
+# statistics of UMIs by place, and after deduplication
+UMI = f", before AS (SELECT sample, ref, {STRAND} AS strand, pos, cr, ur, count(*) AS count FROM aln WHERE {MAPPED} GROUP BY ALL)"
+query("umi_stats_by_position", lambda t: dedup.umi_stats_by_position(t.aln, al.umi_dedup_exact(t.aln)), UMI + ", a AS (SELECT sample, count, count(*) AS places_before FROM before GROUP BY ALL), b AS (SELECT sample, cast(1 AS bigint) AS count, count(*) AS places_after FROM before GROUP BY sample) SELECT sample, count, coalesce(places_before, 0) AS places_before, coalesce(places_after, 0) AS places_after FROM a FULL JOIN b USING (sample, count)", "aln")
+AFTER = ", pairs AS (SELECT a.sample, a.ref, a.strand, a.pos, a.cr, avg(hamming(a.ur, b.ur)) AS mean FROM kept a JOIN kept b ON a.sample = b.sample AND a.ref = b.ref AND a.strand = b.strand AND a.pos = b.pos AND a.cr = b.cr AND a.ur < b.ur GROUP BY ALL) SELECT sample, cast(floor(mean + 1e-9) AS bigint) AS distance, count(*) AS places FROM pairs GROUP BY 1, 2"
+query("umi_distances_after", lambda t: dedup.umi_distances_after(dedup.umi_dedup_directional(crowded(t))))
+recursive("umi_distances_after", CROWDED + REACH.format(place="pos", strand=STRAND, aln="crowded").replace("\n SELECT h.sample", ",\n kept AS (SELECT h.sample") + ")" + AFTER, "aln")

@@ -12,6 +12,7 @@ from .fasta import scan_contigs, scan_tiles  # noqa: F401  part of this module's
 from .shared import new_path, written
 
 BC_TABLES = {
+    "calls": ("read_id string, putative_bc string, min_q int, c3 string, c4 string, c5 string, c6 string", ","),
     "putative": ("sample string, read_id string, putative_bc string", ","),
     "corrected": ("sample string, read_id string, bc string, bc_qual string, umi string, umi_qual string, corrected_bc string", "\t"),
     "info": ("sample string, read_id string, bc string, bc_qual string, umi string, umi_qual string", "\t"),
@@ -154,12 +155,23 @@ def scan_sam(spark: SparkSession, path: str, sample: str | None = None) -> DataF
     name = F.lit(sample) if sample is not None else F.regexp_extract(F.col("_metadata.file_name"), r"^[^.]*", 0)
     rows = spark.read.text(path).where("value not like '@%' and value <> ''").select(name.alias("sample"), f.alias("f"), tags.alias("tags"))
     at = lambda i: F.nullif(F.col("f")[i], F.lit("*"))
-    return rows.select("sample", F.col("f")[0].alias("qname"), F.col("f")[1].cast("int").alias("flag"), at(2).alias("ref"), (F.col("f")[3].cast("int") - 1).alias("pos"), F.col("f")[4].cast("int").alias("mapq"), at(5).alias("cigar"), at(9).alias("seq"), at(10).alias("qual"), F.col("tags")["NM"].cast("int").alias("nm"), *[F.col("tags")[x].alias(x.lower()) for x in ("CR", "CY", "UR", "UY", "CB")], "tags")
+    return rows.select("sample", F.col("f")[0].alias("qname"), F.col("f")[1].cast("int").alias("flag"), at(2).alias("ref"), (F.col("f")[3].cast("int") - 1).alias("pos"), F.col("f")[4].cast("int").alias("mapq"), at(5).alias("cigar"), at(6).alias("mate_ref"), at(9).alias("seq"), at(10).alias("qual"), F.col("tags")["NM"].cast("int").alias("nm"), *[F.col("tags")[x].alias(x.lower()) for x in ("CR", "CY", "UR", "UY", "CB")], "tags")
 
 
-def scan_bc_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def scan_bc_table(spark: SparkSession, path: str, kind: str, sample: str | None = None) -> DataFrame:
+    """A table of ``BC_TABLES``; empty fields are null.
+
+    ``calls`` are a caller's files as they are: seven columns by position, of which read, barcode and least quality are named,
+    and no sample, which is ``sample`` here, else the name of the file up to its first dot. A first line of names, with no
+    number in the third column, is passed over.
+    """
     schema, sep = BC_TABLES[kind]
-    return _nulls(spark.read.csv(path, schema=schema, sep=sep, quote="", escape=""))
+    rows = spark.read.csv(path, schema=schema, sep=sep, quote="", escape="")
+    if kind != "calls":
+        return _nulls(rows)
+    name = F.lit(sample) if sample is not None else F.regexp_extract(F.col("_metadata.file_name"), r"^[^.]*", 0)
+    rows = spark.read.csv(path, schema=schema.replace("min_q int", "min_q string"), sep=sep, quote="", escape="").select(name.alias("sample"), "read_id", "putative_bc", "min_q")
+    return _nulls(rows.where("min_q is null or min_q rlike '^-?[0-9]*$'")).withColumn("min_q", F.col("min_q").cast("int"))
 
 
 def write_table(df: DataFrame, path: str, sep: str = "\t", header: bool = False) -> None:
@@ -202,14 +214,16 @@ def write_mex(counts: DataFrame, path: str) -> None:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(i, value)``: lines with their numbers, from 1, over the parts of a folder in the order of their names."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value").withColumn("k", F.monotonically_increasing_id())
+    """``(folder, i, value)``: lines with their numbers, from 1, over the parts of each folder in the order of their names."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value").withColumn("k", F.monotonically_increasing_id())
     held = new_path(spark, "lines")
     lines.write.parquet(held)
+    folder = F.regexp_replace("file", "/[^/]*$", "").alias("folder")
     lines = spark.read.schema("file string, block long, value string, k long").parquet(held)
     parts = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("k").alias("first"))
-    base = parts.select("file", "block", "first", F.coalesce(F.sum("n").over(Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    return lines.join(base, ["file", "block"]).select((F.col("base") + F.col("k") - F.col("first") + 1).alias("i"), "value")
+    before = Window.partitionBy("folder").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    base = parts.select("*", folder).select("folder", "file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return lines.join(base, ["file", "block"]).select("folder", (F.col("base") + F.col("k") - F.col("first") + 1).alias("i"), "value")
 
 
 def scan_mex(spark: SparkSession, path: str) -> DataFrame:
@@ -223,35 +237,50 @@ def scan_mex(spark: SparkSession, path: str) -> DataFrame:
     return entries.join(features, entries["f"] == features["i"]).drop("i").join(cells, F.col("c") == cells["i"]).select("feature", "cell", "n")
 
 
-def write_dense(counts: DataFrame, path: str) -> None:
-    """A line for each feature with the counts of all cells, 0.0 where there is none, below a line of the cells' names."""
-    cells = numbered_names(counts, "cell")
-    k = cells.count()
-    entries = counts.join(cells.toDF("c", "cell"), "cell").groupBy("feature", "c").agg(F.sum("n").alias("n"))
-    rows = entries.groupBy("feature").agg(F.collect_list(F.struct("c", "n")).alias("xs"))
+#: Cells whose counts stand side by side in one file.
+BLOCK_CELLS = 8192
+
+
+def write_dense(counts: DataFrame, path: str, block_cells: int = BLOCK_CELLS) -> None:
+    """A line for each feature with the counts of the cells, 0.0 where there is none, below a line of the cells' names.
+
+    Cells are in the order of their names. More than ``block_cells`` of them make a folder ``block=0``, ``block=1`` ... each, with
+    all features in the same order, so that blocks stand side by side and no row has more than a block's cells; fewer make one
+    folder of parts.
+    """
+    cells = numbered_names(counts, "cell").select(F.expr(f"(i - 1) div {block_cells}").alias("block"), F.expr(f"(i - 1) % {block_cells}").alias("c"), F.col("name").alias("cell"))
+    blocks = written(cells.groupBy("block").agg(F.count("*").alias("k"), F.transform(F.array_sort(F.collect_list(F.struct("c", "cell"))), lambda x: x["cell"]).alias("names")), "dense_blocks")
+    n = blocks.count()
+    entries = counts.join(cells, "cell").groupBy("block", "feature", "c").agg(F.sum("n").alias("n"))
+    known = entries.groupBy("block", "feature").agg(F.collect_list(F.struct("c", "n")).alias("xs"))
+    rows = counts.select("feature").distinct().withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(n, 1) - 1)).cast("array<bigint>")))
+    rows = rows.join(known, ["block", "feature"], "left").join(F.broadcast(blocks.select("block", "k")), "block")  # two integers a block
 
     def lines(frames):
         for f in frames:
             out = []
-            for feature, xs in zip(f["feature"], f["xs"], strict=True):
+            for block, feature, k, xs in zip(f["block"], f["feature"], f["k"], f["xs"], strict=True):
                 dense = ["0.0"] * k
-                for x in xs:
-                    dense[x["c"] - 1] = repr(float(x["n"]))
-                out.append((1, feature, "\t".join([feature, *dense])))
-            yield pd.DataFrame(out, columns=["place", "feature", "value"])
+                for x in xs if xs is not None else ():
+                    dense[x["c"]] = repr(float(x["n"]))
+                out.append((block, 1, feature, "\t".join([feature, *dense])))
+            yield pd.DataFrame(out, columns=["block", "place", "feature", "value"])
 
-    body = rows.mapInPandas(lines, "place int, feature string, value string")
-    names = cells.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "name"))), lambda x: x["name"]).alias("names"))
-    head = names.select(F.lit(0).alias("place"), F.lit("").alias("feature"), F.concat_ws("\t", F.lit("feature"), "names").alias("value"))
-    body.unionByName(head).orderBy("place", "feature").select("value").write.text(path)
+    body = rows.select("block", "feature", "k", "xs").mapInPandas(lines, "block long, place int, feature string, value string")
+    head = blocks.select("block", F.lit(0).alias("place"), F.lit("").alias("feature"), F.concat_ws("\t", F.lit("feature"), "names").alias("value"))
+    whole = body.unionByName(head)
+    if n <= 1:
+        whole.orderBy("place", "feature").select("value").write.text(path)
+    else:
+        order = ["block", "place", "feature"]
+        whole.repartitionByRange(*order).sortWithinPartitions(*order).select("block", "value").write.partitionBy("block").text(path)
 
 
 def scan_dense(spark: SparkSession, path: str) -> DataFrame:
-    """``(feature, cell, n)``. A file whose only data column is ``count`` counts as empty."""
+    """``(feature, cell, n)`` of a dense matrix, in one folder or in blocks of cells. A table whose only data column is ``count`` counts as empty."""
     lines = numbered_lines(spark, path)
-    head = lines.where("i = 1").select(F.posexplode(F.split("value", "\t")).alias("j", "cell")).where("j > 0")
-    if head.where("j > 1 or cell <> 'count'").isEmpty():
-        return spark.createDataFrame([], "feature string, cell string, n double")
+    head = lines.where("i = 1").select("folder", F.split("value", "\t").alias("names")).where("not (size(names) = 2 and names[1] = 'count')")
+    head = head.select("folder", F.posexplode("names").alias("j", "cell")).where("j > 0")
     f = F.split("value", "\t")
-    rows = lines.where("i > 1").select(f[0].alias("feature"), F.posexplode(f).alias("j", "n")).where("j > 0")
-    return rows.join(head, "j").select("feature", "cell", F.col("n").cast("double").alias("n"))
+    rows = lines.where("i > 1").select("folder", f[0].alias("feature"), F.posexplode(f).alias("j", "n")).where("j > 0")
+    return rows.join(head, ["folder", "j"]).select("feature", "cell", F.col("n").cast("double").alias("n"))
