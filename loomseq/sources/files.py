@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import spread_join
 from .fasta import scan_contigs, scan_tiles  # noqa: F401  part of this module's interface
+from .fastq import fastq_stream, scan_fastq  # noqa: F401
 from .shared import new_path, written
 
 BC_TABLES = {
@@ -38,71 +38,6 @@ def write_fastq(reads: DataFrame, path: str) -> None:
     reads.select(F.concat_ws("\n", F.concat(F.lit("@"), "read_id"), "seq", F.lit("+"), "qual").alias("value")).write.text(path, compression="gzip")
 
 
-#: Blocks of files (some hundred bytes each) whose first lines' numbers are sent to every executor; more are joined by a shuffle.
-MOST_BLOCKS = 100_000
-
-
-def scan_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(file, ordinal, read_id, description, seq, qual)`` of the records of four lines.
-
-    Lines are counted in each block of a file first, so every line's number in its file is known however Spark splits
-    the file; a record that two blocks share is put together from its parts. A gzip file is one block. A file whose lines
-    don't make whole records is refused.
-    """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
-    path_of = new_path(spark, "fastq_blocks")
-    lines.groupBy("file", "block").agg(F.count("*").alias("n")).write.parquet(path_of)
-    blocks = spark.read.schema("file string, block long, n long").parquet(path_of)
-    if (broken := blocks.groupBy("file").agg(F.sum("n").alias("n")).where("n % 4 <> 0").first()) is not None:
-        raise ValueError(f"{broken.file} has {broken.n} lines, which make no whole records")
-    base = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = blocks.select("file", "block", base.alias("base"))
-    small = blocks.count() <= MOST_BLOCKS
-
-    def numbered(frames):
-        at, n = None, 0
-        for f in frames:
-            i = np.empty(len(f), np.int64)
-            file, block = f["file"].to_numpy(), f["block"].to_numpy()
-            cuts = np.append(np.flatnonzero(np.append(True, (file[1:] != file[:-1]) | (block[1:] != block[:-1]))), len(f)) if len(f) else np.zeros(1, int)
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if (file[a], block[a]) != at:
-                    at, n = (file[a], block[a]), 0
-                i[a:b] = np.arange(n, n + b - a)
-                n += b - a
-            yield f.assign(i=i)
-
-    def gathered(frames):
-        """Whole records, and the parts of those that go on in another block."""
-        columns = ["file", "ordinal", "first", "lines"]
-        held, of, first = [], None, 0
-        for f in frames:
-            out = []
-            for file, n, line in zip(f["file"], f["base"] + f["i"], f["value"], strict=True):
-                if of != (file, n // 4):
-                    if held:
-                        out.append((*of, first, held))
-                    held, of, first = [], (file, n // 4), n % 4
-                held.append(line)
-                if len(held) == 4:
-                    out.append((*of, first, held))
-                    held, of = [], None
-            yield pd.DataFrame(out, columns=columns)
-        if held:
-            yield pd.DataFrame([(*of, first, held)], columns=columns)
-
-    rows = lines.mapInPandas(numbered, "file string, block long, value string, i long").join(F.broadcast(blocks) if small else blocks, ["file", "block"])
-    if not small:
-        rows = rows.repartition("file", "block").sortWithinPartitions("file", "block", "i")
-    parts = rows.select("file", "base", "i", "value").mapInPandas(gathered, "file string, ordinal long, first int, lines array<string>")
-    whole = parts.where("size(lines) = 4").select("file", "ordinal", "lines")
-    if not blocks.where("block > 0").isEmpty():  # only files of several blocks have shared records
-        shared = parts.where("size(lines) < 4").groupBy("file", "ordinal").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("first", "lines"))), lambda x: x["lines"])).alias("lines"))
-        whole = whole.unionByName(shared)
-    head = F.substring(F.col("lines")[0], 2, 1 << 30)
-    return whole.select("file", "ordinal", F.regexp_extract(head, r"^(\S*)", 1).alias("read_id"), F.regexp_extract(head, r"^\S*\s?(.*)$", 1).alias("description"), F.col("lines")[1].alias("seq"), F.col("lines")[3].alias("qual"))
-
-
 def merge_replicates(samples: DataFrame, reads: DataFrame) -> DataFrame:
     """All reads of each sample's files as one table; reads of files that no sample lists are left out.
 

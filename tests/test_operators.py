@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loomseq.operators import adapters, alignments, barcodes, contigs, dedup, joins, places, qc, quant, reads
 from loomseq.plans import registry, registry_files, registry_reads, registry_splice  # noqa: F401
+from loomseq.functions import seq
 from loomseq.functions.seq import ADAPTER
 from loomseq.sources import files
 from loomseq.streaming.reads import putative_stream
@@ -95,19 +96,34 @@ def test_sql(spark, name):
 
 
 def test_fastq_that_spark_splits(spark, tmp_path):
-    """Records come out whole and numbered however the file is split; a file that ends within a record is refused."""
-    want = [(i, f"r{i}", f"d {i}" if i % 2 else "", "ACGT" * (i % 7) + "A", "@" * (4 * (i % 7) + 1)) for i in range(3000)]
-    (tmp_path / "a.fastq").write_text("".join(f"@{n}{' ' + d if d else ''}\n{s}\n+\n{q}\n" for _, n, d, s, q in want))
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "3333")
-    try:
-        got = sorted((r.ordinal, r.read_id, r.description, r.seq, r.qual) for r in files.scan_fastq(spark, str(tmp_path / "a.fastq")).collect())
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert got == want
-    (tmp_path / "b.fastq").write_text("@r\nA\n+\nI\n@r2\nA\n")
-    with pytest.raises(ValueError, match="no whole records"):
-        files.scan_fastq(spark, str(tmp_path / "b.fastq"))
+    """Records come out whole and numbered however the file is split, also where qualities begin with @; a file that ends within a record is refused."""
+    for name, end, size in (("a.fastq", "\n", "3333"), ("b.fastq", "\r\n", "501"), ("c.fastq", "\n", "97")):
+        want = [(i, f"r{i}", f"d {i}" if i % 2 else "", "ACGT" * (i % 7) + "A" * (i % 5), "@I+"[i % 3] * (4 * (i % 7) + i % 5)) for i in range(2000 if size != "97" else 300)]
+        text = "".join(f"@{n}{' ' + d if d else ''}{end}{s}{end}+{end}{q}{end}" for _, n, d, s, q in want)
+        (tmp_path / name).write_bytes((text if name != "c.fastq" else text.removesuffix(end)).encode())
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = sorted((r.ordinal, r.read_id, r.description, r.seq, r.qual) for r in files.scan_fastq(spark, str(tmp_path / name)).collect())
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        assert got == want
+    for bad in ("@r\nA\n+\nI\n@r2\nA\n", "@r\nA\n+\nI\nx\n", "@r\nA\n+\nI\n@r2\nA\n+"):
+        (tmp_path / "z.fastq").write_text(bad)
+        with pytest.raises(ValueError, match="no whole records"):
+            files.scan_fastq(spark, str(tmp_path / "z.fastq")).count()
+
+
+def test_fastq_on_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(3):
+        with gzip.open(tmp_path / "in" / f"{k}.fastq.gz", "wt") as f:
+            f.write("".join(f"@r{k}.{i} ch={i}\nACGT\n+\n{'@' if i % 3 else 'I'}III\n" for i in range(50)))
+    stream = files.fastq_stream(spark, str(tmp_path / "in"), maxFilesPerTrigger="1")
+    query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == 150 and sorted(map(str, got.collect())) == sorted(map(str, files.scan_fastq(spark, str(tmp_path / "in")).collect()))
 
 
 def test_mex_of_another_program(spark, tmp_path):
@@ -330,6 +346,69 @@ def test_transcripts_and_estimates(spark):
     assert abs(sum(found.values()) - len(sets)) < 1e-6 and all(abs(found[t] - theta[t]) < 0.1 for t in theta)
 
 
+def test_cells_leave_the_loop_as_they_settle(spark):
+    """Cells that settle at different rounds have the estimates, rounds and last changes of plain expectation maximisation."""
+    draw = np.random.default_rng(13)
+    rows = []
+    for c in range(12):
+        for read in range(int(draw.integers(1, 40))):
+            rows += [("S", f"C{c}", f"r{read}", f"T{t}") for t in draw.choice(4, int(draw.integers(1, 2 if c < 3 else 4)), replace=False)]
+    tol, rounds = 1e-3, 25
+    want, runs = {}, {}
+    for c in sorted({r[1] for r in rows}):
+        sets: dict[str, set] = {}
+        for _, cell, read, t in rows:
+            if cell == c:
+                sets.setdefault(read, set()).add(t)
+        theta = {t: sum(1 / len(x) for x in sets.values() if t in x) for t in set().union(*sets.values())}
+        for i in range(1, rounds + 1):
+            was, theta = theta, {t: sum(theta[t] / sum(theta[u] for u in x) for x in sets.values() if t in x) for t in theta}
+            change = max(abs(theta[t] - was[t]) for t in theta)
+            if change <= tol:
+                break
+        want |= {(c, t): n for t, n in theta.items()}
+        runs[c] = (len(sets), len(theta), i, change <= tol)
+    estimates, cells = quant.em_run(spark.createDataFrame(rows, "sample string, cell string, qname string, transcript string"), rounds, tol)
+    found = {(r.cell, r.transcript): r.n for r in estimates.collect()}
+    assert found.keys() == want.keys() and max(abs(found[k] - want[k]) for k in want) < 1e-6
+    assert {r.cell: (r.reads, r["transcripts"], r.rounds, r.settled) for r in cells.collect()} == runs and len({i for _, _, i, _ in runs.values()}) > 2
+
+
+def test_dense_blocks(spark, tmp_path):
+    rows = [(f"G{i % 7}", f"c{i % 53:02}", float(i)) for i in range(200)]
+    m = spark.createDataFrame(rows, "feature string, cell string, n double")
+    files.write_dense(m, str(tmp_path / "blocks"), 10)
+    assert sorted(p.name for p in (tmp_path / "blocks").glob("block=*")) == [f"block={i}" for i in range(6)]
+    assert max(len(line.split("\t")) for p in (tmp_path / "blocks").rglob("part-*") for line in p.read_text().splitlines()) == 11
+    files.write_dense(m, str(tmp_path / "one"), 100)
+    wide, one = (sorted(map(tuple, files.scan_dense(spark, str(tmp_path / x)).collect())) for x in ("blocks", "one"))
+    sums: dict[tuple, float] = {}
+    for g, c, n in rows:
+        sums[g, c] = sums.get((g, c), 0.0) + n
+    assert wide == one == sorted((g, c, sums.get((g, c), 0.0)) for g in {r[0] for r in rows} for c in {r[1] for r in rows})
+    files.write_dense(m.limit(0), str(tmp_path / "none"))
+    assert files.scan_dense(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_files_as_callers_write_them(spark, tmp_path):
+    (tmp_path / "S7.csv").write_text("read_id,putative_bc,putative_bc_min_q,a,b,c,d\nr1,ACGT,12,,x,,\nr2,,,,,,\n")
+    assert sorted(map(tuple, files.scan_bc_table(spark, str(tmp_path / "S7.csv"), "calls").collect())) == [("S7", "r1", "ACGT", 12), ("S7", "r2", None, None)]
+    headers = lambda *x: spark.createDataFrame(list(enumerate(x)), "ordinal int, header string")
+    assert [seq.header_delimiter(headers(*x)) for x in ((">T1 a", ">T2;x;y|z", ">T3|x"), (">T|a;b",), (">T a",))] == [";", "|", ""]
+    (tmp_path / "S1.sam").write_text("r\t1\tc\t5\t60\t4M\td\t9\t0\tACGT\tIIII\nr\t1\tc\t5\t3\t4M\t=\t9\t0\tACGT\tIIII\nq\t257\tc\t5\t60\t4M\td\t9\t0\tACGT\tIIII\n")
+    (row,) = alignments.flagstat_mates(files.scan_sam(spark, str(tmp_path / "S1.sam"))).collect()
+    assert (row.mate_elsewhere, row.mate_elsewhere_q5) == (1, 1)
+
+
+def test_reads_a_cell_to_two_places(spark):
+    cells = spark.createDataFrame([("S", f"c{i}", 1.0, i) for i in range(8)], "sample string, cell string, n_count double, n_feature long")
+    features = spark.createDataFrame([("S", "G"), ("S", "H")], "sample string, feature string")
+    for total, mean in ((1, 0.12), (3, 0.38), (8, 1.0), (17, 2.12)):
+        stats = spark.createDataFrame([("S", total)], "sample string, total long")
+        (row,) = qc.cell_summary(cells, features, stats, "gene").collect()
+        assert tuple(row) == ("S", "gene", 8, mean, 3.5, 2)
+
+
 def greedy(counts: dict[str, int]) -> dict[str, str]:
     """UMI -> the UMI of its cluster: from the most frequent on, a cluster takes in neighbours one base away that are rare enough."""
     found: dict[str, str] = {}
