@@ -293,3 +293,47 @@ query("qc_report_full", report, registry.CORR + registry.LOCATED + registry.N50
  cut AS (SELECT sample, count(*) AS extracted_read_counts FROM located WHERE putative_bc IS NOT NULL AND idx >= 0 GROUP BY 1), fixed AS (SELECT sample, count(*) AS corrected_read_counts FROM corrected GROUP BY 1), detected AS (SELECT sample, count(DISTINCT feature) AS total_features FROM counts GROUP BY 1)
  SELECT sample, total, mapped, refs, refs_with_reads, fullest_ref_share, reads, bases, n50, {', '.join(f'{g}_tags' for g in GROUPS)}, cells, {registry.HALF_EVEN} AS mean_reads_per_cell, median_features, total_features, base_fastq_counts, trimmed_read_counts, extracted_read_counts, corrected_read_counts
  FROM totals JOIN refs USING (sample) JOIN raw_reads USING (sample) JOIN n50 USING (sample) JOIN tags USING (sample) JOIN summary USING (sample) JOIN detected USING (sample) JOIN cut USING (sample) JOIN fixed USING (sample)""", "reads putative bc_info whitelist bc_counts aln exons")
+
+# whole jobs beside queries of one sample, one kind or one file
+
+def all_sams(t: Tables) -> DataFrame:
+    out = None
+    for sample in ("S0", "S1"):
+        text = lambda c: F.col(c).cast("string")
+        row = F.concat_ws("\t", "qname", text("flag"), "ref", (F.col("pos") + 1).cast("string"), text("mapq"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), "seq", "qual", F.concat(F.lit("NM:i:"), text("nm")), F.concat(F.lit("CB:Z:"), "cb"))
+        rows = files.scan_sam(t.spark, lines(t.aln.where(F.col("sample") == sample), row, f"{sample}.sam"), sample)
+        out = rows if out is None else out.unionByName(rows)
+    return out.select("sample", "qname", "flag", "ref", "pos", "mapq", "cigar", "seq", "qual", "nm", "cb")
+
+
+query("scan_sams", all_sams, "SELECT sample, qname, flag, ref, pos, mapq, cigar, seq, qual, nm, cb FROM aln", "aln")
+
+
+def all_tables(t: Tables) -> DataFrame:
+    """Every kind of table, written and read again, as rows of one shape."""
+    given = {"putative": t.putative, "info": t.bc_info, "corrected": t.bc_info.withColumn("corrected_bc", F.col("bc")), "counts": t.bc_counts}
+    out = None
+    for kind, df in given.items():
+        path = new_path(t.spark, kind)
+        files.write_table(df, path, files.BC_TABLES[kind][1])
+        rows = files.scan_bc_table(t.spark, path, kind)
+        rows = rows.select(F.lit(kind).alias("kind"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in rows.columns]).alias("said"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+SAID = {"putative": ("putative", "sample, read_id, putative_bc"), "info": ("bc_info", "sample, read_id, bc, bc_qual, umi, umi_qual"), "corrected": ("bc_info", "sample, read_id, bc, bc_qual, umi, umi_qual, bc"), "counts": ("bc_counts", "sample, bc, n")}
+query("scan_all_bc_tables", all_tables, " UNION ALL ".join(f"SELECT '{kind}' AS kind, concat_ws('|', {', '.join(f"coalesce(cast({c} AS string), 'none')" for c in columns.split(', '))}) AS said FROM {name}" for kind, (name, columns) in SAID.items()), "putative bc_info bc_counts")
+
+
+def mex_lines(t: Tables) -> DataFrame:
+    """All three files of a sparse matrix, line by line."""
+    path = mex(t)
+    parts = [t.spark.read.text(f"{path}/{name}").select(F.lit(name).alias("file"), F.col("value").alias("line")) for name in ("matrix.mtx", "features.tsv", "barcodes.tsv")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+MEX = MINI + """, f AS (SELECT feature, row_number() OVER (ORDER BY feature) AS i FROM (SELECT DISTINCT feature FROM mini)), c AS (SELECT cell, row_number() OVER (ORDER BY cell) AS j FROM (SELECT DISTINCT cell FROM mini))
+ SELECT 'features.tsv' AS file, feature AS line FROM f UNION ALL SELECT 'barcodes.tsv', cell FROM c UNION ALL SELECT 'matrix.mtx', concat(cast(i AS string), ' ', cast(j AS string), ' ', cast(n AS string)) FROM mini JOIN f USING (feature) JOIN c USING (cell)
+ UNION ALL SELECT 'matrix.mtx', '%%MatrixMarket matrix coordinate real general' UNION ALL SELECT 'matrix.mtx', concat((SELECT cast(count(*) AS string) FROM f), ' ', (SELECT cast(count(*) AS string) FROM c), ' ', (SELECT cast(count(*) AS string) FROM mini))"""
+query("write_mex_files", mex_lines, MEX)

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.alignments import with_aln_id
 from ..operators.joins import spread_join
 from .fasta import scan_contigs, scan_tiles  # noqa: F401  part of this module's interface
 from .fastq import fastq_stream, scan_fastq  # noqa: F401
@@ -81,7 +82,7 @@ def scan_whitelist(spark: SparkSession, path: str | None = None, kit: str | None
 
 
 def scan_sam(spark: SparkSession, path: str, sample: str | None = None) -> DataFrame:
-    """SAM text: 0-based positions, tags as a map, and the barcode tags and edit distance as columns.
+    """SAM text: 0-based positions, tags as a map, the barcode tags and edit distance as columns, and the alignment's own ``aln_id``.
 
     The sample is ``sample``, else the name of the file up to its first dot. ``*`` is null.
     """
@@ -90,7 +91,7 @@ def scan_sam(spark: SparkSession, path: str, sample: str | None = None) -> DataF
     name = F.lit(sample) if sample is not None else F.regexp_extract(F.col("_metadata.file_name"), r"^[^.]*", 0)
     rows = spark.read.text(path).where("value not like '@%' and value <> ''").select(name.alias("sample"), f.alias("f"), tags.alias("tags"))
     at = lambda i: F.nullif(F.col("f")[i], F.lit("*"))
-    return rows.select("sample", F.col("f")[0].alias("qname"), F.col("f")[1].cast("int").alias("flag"), at(2).alias("ref"), (F.col("f")[3].cast("int") - 1).alias("pos"), F.col("f")[4].cast("int").alias("mapq"), at(5).alias("cigar"), at(6).alias("mate_ref"), at(9).alias("seq"), at(10).alias("qual"), F.col("tags")["NM"].cast("int").alias("nm"), *[F.col("tags")[x].alias(x.lower()) for x in ("CR", "CY", "UR", "UY", "CB")], "tags")
+    return with_aln_id(rows.select("sample", F.col("f")[0].alias("qname"), F.col("f")[1].cast("int").alias("flag"), at(2).alias("ref"), (F.col("f")[3].cast("int") - 1).alias("pos"), F.col("f")[4].cast("int").alias("mapq"), at(5).alias("cigar"), at(6).alias("mate_ref"), at(9).alias("seq"), at(10).alias("qual"), F.col("tags")["NM"].cast("int").alias("nm"), *[F.col("tags")[x].alias(x.lower()) for x in ("CR", "CY", "UR", "UY", "CB")], "tags"))
 
 
 def scan_bc_table(spark: SparkSession, path: str, kind: str, sample: str | None = None) -> DataFrame:

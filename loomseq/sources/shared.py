@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,7 +25,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/loomseq/{uuid.uuid4().hex}/{name}"
+    """A path of its own in the shared folder; ``clear`` deletes what is written there."""
+    folder = f"{shared_dir(spark)}/loomseq/{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return f"{folder}/{name}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -32,3 +36,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes all that this application's operators have written to the shared folder, and says how many folders it was.
+
+    Results read from there, so they must be saved first.
+    """
+    made = _made.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in made:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    return len(made)

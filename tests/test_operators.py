@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -10,10 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomseq.operators import adapters, alignments, barcodes, contigs, dedup, joins, places, qc, quant, reads
-from loomseq.plans import registry, registry_files, registry_reads, registry_splice  # noqa: F401
+from loomseq.plans import fixtures, registry, registry_files, registry_reads, registry_splice  # noqa: F401
 from loomseq.functions import seq
 from loomseq.functions.seq import ADAPTER
-from loomseq.sources import files
+from loomseq.sources import files, shared
 from loomseq.streaming.reads import putative_stream
 
 SF = "/root/testdata/sf0.001"
@@ -515,3 +516,10 @@ def test_neighbours_beyond_four_letters(spark):
     q, w = (spark.createDataFrame([("S", x) for x in xs], "sample string, bc string") for xs in (asked, listed))
     got = sorted((r.bc, r.cand) for r in barcodes.hamming_neighbours(q, w).collect())
     assert got == sorted((a, b) for a in asked for b in listed if near(a, b))
+
+
+def test_what_operators_wrote_is_cleared(spark):
+    table = shared.written(spark.range(5), "five")
+    folder = table.inputFiles()[0].rsplit("/", 2)[0].removeprefix("file://")
+    assert Path(folder).is_dir() and shared.clear(spark) >= 1 and not Path(folder).exists() and shared.clear(spark) == 0
+    fixtures._written.clear()  # the derived tables went as well
