@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 IUPAC, COMPLEMENT = "ACGTRYKMBVDHNSWacgtrykmbvdhnsw", "TGCAYRMKVBHDNSWtgcayrmkvbhdnsw"
 #: Kits: barcode, UMI and poly-T lengths. Fixed values of the chemistry.
@@ -24,15 +27,33 @@ def chars(x: Column) -> Column:
     return F.filter(F.split(x, ""), lambda c: c != "")
 
 
-#: Characters that stand for Phred values 0 to 93.
-PHRED = [chr(c) for c in range(33, 127)]
+#: Bytes that are looked up at once (a string is never cut).
+LOOKED_UP = 1 << 20
+#: Error probability of each byte of a Phred+33 string.
+_ERROR = 10.0 ** (-(np.arange(256) - 33) / 10.0)
+
+
+@F.arrow_udf(DoubleType())
+def _mean_error(qual: pa.Array) -> pa.Array:
+    """Mean error probability of each string: one look-up a byte on the batch's own buffer; null for null and empty strings."""
+    if not len(qual):
+        return pa.array([], pa.float64())
+    qual = qual.cast(pa.large_binary())
+    ends = np.frombuffer(qual.buffers()[1], np.int64)[qual.offset : qual.offset + len(qual) + 1]
+    raw = np.frombuffer(qual.buffers()[2] or b"", np.uint8)
+    sizes = np.diff(ends)
+    means = np.full(len(qual), np.nan)
+    some = np.flatnonzero(sizes)
+    # strings whose bytes are looked up together
+    for rows in np.split(some, np.flatnonzero(np.diff(ends[some] // LOOKED_UP)) + 1) if len(some) else []:
+        first = ends[rows[0]]
+        means[rows] = np.add.reduceat(_ERROR[raw[first : ends[rows[-1] + 1]]], ends[rows] - first) / sizes[rows]
+    return pa.array(means, pa.float64(), from_pandas=True)
 
 
 def mean_quality(qual: Column) -> Column:
-    """Phred value of the mean error probability: the sum takes each base's probability from a table of all characters."""
-    table = F.array(*[F.lit(10.0 ** (-i / 10.0)) for i in range(len(PHRED))])
-    total = F.aggregate(F.split(qual, ""), F.lit(0.0), lambda s, c: s + F.when(c == "", 0.0).otherwise(F.element_at(table, F.ascii(c) - 32)))
-    return -10 * F.log10(total / F.length(qual))
+    """Phred value of the mean error probability; null where there are no bases."""
+    return -10 * F.log10(_mean_error(qual))
 
 
 def kit_column(kit: Column, part: int) -> Column:

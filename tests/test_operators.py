@@ -252,6 +252,21 @@ def test_frequent_reads(spark):
     assert got == {("S", f"ACGT{k}"): n for k, n in true.items() if n >= 100} | {("T", "AA"): 3}
 
 
+def test_mean_qualities(spark, monkeypatch):
+    draw = np.random.default_rng(14)
+    texts = [None, "", "!", "~" * 7] + ["".join(chr(c) for c in draw.integers(33, 127, int(n))) for n in draw.integers(0, 90, 60)] + ["", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, qual string").coalesce(1)
+    plain = lambda t: -10 * np.log10(np.mean([10 ** (-(ord(c) - 33) / 10) for c in t])) if t else None
+    got = {r.i: r.q for r in frame.select("i", seq.mean_quality(F.col("qual")).alias("q")).collect()}
+    assert all((got[i] is None) == (not t) and (not t or abs(got[i] - plain(t)) < 1e-9) for i, t in enumerate(texts))
+    monkeypatch.setattr(seq, "LOOKED_UP", 50)  # a batch in many parts gives the same
+    import pyarrow as pa
+
+    held = pa.array(["x", None, *texts], pa.string())
+    said = seq._mean_error.func(held.slice(2)).to_pylist()
+    assert all((a is None) == (not t) and (not t or abs(-10 * np.log10(a) - plain(t)) < 1e-9) for a, t in zip(said, texts, strict=True))
+
+
 def test_median_by_bins(spark):
     draw = np.random.default_rng(12)
     for n in (1, 2, 7, 1000):
