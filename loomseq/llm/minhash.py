@@ -50,6 +50,7 @@ RARITY_BINS = 1 << 18
 MOST_SET_BYTES = 24_000_000
 ODD = 2048
 O = [f"o{i}" for i in range(ODD // 64)]  # columns of the odd sketch
+FOLDS = [f"f{i}" for i in range(8)]  # and of the folded one
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -146,11 +147,11 @@ def sets_of(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     return sets.join(nodes.select("id", "f1", "f2", "n"), ["f1", "f2", "n"]).select("id", "set")
 
 
-def may_link(a: str, b: str, percent: int) -> Column:
+def may_link(a: str, b: str, percent: int, sketch: list[str] = O) -> Column:
     """False only where sizes or odd sketches rule a link out; ``a`` and ``b`` are what their columns' names begin with."""
     n1, n2 = F.col(f"{a}n"), F.col(f"{b}n")
     differ = F.lit(0)
-    for c in O:
+    for c in sketch:
         differ = differ + F.bit_count(F.col(a + c).bitwiseXOR(F.col(b + c)))
     return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * differ <= (100 - percent) * (n1 + n2))
 
@@ -263,12 +264,13 @@ def rarity(sets: DataFrame) -> np.ndarray:
 
 
 def rare_shingles(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """``(id, comp, n, pos, short, key)`` of ``(id, comp, set)``: the first shingles of each set from rare to frequent, and their places.
+    """The columns of ``sets`` with ``(n, pos, short, key)`` for its ``set``: the first shingles of each set from rare to frequent, and their places.
 
     A set shares a shingle among these with every set that it may link. Those with ``short`` are enough where the other set
     is as long or longer.
     """
     sent = sets.sparkSession.sparkContext.broadcast(counts)  # RARITY_BINS integers, whatever the input
+    carried = [c for c in sets.columns if c != "set"]
 
     def make():
         often = sent.value
@@ -289,26 +291,28 @@ def rare_shingles(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFram
             take = pa.array(np.concatenate([np.zeros(0, np.int64), *rows]))
             join = lambda x, kind: pa.array(np.concatenate([np.zeros(0, kind), *x]))
             n = pa.array(batch.column("set").value_lengths().cast(pa.int64()))
-            return pa.RecordBatch.from_arrays([batch.column("id").take(take), batch.column("comp").take(take), n.take(take), join(places, np.int64), join(short, bool), join(keys, np.int64)], ["id", "comp", "n", "pos", "short", "key"])
+            return pa.RecordBatch.from_arrays([*[batch.column(c).take(take) for c in carried], n.take(take), join(places, np.int64), join(short, bool), join(keys, np.int64)], [*carried, "n", "pos", "short", "key"])
 
         return work
 
-    return per_slice(sets.select("id", "comp", "set"), make, "id bigint, comp bigint, n bigint, pos bigint, short boolean, key bigint")
+    return per_slice(sets, make, f"{', '.join(f'{c} bigint' for c in carried)}, n bigint, pos bigint, short boolean, key bigint")
 
 
 def crowded_pairs(crowd: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """``(x, y)``: what may link nodes of different components among ``crowd (id, comp)``, by the shingles that it must share.
 
-    In each shingle's rows the commonest component meets only the others, so copies of one text don't meet one another.
+    In each shingle's rows the commonest component meets only the others, so copies of one text don't meet one another. The
+    odd sketch, folded to ``len(FOLDS)`` integers, is part of the join's condition; the whole one rules out more of what is left.
     """
-    own = written(sets.join(crowd, "id"), "crowd_sets")
+    folded = [functools.reduce(Column.bitwiseXOR, map(F.col, O[i :: len(FOLDS)])).alias(c) for i, c in enumerate(FOLDS)]
+    own = written(sets.join(crowd, "id").join(sketches.select("id", *folded), "id"), "crowd_sets")
     rows = written(rare_shingles(own, rarity(own), percent), "rare_shingles")
     parts = rows.groupBy("key", "comp").agg(F.count("*").alias("rows"))
     several = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("rows", "comp")).alias("m")).where("parts > 1").select("key", (F.col("m.comp")).alias("major"))
     rows = written(rows.join(several, "key"), "shared_shingles")
     p, q = rows.where("short").alias("p"), rows.alias("q")
     left = F.least(F.col("p.n") - F.col("p.pos"), F.col("q.n") - F.col("q.pos"))
-    fits = (F.col("p.key") == F.col("q.key")) & (F.col("p.comp") != F.col("q.comp")) & (F.col("p.n") <= F.col("q.n")) & (100 * F.col("p.n") >= percent * F.col("q.n")) & ((100 + percent) * left >= percent * (F.col("p.n") + F.col("q.n")))
+    fits = (F.col("p.key") == F.col("q.key")) & (F.col("p.comp") != F.col("q.comp")) & (F.col("p.n") <= F.col("q.n")) & (100 * F.col("p.n") >= percent * F.col("q.n")) & ((100 + percent) * left >= percent * (F.col("p.n") + F.col("q.n"))) & may_link("p.", "q.", percent, FOLDS)
     ids = lambda df: df.select(F.greatest("p.id", "q.id").alias("x"), F.least("p.id", "q.id").alias("y"))
     met = ids(p.where("p.comp <> p.major").join(q, fits)).unionByName(ids(p.where("p.comp = p.major").join(q.where("q.comp <> q.major"), fits)))
     met = written(met.distinct(), "crowd_pairs")
