@@ -23,42 +23,52 @@ def split_pattern() -> str:
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text: base spans and those of learnt formats. Null texts are empty; repeated rows are scanned one by one; no documents: no rows."""
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
 def op2_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page. Null pages, and pages without an article or body, have an empty text; repeated pages count once in a host's wrapper."""
     return html_wrappers.extracted(table(spark, sf_dir, "pages"))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and the bytes that they stand for. Null texts are empty; texts of any length are encoded in parts of bounded size."""
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), split_pattern())
 
 
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every URL. Null URLs and such without ``://`` have empty ones and are allowed; repeated URLs get one verdict."""
     return url_rules.judged(table(spark, sf_dir, "pages"))
 
 
 def op5_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text as read back from compressed shards, in the order of ``doc_id``. Null texts have only the end id; repeated keys are ordered by their texts."""
     return repair_codec.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def op6_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every text's ids with their sequences. Null texts have only the end id; repeated rows are packed one by one."""
     return packing.packed_digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document by shingles of two words. Null texts and such without words are alone; rows that repeat a key are nodes of their own."""
     return minhash.groups(table(spark, sf_dir, "documents"), k=2)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which row of equal texts stays. Null counts as empty; rows that repeat a key count one by one, and equal rows stay or go together."""
     return exact_dedup.grouped(table(spark, sf_dir, "documents"))
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every whole text. Null and empty texts have the score of the bias; repeated rows get equal scores."""
     return ftrl.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base columns and verdict of every whole text. Null texts have no words and fail the base; repeated rows get equal verdicts."""
     return cascade.judged(table(spark, sf_dir, "documents"))
 
 

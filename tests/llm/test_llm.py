@@ -419,3 +419,18 @@ def test_training_rows_are_one_a_key(spark):
     labels = spark.createDataFrame([(1, 1), (3, 0), (5, 0)], "doc_id long, quality int")
     once = spark.createDataFrame([(r.doc_id, r.text) for r in docs.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")).select("doc_id", "x.text").collect()], "doc_id long, text string")
     assert ftrl.fit(docs, labels).tolist() == ftrl.fit(once, labels).tolist()
+
+
+def test_a_later_batch_finds_the_state_of_those_before(spark, tmp_path):
+    """The keyed state goes on from its checkpoint: groups of a second batch count the rows of the first."""
+    batches = [[(1, "a text"), (2, "A TEXT"), (3, "other")], [(4, "a text"), (5, "third"), (0, "other")]]
+    source, state, sink = (str(tmp_path / x) for x in ("rows", "state", "groups"))
+    found = []
+    for batch in batches:
+        docs = spark.createDataFrame(batch, "doc_id long, text string")
+        rows = exact_dedup.digests(exact_dedup.located(docs))
+        rows.write.mode("append").parquet(source)
+        exact_dedup.stream_groups(spark, source, rows.schema, state, sink)
+        last = spark.read.parquet(sink).groupBy("digest").agg(F.max_by(F.struct("group_size", "kept_row"), "batch").alias("s"))
+        found.append(sorted((r.s.group_size, r.s.kept_row.doc_id, r.s.kept_row.length) for r in last.collect()))
+    assert found == [[(1, 3, 5), (2, 2, 6)], [(1, 5, 5), (2, 3, 5), (3, 4, 6)]]
