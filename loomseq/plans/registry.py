@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.seq import ADAPTER, IUPAC, COMPLEMENT, KITS, kit_column, reverse_complement
+from ..functions.seq import ADAPTER, COMPLEMENT, IUPAC, kit_column, reverse_complement
 from ..operators import alignments as al
 from ..operators import barcodes as bc
 from ..operators import dedup, qc, quant

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 
 from ..functions.seq import ADAPTER
 from ..operators import adapters
-from . import fixtures as fx
 from . import registry
 from .registry import REV, Tables, query
 
