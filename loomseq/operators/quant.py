@@ -27,8 +27,17 @@ def overlaps(blocks: DataFrame, regions: DataFrame, bin_size: int = BIN) -> Data
 MOST_REGIONS = 1_000_000
 
 
+def merged_exons(exons: DataFrame, keys: list[str]) -> DataFrame:
+    """``(*keys, start_, end_)``: the stretches that exons of one gene cover, each base once. A window holds a gene's exons."""
+    w = Window.partitionBy(*keys).orderBy("start_", "end_")
+    reached = F.max("end_").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = exons.withColumn("fresh", F.when(F.col("start_") <= reached, 0).otherwise(1)).withColumn("island", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.groupBy(*keys, "island").agg(F.min("start_").alias("start_"), F.max("end_").alias("end_")).drop("island")
+
+
 def assign_genes(blocks: DataFrame, exons: DataFrame, stranded: str = "none", delta: int | None = None) -> DataFrame:
-    """``(sample, qname, [aln_id,] gene, class)``: the gene with most overlapped bases; ``ambiguous`` where several have as many.
+    """``(sample, qname, [aln_id,] gene, class)``: the gene with most overlapped bases, each counted once however many
+    of its transcripts have it; ``ambiguous`` where several have as many.
 
     Blocks with an ``aln_id`` are assigned by alignment, and the result has it too. ``stranded`` is the library's:
     ``forward`` takes only genes on the alignment's strand, ``reverse`` only those on the other, ``none`` both. With ``delta``
@@ -42,7 +51,7 @@ def assign_genes(blocks: DataFrame, exons: DataFrame, stranded: str = "none", de
     own = own_keys(blocks)
     strand = [] if stranded == "none" else ["strand"]
     bodies = exons.groupBy("ref", "gene", *strand).agg(F.min("start_").alias("start_"), F.max("end_").alias("end_"))
-    regions = exons.select("ref", "gene", *strand, "start_", "end_", F.lit(True).alias("exon")).distinct().unionByName(bodies.withColumn("exon", F.lit(False)))
+    regions = merged_exons(exons, ["ref", "gene", *strand]).withColumn("exon", F.lit(True)).unionByName(bodies.withColumn("exon", F.lit(False)))
     regions = written(regions.select(*[F.col(c).alias(f"r_{c}") for c in regions.columns]), "regions")
     small = regions.count() <= MOST_REGIONS
     bins = lambda p: F.explode(F.sequence(F.expr(f"{p}start_ div {BIN}"), F.expr(f"({p}end_ - 1) div {BIN}")))

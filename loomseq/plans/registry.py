@@ -101,7 +101,7 @@ query("aligned_blocks", by_name, BLOCKS + " SELECT * FROM blocks", "aln")
 query("percent_identity", lambda t: al.percent_identity(al.aligned_blocks(t.aln), t.aln).drop("aln_id"), f"SELECT sample, qname, round(100 * (1 - nm / length(seq)), 6) AS identity FROM aln WHERE {MAPPED}", "aln")
 
 # quantification and annotation
-GENE = BLOCKS + ", ex AS (SELECT DISTINCT ref, gene, start_ AS es, end_ AS ee FROM exons), hits AS (SELECT sample, qname, gene, sum(least(end_, ee) - greatest(start_, es)) AS n FROM blocks JOIN ex ON blocks.ref = ex.ref AND start_ < ee AND es < end_ GROUP BY 1, 2, 3), tops AS (SELECT sample, qname, min(gene) AS gene, count(*) AS k FROM (SELECT *, max(n) OVER (PARTITION BY sample, qname) AS top FROM hits) WHERE n = top GROUP BY 1, 2), span AS (SELECT ref, gene, min(start_) AS gs, max(end_) AS ge FROM exons GROUP BY 1, 2), inside AS (SELECT sample, qname, min(gene) AS body FROM blocks JOIN span ON blocks.ref = span.ref AND start_ < ge AND gs < end_ GROUP BY 1, 2), assigned AS (SELECT r.sample, r.qname, coalesce(gene, body) AS gene, CASE WHEN k = 1 THEN 'unique' WHEN k > 1 THEN 'ambiguous' WHEN body IS NOT NULL THEN 'intronic' ELSE 'none' END AS class FROM (SELECT DISTINCT sample, qname FROM blocks) r LEFT JOIN tops USING (sample, qname) LEFT JOIN inside USING (sample, qname))"
+GENE = BLOCKS + ", ex AS (SELECT ref, gene, min(start_) AS es, max(end_) AS ee FROM (SELECT *, sum(fresh) OVER (PARTITION BY ref, gene ORDER BY start_, end_ ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT ref, gene, start_, end_, CASE WHEN start_ <= max(end_) OVER (PARTITION BY ref, gene ORDER BY start_, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM exons)) GROUP BY ref, gene, island), hits AS (SELECT sample, qname, gene, sum(least(end_, ee) - greatest(start_, es)) AS n FROM blocks JOIN ex ON blocks.ref = ex.ref AND start_ < ee AND es < end_ GROUP BY 1, 2, 3), tops AS (SELECT sample, qname, min(gene) AS gene, count(*) AS k FROM (SELECT *, max(n) OVER (PARTITION BY sample, qname) AS top FROM hits) WHERE n = top GROUP BY 1, 2), span AS (SELECT ref, gene, min(start_) AS gs, max(end_) AS ge FROM exons GROUP BY 1, 2), inside AS (SELECT sample, qname, min(gene) AS body FROM blocks JOIN span ON blocks.ref = span.ref AND start_ < ge AND gs < end_ GROUP BY 1, 2), assigned AS (SELECT r.sample, r.qname, coalesce(gene, body) AS gene, CASE WHEN k = 1 THEN 'unique' WHEN k > 1 THEN 'ambiguous' WHEN body IS NOT NULL THEN 'intronic' ELSE 'none' END AS class FROM (SELECT DISTINCT sample, qname FROM blocks) r LEFT JOIN tops USING (sample, qname) LEFT JOIN inside USING (sample, qname))"
 genes = lambda t: quant.assign_genes(by_name(t), t.exons)
 query("assign_genes", genes, GENE + " SELECT * FROM assigned", "aln exons")
 query("assign_transcripts", lambda t: quant.assign_transcripts(by_name(t), genes(t), t.exons, 60))

@@ -222,7 +222,7 @@ query("read_quality_stats", lambda t: qc.read_quality_stats(t.reads), f", q AS (
 
 # each alignment by itself, and estimates that have settled
 BY = f"SELECT sample, qname, aln, ref, start_, end_ FROM (SELECT sample, qname, 0 AS aln, ref, pos AS start_, CASE WHEN cigar LIKE '%N%' THEN pos + 10 ELSE pos + length(seq) END AS end_ FROM aln WHERE {MAPPED} UNION ALL SELECT sample, qname, 0, ref, pos + 410, pos + 400 + length(seq) FROM aln WHERE {MAPPED} AND cigar LIKE '%N%')"
-TWO = f", one AS ({BY}), blocks AS (SELECT * FROM one UNION ALL SELECT sample, qname, 1, ref, start_ + 1000, end_ + 1000 FROM one), ex AS (SELECT DISTINCT ref, gene, start_ AS es, end_ AS ee FROM exons), hits AS (SELECT sample, qname, aln, gene, sum(least(end_, ee) - greatest(start_, es)) AS n FROM blocks JOIN ex ON blocks.ref = ex.ref AND start_ < ee AND es < end_ GROUP BY ALL), tops AS (SELECT sample, qname, aln, min(gene) AS gene, count(*) AS k FROM (SELECT *, max(n) OVER (PARTITION BY sample, qname, aln) AS top FROM hits) WHERE n = top GROUP BY ALL), body AS (SELECT sample, qname, aln, min(gene) AS body FROM blocks JOIN (SELECT ref, gene, min(start_) AS es, max(end_) AS ee FROM exons GROUP BY 1, 2) e ON blocks.ref = e.ref AND start_ < ee AND es < end_ GROUP BY ALL)"
+TWO = f", one AS ({BY}), blocks AS (SELECT * FROM one UNION ALL SELECT sample, qname, 1, ref, start_ + 1000, end_ + 1000 FROM one), ex AS (SELECT ref, gene, min(start_) AS es, max(end_) AS ee FROM (SELECT *, sum(fresh) OVER (PARTITION BY ref, gene ORDER BY start_, end_ ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT ref, gene, start_, end_, CASE WHEN start_ <= max(end_) OVER (PARTITION BY ref, gene ORDER BY start_, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM exons)) GROUP BY ref, gene, island), hits AS (SELECT sample, qname, aln, gene, sum(least(end_, ee) - greatest(start_, es)) AS n FROM blocks JOIN ex ON blocks.ref = ex.ref AND start_ < ee AND es < end_ GROUP BY ALL), tops AS (SELECT sample, qname, aln, min(gene) AS gene, count(*) AS k FROM (SELECT *, max(n) OVER (PARTITION BY sample, qname, aln) AS top FROM hits) WHERE n = top GROUP BY ALL), body AS (SELECT sample, qname, aln, min(gene) AS body FROM blocks JOIN (SELECT ref, gene, min(start_) AS es, max(end_) AS ee FROM exons GROUP BY 1, 2) e ON blocks.ref = e.ref AND start_ < ee AND es < end_ GROUP BY ALL)"
 both = lambda t: al.with_aln_id(t.aln.where(MAPPED).unionByName(t.aln.where(MAPPED).withColumn("pos", F.col("pos") + 1000)))
 query("assign_genes_by_alignment", lambda t: quant.assign_genes(al.aligned_blocks(both(t)), t.exons).select("sample", "qname", "gene", "class"), TWO + " SELECT sample, qname, coalesce(gene, body) AS gene, CASE WHEN k = 1 THEN 'unique' WHEN k > 1 THEN 'ambiguous' WHEN body IS NOT NULL THEN 'intronic' ELSE 'none' END AS class FROM (SELECT DISTINCT sample, qname, aln FROM blocks) LEFT JOIN tops USING (sample, qname, aln) LEFT JOIN body USING (sample, qname, aln)", "aln exons")
 LENGTHS = f", lens AS (SELECT sample, qname, ref, pos, length(seq) AS n, cigar LIKE '%N%' AS cut FROM aln WHERE {MAPPED})"

@@ -33,7 +33,7 @@ OPS = """, numbered_aln AS (SELECT *, row_number() OVER (ORDER BY sample, qname,
  ops AS (SELECT a, i, os[i] AS op, cast(pos + coalesce(list_sum(ns[1 : i - 1]), 0) AS int) AS s, cast(pos + list_sum(ns[1 : i]) AS int) AS e FROM (SELECT *, unnest(range(1, len(ns) + 1)) AS i FROM numbered_aln)),
  chains AS (SELECT a, coalesce(list({{'s': s, 'e': e}} ORDER BY i) FILTER (op = 'N'), []) AS chain FROM ops GROUP BY a),
  blocks AS (SELECT a, ref, strand, s AS start_, e AS end_ FROM ops JOIN numbered_aln USING (a) WHERE op = 'M')"""
-GENES = """, ex AS (SELECT DISTINCT ref, gene, strand, start_ AS es, end_ AS ee FROM {exons}), hits AS (SELECT a, gene, sum(least(end_, ee) - greatest(start_, es)) AS n FROM blocks JOIN ex ON blocks.ref = ex.ref AND start_ < ee AND es < end_ {strand} GROUP BY ALL),
+GENES = """, ex AS (SELECT ref, gene, strand, min(start_) AS es, max(end_) AS ee FROM (SELECT *, sum(fresh) OVER (PARTITION BY ref, gene, strand ORDER BY start_, end_ ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT ref, gene, strand, start_, end_, CASE WHEN start_ <= max(end_) OVER (PARTITION BY ref, gene, strand ORDER BY start_, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM {exons})) GROUP BY ref, gene, strand, island), hits AS (SELECT a, gene, sum(least(end_, ee) - greatest(start_, es)) AS n FROM blocks JOIN ex ON blocks.ref = ex.ref AND start_ < ee AND es < end_ {strand} GROUP BY ALL),
  tops AS (SELECT a, min(gene) AS gene, count(*) AS k FROM (SELECT *, max(n) OVER (PARTITION BY a) AS top FROM hits) WHERE n = top GROUP BY a),
  body AS (SELECT a, min(gene) AS body FROM blocks JOIN (SELECT ref, gene, strand, min(es) AS es, max(ee) AS ee FROM ex GROUP BY ALL) ex ON blocks.ref = ex.ref AND start_ < ee AND es < end_ {strand} GROUP BY a),
  assigned AS (SELECT a, sample, qname, cb, coalesce(gene, body) AS gene, CASE WHEN k = 1 THEN 'unique' WHEN k > 1 THEN 'ambiguous' WHEN body IS NOT NULL THEN 'intronic' ELSE 'none' END AS class FROM numbered_aln LEFT JOIN tops USING (a) LEFT JOIN body USING (a))"""

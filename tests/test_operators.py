@@ -507,6 +507,15 @@ def test_identity_of_two_alignments(spark):
     assert {(r.percent, r.n) for r in alignments.identity_distribution(got).collect()} == {(90, 1), (100, 1)}
 
 
+def test_bases_of_a_gene_count_once(spark):
+    """A gene whose transcripts share an exon has no more bases there than one with a single transcript."""
+    exons = spark.createDataFrame([("c", "G1", "T1", 0, 60), ("c", "G1", "T2", 10, 60), ("c", "G1", "T3", 60, 70), ("c", "G2", "T4", 0, 80), ("c", "G3", "T5", 500, 600)], "ref string, gene string, transcript string, start_ int, end_ int")
+    assert sorted(map(tuple, quant.merged_exons(exons, ["ref", "gene"]).collect())) == [("c", "G1", 0, 70), ("c", "G2", 0, 80), ("c", "G3", 500, 600)]
+    aln = spark.createDataFrame([("S", "a", 0, "c", 5, "75M"), ("S", "b", 0, "c", 5, "50M"), ("S", "d", 0, "c", 550, "10M"), ("S", "e", 0, "c", 900, "10M")], "sample string, qname string, flag int, ref string, pos int, cigar string")
+    got = {r.qname: (r.gene, r["class"]) for r in quant.assign_genes(alignments.aligned_blocks(aln), exons).collect()}
+    assert got == {"a": ("G2", "unique"), "b": ("G1", "ambiguous"), "d": ("G3", "unique"), "e": (None, "none")}
+
+
 def test_hot_keys_of_a_shuffled_join(spark):
     """A table too large to send is joined by salts: the same rows, also of keys that most rows have, and of none."""
     rows = spark.range(1000).select("id", F.when(F.col("id") % 10 > 0, 1).otherwise(F.col("id")).alias("k"))
