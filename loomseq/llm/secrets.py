@@ -2,14 +2,17 @@
 
 The strings that the fixed patterns find are the labelled credentials, by kind. For each kind a prefix tree of their
 character classes is folded into a probabilistic automaton: two states merge when, for every continuation, their
-frequencies are no further apart than Hoeffding's bound allows. Every other run of a text, whatever it consists of, is
-scored by its mean log-likelihood per symbol under each automaton whose shortest credential is no longer than the run. It is
-a secret (kind ``format``) when the score is typical of that automaton's own credentials: no lower than nearly all of
-theirs, and no further above their median (a run of one and the same symbol is likelier than any credential). One more
-automaton is learnt in the same way from runs that no fixed pattern finds; a run that is likelier there is no secret.
-
-The automata are fitted on at most ``TRAIN_PER_KIND`` distinct strings of each kind, those of smallest hash over all
-documents; kinds without credentials have no automaton. Scanning covers every whole text. Null or empty text: no spans.
+frequencies are no further apart than Hoeffding's bound allows. Every other run of a text over the alphabet that credentials
+have is scored, whatever it consists of, by its mean log-likelihood per symbol under each automaton whose shortest credential
+is no longer than the run. It is a secret (kind ``format``) when the score is typical of that automaton's own credentials: no
+lower than nearly all of theirs, and no further above their median (a run of one and the same symbol is likelier than any
+credential). Dots and equals signs join words to each other and to what ends a sentence: a run is read with and without those
+at its ends, and the likeliest reading counts; where none is a secret, its parts between equals signs are read likewise, and
+then theirs between dots. One more automaton is learnt in the same way from runs that no fixed pattern finds, and from their
+parts, without those that are credentials themselves; a run that is likelier there is no secret.
+
+The automata are fitted on at most ``TRAIN_PER_KIND`` distinct strings of each kind, of up to ``TRAIN_CHARS`` characters,
+those of smallest hash over all documents; kinds without credentials have no automaton. Scanning covers every whole text. Null or empty text: no spans.
 Repeated rows give repeated results. Positions are code points, ends exclusive. A span of the method never touches a base
 span.
 """
@@ -26,15 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, dropped, per_slice, texts_of, written
+from .common import documents, dropped, mapped, per_slice, sliced, texts_of, written
 
 KINDS, OTHER = ("assign", "access", "hex"), "other"
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: Runs that are scored, and the length from which the fixed patterns take a value as a credential.
-RUN, SHORTEST = re.compile(r"[A-Za-z0-9+/_-]+"), 8
-TRAIN_PER_KIND, ALPHA, QUANTILE = 400, 0.05, 0.02
+RUN, SHORTEST = re.compile(r"[A-Za-z0-9+/_.=-]+"), 8
+#: Characters of a run that may join what it consists of, in the order in which it is cut at them.
+JOINTS = "=."
+TRAIN_PER_KIND, TRAIN_CHARS, ALPHA, QUANTILE = 400, 1_000, 0.05, 0.02
 _CLASS = str.maketrans({**dict.fromkeys("0123456789", "d"), **dict.fromkeys("abcdef", "a"), **dict.fromkeys("ghijklmnopqrstuvwxyz", "l"), **dict.fromkeys("ABCDEF", "A"), **dict.fromkeys("GHIJKLMNOPQRSTUVWXYZ", "U")})
 END = ""
 FLOOR = -12.0  # log2 of the probability given to a symbol that a state has never seen
@@ -63,6 +68,20 @@ def candidates(text: str, taken: list[tuple[int, int]], shortest: int) -> Iterat
             yield start, stop
 
 
+def readings(text: str, start: int, stop: int, shortest: int) -> list[tuple[int, int]]:
+    """The run itself, and the run without joints at its ends, of at least ``shortest`` characters; the longest first."""
+    run = text[start:stop]
+    starts = {start, stop - len(run.lstrip(JOINTS))}
+    stops = {stop, start + len(run.rstrip(".")), start + len(run.rstrip(JOINTS))}
+    return sorted(((s, e) for s in starts for e in stops if e - s >= shortest), key=lambda x: (x[0] - x[1], x))
+
+
+def parts(text: str, start: int, stop: int, joint: str, shortest: int) -> Iterator[tuple[int, int]]:
+    """What lies between the joints of a run, of at least ``shortest`` characters."""
+    for m in re.finditer(f"[^{joint}]{{{shortest},}}", text[start:stop]):
+        yield start + m.start(), start + m.end()
+
+
 class Automaton:
     """A probabilistic automaton over character classes."""
 
@@ -105,9 +124,9 @@ class Automaton:
             todo += [(self.next[a][c], self.next[b][c]) for c in self.next[a].keys() & self.next[b].keys()]
         return True
 
-    def _fold(self, into: int, state: int) -> None:
-        """Adds the subtree of ``state`` to what begins at ``into``."""
-        todo = [(into, state)]
+    def _fold(self, into: int, state: int) -> list[int]:
+        """Adds the subtree of ``state`` to what begins at ``into``; the states that have new children by it."""
+        todo, opened = [(into, state)], []
         while todo:
             into, state = todo.pop()
             self.count[into] += self.count[state]
@@ -116,10 +135,12 @@ class Automaton:
                     todo.append((self.next[into][c], child))
                 else:
                     self.next[into][c] = child
+                    opened.append(into)
+        return opened
 
     def _merge_states(self) -> None:
         """Settles states breadth first: each open child merges with the first settled state like it, or is settled."""
-        settled, seen = [0], {0}
+        settled, seen, place = [0], {0}, {0: 0}
         at = 0
         while at < len(settled):
             state = settled[at]
@@ -130,11 +151,11 @@ class Automaton:
                 for old in settled:
                     if self._alike(old, child):
                         self.next[state][c] = old
-                        self._fold(old, child)
-                        # the fold may have opened new children of states settled already
-                        at = min(at, settled.index(old))
+                        # the fold may have opened new children of any state settled already
+                        at = min([at, *(place[x] for x in self._fold(old, child) if x in place)])
                         break
                 else:
+                    place[child] = len(settled)
                     settled.append(child)
                     seen.add(child)
             if state == settled[at] and all(x in seen for x in self.next[state].values()):
@@ -161,27 +182,50 @@ class Automaton:
         return total / n
 
 
-def examples(docs: DataFrame) -> DataFrame:
-    """``(kind, value, h)``: what the fixed patterns find, and as ``other`` what runs they leave; distinct in each slice of
-    rows, of each kind the ``TRAIN_PER_KIND`` of smallest hash ``h``.
-    """
+class Smallest:
+    """The ``TRAIN_PER_KIND`` distinct strings of smallest hash of each kind."""
 
-    def make():
+    def __init__(self) -> None:
         from xxhash import xxh3_64_intdigest
 
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            of: dict[str, set[str]] = {}
-            for text in texts_of(batch):
-                found = find(text)
-                for kind, _, _, value in found:
-                    of.setdefault(kind, set()).add(value)
-                of.setdefault(OTHER, set()).update(text[s:e] for s, e in candidates(text, [(s, e) for _, s, e, _ in found], SHORTEST))
-            least = [(kind, value, h - (1 << 63)) for kind, values in of.items() for h, value in heapq.nsmallest(TRAIN_PER_KIND, ((xxh3_64_intdigest(x), x) for x in values))]
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in least], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["kind", "value", "h"])
+        self._hash, self._heaps, self._has = xxh3_64_intdigest, {}, {}
 
-        return work
+    def add(self, kind: str, value: str) -> None:
+        heap, has = self._heaps.setdefault(kind, []), self._has.setdefault(kind, set())
+        if len(value) > TRAIN_CHARS or value in has:
+            return
+        item = (-self._hash(value), value)
+        if len(heap) < TRAIN_PER_KIND:
+            heapq.heappush(heap, item)
+        elif item > heap[0]:
+            has.discard(heapq.heapreplace(heap, item)[1])
+        else:
+            return
+        has.add(value)
 
-    return per_slice(documents(docs, "text"), make, "kind string, value string, h bigint")
+    def rows(self) -> list[tuple[str, str, int]]:
+        return [(kind, value, -h - (1 << 63)) for kind, heap in self._heaps.items() for h, value in heap]
+
+
+def examples(docs: DataFrame) -> DataFrame:
+    """``(kind, value, h)``: what the fixed patterns find, and as ``other`` what runs they leave, with their parts.
+
+    Distinct in each task, and of each kind the ``TRAIN_PER_KIND`` of smallest hash ``h`` there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = Smallest()
+        for text in (x for part in sliced(batches) for x in texts_of(part)):
+            found = find(text)
+            for kind, _, _, value in found:
+                least.add(kind, value)
+            for s, e in candidates(text, [(s, e) for _, s, e, _ in found], SHORTEST):
+                for x, y in {*readings(text, s, e, SHORTEST), *parts(text, s, e, JOINTS, SHORTEST)}:
+                    least.add(OTHER, text[x:y])
+        rows = least.rows()
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["kind", "value", "h"])
+
+    return mapped(documents(docs, "text"), run, "kind string, value string, h bigint")
 
 
 def fit(docs: DataFrame) -> dict[str, Automaton]:
@@ -191,22 +235,53 @@ def fit(docs: DataFrame) -> dict[str, Automaton]:
     models = {}
     for kind in (*KINDS, OTHER):
         rows = values.where(F.col("kind") == kind).orderBy("h", "value").limit(TRAIN_PER_KIND).collect()
-        if rows:
-            models[kind] = Automaton([r.value for r in rows])
+        strings = [r.value for r in rows]
+        if kind == OTHER:
+            strings = ordinary(strings, list(models.values()))
+        if strings:
+            models[kind] = Automaton(strings)
     dropped(found)
     return models
 
 
+def ordinary(strings: list[str], learnt: list[Automaton]) -> list[str]:
+    """The strings without those that are credentials themselves, which no fixed pattern finds.
+
+    Each half is judged by an automaton of the other, so that none speaks for itself: what is typical of credentials and
+    likelier among them goes, until nothing more does.
+    """
+    while len(strings) > 1:
+        halves = Automaton(strings[1::2]), Automaton(strings[::2])
+        judged = [(x, max((m.margin(x) for m in learnt), default=(-1.0, 0.0)), halves[i % 2]) for i, x in enumerate(strings)]
+        left = [x for x, (margin, score), other in judged if margin < 0 or other.score(x) >= score]
+        if len(left) == len(strings):
+            break
+        strings = left
+    return strings
+
+
 def judge(text: str, models: dict[str, Automaton]) -> list[tuple[str, int, int, float]]:
     """All spans in order, as (kind, start, end, score); base spans have the score 0."""
     order = {k: i for i, k in enumerate((*KINDS, "format"))}
     spans = [(k, s, e, 0.0) for k, s, e, _ in find(text)]
     learnt = [m for k, m in models.items() if k != OTHER]
     if learnt:
-        for s, e in candidates(text, [(s, e) for _, s, e, _ in spans], min(m.shortest for m in learnt)):
-            margin, score = max(m.margin(text[s:e]) for m in learnt)
-            if margin >= 0 and (OTHER not in models or models[OTHER].score(text[s:e]) < score):
-                spans.append(("format", s, e, score))
+        shortest = min(m.shortest for m in learnt)
+        todo = [(s, e, 0) for s, e in candidates(text, [(s, e) for _, s, e, _ in spans], shortest)]
+        while todo:
+            start, stop, cuts = todo.pop()
+            best = None
+            for s, e in readings(text, start, stop, shortest):
+                margin, score = max(m.margin(text[s:e]) for m in learnt)
+                if margin >= 0 and (best is None or score > best[2]) and (OTHER not in models or models[OTHER].score(text[s:e]) < score):
+                    best = s, e, score
+            if best:
+                spans.append(("format", *best))
+            else:
+                # without the joint the only part is the run itself, which needs no second look
+                cuts = next((i for i in range(cuts, len(JOINTS)) if JOINTS[i] in text[start:stop]), len(JOINTS))
+                if cuts < len(JOINTS):
+                    todo += [(s, e, cuts + 1) for s, e in parts(text, start, stop, JOINTS[cuts], shortest)]
     return sorted(spans, key=lambda x: (x[1], order[x[0]]))
 
 

@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -49,6 +50,10 @@ def test_automaton_prefers_its_format():
     assert len(model.count) < 100
     assert sum(model.score(x) >= model.least for x in made[150:]) >= 45
     assert all(model.margin(x)[0] < 0 for x in ("thisisaverylongword1word2word3x", "2024-01-02-report-final-v3"))
+    for k in range(60):  # states that a fold opens again are settled too, whatever they were merged from
+        strings = ["".join(draw.choice(list("ab.c" if k % 2 else "abcdefgh0123.=_XYZ"), draw.integers(1, 40))) for _ in range(draw.integers(1, 200))]
+        model = secrets.Automaton(strings)
+        assert all(0 <= x < len(model.count) for to in model.next for x in to.values()) and all(model.score(x) <= 0 for x in strings)
 
 
 def test_secrets_long_runs():
@@ -60,6 +65,12 @@ def test_secrets_long_runs():
     taken = [(s, e) for _, s, e, _ in secrets.find(text)]
     assert [text[s:e] for s, e in taken] == ["0a" * 20]
     assert [text[s:e] for s, e in secrets.candidates(text, taken, 8)] == ["XY12" * 6 + "_", "_" + "ZW98" * 6]
+    least = secrets.Smallest()
+    for i in range(3000):
+        least.add("hex", f"{i % 1500:040x}")
+    least.add("hex", "0" * (secrets.TRAIN_CHARS + 1))
+    every = sorted((xxhash.xxh3_64_intdigest(x), x) for x in {f"{i:040x}" for i in range(1500)})
+    assert sorted(v for _, v, _ in least.rows()) == sorted(x for _, x in every[: secrets.TRAIN_PER_KIND])
 
 
 def test_secrets_all_candidates(spark):
@@ -80,6 +91,25 @@ def test_secrets_all_candidates(spark):
     assert [x[:40] for i, x in enumerate(clean) if got[1050 + i]] == []
 
 
+def test_secrets_with_joints(spark):
+    """Formats with dots and equals signs are found whole, without the dot that ends a sentence, and after an equals sign."""
+    draw = np.random.default_rng(9)
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-")
+    part = lambda n: "".join(draw.choice(letters, n))
+    made = lambda: f"eyJ{part(33)}.{part(74)}.{part(43)}"
+    learnt = [(i, f"token = {made()} end") for i in range(300)]
+    learnt += [(400 + i, f"and.so.{'on' * (i % 9)} the text.of www.example{i}.org is long.winded = {i}{i}.") for i in range(100)]
+    free = [made() for _ in range(50)]
+    texts = [(f"see {x} here", 4) for x in free] + [(f"It is {x}.", 6) for x in free] + [(f"key={x}", 4) for x in free]
+    rows = learnt + [(1000 + i, t) for i, (t, _) in enumerate(texts)]
+    rows += [(2000, "=" * 100_000), (2001, "." * 100_000), (2002, "a.b=" * 50_000), (2003, "one.long.sentence.joined.by.dots." * 6)]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k in range(3):
+        want = [[("format", at, at + len(free[0]))] for _, at in texts[50 * k : 50 * k + 50]]
+        assert sum(got[1000 + 50 * k + i] == x for i, x in enumerate(want)) >= 40, k
+    assert all(got[2000 + i] == [] for i in range(4))
+
+
 def test_byte_bpe(docs, empty):
     import tiktoken
 
