@@ -259,6 +259,44 @@ def test_html_nodes(spark):
     assert got == {i: f"a{i}" for i in range(8)} | {8: "b\n\nc\n\nmenu\n\nd"}
 
 
+def test_html_templates_in_articles(spark):
+    """What stands on most pages of a host within the article is template, by no name; headings, tables and near copies stay."""
+    advert, box = "<p>Buy our stuff now</p>", '<div class="x1"><p>Get our letter</p></div>'
+    page = lambda i, *x: f"<html><body><p>home</p><article><h1>Title {i}</h1>{''.join(x)}</article></body></html>"
+    ads = [page(i, f"<p>first {i}</p>", advert, f"<h2>Sources</h2><p>last {i}</p>", "<table><tr><td>yes</td></tr></table>", box) for i in range(6)]
+    ads += [page(6, "<p>first</p>", advert, "<h2>He</h2><p>said:</p><p>Buy our stuff now</p><p>and left</p>", box)]
+    few = [page(i, f"<p>one {i}</p>", advert) for i in range(3)]
+    near = [page(0, "<p>one</p><p>two</p><p>three</p>", f"<p>edit {i}</p>") for i in range(8)]
+    # the same article about which other things change is one content
+    same = [page(0, "<p>a</p>", "<p>b</p>").replace("home", f"home {i}") for i in range(8)] + [page(1, "<p>c</p>", "<p>d</p>")]
+    plain = [f"<html><body><main><section><div>at {i}</div><div>Sign in to go on</div><div>of {i}</div></section></main></body></html>" for i in range(5)]
+    rows = [(h, x) for h, xs in (("ads", ads), ("few", few), ("near", near), ("same", same), ("plain", plain)) for x in xs]
+    pages = spark.createDataFrame([(i, f"http://{h}/{i}", x) for i, (h, x) in enumerate(rows)], "page_id long, url string, html string")
+    got = [r.text.split("\n\n") for r in sorted(html_wrappers.extracted(pages).collect(), key=lambda r: r.page_id)]
+    assert got[:6] == [[f"Title {i}", f"first {i}", "Sources", f"last {i}", "yes"] for i in range(6)]
+    assert got[6] == ["Title 6", "first", "He", "said:", "Buy our stuff now", "and left"]
+    assert got[7:10] == [[f"Title {i}", f"one {i}", "Buy our stuff now"] for i in range(3)]
+    assert got[10:18] == [["Title 0", "one", "two", "three", f"edit {i}"] for i in range(8)]
+    assert got[18:27] == [["Title 0", "a", "b"]] * 8 + [["Title 1", "c", "d"]]
+    assert got[27:] == [[f"at {i}", f"of {i}"] for i in range(5)]
+
+
+def test_alignment_at_any_size():
+    """Runs match, rise on both sides and lose no more of an edited stream than its edits; nothing changes with its length."""
+    draw = np.random.default_rng(4)
+    for n in (5, 50, 700, 5000):
+        a = [f"<{x}>" for x in draw.integers(0, max(2, n // 3), n)]
+        cut = sorted(draw.choice(n, 3, replace=False)) if n > 5 else [2]
+        b = [x for i, x in enumerate(a) if i not in cut]
+        for x, y in ((a, b), (b, a), (a, a), (a, []), (a, a[::-1])):
+            found = html_wrappers.runs(x, y)
+            assert all(x[i : i + m] == y[j : j + m] for i, j, m in found)
+            assert all(i + m <= i2 and j + m <= j2 for (i, j, m), (i2, j2, _) in zip(found, found[1:], strict=False))
+        assert sum(m for *_, m in html_wrappers.runs(a, b)) >= 0.98 * len(b) - 1
+        assert html_wrappers.runs(a, a) == [(0, 0, n)]
+    assert html_wrappers.rising([(0, 5), (1, 1), (2, 2), (3, 0), (4, 3)]) == [(1, 1), (2, 2), (4, 3)]
+
+
 def test_classifier(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
     rows = ftrl.judged(docs, labels).join(labels, "doc_id").where("held_out").collect()
