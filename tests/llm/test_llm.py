@@ -281,6 +281,34 @@ def test_html_templates_in_articles(spark):
     assert got[27:] == [[f"at {i}", f"of {i}"] for i in range(5)]
 
 
+def test_html_wrappers_of_all_pages(spark, monkeypatch):
+    """All pages of a host count: where most of them have a template text, whatever a few would say; merged in rounds the result is the same."""
+    text = "<p>Sign in</p>"
+    page = lambda h, i: f"<html><body><div>{text * (i < 6)}<h2>{h} {i}</h2><p>text {h} {i}</p>{text * (i >= 6)}</div></body></html>"
+    pages = spark.createDataFrame([(h * 10 + i, f"http://host{h}/{i}", page(h, i)) for h in range(40) for i in range(10)], "page_id long, url string, html string").cache()
+    want = {h * 10 + i: f"{h} {i}\n\ntext {h} {i}" + "\n\nSign in" * (i >= 6) for h in range(40) for i in range(10)}
+    assert {r.page_id: r.text for r in html_wrappers.extracted(pages).collect()} == want
+    one = pages.withColumn("url", F.lit("http://h/"))
+    varied = one.withColumn("html", F.regexp_replace("html", "</h2>", F.concat(F.lit("</h2>"), F.expr("array_join(transform(sequence(1, 1 + cast(page_id % 20 as int)), x -> concat('<', element_at(array('ul', 'pre', 'dl'), cast(1 + (x * page_id) % 3 as int)), '>y', page_id, '</ul></pre></dl>')), '')"))))
+    whole = {r.page_id: r.text for r in html_wrappers.extracted(varied).collect()}
+    monkeypatch.setattr(html_wrappers, "FAN", 4)
+    assert {r.page_id: r.text for r in html_wrappers.extracted(varied).collect()} == whole
+    assert all(("Sign in" in x) == (i % 10 >= 6) and f"text {i // 10} {i % 10}" in x and x.count(f"y{i}") == 1 + i % 20 for i, x in whole.items())
+
+
+def test_html_loops():
+    """Pages of freely mixed blocks make a wrapper that doesn't grow with them, and every token of a page falls to a node."""
+    draw = np.random.default_rng(4)
+    page = lambda: "<article>" + "".join(f"<{x}>a</{x}>" for x in draw.choice(["p", "ul", "pre", "h2", "dl", "figure"], draw.integers(3, 20))) + "</article>"
+    pages = [page() for _ in range(300)]
+    found = html_wrappers.infer(pages)
+    wrapper = html_wrappers.Wrapper(found["nodes"])
+    assert len(found["nodes"]) < 30
+    for x in pages:
+        node = wrapper.match(html_wrappers.tokens(x, set())[0])
+        assert min(node) >= 0 and node == sorted(node)
+
+
 def test_alignment_at_any_size():
     """Runs match, rise on both sides and lose no more of an edited stream than its edits; nothing changes with its length."""
     draw = np.random.default_rng(4)
