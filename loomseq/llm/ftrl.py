@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import documents, per_slice, texts_of
+from .common import documents, per_slice, texts_of, trimmed
 
 TRAIN_ROWS, EPOCHS, BITS = 4000, 5, 18
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 0.01, 0.05
@@ -90,10 +90,16 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, label: str =
 
         return work
 
+    key = docs.schema["doc_id"].dataType.simpleString()
+    weights = trained(per_slice(sample.select("doc_id", "label", "text"), make, f"doc_id {key}, label int, at array<int>, x array<float>").toArrow())
+    trimmed()  # the driver needs no more of the sample
+    return weights
+
+
+def trained(got: pa.Table) -> np.ndarray:
+    """Weights learnt from rows of ``(doc_id, label, at, x)``."""
     from xxhash import xxh3_64_intdigest
 
-    key = docs.schema["doc_id"].dataType.simpleString()
-    got = per_slice(sample.select("doc_id", "label", "text"), make, f"doc_id {key}, label int, at array<int>, x array<float>").toArrow()
     keys = [xxh3_64_intdigest(str(k)) for k in got.column("doc_id").to_pylist()]  # an order that no executor's timing changes
     marks = got.column("label").to_pylist()
     # as arrays: lists of Python's numbers would take ten times the memory

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -133,6 +137,31 @@ def test_long_texts_in_parts():
     assert (one[0] == two[0]).all() and codec.decode(one[0])[0].tobytes() == text + b"\0zero \0"
 
 
+def test_workers_give_memory_back():
+    """What an operator keeps in a worker leaves the process with it, before the next operator's first slice."""
+    code = f"""
+import re
+import pyarrow.parquet as pq
+from loomseq.llm import common
+from loomseq.llm.queries import tokenizer_path
+from loomseq.llm.word_bpe import word_bpe
+def held():
+    return sum(map(int, re.findall(r"Anonymous: +(\\d+)", open("/proc/self/smaps_rollup").read())))
+class Rows:  # stands for a table: what per_slice makes of it is the task itself
+    sparkSession = type("Session", (), {{"conf": {{"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}}}})
+    def mapInArrow(self, run, schema):
+        return run
+table = pq.read_table("{SF}/documents.parquet", columns=["text"])
+for batch in table.to_batches(max_chunksize=50):
+    word_bpe(tokenizer_path("word_bpe_49k.json")).encode_group(common.utf8_of(batch))
+before = held()
+list(common.per_slice(Rows(), lambda: lambda batch: batch, "text string")(iter(table.to_batches())))
+print(before, held())
+assert before - held() > 30_000
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parents[2])
+
+
 def test_repair_leaves_no_frequent_pair():
     draw = np.random.default_rng(4)
     passage = draw.integers(0, 40_000, 3000)
