@@ -547,3 +547,13 @@ def test_what_operators_wrote_is_cleared(spark):
     folder = table.inputFiles()[0].rsplit("/", 2)[0].removeprefix("file://")
     assert Path(folder).is_dir() and shared.clear(spark) >= 1 and not Path(folder).exists() and shared.clear(spark) == 0
     fixtures._written.clear()  # the derived tables went as well
+
+
+def test_written_tables_are_small_and_leave_no_shuffles(spark):
+    files_ = lambda: {b.toString() for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()) if b.toString().startswith("shuffle_")}
+    before, was = files_(), spark.conf.get(shared.CLEANUP, None)
+    table = shared.written(spark.range(20_000).groupBy((F.col("id") % 5000).alias("k")).agg(F.count("*").alias("n")), "kept")
+    assert not files_() - before and spark.conf.get(shared.CLEANUP, None) == was
+    assert table.count() == 5000 and table.where("n <> 4").isEmpty()
+    part = next(Path(table.inputFiles()[0].removeprefix("file://")).parent.glob("part-*.parquet"))
+    assert part.name.endswith(".zstd.parquet")
