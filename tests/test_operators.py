@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomseq.operators import adapters, alignments, barcodes, contigs, dedup, joins, places, qc, quant, reads
+from loomseq.operators import adapters, alignments, barcodes, contigs, dedup, genes, joins, places, qc, quant, reads
 from loomseq.plans import fixtures, registry, registry_files, registry_reads, registry_splice  # noqa: F401
 from loomseq.functions import seq
 from loomseq.functions.seq import ADAPTER
@@ -572,3 +572,38 @@ def test_written_tables_are_small_and_leave_no_shuffles(spark):
     assert table.count() == 5000 and table.where("n <> 4").isEmpty()
     part = next(Path(table.inputFiles()[0].removeprefix("file://")).parent.glob("part-*.parquet"))
     assert part.name.endswith(".zstd.parquet")
+
+
+def test_genes_by_row_against_blocks(spark, monkeypatch):
+    """Genes, classes and transcripts of alignments by their own rows, without shuffling them, are those of joined blocks."""
+    rng = np.random.default_rng(5)
+    exons = []
+    for g in range(60):
+        at = int(rng.integers(0, 60_000))
+        for k in range(int(rng.integers(1, 4))):
+            exons += [(f"c{g % 3}", f"G{g}", f"T{g}.{k}", "+-"[g % 2], at + 400 * i + int(rng.integers(0, 3)) * 20, at + 400 * i + 100 + int(rng.integers(0, 200))) for i in range(4)]
+    exons += [("c0", "Whole", "W", "+", 0, 10), ("c0", "Whole", "W", "+", 69_990, 70_000)]
+    exons = spark.createDataFrame(exons, "ref string, gene string, transcript string, strand string, start_ int, end_ int")
+    cigars = ["50M", "3S40M300N30M2I10D20M", "20M380N60M320N40M", "5H", "900M17000N30M", None]
+    rows = [("S", f"r{i}", int(rng.choice([0, 16, 256, 4])), f"c{rng.integers(0, 4)}", int(rng.integers(0, 60_000)), cigars[int(rng.integers(0, 6))], f"B{i % 7}") for i in range(3000)]
+    aln = alignments.with_aln_id(spark.createDataFrame(rows, "sample string, qname string, flag int, ref string, pos int, cigar string, cb string")).repartition(3)
+    blocks, own = alignments.aligned_blocks(aln), ["qname", "aln_id", "gene", "class"]
+    monkeypatch.setattr(genes, "PAIRS", 64)
+    for stranded in ("none", "forward", "reverse"):
+        want = sorted(map(str, quant.assign_genes(blocks, exons, stranded).select(*own).collect()))
+        placed = genes.place_alignments(aln, exons, stranded)
+        assert "Exchange hash" not in placed._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, placed.select(*own).collect())) == want and len({x.split("class=")[1] for x in want}) == 4
+        assert sorted(map(str, genes.place_alignments(aln, exons, stranded, most=1).select(*own).collect())) == want
+    placed = genes.with_transcripts(genes.place_alignments(aln, exons), exons, 20)
+    want = quant.assign_transcripts(blocks, quant.assign_genes(blocks, exons), exons, 20)
+    assert sorted(map(str, placed.select("qname", F.explode("transcripts").alias("transcript")).collect())) == sorted(map(str, want.select("qname", "transcript").collect()))
+    want = quant.assign_genes(blocks, exons, delta=20).select(*own)
+    assert sorted(map(str, genes.by_splicing(placed).select(*own).collect())) == sorted(map(str, want.collect()))
+    want = quant.count_matrix(quant.assign_genes(blocks, exons), aln.select("sample", "qname", "aln_id", "cb"))
+    assert sorted(map(str, quant.count_matrix(placed).collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("name", ["count_matrix_shared", "count_matrix_inconsistent", "em_spliced", "em_cells", "cell_summary", "cell_summary_by_type", "count_matrix"])
+def test_sql_of_alignments_by_row(spark, name):
+    test_sql(spark, name)
