@@ -607,3 +607,12 @@ def test_genes_by_row_against_blocks(spark, monkeypatch):
 @pytest.mark.parametrize("name", ["count_matrix_shared", "count_matrix_inconsistent", "em_spliced", "em_cells", "cell_summary", "cell_summary_by_type", "count_matrix"])
 def test_sql_of_alignments_by_row(spark, name):
     test_sql(spark, name)
+
+
+def test_distances_of_several_umis_only(spark):
+    """UMIs alone at their place are never taken apart; places without a cell, repeated and empty UMIs count as they are."""
+    rows = [(f"C{i}", "ACGTACGTACGT") for i in range(2000)] + [("D", "AAAA"), ("D", "AATT"), ("D", "AATT"), (None, "AAAA"), (None, "TTTT"), ("E", ""), ("E", "ACGT"), ("F", None), ("F", "ACGT")]
+    aln = spark.createDataFrame([("S", f"r{i}", 0, "c", 5, c, u) for i, (c, u) in enumerate(rows)], "sample string, qname string, flag int, ref string, pos int, cr string, ur string")
+    found = dedup.umi_distances(aln)
+    below = found._jdf.queryExecution().optimizedPlan().toString().split("Generate posexplode")
+    assert sorted(map(tuple, found.collect())) == [("S", 2, 1), ("S", 4, 1)] and "Join" in below[1]
