@@ -616,3 +616,37 @@ def test_distances_of_several_umis_only(spark):
     found = dedup.umi_distances(aln)
     below = found._jdf.queryExecution().optimizedPlan().toString().split("Generate posexplode")
     assert sorted(map(tuple, found.collect())) == [("S", 2, 1), ("S", 4, 1)] and "Join" in below[1]
+
+
+def test_minimizers_of_many_sequences(spark):
+    """All sequences of a batch at once, against each by itself; and reads without those that no contig has."""
+    rng = np.random.default_rng(3)
+    seqs = ["".join(rng.choice(list("ACGTacgtN"), int(n), p=[0.12] * 8 + [0.04])) for n in rng.integers(0, 120, 400)] + ["", "A" * 60, "ACGT" * 30, "é" * 40 + "ACGTTGCATTGACCAGTA"]
+    for k, w in ((14, 5), (6, 10), (3, 1)):
+        found = contigs.minimizers_of_all(seqs, k, w)
+        got = sorted(zip(*[x.tolist() for x in found], strict=True))
+        want = []
+        for i, x in enumerate(seqs):
+            h, at, turned = contigs.minimizers_of(x, k, w)
+            n = len(x) - k + 1
+            every = {int(p) for p in at}
+            want += list(zip([i] * len(h), h.tolist(), at.tolist(), turned.tolist(), strict=True))
+            assert n >= 1 or not every
+        assert got == sorted(want)
+    reads_ = spark.createDataFrame([("S", f"r{i}", x) for i, x in enumerate(seqs)], "sample string, read_id string, seq string")
+    some = spark.createDataFrame([(f"c{i}", x) for i, x in enumerate(seqs[:5])], "ref string, seq string")
+    places_ = shared.written(contigs.minimizers(some, ["ref"], 14, 5), "p")
+    seeds = contigs.minimizers(reads_, ["sample", "read_id"], 14, 5)
+    fewer = contigs.minimizers(reads_, ["sample", "read_id"], 14, 5, contigs.places_held(places_))
+    assert fewer.count() < seeds.count() / 10
+    assert sorted(map(str, fewer.join(places_.select("h").distinct(), "h").collect())) == sorted(map(str, seeds.join(places_.select("h").distinct(), "h").collect()))
+
+
+def test_dense_lines_are_split_once(spark, tmp_path):
+    """Nothing above the explosion of a line's counts splits the line again for each of them."""
+    counts = spark.createDataFrame([("G1", "A", 1.0), ("G2", "B", 2.0)], "feature string, cell string, n double")
+    files.write_dense(counts, str(tmp_path / "dense"))
+    found = files.scan_dense(spark, str(tmp_path / "dense"))
+    above = found._jdf.queryExecution().optimizedPlan().toString().split("Generate posexplode")[0]
+    assert "split(" not in above
+    assert sorted(map(tuple, found.collect())) == [("G1", "A", 1.0), ("G1", "B", 0.0), ("G2", "A", 0.0), ("G2", "B", 2.0)]
